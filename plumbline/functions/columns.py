@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,3 +59,23 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def labelled(**fields: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
+_ARROW_TYPES = {
+    "string": pa.string(),
+    "double": pa.float64(),
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "boolean": pa.bool_(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+}
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A DataFrame of a few rows that sits in the plan itself, without a job or Python workers.
+
+    ``schema`` is a flat DDL string such as ``"column string, n bigint"``.
+    """
+    fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
+    arrays = [pa.array([r[i] for r in rows], _ARROW_TYPES[t]) for i, (_, t) in enumerate(fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=[n for n, _ in fields]))

@@ -13,6 +13,7 @@ from plumbline.functions.columns import (
     numeric_columns,
     require_columns,
     rows_from,
+    small_table,
     string_columns,
 )
 from plumbline.functions.moments import corrected_kurtosis, corrected_skewness
@@ -38,7 +39,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, exact:
     ]
     doubles = ", ".join(f"{n} double" for n in names[1:])
     schema = f"column string, count bigint, {doubles}, p25 double, p50 double, p75 double"
-    return df.sparkSession.createDataFrame(rows, schema).select(
+    return small_table(df.sparkSession, rows, schema).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max", "variance", "skewness", "kurtosis"
     )
 
@@ -107,7 +108,7 @@ def _smallest_top():
 
 def with_every_column(found: DataFrame, columns: Sequence[str], fill: dict[str, int]) -> DataFrame:
     """Add the columns that had no row at all, e.g. all-null ones."""
-    names = found.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    names = small_table(found.sparkSession, [(c,) for c in columns], "column string")
     return F.broadcast(names).join(found, "column", "left").fillna(fill)
 
 

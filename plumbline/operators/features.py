@@ -13,7 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import known, numeric_columns, quoted, require_columns, string_columns
+from plumbline.functions.columns import (
+    known,
+    numeric_columns,
+    quoted,
+    require_columns,
+    small_table,
+    string_columns,
+)
 from plumbline.operators.describe import long_values
 
 # Most categories a column may have before flags stop being sensible.
@@ -84,7 +91,7 @@ class Encoder:
 
     def to_table(self, spark) -> DataFrame:
         rows = [(c, i, v) for c, values in self.categories.items() for i, v in enumerate(values)]
-        return spark.createDataFrame(rows, "column string, position int, category string")
+        return small_table(spark, rows, "column string, position int, category string")
 
     @staticmethod
     def from_table(table: DataFrame) -> "Encoder":
@@ -143,7 +150,7 @@ class Scaler:
 
     def to_table(self, spark) -> DataFrame:
         rows = [(c, self.centre[c], self.spread[c]) for c in self.centre]
-        return spark.createDataFrame(rows, "column string, centre double, spread double")
+        return small_table(spark, rows, "column string, centre double, spread double")
 
     @staticmethod
     def from_table(table: DataFrame) -> "Scaler":

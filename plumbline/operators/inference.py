@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import probability as prob
-from plumbline.functions.columns import known, quoted, require_columns
+from plumbline.functions.columns import known, quoted, require_columns, small_table
 from plumbline.operators import ranks
 
 
@@ -50,7 +50,7 @@ def t_test(df: DataFrame, value: str, group: str, levels: Sequence, equal_var: b
         statistic = _ratio(a["mean"] - b["mean"], math.sqrt(ea + eb))
     spark = df.sparkSession
     p = prob.t_two_sided(spark, statistic, degrees)
-    return spark.createDataFrame([(statistic, degrees, p)], "statistic double, df double, p_value double")
+    return small_table(spark, [(statistic, degrees, p)], "statistic double, df double, p_value double")
 
 
 def _ratio(a: float, b: float) -> float | None:
@@ -72,7 +72,7 @@ def cohen_d(df: DataFrame, value: str, group: str, levels: Sequence, ddof: int =
     if min(a["n"], b["n"]) > ddof - 1 and a["n"] + b["n"] > 2 and None not in (variance(a), variance(b)):
         pooled = ((a["n"] - 1) * variance(a) + (b["n"] - 1) * variance(b)) / (a["n"] + b["n"] - 2)
         effect = _ratio(a["mean"] - b["mean"], math.sqrt(pooled))
-    return df.sparkSession.createDataFrame([(effect,)], "effect_size double")
+    return small_table(df.sparkSession, [(effect,)], "effect_size double")
 
 
 def anova(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -93,8 +93,8 @@ def anova(df: DataFrame, value: str, group: str) -> DataFrame:
     if d1 > 0 and d2 > 0:
         statistic = _ratio(row["between"] / d1, row["within"] / d2)
         p = prob.f_upper(df.sparkSession, statistic, d1, d2)
-    return df.sparkSession.createDataFrame(
-        [(statistic, d1, d2, p)], "statistic double, df_between double, df_within double, p_value double"
+    return small_table(
+        df.sparkSession, [(statistic, d1, d2, p)], "statistic double, df_between double, df_within double, p_value double"
     )
 
 
@@ -131,8 +131,8 @@ def chi_squared(df: DataFrame, a: str, b: str, correction: bool = True) -> DataF
         if correction and r == 2 and c == 2:
             statistic = _yates(full)
     p = prob.chi2_upper(df.sparkSession, statistic, degrees)
-    return df.sparkSession.createDataFrame(
-        [(statistic, float(degrees), p)], "statistic double, df double, p_value double"
+    return small_table(
+        df.sparkSession, [(statistic, float(degrees), p)], "statistic double, df double, p_value double"
     )
 
 
@@ -174,7 +174,7 @@ def correlation_test(df: DataFrame, x: str, y: str, method: str = "pearson") ->
             gap = (1.0 - r) * (1.0 + r)
             statistic = math.inf if gap <= 0 else r * math.sqrt((n - 2.0) / gap)
             p = prob.t_two_sided(spark, statistic, n - 2.0)
-    return spark.createDataFrame([(method, n, r, p)], "method string, n bigint, r double, p_value double")
+    return small_table(spark, [(method, n, r, p)], "method string, n bigint, r double, p_value double")
 
 
 def mean_interval(df: DataFrame, columns: Sequence[str], confidence: float = 0.95) -> DataFrame:
@@ -194,6 +194,6 @@ def mean_interval(df: DataFrame, columns: Sequence[str], confidence: float = 0.9
             error = std / math.sqrt(n)
             reach = error * prob.t_quantile(spark, (1.0 + confidence) / 2.0, n - 1.0)
         out.append((c, n, mean, error, None if reach is None else mean - reach, None if reach is None else mean + reach))
-    return spark.createDataFrame(
-        out, "column string, n bigint, mean double, standard_error double, ci_low double, ci_high double"
+    return small_table(
+        spark, out, "column string, n bigint, mean double, standard_error double, ci_low double, ci_high double"
     )

@@ -14,6 +14,7 @@ from plumbline.functions.columns import (
     numeric_columns,
     require_columns,
     rows_from,
+    small_table,
     string_columns,
 )
 from plumbline.operators.describe import value_counts
@@ -75,11 +76,11 @@ def histogram(
         place = F.least(F.floor((value - F.lit(low)) / F.lit(width)).cast("int"), F.lit(numbers[c] - 1))
         places.append(labelled(column=F.lit(c), bin=place))
     spark = df.sparkSession
-    grid = spark.createDataFrame(layout, "column string, low double, width double, bins int").select(
+    grid = small_table(spark, layout, "column string, low double, width double, bins int").select(
         "column", "low", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin")
     )
     if not places:
-        counts = spark.createDataFrame([], "column string, bin int, count bigint")
+        counts = small_table(spark, [], "column string, bin int, count bigint")
     else:
         counts = (
             rows_from(df, places)
@@ -109,7 +110,7 @@ def density(df: DataFrame, column: str, points: int = 200, bins: int | None = No
     n, low, high, std = row[0], row[1], row[2], row[3]
     spark = df.sparkSession
     if not n or not std:
-        return spark.createDataFrame([], "x double, density double")
+        return small_table(spark, [], "x double, density double")
     if math.isinf(low) or math.isinf(high):
         raise ValueError(f"{column} has infinite values")
     bandwidth = std * n ** (-0.2)
@@ -186,7 +187,7 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     for name, c in (("x_bin", x), ("y_bin", y)):
         n, low, high = extents[c]
         if not n:
-            return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, count bigint")
+            return small_table(df.sparkSession, [], "x_bin int, y_bin int, count bigint")
         width = (high - low) / bins or 1.0
         value = known(df, c).cast("double")
         places[name] = F.least(F.floor((value - F.lit(low)) / F.lit(width)).cast("int"), F.lit(bins - 1))

@@ -19,6 +19,7 @@ from plumbline.functions.columns import (
     quoted,
     require_columns,
     rows_from,
+    small_table,
     union_all,
 )
 from plumbline.operators.quantiles import quantiles
@@ -96,7 +97,7 @@ def target_check(df: DataFrame, target: str) -> DataFrame:
 
 
 def _static(df: DataFrame, rows: list[tuple]) -> DataFrame:
-    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+    return small_table(df.sparkSession, rows, REPORT_SCHEMA)
 
 
 def constant_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

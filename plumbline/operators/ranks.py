@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import known, labelled, quoted, require_columns, rows_from
+from plumbline.functions.columns import known, labelled, quoted, require_columns, rows_from, small_table
 from plumbline.operators.quantiles import SKETCH_ACCURACY, TASK_ROWS
 from plumbline.session import materialize
 
@@ -329,4 +329,4 @@ def kendall(
         )
     z = (concordant - discordant) / math.sqrt(variance) if variance else None
     schema = "n bigint, concordant double, discordant double, ties_x double, ties_y double, tau double, z double"
-    return df.sparkSession.createDataFrame([(n, concordant, discordant, tx, ty, tau, z)], schema)
+    return small_table(df.sparkSession, [(n, concordant, discordant, tx, ty, tau, z)], schema)

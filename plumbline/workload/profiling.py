@@ -198,7 +198,7 @@ SELECT c_custkey,
          CASE WHEN NOT (c_acctbal >= 0) THEN 'c_acctbal_range' END,
          CASE WHEN NOT (c_nationkey >= 2 AND c_nationkey <= 20) THEN 'c_nationkey_range' END,
          CASE WHEN c_mktsegment NOT IN ({", ".join(f"'{s}'" for s in SEGMENTS)}) THEN 'c_mktsegment_allowed' END
-       ], x -> x IS NOT NULL), ',') AS violations,
+       ], lambda x: x IS NOT NULL), ',') AS violations,
        c_acctbal >= 0 AND c_nationkey >= 2 AND c_nationkey <= 20
          AND c_mktsegment IN ({", ".join(f"'{s}'" for s in SEGMENTS)}) AS valid
 FROM customer
