@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def corrected_skewness(c: Column) -> Column:
     """Sample skewness with the small-sample correction; NULL below 3 values."""
     n = F.count(c).cast("double")
-    spread = F.var_pop(c)
+    spread = F.var_samp(c)
     return (
         F.when(n < 3, F.lit(None))
         .when(spread == 0, F.lit(0.0))
@@ -20,7 +20,7 @@ def corrected_skewness(c: Column) -> Column:
 def corrected_kurtosis(c: Column) -> Column:
     """Excess kurtosis with the small-sample correction; NULL below 4 values."""
     n = F.count(c).cast("double")
-    spread = F.var_pop(c)
+    spread = F.var_samp(c)
     return (
         F.when(n < 4, F.lit(None))
         .when(spread == 0, F.lit(0.0))

@@ -51,7 +51,7 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         parts += [
             F.count(c).alias(f"count_{i}"),
             F.avg(c).alias(f"mean_{i}"),
-            F.stddev_samp(c).alias(f"std_{i}"),
+            F.sqrt(F.var_samp(c)).alias(f"std_{i}"),
             F.min(c).alias(f"min_{i}"),
             F.max(c).alias(f"max_{i}"),
             F.var_samp(c).alias(f"variance_{i}"),

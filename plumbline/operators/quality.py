@@ -19,13 +19,10 @@ from plumbline.functions.columns import (
     quoted,
     require_columns,
     rows_from,
-    small_table,
     union_all,
 )
 from plumbline.operators.quantiles import quantiles
 
-REPORT_SCHEMA = "check string, column string, passed boolean, value double"
-
 
 def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: count of rows and, per column i, lo{i}, hi{i} and known{i}."""
@@ -88,16 +85,28 @@ def _infinite_rows(columns: Sequence[str]) -> list[Column]:
 
 
 def expected_columns_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """One row per expected column, passed when the table has it."""
-    return _static(df, [("expected_column", c, c in df.columns, float(c in df.columns)) for c in expected])
+    """One row per expected column, passed when the table has it; value counts its known cells."""
+    return _presence(df, [("expected_column", c) for c in expected])
 
 
 def target_check(df: DataFrame, target: str) -> DataFrame:
-    return _static(df, [("target_present", target, target in df.columns, float(target in df.columns))])
+    """Passes when the table has the target; value counts its known cells."""
+    return _presence(df, [("target_present", target)])
+
+
+def _presence(df: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:
+    present = list(dict.fromkeys(c for _, c in wanted if c in df.columns))
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(known(df, c)).alias(f"known{i}") for i, c in enumerate(present)])
+    return rows_from(wide, _presence_rows(wanted, present))
 
 
-def _static(df: DataFrame, rows: list[tuple]) -> DataFrame:
-    return small_table(df.sparkSession, rows, REPORT_SCHEMA)
+def _presence_rows(wanted: Sequence[tuple[str, str]], present: Sequence[str]) -> list[Column]:
+    """Rows of the presence checks; ``present`` gives the numbers of the ``known`` counts."""
+    rows = []
+    for check, c in wanted:
+        cells = F.col(f"known{present.index(c)}") if c in present else F.lit(0)
+        rows.append(_row(check, c, F.lit(c in present), cells))
+    return rows
 
 
 def constant_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -294,11 +303,9 @@ def quality_report(
             _row("missing", c, F.lit(True), rows_count - F.col(f"known{i}")) for i, c in enumerate(ordered)
         ],
     ]
-    parts = [rows_from(wide, fused)]
-    if expected:
-        parts.append(expected_columns_check(df, expected))
-    if target is not None:
-        parts.append(target_check(df, target))
+    wanted = [("expected_column", c) for c in expected]
+    wanted += [("target_present", target)] if target is not None else []
+    parts = [rows_from(wide, fused + _presence_rows(wanted, ordered))]
     parts.append(
         duplicate_count(df, columns).select(
             F.lit("duplicates").alias("check"),

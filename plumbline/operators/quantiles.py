@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from plumbline.functions.columns import known, require_columns
 
 # Values that one task may sort on its own.
 TASK_ROWS = 1_000_000
+# Share of that up to which Spark's own percentile, in one task, is the faster way.
+SMALL_SHARE = 0.1
 # Rank error of the sketch is at most rows / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 10_000
 
@@ -36,6 +40,10 @@ class _Target:
     below: int = 0
     value: float | None = None
 
+    def too_wide(self, task_rows: int) -> bool:
+        whole = self.low is None and self.high is None
+        return self.value is None and self.inside > (task_rows * SMALL_SHARE if whole else task_rows)
+
 
 def _between(column: Column, low: float | None, high: float | None) -> Column:
     inside = column.isNotNull()
@@ -53,6 +61,17 @@ def _by_interval(targets: list[_Target]) -> list[list[_Target]]:
     return list(groups.values())
 
 
+def _runs(group: list[_Target]) -> list[list[_Target]]:
+    """Neighbouring ranks, as a quantile between two values needs them, share an interval."""
+    runs: list[list[_Target]] = []
+    for t in sorted(group, key=lambda t: t.rank):
+        if runs and t.rank - runs[-1][-1].rank <= 1:
+            runs[-1].append(t)
+        else:
+            runs.append([t])
+    return runs
+
+
 def count_known(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     row = df.agg(*[F.count(known(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     return {c: row[i] for i, c in enumerate(columns)}
@@ -81,7 +100,7 @@ def order_statistics(
     if not targets:
         return {}
     values = {c: known(df, c).cast("double") for c in ranks}
-    while wide := [t for t in targets if t.value is None and t.inside > task_rows]:
+    while wide := [t for t in targets if t.too_wide(task_rows)]:
         _narrow(df, values, wide, accuracy)
     _extract(df, values, [t for t in targets if t.value is None])
     return {(t.column, t.rank): t.value for t in targets}
@@ -98,8 +117,10 @@ def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target], ac
     for i, group in enumerate(groups):
         column, first = values[group[0].column], group[0]
         slack = 2.0 / accuracy + 1.0 / first.inside
-        places = [(t.rank - first.below) / first.inside for t in group]
-        fractions = [min(1.0, max(0.0, p + s)) for p in places for s in (-slack, slack)]
+        fractions = []
+        for run in _runs(group):
+            ends = (run[0].rank - first.below) / first.inside - slack, (run[-1].rank - first.below) / first.inside + slack
+            fractions += [min(1.0, max(0.0, p)) for p in ends]
         sketches.append(
             F.percentile_approx(
                 F.when(_between(column, first.low, first.high), column), fractions, accuracy
@@ -108,8 +129,8 @@ def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target], ac
     bounds = df.agg(*sketches).first()
     probes = {}
     for i, group in enumerate(groups):
-        for j, t in enumerate(group):
-            probes.setdefault((t.column, bounds[i][2 * j], bounds[i][2 * j + 1]), []).append(t)
+        for j, run in enumerate(_runs(group)):
+            probes.setdefault((run[0].column, bounds[i][2 * j], bounds[i][2 * j + 1]), []).extend(run)
     checks = []
     for i, (name, low, high) in enumerate(probes):
         column = values[name]
@@ -143,17 +164,17 @@ def _extract(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -
     if not targets:
         return
     groups = _by_interval(targets)
+    conditions = [_between(values[g[0].column], g[0].low, g[0].high) for g in groups]
     members = F.array_compact(
         F.array(*[
-            F.when(
-                _between(values[g[0].column], g[0].low, g[0].high),
-                F.struct(F.lit(k).alias("g"), values[g[0].column].alias("v")),
-            )
-            for k, g in enumerate(groups)
+            F.when(c, F.struct(F.lit(k).alias("g"), values[g[0].column].alias("v")))
+            for k, (c, g) in enumerate(zip(conditions, groups))
         ])
     )
+    # The filter lets few rows through, so the array is built for those only.
     cells = (
-        df.select(F.explode(members).alias("m"))
+        df.where(reduce(or_, conditions))
+        .select(F.explode(members).alias("m"))
         .groupBy(F.col("m.g").alias("g"), F.col("m.v").alias("v"))
         .agg(F.count("*").alias("n"))
     )
@@ -197,7 +218,7 @@ def quantiles(
         return {c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
 
     counts = counts or count_known(df, columns)
-    if max(counts.values()) <= task_rows:
+    if max(counts.values()) <= task_rows * SMALL_SHARE:
         # Bounded by the count just checked, so one task may hold the values.
         row = df.agg(*[
             F.percentile(values[c], F.array(*[F.lit(float(p)) for p in probabilities])).alias(f"q{i}")

@@ -21,48 +21,52 @@ from plumbline.operators.quantiles import SKETCH_ACCURACY, TASK_ROWS
 from plumbline.session import materialize
 
 # Rows of a lookup table that every executor may hold (two numbers per row).
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 # A value is hot when it fills more than this share of the table.
 HOT_SHARE = 1 / 2000
 SALTS = 1024
+# Least number of x positions per slice when pairs are counted.
+SLICE_ROWS = 4096
 
 
 @dataclass(frozen=True)
 class Ranking:
     """Ranks of the distinct values of several columns.
 
-    ``table`` has (column, value, n, before, position): copies of the value,
-    smaller rows, and smaller distinct values.
+    ``table`` has (code, value, n, before, position): number of the column,
+    copies of the value, smaller rows, and smaller distinct values.
     """
 
     table: DataFrame
+    codes: dict[str, int]
     distinct: dict[str, int]
     rows: dict[str, int]
 
     def of(self, column: str) -> DataFrame:
-        return self.table.where(F.col("column") == column).drop("column")
+        return self.table.where(F.col("code") == self.codes[column]).drop("code")
 
 
 def rank_values(df: DataFrame, columns: Sequence[str], task_rows: int = TASK_ROWS) -> Ranking:
     require_columns(df, columns)
+    codes = {c: i for i, c in enumerate(dict.fromkeys(columns))}
     long = rows_from(
-        df, [labelled(column=F.lit(c), value=known(df, c).cast("double") + F.lit(0.0)) for c in columns]
+        df, [labelled(code=F.lit(i), value=known(df, c).cast("double") + F.lit(0.0)) for c, i in codes.items()]
     )
     counts = materialize(
         long.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy("code", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     sizes = {
-        r["column"]: r for r in counts.groupBy("column").agg(F.count("*").alias("d"), F.sum("n").alias("r")).collect()
+        r["code"]: r for r in counts.groupBy("code").agg(F.count("*").alias("d"), F.sum("n").alias("r")).collect()
     }
-    distinct = {c: sizes[c]["d"] if c in sizes else 0 for c in columns}
-    rows = {c: sizes[c]["r"] if c in sizes else 0 for c in columns}
-    ranged = _with_ranges(counts, distinct, task_rows)
-    inside = Window.partitionBy("column", "range").orderBy("value")
+    distinct = {c: sizes[i]["d"] if i in sizes else 0 for c, i in codes.items()}
+    rows = {c: sizes[i]["r"] if i in sizes else 0 for c, i in codes.items()}
+    ranged = _with_ranges(counts, codes, distinct, task_rows)
+    inside = Window.partitionBy("code", "range").orderBy("value")
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select(
-        "column",
+        "code",
         "value",
         "n",
         "range",
@@ -73,10 +77,12 @@ def rank_values(df: DataFrame, columns: Sequence[str], task_rows: int = TASK_ROW
         table = local.drop("range")
     else:
         table = _with_offsets(ranged, local)
-    return Ranking(materialize(table), distinct, rows)
+    return Ranking(materialize(table, partition_by="code"), codes, distinct, rows)
 
 
-def _with_ranges(counts: DataFrame, distinct: dict[str, int], task_rows: int) -> DataFrame:
+def _with_ranges(
+    counts: DataFrame, codes: dict[str, int], distinct: dict[str, int], task_rows: int
+) -> DataFrame:
     """Number the ranges of each column; only columns too large for one task get several."""
     large = [c for c, d in distinct.items() if d > task_rows]
     if not large:
@@ -86,12 +92,12 @@ def _with_ranges(counts: DataFrame, distinct: dict[str, int], task_rows: int) ->
         ranges = min(SKETCH_ACCURACY // 2, math.ceil(distinct[c] / task_rows))
         cuts[c] = [i / ranges for i in range(1, ranges)]
     row = counts.agg(*[
-        F.percentile_approx(F.when(F.col("column") == c, F.col("value")), cuts[c], SKETCH_ACCURACY).alias(f"c{i}")
+        F.percentile_approx(F.when(F.col("code") == codes[c], F.col("value")), cuts[c], SKETCH_ACCURACY).alias(f"c{i}")
         for i, c in enumerate(large)
     ]).first()
     splits = [[-math.inf, *sorted(set(row[i])), math.inf] for i in range(len(large))]
     wide = counts.withColumns({
-        f"__v{i}": F.when(F.col("column") == c, F.col("value")) for i, c in enumerate(large)
+        f"__v{i}": F.when(F.col("code") == codes[c], F.col("value")) for i, c in enumerate(large)
     })
     cutter = Bucketizer(
         splitsArray=splits,
@@ -101,22 +107,22 @@ def _with_ranges(counts: DataFrame, distinct: dict[str, int], task_rows: int) ->
     )
     number = F.lit(0)
     for i, c in enumerate(large):
-        number = F.when(F.col("column") == c, F.col(f"__r{i}").cast("int")).otherwise(number)
-    return cutter.transform(wide).select("column", "value", "n", number.alias("range"))
+        number = F.when(F.col("code") == codes[c], F.col(f"__r{i}").cast("int")).otherwise(number)
+    return cutter.transform(wide).select("code", "value", "n", number.alias("range"))
 
 
 def _with_offsets(ranged: DataFrame, local: DataFrame) -> DataFrame:
     # At most SKETCH_ACCURACY / 2 ranges per column, so this table is small by construction.
-    totals = ranged.groupBy("column", "range").agg(F.sum("n").alias("tn"), F.count("*").alias("td"))
-    earlier = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("code", "range").agg(F.sum("n").alias("tn"), F.count("*").alias("td"))
+    earlier = Window.partitionBy("code").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "column",
+        "code",
         "range",
         F.coalesce(F.sum("tn").over(earlier), F.lit(0)).alias("on"),
         F.coalesce(F.sum("td").over(earlier), F.lit(0)).alias("od"),
     )
-    return local.join(F.broadcast(offsets), ["column", "range"]).select(
-        "column",
+    return local.join(F.broadcast(offsets), ["code", "range"]).select(
+        "code",
         "value",
         "n",
         (F.col("before") + F.col("on")).alias("before"),
@@ -270,7 +276,7 @@ def kendall(
     cells = materialize(cells.select("px", "py", "w"))
 
     bits = max(1, (max(ranking.distinct["y"], 1) - 1).bit_length())
-    slice_width = max(4096, math.isqrt(max(ranking.distinct["x"], 1)))
+    slice_width = max(SLICE_ROWS, math.isqrt(max(ranking.distinct["x"], 1)))
     level = F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("bit")
     leveled = cells.select("px", "py", "w", level)
     is_set = F.expr("shiftright(py, bit) & 1") == 1

@@ -16,37 +16,60 @@ from plumbline.functions.columns import quoted, require_columns
 from plumbline.operators.quantiles import TASK_ROWS, order_statistics
 
 
-def _first_n(df: DataFrame, keys: Sequence[str], n: int, seed: int, task_rows: int) -> Column:
+# Hold-outs up to this size are found as a plain top-k: each task keeps that many digests.
+TOP_ROWS = 100_000
+
+
+def _first_n(
+    df: DataFrame, keys: Sequence[str], n: int, seed: int, task_rows: int, top_rows: int = TOP_ROWS
+) -> Column:
     """Condition met by the ``n`` rows with the smallest digests."""
     hashed = hashing.digest(keys, seed)
     if n <= 0:
         return F.lit(False)
-    words = df.select(hashing.word(hashed).alias("w"), hashed.alias("h"))
+    ambiguous = ValueError(f"the key {list(keys)} is not unique, so {n} rows cannot be told apart")
+    digests = df.select(hashed.alias("h"))
+    if n <= top_rows:
+        edge = digests.orderBy("h").offset(n - 1).limit(2).collect()
+        if len(edge) < 2:
+            return F.lit(True)
+        if edge[0]["h"] == edge[1]["h"]:
+            raise ambiguous
+        return hashed <= edge[0]["h"]
+
+    words = digests.select(hashing.word(F.col("h")).alias("w"), "h")
     total = words.count()
     if n >= total:
         return F.lit(True)
     edge = int(order_statistics(words.select("w"), {"w": [n - 1]}, {"w": total}, task_rows)["w", n - 1])
-    before = words.where(F.col("w") < edge).count()
-    # Only rows whose 52-bit word equals the edge are read here: one, unless keys repeat.
-    tied = (
-        words.where(F.col("w") == edge).groupBy("h").agg(F.count("*").alias("n")).orderBy("h").limit(1000).collect()
+    # Rows below the edge are one count; only digests that share its 52 bits come back one by one.
+    found = (
+        words.where(F.col("w") <= edge)
+        .groupBy(F.when(F.col("w") == edge, F.col("h")).alias("h"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
     )
-    taken = before
-    for row in tied:
-        if taken == n:
-            return (hashing.word(hashed) < edge) | ((hashing.word(hashed) == edge) & (hashed < row["h"]))
+    taken = sum(r["n"] for r in found if r["h"] is None)
+    for row in sorted((r for r in found if r["h"] is not None), key=lambda r: r["h"]):
         taken += row["n"]
+        if taken == n:
+            return (hashing.word(hashed) <= edge) & (hashed <= row["h"])
         if taken > n:
-            raise ValueError(f"the key {list(keys)} is not unique, so {n} rows cannot be told apart")
-    return hashing.word(hashed) <= edge
+            raise ambiguous
+    raise RuntimeError("the table changed while it was split")
 
 
 def holdout(
-    df: DataFrame, keys: Sequence[str], size: int, seed: int = 42, task_rows: int = TASK_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    size: int,
+    seed: int = 42,
+    task_rows: int = TASK_ROWS,
+    top_rows: int = TOP_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with exactly ``size`` test rows, whatever ``size`` is."""
     require_columns(df, keys)
-    chosen = _first_n(df, keys, size, seed, task_rows)
+    chosen = _first_n(df, keys, size, seed, task_rows, top_rows)
     return df.where(~chosen), df.where(chosen)
 
 

@@ -13,6 +13,7 @@ from plumbline.operators.features import Encoder, Scaler
 from plumbline.operators.scoring import Preparation
 from plumbline.operators.selection import Selection, recursive_elimination
 from plumbline.operators.split import holdout
+from plumbline.session import materialize
 from plumbline.sources.tables import write_processed
 
 
@@ -87,7 +88,8 @@ def prepare(df: DataFrame, options: PrepareOptions) -> Prepared:
             _clean_records(frame, options, year), options.log_columns, options.sqrt_columns
         )
 
-    train, test = transformed(train), transformed(test)
+    # The fits below read the training split several times, but its copies are removed once.
+    train, test = materialize(transformed(train)), transformed(test)
     encoder = None
     words = options.encode if options.encode is not None else tuple(
         features.string_columns(train, exclude=options.keys)

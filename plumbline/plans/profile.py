@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from plumbline.functions.columns import numeric_columns, string_columns
+from plumbline.functions.columns import numeric_columns, quoted, string_columns, union_all
 from plumbline.operators import describe, plotdata, quality, ranks
 from plumbline.sources.reports import write_report
 
@@ -48,6 +49,28 @@ def profile(df: DataFrame, options: ProfileOptions = ProfileOptions()) -> dict[s
     return parts
 
 
+def tidy(parts: dict[str, DataFrame]) -> DataFrame:
+    """The profile as one table of (part, item, metric, value).
+
+    ``item`` joins the text columns of a row, such as column and category.
+    """
+    rows = []
+    for name, part in parts.items():
+        kinds = dict(part.dtypes)
+        texts = [c for c, t in kinds.items() if t == "string"]
+        numbers = [c for c, t in kinds.items() if t in ("double", "bigint", "int", "boolean")]
+        item = F.concat_ws("/", *[quoted(c) for c in texts]) if texts else F.lit("")
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("metric"), quoted(c).cast("double").alias("value")) for c in numbers
+        ])
+        rows.append(
+            part.select(F.lit(name).alias("part"), item.alias("item"), F.explode(cells).alias("m")).select(
+                "part", "item", "m.metric", "m.value"
+            )
+        )
+    return union_all(rows)
+
+
 def write_profile(parts: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """One JSON report per part."""
     paths = {name: f"{folder}/{name}" for name in parts}

@@ -50,7 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage in reliable storage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Compute ``df`` once: write it below the shared folder and read it back.
+
+    The lineage ends at a stored table, so lost executors cost no recomputation,
+    and later reads prune columns and partitions.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,18 +52,17 @@ def _infinite(spark, folder):
 
 
 @query("dq_expected_columns", """
-SELECT 'expected_column' AS "check", e.c AS "column", d.column_name IS NOT NULL AS passed,
-       CASE WHEN d.column_name IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS value
-FROM (VALUES ('p_partkey'), ('p_size'), ('p_weight')) e(c)
-LEFT JOIN (SELECT column_name FROM (DESCRIBE part)) d ON d.column_name = e.c
+SELECT 'expected_column' AS "check", 'p_partkey' AS "column", true AS passed, CAST(count(p_partkey) AS DOUBLE) AS value FROM part
+UNION ALL SELECT 'expected_column', 'p_size', true, CAST(count(p_size) AS DOUBLE) FROM part
+UNION ALL SELECT 'expected_column', 'p_weight', false, 0.0::DOUBLE
 """)
 def _expected(spark, folder):
     return quality.expected_columns_check(table(spark, folder, "part"), ["p_partkey", "p_size", "p_weight"])
 
 
 @query("dq_target", """
-SELECT 'target_present' AS "check", 'p_retailprice' AS "column", count(*) = 1 AS passed, CAST(count(*) AS DOUBLE) AS value
-FROM (DESCRIBE part) WHERE column_name = 'p_retailprice'
+SELECT 'target_present' AS "check", 'p_retailprice' AS "column", true AS passed, CAST(count(p_retailprice) AS DOUBLE) AS value
+FROM part
 """)
 def _target(spark, folder):
     return quality.target_check(table(spark, folder, "part"), "p_retailprice")
@@ -164,8 +163,8 @@ def _report_sql():
         "SELECT 'many_rows_and_columns', NULL, count(*) > 1, CAST(count(*) AS DOUBLE) FROM customer",
         """SELECT 'duplicates', NULL, true, CAST(sum(n) - count(*) AS DOUBLE) FROM
         (SELECT count(*) AS n FROM customer GROUP BY c_custkey, c_nationkey, c_acctbal, c_name, c_mktsegment)""",
-        "SELECT 'expected_column', 'c_acctbal', true, 1.0::DOUBLE",
-        "SELECT 'target_present', 'c_acctbal', true, 1.0::DOUBLE",
+        "SELECT 'expected_column', 'c_acctbal', true, CAST(count(c_acctbal) AS DOUBLE) FROM customer",
+        "SELECT 'target_present', 'c_acctbal', true, CAST(count(c_acctbal) AS DOUBLE) FROM customer",
     ]
     for c in numeric:
         parts += [
