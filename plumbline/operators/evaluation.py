@@ -13,7 +13,6 @@ from plumbline.functions import hashing
 from plumbline.functions.columns import known, quoted, require_columns, small_table, union_all
 from plumbline.functions.moments import regression_errors
 from plumbline.operators.split import LEARNING_FRACTIONS, learning_subsets
-from plumbline.session import materialize
 
 Predict = Callable[[DataFrame], DataFrame]
 
@@ -46,38 +45,32 @@ def residuals(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 # --- permutation importance -------------------------------------------------------
 
-# Rows that one window partition is meant to hold, and the most partitions.
+# Rows that one window partition is meant to hold.
 _BUCKET_ROWS = 100_000
-_MAX_BUCKETS = 10_000
 
 
-def shuffled_position(df: DataFrame, keys: Sequence[str], seed: int | str, rows: int, output: str) -> DataFrame:
-    """0-based place of each row in an order shuffled by key hash.
+def shuffled_neighbours(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], seed: int | str, rows: int, bucket_rows: int = _BUCKET_ROWS
+) -> DataFrame:
+    """Give each row, as ``__d0``, ``__d1``, ..., the given columns of another, random row.
 
-    Digests are uniform, so cutting them into ranges gives buckets of equal
-    size without sampling. Keys must tell rows apart.
+    Rows are dealt into buckets by key hash and put into hash order inside
+    them; each takes the values of the next one and the last those of the
+    first. Every row gives its values once, so this is a permutation, at the
+    price of one shuffle: no row numbers and no join.
     """
-    buckets = max(1, min(_MAX_BUCKETS, -(-rows // _BUCKET_ROWS)))
-    hashed = df.withColumn("__h", hashing.digest(keys, seed)).select(
+    buckets = max(1, -(-rows // bucket_rows))
+    dealt = df.withColumn("__h", hashing.digest(keys, seed)).select(
         *[quoted(c) for c in df.columns],
-        F.floor(hashing.uniform(F.col("__h")) * buckets).cast("int").alias("__b"),
+        F.floor(hashing.uniform(F.col("__h"), 1) * buckets).cast("int").alias("__b"),
         # Two words of 52 bits sort like the digest and cost less to shuffle.
         hashing.word(F.col("__h"), 0).alias("__w0"),
         hashing.word(F.col("__h"), 1).alias("__w1"),
     )
-    inside = Window.partitionBy("__b").orderBy("__w0", "__w1")
-    local = hashed.withColumn(output, F.row_number().over(inside).cast("bigint") - 1)
-    if buckets == 1:
-        return local.drop("__w0", "__w1", "__b")
-    # At most _MAX_BUCKETS rows: small whatever the table size.
-    totals = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__b", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"))
-    return (
-        local.join(F.broadcast(offsets), "__b")
-        .withColumn(output, F.col(output) + F.col("__o"))
-        .drop("__w0", "__w1", "__b", "__o")
-    )
+    order = Window.partitionBy("__b").orderBy("__w0", "__w1")
+    values = F.struct(*[quoted(c).alias(f"__d{i}") for i, c in enumerate(columns)])
+    donor = F.coalesce(F.lead(values).over(order), F.first(values).over(order))
+    return dealt.withColumn("__donor", donor).select(*[quoted(c) for c in df.columns], "__donor.*")
 
 
 def permutation_importance(
@@ -88,32 +81,30 @@ def permutation_importance(
     label: str = "label",
     repeats: int = 10,
     seed: int = 42,
+    bucket_rows: int = _BUCKET_ROWS,
 ) -> DataFrame:
     """Loss of r2 when a feature is shuffled: mean and population deviation over repeats.
 
-    Each repeat pairs every row with another one by position in two shuffled
-    orders: one equi-join on unique positions. Its donor values serve all
-    features, so the joins grow with the repeats but not with the features.
-    ``predict`` adds a ``prediction`` to a frame that has the features.
+    The donor row of a repeat serves all features, so shuffles grow with the
+    repeats but not with the features. ``predict`` adds a ``prediction`` to a
+    frame that has the features. Keys must tell rows apart.
     """
     require_columns(df, [*features, *keys, label])
     slim = df.select(*[quoted(c) for c in dict.fromkeys([*keys, *features, label])])
+    squared = F.pow(quoted(label) - F.col("prediction"), F.lit(2.0))
     base = predict(slim).agg(
         F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct(F.struct(*[quoted(k) for k in keys])).alias("different"),
         F.var_pop(quoted(label)).alias("spread"),
-        F.avg(F.pow(quoted(label) - F.col("prediction"), F.lit(2.0))).alias("mse"),
+        F.avg(squared).alias("mse"),
     ).first()
     if not base["n"]:
         raise ValueError("the table is empty")
-    donors = materialize(
-        shuffled_position(slim, keys, f"donor{seed}", base["n"], "__i").select(
-            F.col("__i").alias("__j"), *[quoted(c).alias(f"__d{i}") for i, c in enumerate(features)]
-        )
-    )
+    if base["different"] < 0.7 * base["n"]:
+        raise ValueError(f"the key {list(keys)} repeats, so its hash cannot shuffle the rows")
     parts = []
     for r in range(repeats):
-        rows = shuffled_position(slim, keys, f"{seed}.{r}", base["n"], "__j")
-        paired = rows.join(donors, "__j")
+        rows = shuffled_neighbours(slim, keys, features, f"{seed}.{r}", base["n"], bucket_rows)
         variants = [
             F.struct(
                 F.lit(f).alias("feature"),
@@ -122,13 +113,11 @@ def permutation_importance(
             for k, f in enumerate(features)
         ]
         parts.append(
-            paired.select(F.lit(r).alias("repeat"), quoted(label).alias(label), F.explode(F.array(*variants)).alias("v"))
+            rows.select(F.lit(r).alias("repeat"), quoted(label), F.explode(F.array(*variants)).alias("v"))
             .select("repeat", quoted(label), "v.*")
         )
-    scored = predict(union_all(parts))
-    drops = scored.groupBy("feature", "repeat").agg(
-        ((F.avg(F.pow(quoted(label) - F.col("prediction"), F.lit(2.0))) - F.lit(base["mse"]))
-         / F.lit(base["spread"] or math.nan)).alias("drop")
+    drops = predict(union_all(parts)).groupBy("feature", "repeat").agg(
+        ((F.avg(squared) - F.lit(base["mse"])) / F.lit(base["spread"] or math.nan)).alias("drop")
     )
     summary = drops.groupBy("feature").agg(
         F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")

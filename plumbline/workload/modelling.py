@@ -195,13 +195,20 @@ def _formula(df):
 IMPORTANCE_REPEATS = 3
 
 
+def second_uniform_sql(hashed: str) -> str:
+    return f"(CAST(CAST(('0x' || substr({hashed}, 14, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0)"
+
+
 def _importance_sql():
     hashed = LINE_HASH.format
     parts = []
     for r in range(IMPORTANCE_REPEATS):
-        pairs = f"""(SELECT t.label, t.l_quantity, t.l_discount, d.l_quantity AS dq, d.l_discount AS dd FROM
-          (SELECT *, row_number() OVER (ORDER BY {hashed(seed=f'42.{r}')}) AS j FROM {FEATURES_SQL}) t JOIN
-          (SELECT *, row_number() OVER (ORDER BY {hashed(seed='donor42')}) AS j FROM {FEATURES_SQL}) d ON t.j = d.j)"""
+        digest = hashed(seed=f"42.{r}")
+        order = f"""OVER (PARTITION BY floor({second_uniform_sql(digest)} * ceil((SELECT count(*) FROM lineitem) / 100000.0))
+          ORDER BY {digest})"""
+        pairs = f"""(SELECT label, l_quantity, l_discount,
+          coalesce(lead(l_quantity) {order}, first_value(l_quantity) {order}) AS dq,
+          coalesce(lead(l_discount) {order}, first_value(l_discount) {order}) AS dd FROM {FEATURES_SQL})"""
         parts.append(f"SELECT 'l_quantity' AS feature, avg(pow(label - 1000 * dq * (1 - l_discount), 2)) AS m FROM {pairs}")
         parts.append(f"SELECT 'l_discount' AS feature, avg(pow(label - 1000 * l_quantity * (1 - dd), 2)) AS m FROM {pairs}")
     return f"""
@@ -222,8 +229,7 @@ def _importance(spark, folder):
 
 def _normal_sql(seed):
     hashed = LINE_HASH.format(seed=seed)
-    second = f"(CAST(CAST(('0x' || substr({hashed}, 14, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0)"
-    return f"(sqrt(-2.0 * ln(1.0 - {uniform_sql(hashed)})) * cos(2.0 * pi() * {second}))"
+    return f"(sqrt(-2.0 * ln(1.0 - {uniform_sql(hashed)})) * cos(2.0 * pi() * {second_uniform_sql(hashed)}))"
 
 
 @query("noise_robustness", f"""
