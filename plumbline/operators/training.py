@@ -125,7 +125,7 @@ def make_estimator(
     prediction: str = "prediction",
 ) -> Estimator:
     """An estimator on the assembled features, by model name."""
-    chosen = spark_params(model, BASELINES[model] if params is None else params)
+    chosen = spark_params(model, BASELINES.get(model, {}) if params is None else params)
     columns = {"featuresCol": FEATURES, "labelCol": label, "predictionCol": prediction}
     if model == "Ridge":
         return Ridge(**columns, **chosen)
