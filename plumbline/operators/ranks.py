@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import known, labelled, quoted, require_columns, rows_from, small_table
+from plumbline.functions.columns import known, labelled, quoted, require_columns, rows_from, small_table, union_all
 from plumbline.operators.quantiles import SKETCH_ACCURACY, TASK_ROWS
 from plumbline.session import materialize
 
@@ -25,6 +25,8 @@ BROADCAST_ROWS = 1_000_000
 # A value is hot when it fills more than this share of the table.
 HOT_SHARE = 1 / 2000
 SALTS = 1024
+# Pairs of columns correlated in one scan.
+PAIRS_PER_SCAN = 300
 # Least number of x positions per slice when pairs are counted.
 SLICE_ROWS = 4096
 
@@ -184,11 +186,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     if method != "pearson":
         raise ValueError(f"unknown method {method!r}")
     pairs = list(itertools.combinations_with_replacement(columns, 2))
-    parts = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = known(df, a).cast("double"), known(df, b).cast("double")
-        parts += [F.corr(x, y).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
-    return _mirrored(df.agg(*parts), pairs)
+    # One scan holds a bounded number of aggregates, so very wide tables take several scans.
+    chunks = [pairs[i:i + PAIRS_PER_SCAN] for i in range(0, len(pairs), PAIRS_PER_SCAN)]
+    results = []
+    for chunk in chunks:
+        parts = []
+        for i, (a, b) in enumerate(chunk):
+            x, y = known(df, a).cast("double"), known(df, b).cast("double")
+            parts += [F.corr(x, y).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
+        results.append(_mirrored(df.agg(*parts), chunk))
+    return union_all(results)
 
 
 def _mirrored(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -228,14 +235,17 @@ def _ranked_correlations(
 ) -> DataFrame:
     ranking = rank_values(df, columns, task_rows)
     frame = df.select(*[quoted(c) for c in columns])
-    if any(ranking.distinct[c] > broadcast_rows for c in columns):
+    if sum(ranking.distinct[c] for c in columns) > broadcast_rows:
         # Folding equal rows first makes the salt of the join spread a hot value.
         frame = frame.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("__w"))
     else:
         frame = frame.withColumn("__w", F.lit(1))
-    for i, c in enumerate(columns):
+    room = broadcast_rows
+    for i, c in sorted(enumerate(columns), key=lambda item: ranking.distinct[item[1]]):
         middle = (ranking.rows[c] + 1) / 2.0
-        frame = lookup(frame, ranking, c, average_rank() - F.lit(middle), f"__d{i}", broadcast_rows)
+        frame = lookup(frame, ranking, c, average_rank() - F.lit(middle), f"__d{i}", room)
+        # All broadcast tables share one allowance, smallest tables first.
+        room = max(0, room - ranking.distinct[c])
     weight = F.col("__w")
     parts = []
     for i, (a, b) in enumerate(pairs):
@@ -272,7 +282,8 @@ def kendall(
     ranking = rank_values(both, ["x", "y"], task_rows)
     cells = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     cells = lookup(cells, ranking, "x", F.col("position"), "px", broadcast_rows)
-    cells = lookup(cells, ranking, "y", F.col("position"), "py", broadcast_rows)
+    room = broadcast_rows - ranking.distinct["x"] if ranking.distinct["x"] <= broadcast_rows else broadcast_rows
+    cells = lookup(cells, ranking, "y", F.col("position"), "py", room)
     cells = materialize(cells.select("px", "py", "w"))
 
     bits = max(1, (max(ranking.distinct["y"], 1) - 1).bit_length())

@@ -6,6 +6,7 @@ shuffle, and the same rows after a task is retried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,47 +17,61 @@ from plumbline.functions.columns import quoted, require_columns
 from plumbline.operators.quantiles import TASK_ROWS, order_statistics
 
 
-# Hold-outs up to this size are found as a plain top-k: each task keeps that many digests.
-TOP_ROWS = 100_000
+# Hold-outs up to this size need no search: the uniform digests tell where their edge lies.
+DIRECT_ROWS = 100_000
 
 
 def _first_n(
-    df: DataFrame, keys: Sequence[str], n: int, seed: int, task_rows: int, top_rows: int = TOP_ROWS
+    df: DataFrame, keys: Sequence[str], n: int, seed: int, task_rows: int, direct_rows: int = DIRECT_ROWS
 ) -> Column:
-    """Condition met by the ``n`` rows with the smallest digests."""
+    """Condition met by the ``n`` rows with the smallest digests.
+
+    Only the few digests around the edge reach the driver, whatever the
+    number of rows or tasks.
+    """
     hashed = hashing.digest(keys, seed)
     if n <= 0:
         return F.lit(False)
-    ambiguous = ValueError(f"the key {list(keys)} is not unique, so {n} rows cannot be told apart")
-    digests = df.select(hashed.alias("h"))
-    if n <= top_rows:
-        edge = digests.orderBy("h").offset(n - 1).limit(2).collect()
-        if len(edge) < 2:
-            return F.lit(True)
-        if edge[0]["h"] == edge[1]["h"]:
-            raise ambiguous
-        return hashed <= edge[0]["h"]
-
-    words = digests.select(hashing.word(F.col("h")).alias("w"), "h")
-    total = words.count()
+    words = df.select(hashed.alias("h")).select(hashing.word(F.col("h")).alias("w"), "h")
+    total = df.count()
     if n >= total:
         return F.lit(True)
-    edge = int(order_statistics(words.select("w"), {"w": [n - 1]}, {"w": total}, task_rows)["w", n - 1])
-    # Rows below the edge are one count; only digests that share its 52 bits come back one by one.
+    edge = None
+    if n <= direct_rows:
+        # The n-th of uniform values is within ten deviations of n / total.
+        reach = 10.0 * math.sqrt(n) + 50.0
+        low, high = (int(hashing.WORD_RANGE * max(0.0, x) / total) for x in (n - reach, n + reach))
+        edge = _edge(words, low, high, n, keys)
+    if edge is None:
+        # Large hold-outs, and keys that repeat so much that their digests are not uniform.
+        place = int(order_statistics(words.select("w"), {"w": [n - 1]}, {"w": total}, task_rows)["w", n - 1])
+        edge = _edge(words, place, place, n, keys)
+    if edge is None:
+        raise RuntimeError("the table changed while it was split")
+    return hashed <= F.lit(edge)
+
+
+def _edge(words: DataFrame, low: int, high: int, n: int, keys: Sequence[str]) -> str | None:
+    """The n-th smallest digest if its word lies between ``low`` and ``high``.
+
+    Rows below ``low`` are one count; digests in between come back once each.
+    """
     found = (
-        words.where(F.col("w") <= edge)
-        .groupBy(F.when(F.col("w") == edge, F.col("h")).alias("h"))
+        words.where(F.col("w") <= high)
+        .groupBy(F.when(F.col("w") >= low, F.col("h")).alias("h"))
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
     taken = sum(r["n"] for r in found if r["h"] is None)
+    if taken >= n:
+        return None
     for row in sorted((r for r in found if r["h"] is not None), key=lambda r: r["h"]):
         taken += row["n"]
         if taken == n:
-            return (hashing.word(hashed) <= edge) & (hashed <= row["h"])
+            return row["h"]
         if taken > n:
-            raise ambiguous
-    raise RuntimeError("the table changed while it was split")
+            raise ValueError(f"the key {list(keys)} is not unique, so {n} rows cannot be told apart")
+    return None
 
 
 def holdout(
@@ -65,11 +80,11 @@ def holdout(
     size: int,
     seed: int = 42,
     task_rows: int = TASK_ROWS,
-    top_rows: int = TOP_ROWS,
+    direct_rows: int = DIRECT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with exactly ``size`` test rows, whatever ``size`` is."""
     require_columns(df, keys)
-    chosen = _first_n(df, keys, size, seed, task_rows, top_rows)
+    chosen = _first_n(df, keys, size, seed, task_rows, direct_rows)
     return df.where(~chosen), df.where(chosen)
 
 

@@ -135,8 +135,13 @@ def _clean_records(frame: DataFrame, options: PrepareOptions, year: int | None)
     if plan.duplicates == "remove":
         others = [c for c in frame.columns if c not in options.keys]
         # The copy with the smallest key stays, whichever task sees it first.
-        first = F.min(F.struct(*[quoted(k) for k in options.keys])).alias("__key")
-        frame = frame.groupBy(*[quoted(c) for c in others]).agg(first).select("__key.*", *[quoted(c) for c in others])
+        groups = frame.groupBy(*[quoted(c) for c in others])
+        if len(options.keys) == 1:
+            # A plain minimum keeps the aggregate hash-based; a struct would need a sort.
+            frame = groups.agg(F.min(quoted(options.keys[0])).alias(options.keys[0]))
+        else:
+            first = F.min(F.struct(*[quoted(k) for k in options.keys])).alias("__key")
+            frame = groups.agg(first).select("__key.*", *[quoted(c) for c in others])
     if plan.year_column:
         frame = clean.age_from_year(frame, plan.year_column, year)
     return clean.drop_columns(frame, plan.drop)

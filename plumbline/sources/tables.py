@@ -32,13 +32,22 @@ def read_csv(
 
 
 def load_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
+    nan_as_null: bool = False,
 ) -> DataFrame:
-    """A table from a path in the given format, NaN read as missing."""
+    """A table from a path in the given format.
+
+    All operators read NaN as missing, so it is replaced here only on request:
+    a replaced column cannot be filtered inside the Parquet scan any more.
+    """
     if fmt == "csv":
         return read_csv(spark, path, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return nan_to_null(reader.format(fmt).load(path))
+    df = reader.format(fmt).load(path)
+    return nan_to_null(df) if nan_as_null else df
 
 
 def load_training(

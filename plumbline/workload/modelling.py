@@ -199,13 +199,17 @@ def second_uniform_sql(hashed: str) -> str:
     return f"(CAST(CAST(('0x' || substr({hashed}, 14, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0)"
 
 
+def neighbour_sql(seed: str) -> str:
+    """Window in which the next row is the donor of shuffled values."""
+    digest = LINE_HASH.format(seed=seed)
+    return f"""PARTITION BY floor({second_uniform_sql(digest)} * ceil((SELECT count(*) FROM lineitem) / 100000.0))
+          ORDER BY {digest}"""
+
+
 def _importance_sql():
-    hashed = LINE_HASH.format
     parts = []
     for r in range(IMPORTANCE_REPEATS):
-        digest = hashed(seed=f"42.{r}")
-        order = f"""OVER (PARTITION BY floor({second_uniform_sql(digest)} * ceil((SELECT count(*) FROM lineitem) / 100000.0))
-          ORDER BY {digest})"""
+        order = f"OVER ({neighbour_sql(f'42.{r}')})"
         pairs = f"""(SELECT label, l_quantity, l_discount,
           coalesce(lead(l_quantity) {order}, first_value(l_quantity) {order}) AS dq,
           coalesce(lead(l_discount) {order}, first_value(l_discount) {order}) AS dd FROM {FEATURES_SQL})"""

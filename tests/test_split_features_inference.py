@@ -22,7 +22,7 @@ def digests(n, seed=42):
     return sorted((hashlib.md5(f"{i}|{seed}".encode()).hexdigest(), i) for i in range(n))
 
 
-@pytest.mark.parametrize("limits", [{}, {"task_rows": 50, "top_rows": 10}, {"task_rows": 10**6, "top_rows": 10}])
+@pytest.mark.parametrize("limits", [{}, {"task_rows": 50, "direct_rows": 10}, {"task_rows": 10**6, "direct_rows": 10}])
 @pytest.mark.parametrize("size", [0, 1, 1500, 2999, 3000, 5000])
 def test_holdout_takes_the_smallest_digests(rows, size, limits):
     train, test = split.holdout(rows, ["id"], size, **limits)
@@ -39,12 +39,12 @@ def test_holdout_check(rows):
     assert not bad["passed"] and bad["overlap"] == 2300
 
 
-@pytest.mark.parametrize("top_rows", [10, 10**5])
-def test_holdout_rejects_repeated_keys(spark, top_rows):
+@pytest.mark.parametrize("direct_rows", [10, 10**5])
+def test_holdout_rejects_repeated_keys(spark, direct_rows):
     df = spark.range(100).selectExpr("id % 2 AS id")
     with pytest.raises(ValueError, match="not unique"):
-        split.holdout(df, ["id"], 30, top_rows=top_rows)
-    assert split.holdout(df, ["id"], 100, top_rows=top_rows)[1].count() == 100
+        split.holdout(df, ["id"], 30, direct_rows=direct_rows)
+    assert split.holdout(df, ["id"], 100, direct_rows=direct_rows)[1].count() == 100
 
 
 def test_fraction_labels(rows):
