@@ -36,21 +36,32 @@ def _first_n(
     total = df.count()
     if n >= total:
         return F.lit(True)
+    # The n-th of uniform values is within ten deviations of n / total.
+    reach = 10.0 * math.sqrt(n) + 50.0
+    low, high = (int(hashing.WORD_RANGE * max(0.0, x) / total) for x in (n - reach, n + reach))
     edge = None
     if n <= direct_rows:
-        # The n-th of uniform values is within ten deviations of n / total.
-        reach = 10.0 * math.sqrt(n) + 50.0
-        low, high = (int(hashing.WORD_RANGE * max(0.0, x) / total) for x in (n - reach, n + reach))
         edge = _edge(words, low, high, n, keys)
+    else:
+        near = (F.col("w") >= low) & (F.col("w") <= high)
+        seen = words.agg(F.count_if(F.col("w") < low).alias("below"), F.count_if(near).alias("inside")).first()
+        rank = n - 1 - seen["below"]
+        if 0 <= rank < seen["inside"]:
+            place = _word_at(words.where(near), rank, seen["inside"], task_rows)
+            edge = _edge(words, place, place, n, keys)
     if edge is None:
-        # Large hold-outs, and keys that repeat so much that their digests are not uniform.
-        place = int(order_statistics(words.select("w"), {"w": [n - 1]}, {"w": total}, task_rows)["w", n - 1])
+        # Keys that repeat so much that their digests are not uniform.
+        place = _word_at(words, n - 1, total, task_rows)
         edge = _edge(words, place, place, n, keys)
     if edge is None:
         raise RuntimeError("the table changed while it was split")
     return hashed <= F.lit(edge)
 
 
+def _word_at(words: DataFrame, rank: int, count: int, task_rows: int) -> int:
+    return int(order_statistics(words.select("w"), {"w": [rank]}, {"w": count}, task_rows)["w", rank])
+
+
 def _edge(words: DataFrame, low: int, high: int, n: int, keys: Sequence[str]) -> str | None:
     """The n-th smallest digest if its word lies between ``low`` and ``high``.
 

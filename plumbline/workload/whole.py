@@ -50,6 +50,7 @@ def _profile(spark, folder):
 PREPARE = prepare.PrepareOptions(
     keys=("o_orderkey",),
     target="o_totalprice_log",
+    test_size=500,
     cleaning=clean.CleaningPlan(year_column="year", drop=("year", "o_clerk")),
     log_columns=("o_totalprice",),
     sqrt_columns=("o_custkey",),
@@ -74,7 +75,7 @@ def _scaled(c):
 WITH raw AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, year(o_orderdate) AS year,
     CASE WHEN o_orderpriority <> '5-LOW' THEN length(o_orderpriority) END AS priority,
     row_number() OVER (ORDER BY md5(concat_ws('|', o_orderkey, '42'))) AS place FROM orders),
-part AS (SELECT *, max(year) OVER () AS top FROM raw WHERE place > 1500),
+part AS (SELECT *, max(year) OVER () AS top FROM raw WHERE place > 500),
 kept AS (SELECT min(o_orderkey) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, year, priority, any_value(top) AS top
     FROM part WHERE priority IS NOT NULL GROUP BY o_custkey, o_orderstatus, o_totalprice, year, priority),
 f AS (SELECT o_orderkey, ln(1 + o_totalprice) AS o_totalprice_log, priority, top - year AS age, sqrt(o_custkey) AS o_custkey_sqrt,
