@@ -14,7 +14,7 @@ from plumbline.functions.columns import small_table
 from plumbline.operators import evaluation, registry, selection, training, tuning
 from plumbline.operators.features import Encoder
 from plumbline.operators.quality import between, one_of
-from plumbline.operators.scoring import Preparation, Scorer
+from plumbline.operators.scoring import Preparation, Scorer, batch_summary
 from plumbline.operators.split import hash_folds
 from plumbline.session import scratch_path
 from plumbline.streaming import scoring as streaming
@@ -163,6 +163,32 @@ def _history(spark, folder):
     return tuning.trial_history(_tuning(spark, folder))
 
 
+@query("trial_slices", "SELECT model, trial, 'alpha' AS parameter, round(CASE trial "
+       + " ".join(f"WHEN {i} THEN {p['alpha']!r}::DOUBLE" for i, p in enumerate(RIDGE_POINTS))
+       + f" END, 4) AS value, cv_rmse FROM ({_tuning_sql()})")
+def _slices(spark, folder):
+    study = tuning.tune(
+        line_features(spark, folder), "Ridge", ["l_quantity"], LINE_KEY, trials=3, k=3, space=RIDGE_SPACE
+    )
+    sliced = tuning.trial_slices(study.table(spark))
+    return rounded(sliced.withColumn("value", F.col("value").cast("double")), 4)
+
+
+@query("refit_best", f"""
+WITH t AS ({_tuning_sql()}), best AS (SELECT trial FROM t ORDER BY cv_rmse, trial LIMIT 1),
+p AS ({union_sql(
+    f"SELECT {i} AS trial, label, a + b * l_quantity AS prediction FROM {FEATURES_SQL}, {ridge_sql(FEATURES_SQL, p['alpha'])}"
+    for i, p in enumerate(RIDGE_POINTS)
+)})
+SELECT {METRICS_SQL} FROM p WHERE trial = (SELECT trial FROM best)
+""")
+def _refit(spark, folder):
+    frame = line_features(spark, folder)
+    study = tuning.tune(frame, "Ridge", ["l_quantity"], LINE_KEY, trials=3, k=3, space=RIDGE_SPACE)
+    best = tuning.refit(frame, study, ["l_quantity"])
+    return _metrics(evaluation.regression_metrics(best.transform(frame)))
+
+
 @query("learning_curve", f"""
 WITH s AS (SELECT *, {fold_sql(LINE_HASH.format(seed=42), 3)} AS fold, CAST(u >= 0.25 AS INTEGER) AS step FROM
   (SELECT *, {uniform_sql(LINE_HASH.format(seed='subset42'))} AS u FROM {FEATURES_SQL})),
@@ -399,6 +425,15 @@ def _batch(spark, folder):
     return _response(scores)
 
 
+@query("batch_totals", f"""
+SELECT count(*) AS total_predictions, count(predicted_price) AS priced, count(*) FILTER (NOT valid) AS rejected
+FROM ({SCORE_SQL})
+""")
+def _totals(spark, folder):
+    scores = _scorer(spark, folder).score(_records(table(spark, folder, "orders")), ["o_orderkey"])
+    return batch_summary(scores).drop("batch_timestamp")
+
+
 @query("stream_score", SCORE_SQL)
 def _stream(spark, folder):
     schema = table(spark, folder, "orders").schema

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import nan_to_null
 from plumbline.operators import clean, features, quality, split
 from plumbline.operators.features import Encoder, Scaler
 from plumbline.session import scratch_path
@@ -151,6 +152,41 @@ def _age(spark, folder):
     return clean.age_from_year(orders)
 
 
+@query("age_from_today", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(year(current_date) - year(o_orderdate) AS INTEGER) AS age FROM orders
+""")
+def _age_today(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    return clean.age_from_today(orders)
+
+
+@query("nan_to_null", """
+SELECT p_partkey, CASE WHEN p_size >= 10 THEN p_retailprice END AS p_retailprice, p_size FROM part
+""")
+def _nan(spark, folder):
+    part = table(spark, folder, "part").select(
+        "p_partkey",
+        F.when(F.col("p_size") >= 10, F.col("p_retailprice")).otherwise(F.lit(float("nan"))).alias("p_retailprice"),
+        "p_size",
+    )
+    return nan_to_null(part)
+
+
+@query("split_valid", """
+SELECT CASE WHEN c_acctbal >= 0 AND c_nationkey BETWEEN 2 AND 20 THEN 'accepted' ELSE 'quarantined' END AS part,
+       count(*) AS n, round(avg(c_acctbal), 6) AS balance FROM customer GROUP BY 1
+""")
+def _split_valid(spark, folder):
+    rules = [quality.between("c_acctbal", 0), quality.between("c_nationkey", 2, 20)]
+    good, bad = quality.split_valid(table(spark, folder, "customer"), rules)
+    both = [
+        f.agg(F.lit(name).alias("part"), F.count("*").alias("n"), F.avg("c_acctbal").alias("balance")).where("n > 0")
+        for name, f in (("accepted", good), ("quarantined", bad))
+    ]
+    return rounded(both[0].unionByName(both[1]), 6)
+
+
 @query("drop_columns", "SELECT p_partkey, p_size, p_retailprice FROM part")
 def _drop_columns(spark, folder):
     return clean.drop_columns(table(spark, folder, "part"), ["p_name", "p_brand", "p_type", "p_weight"])
