@@ -26,6 +26,9 @@ def local_session(cpus: int | str = "*", app: str = "plumbline", memory: str = "
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -34,12 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
     one machine would be lost with it.
     """
     context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+    folder = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or context.getConf().get(CHECKPOINT_KEY)
+        or context.getCheckpointDir()
+        or _local_folders.get(context.applicationId)
+    )
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        folder = _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="run-"))
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
