@@ -17,8 +17,9 @@ from plumbline.functions.columns import (
     small_table,
     string_columns,
 )
-from plumbline.operators.describe import value_counts
+from plumbline.operators.describe import QUARTILES, value_counts
 from plumbline.operators.inference import mean_interval
+from plumbline.operators.quality import Quartiles
 from plumbline.operators.quantiles import quantiles
 from plumbline.operators.split import hash_sample
 
@@ -50,7 +51,10 @@ def _auto_bins(n: int, low: float, high: float, q1: float, q3: float) -> int:
 
 
 def histogram(
-    df: DataFrame, columns: Sequence[str] | None = None, bins: int | str = "auto"
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    bins: int | str = "auto",
+    quartiles: Quartiles | None = None,
 ) -> DataFrame:
     """Equal-width bins per numeric column, empty ones included.
 
@@ -61,8 +65,9 @@ def histogram(
     require_columns(df, columns)
     extents = {c: e for c, e in _extents(df, columns).items() if e[0]}
     if bins == "auto":
-        cuts = quantiles(df, list(extents), (0.25, 0.75), counts={c: e[0] for c, e in extents.items()})
-        numbers = {c: _auto_bins(*extents[c], *cuts[c]) for c in extents}
+        counts = {c: e[0] for c, e in extents.items()}
+        cuts = quartiles or quantiles(df, list(extents), QUARTILES, counts=counts)
+        numbers = {c: _auto_bins(*extents[c], cuts[c][0], cuts[c][2]) for c in extents}
     else:
         numbers = {c: int(bins) for c in extents}
     layout, places = [], []
@@ -145,11 +150,13 @@ def count_plot(
     return value_counts(df, columns)
 
 
-def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def box_stats(
+    df: DataFrame, columns: Sequence[str] | None = None, quartiles: Quartiles | None = None
+) -> DataFrame:
     """Quartiles, whiskers (extreme values within 1.5 ranges of the box) and fliers."""
     columns = list(columns or numeric_columns(df))
     require_columns(df, columns)
-    cuts = quantiles(df, columns, (0.25, 0.5, 0.75))
+    cuts = quartiles or quantiles(df, columns, QUARTILES)
     reach = {c: None if q[0] is None else 1.5 * (q[2] - q[0]) for c, q in cuts.items()}
     parts = []
     for i, c in enumerate(columns):

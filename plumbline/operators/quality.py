@@ -189,11 +189,22 @@ class Bounds:
         return (c < F.lit(self.low[name])) | (c > F.lit(self.high[name]))
 
 
+# Lower quartile, median and upper quartile per column, where they are already known.
+Quartiles = dict[str, Sequence[float | None]]
+
+
 def iqr_bounds(
-    df: DataFrame, columns: Sequence[str], threshold: float = 1.5, exact: bool = True
+    df: DataFrame,
+    columns: Sequence[str],
+    threshold: float = 1.5,
+    exact: bool = True,
+    quartiles: Quartiles | None = None,
 ) -> Bounds:
     """Quartiles widened by ``threshold`` interquartile ranges."""
-    cuts = quantiles(df, columns, (0.25, 0.75), exact=exact)
+    if quartiles is None:
+        cuts = quantiles(df, columns, (0.25, 0.75), exact=exact)
+    else:
+        cuts = {c: (quartiles[c][0], quartiles[c][2]) for c in columns}
     low, high = {}, {}
     for c, (q1, q3) in cuts.items():
         width = None if q1 is None else q3 - q1
@@ -218,10 +229,15 @@ def zscore_bounds(df: DataFrame, columns: Sequence[str], threshold: float = 3.0)
 
 
 def outlier_bounds(
-    df: DataFrame, columns: Sequence[str], method: str = "iqr", threshold: float | None = None, exact: bool = True
+    df: DataFrame,
+    columns: Sequence[str],
+    method: str = "iqr",
+    threshold: float | None = None,
+    exact: bool = True,
+    quartiles: Quartiles | None = None,
 ) -> Bounds:
     if method == "iqr":
-        return iqr_bounds(df, columns, 1.5 if threshold is None else threshold, exact)
+        return iqr_bounds(df, columns, 1.5 if threshold is None else threshold, exact, quartiles)
     if method == "zscore":
         return zscore_bounds(df, columns, 3.0 if threshold is None else threshold)
     raise ValueError(f"unknown outlier method {method!r}")
@@ -233,11 +249,12 @@ def outlier_summary(
     method: str = "iqr",
     threshold: float | None = None,
     exact: bool = True,
+    quartiles: Quartiles | None = None,
 ) -> DataFrame:
     """Bounds per numeric column and the number of values strictly outside."""
     columns = list(columns or numeric_columns(df))
     require_columns(df, columns)
-    bounds = outlier_bounds(df, columns, method, threshold, exact)
+    bounds = outlier_bounds(df, columns, method, threshold, exact, quartiles)
     wide = df.agg(*[F.count_if(bounds.outside(df, c)).alias(f"o{i}") for i, c in enumerate(columns)])
     return rows_from(wide, [
         labelled(

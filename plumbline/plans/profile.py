@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import numeric_columns, quoted, string_columns, union_all
+from plumbline.functions.columns import numeric_columns, quoted, small_table, string_columns, union_all
 from plumbline.operators import describe, plotdata, quality, ranks
 from plumbline.sources.reports import write_report
 
@@ -28,7 +28,11 @@ def profile(df: DataFrame, options: ProfileOptions = ProfileOptions()) -> dict[s
 
     With ``strict`` a failed check stops the profile before the costly parts.
     """
-    report = quality.quality_report(df, options.expected_columns, options.target)
+    checks = quality.quality_report(df, options.expected_columns, options.target, outliers=False)
+    # One row per check and column: kept, so that the scan and the search for copies run once.
+    names = ["check", "column", "passed", "value"]
+    rows = [tuple(r[n] for n in names) for r in checks.collect()]
+    report = small_table(df.sparkSession, rows, "check string, column string, passed boolean, value double")
     if options.strict:
         quality.assert_quality(report)
     numeric: Sequence[str] = numeric_columns(df)
@@ -36,9 +40,11 @@ def profile(df: DataFrame, options: ProfileOptions = ProfileOptions()) -> dict[s
     parts = {"quality": report, "missing": quality.missing_summary(df)}
     if numeric:
         parts["numeric_summary"] = describe.numeric_summary(df, numeric)
-        parts["outliers"] = quality.outlier_summary(df, numeric)
-        parts["histogram"] = plotdata.histogram(df, numeric, options.bins)
-        parts["box_stats"] = plotdata.box_stats(df, numeric)
+        # The summary is a small table by now; its quartiles serve all later parts.
+        quartiles = {r["column"]: (r["p25"], r["p50"], r["p75"]) for r in parts["numeric_summary"].collect()}
+        parts["outliers"] = quality.outlier_summary(df, numeric, quartiles=quartiles)
+        parts["histogram"] = plotdata.histogram(df, numeric, options.bins, quartiles)
+        parts["box_stats"] = plotdata.box_stats(df, numeric, quartiles)
         parts["mean_intervals"] = plotdata.interval_bars(df, numeric)
         if len(numeric) > 1:
             for method in options.correlations:

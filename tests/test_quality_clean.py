@@ -92,7 +92,6 @@ RECORDED = {
 @pytest.mark.parametrize("name", RECORDED)
 def test_recorded_outlier_bounds(spark, name):
     q1, q3, low, high = RECORDED[name]
-    df = small_table(spark, [(q1,), (q1,), (q3,), (q3,)], "x double")
     df = small_table(spark, [(q1 - 1,), (q1,), ((q1 + q3) / 2,), (q3,), (q3 + 1,)], "x double")
     row = quality.outlier_summary(df).first()
     assert (row["lower_bound"], row["upper_bound"]) == pytest.approx((low, high))
@@ -122,7 +121,10 @@ def test_all_null_column(spark):
 
 
 def test_record_rules(spark):
-    fields = "year int, km_driven double, mileage double, engine double, max_power double, seats double, fuel string, transmission string, owner string"
+    fields = (
+        "year int, km_driven double, mileage double, engine double, max_power double, seats double, fuel string, "
+        "transmission string, owner string"
+    )
     rows = [
         (2019, 15000.0, 18.9, 1197.0, 88.5, 5.0, "Petrol", "Manual", "First Owner"),
         (1899, -1.0, 18.9, 1197.0, 88.5, 11.0, "Steam", "Manual", "First Owner"),
@@ -282,5 +284,6 @@ def test_density(spark):
 
 def test_box_stats(spark):
     df = small_table(spark, [(float(v),) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]], "x double")
+    assert plotdata.box_stats(df, quartiles={"x": (3.0, 5.0, 7.0)}).first() == plotdata.box_stats(df).first()
     row = plotdata.box_stats(df).first()
     assert (row["median"], row["whisker_low"], row["whisker_high"], row["fliers"]) == (5.0, 1.0, 8.0, 1)
