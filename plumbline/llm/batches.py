@@ -88,16 +88,16 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
 
 
 class Words:
-    """Words of a batch of texts, A-Z lower-cased.
+    """Words of a batch of texts, A-Z lower-cased unless ``lower`` is off.
 
     ``doc`` (row of the text), ``start`` and ``end`` (bytes in ``data``) have one
     entry per word, in the order of the texts.
     """
 
-    def __init__(self, texts: pa.Array, word_bytes: np.ndarray) -> None:
+    def __init__(self, texts: pa.Array, word_bytes: np.ndarray, lower: bool = True) -> None:
         raw, self.offsets = byte_view(texts)
         self.rows = len(self.offsets) - 1
-        self.data = _LOWER[raw]
+        self.data = _LOWER[raw] if lower else raw
         inside = word_bytes[self.data]
         first = self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]
         begins, ends = inside.copy(), inside.copy()

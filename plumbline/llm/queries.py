@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import near_dup
+from plumbline.llm import decontaminate, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +16,152 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in pieces of 2048 tokens and of the lower powers of two."""
+    return packing.digest(packing.pieces(_table(spark, sf_dir, "documents")))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy longest-match tokens of all documents over a public vocabulary."""
+    return token_count.count(_table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark matches of all documents in windows of 13 words."""
+    return decontaminate.digest(decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents: 3-word runs, similarity 0.85 or more."""
     return near_dup.link(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; the lists are joined for comparison with SQL."""
+    found = licenses.recognise(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), "status")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in random order over 16 shards whose counts differ by one at most."""
+    return sharding.digest(sharding.shuffle(_table(spark, sf_dir, "documents"), shards=16))
+
+
+# The rules of the contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    rules = spark.createDataFrame(URL_RULES, url_rules.SCHEMA)
+    return url_rules.judge(_table(spark, sf_dir, "pages"), rules)
+
+
+def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best vectors for every vector whose id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
+    "op4_token_counts": op4_token_counts,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_license_scan": op7_license_scan,
+    "op8_sharding": op8_sharding,
+    "op9_url_filter": op9_url_filter,
+    "op10_top_k_search": op10_top_k_search,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TEXT = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+_WORDS = f"regexp_extract_all({_TEXT}, " + r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TOKENS = f"regexp_extract_all({_TEXT}, " + r"'[^\x20\x09-\x0D]+')"
+
+
+def _license_sql() -> str:
+    """Sentences, identifiers and ordered rules of the licence scan in SQL."""
+    known, names = list(licenses.SENTENCES.values()), list(licenses.SENTENCES)
+    rest, took = "rest", []
+    for run, name in licenses.RULES:
+        mark = "".join(f"|{names.index(i)}|" for i in run)
+        took.append(f"CASE WHEN contains({rest}, '{mark}') THEN '{name}' END")
+        rest = f"replace({rest}, '{mark}', ' ')"
+    marked = f"regexp_replace(coalesce(text, ''), '{licenses.SENTENCE_END}', chr(10), 'g')"
+    normal = (
+        f"regexp_replace(regexp_replace(translate(x, '{_UPPER}', '{_LOWER}'), '{licenses.OTHER}', ' ', 'g'), "
+        f"'{licenses.EDGE}', '', 'g')"
+    )
+    return f"""
+        WITH s AS (
+            SELECT doc_id, list_filter(list_transform(list_transform(string_split_regex({marked}, '{licenses.LINE}'),
+                lambda x: {normal}), lambda y: list_position({known}, y)), lambda i: coalesce(i, 0) > 0) AS n
+            FROM documents),
+        r AS (SELECT doc_id, n, array_to_string(list_transform(n, lambda i: '|' || (i - 1) || '|'), '') AS rest FROM s)
+        SELECT doc_id, coalesce(array_to_string(list_transform(n, lambda i: {names}[i]), ','), '') AS sentence_ids,
+               coalesce(array_to_string(list_sort(list_distinct(list_filter([{", ".join(took)}], lambda x: x IS NOT NULL))), ','), '')
+                   AS licenses,
+               CASE WHEN len(n) = 0 THEN 'none' WHEN trim({rest}) = '' THEN 'recognised' ELSE 'unclear' END AS status
+        FROM r"""
+
+
+_REST = "CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+
+ORACLES: dict[str, str] = {
+    "op5_benchmark_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        bw AS (SELECT item_id, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i, w FROM b WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS k FROM bw),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        places AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, sizes WHERE len(w) >= n),
+        hits AS (
+            SELECT doc_id, i, p.n, item_id
+            FROM (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS k FROM places) p
+            JOIN windows v ON v.n = p.n AND v.k = p.k),
+        words_hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY 1),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+        runs AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS k
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY 1),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM runs a JOIN runs b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)),
+        reach AS (SELECT a AS doc_id, a AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+        least AS (SELECT doc_id, min(other) AS component FROM reach GROUP BY 1)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+               coalesce(component, d.doc_id) = d.doc_id AS kept
+        FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op7_license_scan": _license_sql(),
+    "op9_url_filter": f"""
+        WITH p AS (
+            SELECT page_id, lower(regexp_extract({_REST}, '^[^/?#]*')) AS host, regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        r(h, p, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+        m AS (
+            SELECT page_id, max_by(h || p, length(h) * 1000 + length(p)) AS rule, max_by(v, length(h) * 1000 + length(p)) AS verdict
+            FROM (SELECT page_id, h, r.p AS p, v FROM p, r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p))
+            GROUP BY 1)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op10_top_k_search": """
+        WITH v AS (
+            SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS c
+            FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.c * c.c) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+}

@@ -1,12 +1,25 @@
-"""Tables that an operator writes for itself below the shared folder."""
+"""What an operator shares with its tasks: stored tables and broadcast objects."""
 
 from __future__ import annotations
 
+import pickle
+from typing import Any
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.session import scratch_path
 
 
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast an object of this package to workers that may not have the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(broadcast: Broadcast) -> Any:
+    return pickle.loads(broadcast.value)
+
+
 class Stored:
     """Writes intermediate tables and removes those that are no longer read.
 
