@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.llm.batches import ALNUM, Words, text_slices
 from plumbline.llm.stored import share, shared
@@ -28,7 +29,12 @@ WINDOW = 13
 #: Bytes of benchmark text that one pass holds in memory and that are broadcast at once.
 BLOCK_BYTES = 16 << 20
 
-_FIELDS = "n_words long, n_hit long, hit binary, items array<string>, longest long, longest_start long, longest_item string"
+_FOUND = T.StructType.fromDDL(
+    "n_words long, n_hit long, hit binary, items array<string>, longest long, longest_start long, longest_item string")
+_ARROW = [
+    pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()), pa.field("hit", pa.binary()),
+    pa.field("items", pa.list_(pa.string())), pa.field("longest", pa.int64()), pa.field("longest_start", pa.int64()),
+    pa.field("longest_item", pa.string())]
 
 
 class _Block:
@@ -127,40 +133,69 @@ def _search(words: Words, numbers: np.ndarray, block: _Block) -> tuple[np.ndarra
     return np.cumsum(hit[:n]) > 0, pairs // len(block.names), pairs % len(block.names), longest
 
 
-def _pass(block: Broadcast, carried: list[str]):
+def _match(texts: pa.Array, block: _Block) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, tuple]:
+    """The words of some texts and what ``_search`` finds in them."""
+    words = Words(texts, ALNUM)
+    hashes = words.hashes()
+    if len(block.vocabulary):
+        spot = np.searchsorted(block.vocabulary, hashes)
+        known = block.vocabulary[np.minimum(spot, len(block.vocabulary) - 1)] == hashes
+        numbers = np.where(known, spot + 1, 0).astype(np.uint32)
+    else:
+        numbers = np.zeros(len(hashes), np.uint32)
+    return words, *_search(words, numbers, block)
+
+
+def _pass(block: Broadcast, carried: list[str], text_at: int):
+    """Adds one block's hits to the columns that follow the ``carried`` ones."""
+    n = len(carried)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         its = shared(block)
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                words = Words(part.column("text"), ALNUM)
-                hashes = words.hashes()
-                spot = np.searchsorted(its.vocabulary, hashes)
-                known = its.vocabulary[np.minimum(spot, len(its.vocabulary) - 1)] == hashes if len(its.vocabulary) else np.zeros(len(hashes), bool)
-                hit, rows, items, (length, start, item) = _search(words, np.where(known, spot + 1, 0).astype(np.uint32), its)
-                before = {c: part.column(c).to_pylist() for c in ("hit", "items", "longest", "longest_start", "longest_item")}
-                names: list[list[str]] = [list(x or []) for x in before["items"]]
+            for part in text_slices(batch, text_at):
+                words, hit, rows, items, (length, start, item) = _match(part.column(text_at), its)
+                bits, names, *longest = (part.column(n + 2 + i).to_pylist() for i in range(5))
+                names = [list(x or []) for x in names]
                 for r, i in zip(rows, items):
                     names[r].append(its.names[i])
                 cells, counts, begin = [], [], 0
                 for r, count in enumerate(words.count):
                     own = hit[begin : begin + count]
                     begin += count
-                    if before["hit"][r]:
-                        own = own | np.unpackbits(np.frombuffer(before["hit"][r], np.uint8), count=count).astype(bool)
+                    if bits[r]:
+                        own = own | np.unpackbits(np.frombuffer(bits[r], np.uint8), count=count).astype(bool)
                     counts.append(int(own.sum()))
-                    cells.append(np.packbits(own).tobytes() if own.any() else b"")
-                longer = [int(length[r]) > (before["longest"][r] or 0) for r in range(words.rows)]
+                    cells.append(np.packbits(own).tobytes() if counts[-1] else b"")
+                best = [
+                    (int(length[r]), int(start[r]), its.names[item[r]]) if length[r] > (longest[0][r] or 0)
+                    else (longest[0][r] or 0, longest[1][r], longest[2][r]) for r in range(words.rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in carried), pa.array(words.count), pa.array(counts, pa.int64()), pa.array(cells, pa.binary()),
-                     pa.array(names, pa.list_(pa.string())),
-                     pa.array([int(length[r]) if n else before["longest"][r] or 0 for r, n in enumerate(longer)], pa.int64()),
-                     pa.array([int(start[r]) if n else before["longest_start"][r] for r, n in enumerate(longer)], pa.int64()),
-                     pa.array([its.names[item[r]] if n else before["longest_item"][r] for r, n in enumerate(longer)], pa.string())],
-                    [*carried, "n_words", "n_hit", "hit", "items", "longest", "longest_start", "longest_item"])
+                    [*part.columns[:n], pa.array(words.count), pa.array(counts, pa.int64()), pa.array(cells, pa.binary()),
+                     pa.array(names, pa.list_(pa.string())), pa.array([b[0] for b in best], pa.int64()),
+                     pa.array([b[1] for b in best], pa.int64()), pa.array([b[2] for b in best], pa.string())],
+                    schema=pa.schema([*list(part.schema)[:n], *_ARROW]))
 
     return run
 
 
+def _passes(
+    rows: DataFrame, text_at: int, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int,
+) -> DataFrame:
+    """``rows`` with the fields of what was found after their own columns."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = int(total // block_bytes) + 1
+    carried = [f"`{c}`" for c in rows.columns]
+    schema = T.StructType([*rows.schema.fields, *_FOUND.fields])
+    found = rows.select(*carried, *(F.lit(None).cast(f.dataType).alias(f.name) for f in _FOUND.fields))
+    for i in range(blocks):
+        some = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).orderBy("item", "text").collect()
+        block = share(rows.sparkSession, _Block([r.item for r in some], [r.text for r in some], window))
+        found = found.mapInArrow(_pass(block, rows.columns, text_at), schema)
+    return found
+
+
 def find(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep_text: bool = False,
@@ -179,22 +214,9 @@ def find(
     id count once, and a null item id is written as an empty name. Empty tables give no
     rows or no hits. Other columns are not read.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = int(total // block_bytes) + 1
-    carried = ["doc_id"] + (["text"] if keep_text or blocks > 1 else [])
-    found = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kinds = {f.name: f.dataType.simpleString() for f in found.schema}
-    found = found.select(
-        "*", F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<string>").alias("items"),
-        F.lit(None).cast("long").alias("longest"), F.lit(None).cast("long").alias("longest_start"),
-        F.lit(None).cast("string").alias("longest_item"))
-    for i in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).orderBy("item", "text").collect()
-        block = share(spark, _Block([r.item for r in rows], [r.text for r in rows], window))
-        fields = ", ".join(f"{c} {kinds[c]}" for c in carried)
-        found = found.mapInArrow(_pass(block, carried), f"{fields}, {_FIELDS}")
+    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = _passes(read, 1, benchmark, item_col, item_text_col, window, block_bytes)
+    found = found if keep_text else found.drop("text")
     return found.withColumn("items", F.array_sort(F.array_distinct("items")))
 
 
@@ -203,6 +225,17 @@ def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
+    found = _passes(docs.toDF(*names), at, benchmark, item_col, item_text_col, window, block_bytes)
+    return found.filter(~contaminated()).select(*names).toDF(*docs.columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """One row of counts per document from the result of ``find``."""
     return found.select(

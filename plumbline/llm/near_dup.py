@@ -2,12 +2,11 @@
 
 A text is the set of its runs of ``width`` words. Its signature has ``SIZE``
 components of 8 bits. Two sets of similarity 0.85 differ in a component with
-probability 0.149, so their signatures are at a distance of at most ``DISTANCE``
-but for about one pair in 100,000. By the pigeonhole principle, of ``CHUNKS``
-chunks at least one then has at most one differing component, because
-``2 * CHUNKS > DISTANCE``. Writing each chunk once per component that may be wrong
-(that component left out) gives ``SIZE`` keys, and all pairs within the distance
-share a key.
+probability 0.149, so their signatures are at a distance of at most 23 but for
+fewer than one pair in 100,000. By the pigeonhole principle, of 12 chunks at least one
+then has at most one differing component. Writing each chunk once per component
+that may be wrong (that component left out) gives ``SIZE`` keys, and all pairs
+within the distance share a key. Distance and chunks follow from the similarity asked for.
 
 Pairs are never listed inside a key. Members are first tied to two leaders of their
 key and confirmed on full sets; only keys whose members still lie in several
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +33,36 @@ from plumbline.llm.components import components
 from plumbline.llm.stored import Stored
 
 SIZE = 64
-CHUNKS = 12
-DISTANCE = 23
-#: Components and greatest distance of the finer signature that picks pairs for the last check.
-FINE_SIZE, FINE_DISTANCE = 512, 115
+#: Components of the finer signature that picks pairs for the last check.
+FINE_SIZE = 512
+#: Share of linked pairs whose signatures may be further apart than the distance allowed.
+MISSED, FINE_MISSED = 1e-5, 1e-6
 #: Members of one key that are compared in one go, and bytes of sets held by one task.
 BLOCK_MEMBERS = 512
 BLOCK_BYTES = 8 << 20
+#: Below this similarity chunks become so short that unlike texts share keys.
+LEAST_PERCENT = 60
 
-_CHUNKS = np.array_split(np.arange(SIZE), CHUNKS)
-_CHUNK_OF = np.concatenate([np.full(len(c), i) for i, c in enumerate(_CHUNKS)])
+
+def _distance_for(percent: int, size: int, missed: float) -> int:
+    """Least distance that all but a share ``missed`` of the pairs of this similarity keep."""
+    differ = (1 - percent / 100) * 255 / 256
+    tail, at = 1.0, -1
+    while tail > missed and at < size:
+        at += 1
+        tail -= comb(size, at) * differ**at * (1 - differ) ** (size - at)
+    return at
+
+
+class _Scheme:
+    """Distances and chunks for one similarity."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
+        self.distance = _distance_for(percent, SIZE, MISSED)
+        self.fine_distance = _distance_for(percent, FINE_SIZE, FINE_MISSED)
+        # With one error allowed in a chunk, 2 * chunks > distance leaves one good chunk.
+        self.chunks = np.array_split(np.arange(SIZE), self.distance // 2 + 1)
 
 
 def _signature(flat: np.ndarray, sizes: np.ndarray, size: int, seed: int) -> np.ndarray:
@@ -97,7 +117,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
         run, "doc_id long, n_shingles long, node long, sig binary")
 
 
-def _keys(reps: DataFrame) -> DataFrame:
+def _keys(reps: DataFrame, scheme: _Scheme) -> DataFrame:
     """(key, rep): the chunks of a signature with one component left out, each in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +128,7 @@ def _keys(reps: DataFrame) -> DataFrame:
             sig = _matrix(batch.column("sig"), SIZE).astype(np.uint64)
             parts = mix(sig * random_words(SIZE, 43) + random_words(SIZE, 47))
             keys = np.empty_like(parts)
-            for chunk in _CHUNKS:
+            for chunk in scheme.chunks:
                 whole = parts[:, chunk].sum(axis=1, dtype=np.uint64)
                 keys[:, chunk] = mix((whole[:, None] - parts[:, chunk]) ^ salt[chunk])
             yield pa.RecordBatch.from_arrays(
@@ -237,7 +257,7 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, percent: int) ->
     )
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
     """Requests for pairs that share a key, lie in different components and are near by both signatures.
 
     In each key only members outside its main component ask, and they meet all
@@ -277,15 +297,15 @@ def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks:
                 for i in np.flatnonzero(~here):
                     other = k_part != part_of[i]
                     same = k_sig == sig[i]
-                    near = other & ((~same).sum(axis=1) <= DISTANCE)
-                    near[near] = (k_fine[near] != fine[i]).sum(axis=1) <= FINE_DISTANCE
+                    near = other & ((~same).sum(axis=1) <= scheme.distance)
+                    near[near] = (k_fine[near] != fine[i]).sum(axis=1) <= scheme.fine_distance
                     at = np.flatnonzero(near)
                     if len(at):
                         # A pair counts in the first key it shares.
                         same = same[at]
-                        wrong = np.stack([(~same[:, c]).sum(axis=1) for c in _CHUNKS], axis=1)
+                        wrong = np.stack([(~same[:, c]).sum(axis=1) for c in scheme.chunks], axis=1)
                         first = np.argmax(wrong <= 1, axis=1)
-                        at = at[[_first_place(s, c, w) == place[i] for s, c, w in zip(same, first, wrong)]]
+                        at = at[[_first_place(s, scheme.chunks[c], w[c]) == place[i] for s, c, w in zip(same, first, wrong)]]
                     if len(at):
                         ids = k_rep[at]
                         where = _spots(ids) % blocks
@@ -304,10 +324,9 @@ def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks:
     return found.select("a", F.col("cell").alias("block"), "others")
 
 
-def _first_place(same: np.ndarray, chunk: int, wrong: np.ndarray) -> int:
+def _first_place(same: np.ndarray, chunk: np.ndarray, wrong: int) -> int:
     """The first shared key of a pair: the place left out of its first good chunk."""
-    places = _CHUNKS[chunk]
-    return int(places[0]) if wrong[chunk] == 0 else int(places[np.argmin(same[places])])
+    return int(chunk[0]) if wrong == 0 else int(chunk[np.argmin(same[chunk])])
 
 
 def _spots(nodes: np.ndarray) -> np.ndarray:
@@ -327,16 +346,17 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     nothing. Rows that repeat are linked like any two rows. A row without id
     belongs to the component of rows with an equal set; without such rows it is linked
     with nothing, its ``component_id`` is null and it is kept. An empty table gives no rows. Columns other than the two named are not read. ``percent`` must be
-    at least 85, for which the signature distances are made.
+    at least 60.
     """
-    if percent < 85:
-        raise ValueError("the signature distances hold for 85 percent and more")
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
+    scheme = _Scheme(percent)
     stored = Stored(docs.sparkSession)
     signed = stored.table(signatures(docs, id_col, text_col, width), keep=True)
     groups = stored.table(
         signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), keep=True)
 
-    keyed = _keys(groups.select(F.col("node").alias("rep"), "sig")).withColumnRenamed("rep", "node")
+    keyed = _keys(groups.select(F.col("node").alias("rep"), "sig"), scheme).withColumnRenamed("rep", "node")
     shared = (
         keyed.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("node").alias("least"), F.max("node").alias("most"))
@@ -352,7 +372,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         members.select("node", F.explode(F.array("least", "most")).alias("lead")).filter("node <> lead").distinct()
         .join(groups.select("node", F.col("sig").alias("sig_a")), "node")
         .join(groups.select(F.col("node").alias("lead"), F.col("sig").alias("sig_b")), "lead")
-        .filter(_distance("sig_a", "sig_b") <= DISTANCE)
+        .filter(_distance("sig_a", "sig_b") <= scheme.distance)
         .select(F.col("node").alias("a"), "lead")
     )
     requests = (
@@ -361,7 +381,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     )
     links = stored.table(_confirm(requests, sets, blocks, percent))
     labels = components(links, stored)
-    more = stored.table(_confirm(stored.table(_open_pairs(members.drop("least", "most"), labels, sets, blocks)), sets, blocks, percent))
+    more = stored.table(_confirm(stored.table(_open_pairs(members.drop("least", "most"), labels, sets, blocks, scheme)), sets, blocks, percent))
     labels = components(links.unionByName(more), stored)
 
     found = groups.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -372,3 +392,34 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     stored.close()
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates, with all their columns: of each component of
+    ``link`` the row of the least id stays.
+
+    Rows that share an id are one document, of which one row stays. Of rows without id, those
+    stay whose set of runs no row with an id has, one for each set; rows without id and
+    without runs all stay.
+    """
+    stored = Stored(docs.sparkSession)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    lower = [c.lower() for c in docs.columns]
+    own, text = names[lower.index(id_col.lower())], names[lower.index(text_col.lower())]
+    rows = docs.toDF(*names)
+    linked = stored.table(link(rows, own, text, width, percent), keep=True)
+    removed = linked.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
+    rest = rows.join(removed, F.col(own).cast("long") == F.col("gone"), "left_anti")
+    ids = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if not ids.filter("doc_id is null or n > 1").isEmpty():
+        signed = signatures(rows, own, text, width).filter("n_shingles > 0")
+        held = signed.filter("doc_id is not null").select("node").distinct()
+        # Rows without id carry their texts through the same digest.
+        plain = rest.filter(F.col(own).isNull()).withColumn("row", F.monotonically_increasing_id())
+        plain = stored.table(plain, keep=True)
+        nodes = signatures(plain, "row", text, width).select(F.col("doc_id").alias("row"), "n_shingles", "node")
+        chosen = nodes.filter("n_shingles > 0").join(held, "node", "left_anti").groupBy("node").agg(F.min("row").alias("row"))
+        chosen = chosen.select("row").unionByName(nodes.filter("n_shingles = 0").select("row"))
+        plain = plain.join(chosen, "row", "left_semi").select(*names)
+        rest = rest.filter(F.col(own).isNotNull()).dropDuplicates([own]).unionByName(plain)
+    return rest.select(*names).toDF(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
+from plumbline.llm import decontaminate, langid, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pieces(_table(spark, sf_dir, "documents")))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those whose remainder by 4 is not 2."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(langid.remainder("doc_id", 4) != 2))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", (langid.remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy longest-match tokens of all documents over a public vocabulary."""
     return token_count.count(_table(spark, sf_dir, "documents"))
@@ -66,6 +74,7 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,

@@ -116,3 +116,23 @@ def test_five_words(spark):
     assert {i: v[:2] for i, v in result(docs, width=5, percent=90).items()} == expected
     with pytest.raises(ValueError):
         near_dup.link(docs, percent=50)
+
+
+def test_drop_duplicates_keeps_one_row_of_each_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = near_dup.drop_duplicates(docs)
+    assert kept.columns == docs.columns
+    expected = brute([(r.doc_id, r.text) for r in docs.collect()], width=5, percent=80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in expected.items() if c == i)
+    odd = spark.createDataFrame(
+        [(1, "a b c d e f", 1), (1, "a b c d e f", 1), (2, "a b c d e f", 1), (None, "a b c d e f", 1), (None, "x y", 1),
+         (None, "x y", 2), (None, None, 3), (4, None, 4), (5, None, 4)], "doc_id long, text string, gone int")
+    rows = sorted(((r.doc_id, r.text) for r in near_dup.drop_duplicates(odd).collect()), key=str)
+    assert rows == sorted([(1, "a b c d e f"), (None, "x y"), (None, None), (4, None), (5, None)], key=str)
+
+
+def test_distances_follow_the_similarity():
+    assert near_dup._Scheme(85).distance == 23 and len(near_dup._Scheme(85).chunks) == 12
+    for percent in (60, 80, 85, 95, 100):
+        scheme = near_dup._Scheme(percent)
+        assert 2 * len(scheme.chunks) > scheme.distance
