@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, langid, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
+from plumbline.llm import class_lm, decontaminate, langid, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pieces(_table(spark, sf_dir, "documents")))
 
 
+def op2_class_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram scores of all documents, learned from those whose remainder by 5 is not 1."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = class_lm.score(docs, docs.filter(langid.remainder("doc_id", 5) != 1))
+    return scored.select(
+        "doc_id", (langid.remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "perplexity")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from those whose remainder by 4 is not 2."""
     docs = _table(spark, sf_dir, "documents")
@@ -74,6 +83,7 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_class_lm_scores": op2_class_lm_scores,
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
