@@ -29,8 +29,10 @@ WINDOW = 13
 #: Bytes of benchmark text that one pass holds in memory and that are broadcast at once.
 BLOCK_BYTES = 16 << 20
 
-_FOUND = T.StructType.fromDDL(
-    "n_words long, n_hit long, hit binary, items array<string>, longest long, longest_start long, longest_item string")
+_FOUND = T.StructType([
+    T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hit", T.BinaryType()),
+    T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", T.LongType()),
+    T.StructField("longest_start", T.LongType()), T.StructField("longest_item", T.StringType())])
 _ARROW = [
     pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()), pa.field("hit", pa.binary()),
     pa.field("items", pa.list_(pa.string())), pa.field("longest", pa.int64()), pa.field("longest_start", pa.int64()),
