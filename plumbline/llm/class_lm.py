@@ -51,6 +51,10 @@ class Model:
     kinds: int
     ends: int
 
+    def floor(self) -> float:
+        """log10 of the room that all words share in the base score."""
+        return float(np.log10(self.tokens + 0.5 * (self.kinds + 1)))
+
     def units(self, words: Words, hashes: np.ndarray) -> np.ndarray:
         return _units(self.unit_words, words, hashes)
 
@@ -291,7 +295,7 @@ def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         its: Model = shared(sent)
-        floor = np.log10(its.tokens + 0.5 * (its.kinds + 1))
+        floor = its.floor()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 words = Words(part.column("text"), NOT_SPACE)
@@ -306,9 +310,11 @@ def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
                 n = words.rows
                 sums = lambda index, values: np.bincount(index, weights=values, minlength=n)
                 known = np.bincount(words.doc[near[which]], minlength=n) + (its.ends > 0)
-                own = sums(words.doc, weight[which]) + np.log10(its.ends + 0.5)
+                end = np.log10(its.ends + 0.5)
                 size = words.count + 1
-                score = own + sums(rows, its.transition[previous, classes] - its.room[classes])
+                plain = sums(words.doc, np.where(near, weight - floor, 0.0)[which]) + (end - floor)
+                shares = np.insert(weight[which], np.cumsum(words.count), end) - its.room[classes]
+                score = sums(rows, its.transition[previous, classes] + shares)
                 # The words to ask for, each once per text.
                 far = ~near[which]
                 asked, times = np.unique(words.doc[far] * len(names) + which[far], return_counts=True) if far.any() else (
@@ -317,7 +323,7 @@ def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
                 words_asked = names[asked % max(len(names), 1)].view(np.int64) if len(names) else asked
                 lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (words_asked, times.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size), pa.array(known.astype(np.int64)), pa.array(own - size * floor),
+                    [part.column("doc_id"), pa.array(size), pa.array(known.astype(np.int64)), pa.array(plain),
                      pa.array(score), *lists],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score", "word", "times"])
 
@@ -351,11 +357,12 @@ def score(
     # Half a count for words that were never seen, as for all others.
     met = asked.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5) * F.col("times")).alias("more"),
+        F.sum((F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(model.floor())) * F.col("times")).alias("plain"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
     stored.close()
     more, found = F.coalesce("more", F.lit(0.0)), F.coalesce("found", F.lit(0))
     total = F.col("score") + more
     return local.drop("word", "times").join(met, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + found).cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"), total.alias("score"),
+        (F.col("base_score") + F.coalesce("plain", F.lit(0.0))).alias("base_score"), total.alias("score"),
         F.pow(F.lit(10.0), F.least(-total / F.col("n_tokens"), F.lit(300.0))).alias("perplexity"))

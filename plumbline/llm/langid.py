@@ -343,7 +343,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     limits = F.array(*(F.lit(float(x)) for x in model.limit))
     place = F.col("best") + 1
     return found.select(
-        "doc_id", F.coalesce(F.element_at(names, place), F.lit(UNKNOWN)).alias("lang_pred"), "score", "entropy",
+        "doc_id", F.when(F.col("best").isNull(), UNKNOWN).otherwise(F.element_at(names, place)).alias("lang_pred"), "score", "entropy",
         (F.col("best").isNull() | ((F.col("letters") >= LEAST_LETTERS) & (F.col("entropy") > F.element_at(limits, place)))).alias("rejected"))
 
 

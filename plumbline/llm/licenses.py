@@ -83,8 +83,8 @@ RULES: list[tuple[tuple[str, ...], str]] = [
 # Every known sentence has one of these words, so a text without them has none.
 HINT = "(?i)licen[sc]e|permission|redistribut|copyright|warranty|rights reserved"
 
-#: The end of a sentence: a mark before white space. Dots inside numbers do not end one.
-SENTENCE_END, LINE = r"[.!?;:][ \t\f\r\n\x0B]+", r"[\r\n]+"
+#: The end of a sentence: a mark before white space, unless a number follows ("v. 2.0").
+SENTENCE_END, LINE = r"[.!?;:][ \t\f\r\n\x0B]+([^0-9 \t\f\r\n\x0B])", r"[\r\n]+"
 OTHER = r"[^a-z0-9.]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 EDGE = r"^[ .]+|[ .]+$"
@@ -97,7 +97,7 @@ def normalised(sentence: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """The normalised sentences of a text, in order."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), SENTENCE_END, "\n")
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), SENTENCE_END, "\n$1")
     return F.filter(F.transform(F.split(marked, LINE), normalised), lambda s: s != "")
 
 

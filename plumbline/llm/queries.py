@@ -108,7 +108,7 @@ def _license_sql() -> str:
         mark = "".join(f"|{names.index(i)}|" for i in run)
         took.append(f"CASE WHEN contains({rest}, '{mark}') THEN '{name}' END")
         rest = f"replace({rest}, '{mark}', ' ')"
-    marked = f"regexp_replace(coalesce(text, ''), '{licenses.SENTENCE_END}', chr(10), 'g')"
+    marked = f"regexp_replace(coalesce(text, ''), '{licenses.SENTENCE_END}', chr(10) || '\\1', 'g')"
     normal = (
         f"regexp_replace(regexp_replace(translate(x, '{_UPPER}', '{_LOWER}'), '{licenses.OTHER}', ' ', 'g'), "
         f"'{licenses.EDGE}', '', 'g')"
