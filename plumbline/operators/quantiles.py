@@ -1,10 +1,11 @@
 """Exact order statistics and quantiles without a full sort.
 
 Spark's ``percentile`` keeps every distinct value of a column in one task.
-Here a sketch (``percentile_approx``) brackets each wanted rank, counts check
-the bracket and only the few values inside it are shuffled. A bracket that is
-still too wide is narrowed again, so the work per task stays bounded while the
-answer stays exact. What reaches the driver is one number per wanted rank.
+Here a sketch brackets each wanted rank, counts check the bracket and only the few
+values inside it are shuffled. Sketches of tasks are merged in levels, so that no
+task receives those of all others. A bracket that is still too wide is narrowed
+again, so the work per task stays bounded while the answer stays exact. What reaches
+the driver is one number per wanted rank.
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.columns import known, require_columns
 
 # Values that one task may sort on its own.
 TASK_ROWS = 1_000_000
-# Share of that up to which Spark's own percentile, in one task, is the faster way.
-SMALL_SHARE = 0.1
-# Rank error of the sketch is at most rows / SKETCH_ACCURACY.
-SKETCH_ACCURACY = 10_000
+# Size of the sketches; their ranks are off by at most about SKETCH_ERROR of the rows.
+SKETCH_SIZE = 4096
+SKETCH_ERROR = 0.001
+# Sketches that are left after each level of merging, before the last one.
+MERGE_LEVELS = (1024, 32)
 
 
 @dataclass
@@ -35,14 +38,13 @@ class _Target:
     column: str
     rank: int
     inside: int
-    low: float | None = None
-    high: float | None = None
+    low: float | int | None = None
+    high: float | int | None = None
     below: int = 0
-    value: float | None = None
+    value: float | int | None = None
 
     def too_wide(self, task_rows: int) -> bool:
-        whole = self.low is None and self.high is None
-        return self.value is None and self.inside > (task_rows * SMALL_SHARE if whole else task_rows)
+        return self.value is None and self.inside > task_rows
 
 
 def _between(column: Column, low: float | None, high: float | None) -> Column:
@@ -82,12 +84,11 @@ def order_statistics(
     ranks: dict[str, Sequence[int]],
     counts: dict[str, int] | None = None,
     task_rows: int = TASK_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
-) -> dict[tuple[str, int], float]:
+    sketch_size: int = SKETCH_SIZE,
+) -> dict[tuple[str, int], float | int]:
     """Value at each 0-based rank of the sorted known values of a column.
 
-    Values are compared as doubles, so integers beyond 2**53 must be hashed or
-    split by the caller.
+    Integers are compared as integers, all other numbers as doubles.
     """
     require_columns(df, ranks)
     counts = counts or count_known(df, list(ranks))
@@ -99,34 +100,58 @@ def order_statistics(
             targets.append(_Target(name, rank, inside=counts[name]))
     if not targets:
         return {}
-    values = {c: known(df, c).cast("double") for c in ranks}
+    values = {c: _comparable(df, c) for c in ranks}
     while wide := [t for t in targets if t.too_wide(task_rows)]:
-        _narrow(df, values, wide, accuracy)
+        _narrow(df, values, wide, sketch_size)
     _extract(df, values, [t for t in targets if t.value is None])
     return {(t.column, t.rank): t.value for t in targets}
 
 
-def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target], accuracy: int) -> None:
-    """Shrink every interval by a factor of about ``accuracy / 4``: two passes, one row each.
+def _is_integer(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.IntegralType)
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    return known(df, name).cast("bigint" if _is_integer(df, name) else "double")
+
+
+def sketched(df: DataFrame, columns: Sequence[Column], integer: Sequence[bool], fractions: Sequence[Sequence[float]], size: int):
+    """Approximate quantiles of each column; tasks are grouped by number and merged level by level."""
+    kinds = ["bigint" if i else "double" for i in integer]
+    make = {"bigint": F.kll_sketch_agg_bigint, "double": F.kll_sketch_agg_double}
+    merge = {"bigint": F.kll_merge_agg_bigint, "double": F.kll_merge_agg_double}
+    read = {"bigint": F.kll_sketch_get_quantile_bigint, "double": F.kll_sketch_get_quantile_double}
+    task = F.spark_partition_id().alias("task")
+    held = df.select(task, *[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    held = held.groupBy(F.pmod("task", F.lit(MERGE_LEVELS[0])).alias("task")).agg(
+        *[make[k](f"c{i}", size).alias(f"s{i}") for i, k in enumerate(kinds)])
+    for groups in (*MERGE_LEVELS[1:], 1):
+        held = held.groupBy(F.pmod("task", F.lit(groups)).alias("task")).agg(
+            *[merge[k](f"s{i}", size).alias(f"s{i}") for i, k in enumerate(kinds)])
+    return held.select(*[
+        F.array(*[read[k](f"s{i}", F.lit(float(p))) for p in ps]).alias(f"q{i}")
+        for i, (k, ps) in enumerate(zip(kinds, fractions))
+    ]).first()
+
+
+def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target], sketch_size: int) -> None:
+    """Shrink every interval by a factor of some hundreds: two passes, one row each.
 
     The ends are counted apart from the inside, so a value that fills a third
     of the table settles its ranks instead of widening an interval.
     """
     groups = _by_interval(targets)
-    sketches = []
-    for i, group in enumerate(groups):
+    columns, wanted = [], []
+    for group in groups:
         column, first = values[group[0].column], group[0]
-        slack = 2.0 / accuracy + 1.0 / first.inside
+        slack = 1.5 * SKETCH_ERROR * SKETCH_SIZE / sketch_size + 1.0 / first.inside
         fractions = []
         for run in _runs(group):
             ends = (run[0].rank - first.below) / first.inside - slack, (run[-1].rank - first.below) / first.inside + slack
             fractions += [min(1.0, max(0.0, p)) for p in ends]
-        sketches.append(
-            F.percentile_approx(
-                F.when(_between(column, first.low, first.high), column), fractions, accuracy
-            ).alias(f"s{i}")
-        )
-    bounds = df.agg(*sketches).first()
+        columns.append(F.when(_between(column, first.low, first.high), column))
+        wanted.append(fractions)
+    bounds = sketched(df, columns, [_is_integer(df, g[0].column) for g in groups], wanted, sketch_size)
     probes = {}
     for i, group in enumerate(groups):
         for j, run in enumerate(_runs(group)):
@@ -209,23 +234,12 @@ def quantiles(
     require_columns(df, columns)
     if not columns:
         return {}
-    values = {c: known(df, c).cast("double") for c in columns}
     if not exact:
-        row = df.agg(*[
-            F.percentile_approx(values[c], list(probabilities), SKETCH_ACCURACY).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ]).first()
-        return {c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
+        row = sketched(
+            df, [_comparable(df, c) for c in columns], [_is_integer(df, c) for c in columns], [probabilities] * len(columns), SKETCH_SIZE)
+        return {c: [None if v is None else float(v) for v in row[i]] for i, c in enumerate(columns)}
 
     counts = counts or count_known(df, columns)
-    if max(counts.values()) <= task_rows * SMALL_SHARE:
-        # Bounded by the count just checked, so one task may hold the values.
-        row = df.agg(*[
-            F.percentile(values[c], F.array(*[F.lit(float(p)) for p in probabilities])).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ]).first()
-        return {c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
-
     ranks: dict[str, set[int]] = {}
     for c in columns:
         for p in probabilities:
@@ -241,6 +255,8 @@ def quantiles(
                 result[c].append(None)
                 continue
             place = (counts[c] - 1) * p
-            low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
-            result[c].append(low + (high - low) * (place - math.floor(place)) if high != low else low)
+            part = place - math.floor(place)
+            low, high = float(found[c, math.floor(place)]), float(found[c, math.ceil(place)])
+            # Equal neighbours may be infinite, so they are not mixed.
+            result[c].append(low if part == 0 or low == high else (1 - part) * low + part * high)
     return result

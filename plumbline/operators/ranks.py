@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import known, labelled, quoted, require_columns, rows_from, small_table, union_all
-from plumbline.operators.quantiles import SKETCH_ACCURACY, TASK_ROWS
+from plumbline.operators.quantiles import SKETCH_SIZE, TASK_ROWS, sketched
 from plumbline.session import materialize
 
 # Rows of a lookup table that every executor may hold (two numbers per row).
+# Largest sketch that Spark makes.
+MOST_SKETCH = 65535
 BROADCAST_ROWS = 1_000_000
 # A value is hot when it fills more than this share of the table.
 HOT_SHARE = 1 / 2000
@@ -91,12 +93,12 @@ def _with_ranges(
         return counts.withColumn("range", F.lit(0))
     cuts = {}
     for c in large:
-        ranges = min(SKETCH_ACCURACY // 2, math.ceil(distinct[c] / task_rows))
+        ranges = math.ceil(distinct[c] / task_rows)
         cuts[c] = [i / ranges for i in range(1, ranges)]
-    row = counts.agg(*[
-        F.percentile_approx(F.when(F.col("code") == codes[c], F.col("value")), cuts[c], SKETCH_ACCURACY).alias(f"c{i}")
-        for i, c in enumerate(large)
-    ]).first()
+    # A finer sketch for more ranges, as far as there are finer ones.
+    size = min(MOST_SKETCH, max(SKETCH_SIZE, 4 * max(len(c) for c in cuts.values())))
+    columns = [F.when(F.col("code") == codes[c], F.col("value")) for c in large]
+    row = sketched(counts, columns, [False] * len(large), [cuts[c] for c in large], size)
     splits = [[-math.inf, *sorted(set(row[i])), math.inf] for i in range(len(large))]
     wide = counts.withColumns({
         f"__v{i}": F.when(F.col("code") == codes[c], F.col("value")) for i, c in enumerate(large)
@@ -114,7 +116,7 @@ def _with_ranges(
 
 
 def _with_offsets(ranged: DataFrame, local: DataFrame) -> DataFrame:
-    # At most SKETCH_ACCURACY / 2 ranges per column, so this table is small by construction.
+    # One row per range of TASK_ROWS values.
     totals = ranged.groupBy("code", "range").agg(F.sum("n").alias("tn"), F.count("*").alias("td"))
     earlier = Window.partitionBy("code").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -27,14 +27,14 @@ def skewed(n, seed):
 def test_order_statistics(spark, task_rows):
     values = skewed(4000, 1)
     wanted = [0, 1, 999, 1000, 2000, 2100, 3998, 3999]
-    found = q.order_statistics(frame(spark, values), {"x": wanted}, task_rows=task_rows, accuracy=50)
+    found = q.order_statistics(frame(spark, values), {"x": wanted}, task_rows=task_rows, sketch_size=64)
     ordered = sorted(values)
     assert found == {("x", r): ordered[r] for r in wanted}
 
 
 def test_order_statistics_with_infinite_and_two_values(spark):
     values = [math.inf, -math.inf] + [1.0] * 500 + [2.0] * 500
-    found = q.order_statistics(frame(spark, values), {"x": [0, 1, 500, 501, 1001]}, task_rows=10, accuracy=20)
+    found = q.order_statistics(frame(spark, values), {"x": [0, 1, 500, 501, 1001]}, task_rows=10, sketch_size=16)
     assert [found["x", r] for r in (0, 1, 500, 501, 1001)] == [-math.inf, 1.0, 1.0, 2.0, math.inf]
 
 
@@ -51,6 +51,24 @@ def test_quantiles_match_numpy(spark, task_rows):
     assert found == pytest.approx(list(np.quantile(values, ps)))
 
 
+@pytest.mark.parametrize("values, schema", [
+    ([3.5] * 40, "x double"),
+    ([1.0, 2.0, 2.0, 2.0, 9.0] * 30, "x double"),
+    ([-math.inf, *map(float, range(7))], "x double"),
+    ([math.inf, math.inf, -math.inf, 0.0, 1.5, math.nan, None], "x double"),
+    ([0.1 * i for i in range(500)], "x double"),
+    ([2**60 + i for i in range(300)], "x bigint"),
+])
+def test_one_path_whatever_the_size(spark, values, schema):
+    ps = [0.0, 0.1, 0.25, 0.4, 0.5, 0.9, 1.0]
+    df = frame(spark, values, schema)
+    small = q.quantiles(df, ["x"], ps, task_rows=1)["x"]
+    assert str(small) == str(q.quantiles(df, ["x"], ps)["x"])
+    if schema == "x bigint":
+        found = q.order_statistics(df, {"x": [0, 17, 299]}, task_rows=1)
+        assert [found["x", r] for r in (0, 17, 299)] == [2**60, 2**60 + 17, 2**60 + 299]
+
+
 def test_quantiles_skip_missing(spark):
     df = frame(spark, [1.0, 3.0, math.nan, None])
     assert q.quantiles(df, ["x"], [0.5])["x"] == [2.0]
