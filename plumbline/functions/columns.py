@@ -68,6 +68,7 @@ _ARROW_TYPES = {
     "int": pa.int32(),
     "boolean": pa.bool_(),
     "timestamp": pa.timestamp("us", tz="UTC"),
+    "array<string>": pa.list_(pa.string()),
 }
 
 

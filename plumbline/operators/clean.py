@@ -143,26 +143,66 @@ def narrow_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.withColumns(casts) if casts else df
 
 
+# Strategies that apply to numbers; other columns take the plan's strategy for words.
+_NUMERIC = ("mean", "median")
+
+
 @dataclass(frozen=True)
 class CleaningPlan:
-    """Options of the cleaning chain."""
+    """Options of the cleaning chain.
+
+    ``missing`` is ``drop``, ``keep`` or a strategy of :func:`fill_values`; ``mean`` and ``median``
+    fill numeric columns, and all others then take ``missing_words`` (``mode`` or ``constant``).
+    ``constants`` names the values of columns that are filled by ``constant``.
+    """
 
     types: dict[str, str] = field(default_factory=dict)
     missing: str = "drop"
+    missing_words: str = "mode"
+    constants: dict[str, Any] = field(default_factory=dict)
     missing_columns: tuple[str, ...] | None = None
     duplicates: str = "remove"
     year_column: str | None = None
     drop: tuple[str, ...] = ()
 
 
-def clean(df: DataFrame, plan: CleaningPlan, reference_year: int | None = None) -> DataFrame:
-    """Types, missing values, duplicates, age and unwanted columns, in this order."""
+def fit_fills(df: DataFrame, plan: CleaningPlan) -> dict[str, Any]:
+    """Replacement values of the plan, fitted on the typed columns of ``df``."""
+    if plan.missing in ("drop", "keep"):
+        return {}
+    df = cast_types(nan_to_null(df), plan.types)
+    columns = list(plan.missing_columns or df.columns)
+    require_columns(df, columns)
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    by_strategy: dict[str, list[str]] = {}
+    for c in columns:
+        chosen = plan.missing_words if plan.missing in _NUMERIC and c not in numbers else plan.missing
+        by_strategy.setdefault(chosen, []).append(c)
+    values: dict[str, Any] = {}
+    for strategy, names in by_strategy.items():
+        if strategy == "constant":
+            without = [c for c in names if c not in plan.constants]
+            if without:
+                raise ValueError(f"no constant for {without}")
+            values.update({c: plan.constants[c] for c in names})
+        else:
+            values.update(fill_values(df, names, strategy))
+    return values
+
+
+def clean(
+    df: DataFrame, plan: CleaningPlan, reference_year: int | None = None, fills: dict[str, Any] | None = None
+) -> DataFrame:
+    """Types, missing values, duplicates, age and unwanted columns, in this order.
+
+    ``fills`` are the values of :func:`fit_fills` from the training split; without them they
+    are fitted on this very frame.
+    """
     df = cast_types(nan_to_null(df), plan.types)
     if plan.missing == "drop":
         df = drop_missing(df, plan.missing_columns)
     elif plan.missing != "keep":
-        columns = list(plan.missing_columns or df.columns)
-        df = impute(df, fill_values(df, columns, plan.missing))
+        df = impute(df, fit_fills(df, plan) if fills is None else fills)
     df = deduplicate(df, plan.duplicates)
     if plan.year_column:
         df = age_from_year(df, plan.year_column, reference_year)
@@ -176,6 +216,9 @@ def cleaning_report(df: DataFrame, plan: CleaningPlan) -> DataFrame:
     the counts of distinct rows, so no step is run on its own.
     """
     typed = cast_types(nan_to_null(df), plan.types)
+    if plan.missing not in ("drop", "keep"):
+        # Copies are counted among the filled rows, as the chain removes them.
+        typed = impute(typed, fit_fills(df, plan))
     checked = list(plan.missing_columns or typed.columns)
     complete = F.lit(True)
     for c in checked:

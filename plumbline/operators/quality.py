@@ -6,13 +6,16 @@ row count and, per column, minimum, maximum and number of known values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.columns import (
+    is_floating,
     known,
     labelled,
     numeric_columns,
@@ -25,16 +28,44 @@ from plumbline.operators.quantiles import quantiles
 
 
 def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: count of rows and, per column i, lo{i}, hi{i} and known{i}."""
+    """One row: count of rows and, per column i, known{i}, inf{i} and, where values have an order, lo{i} and hi{i}."""
     parts = [F.count(F.lit(1)).alias("rows")]
+    ordered = set(_orderable(df))
     for i, name in enumerate(columns):
         c = known(df, name)
-        parts += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count(c).alias(f"known{i}")]
+        parts.append(F.count(c).alias(f"known{i}"))
+        parts.append(_infinite_cells(df, name).alias(f"inf{i}"))
+        if name in ordered:
+            parts += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
     return df.agg(*parts)
 
 
+def _infinite_cells(df: DataFrame, name: str) -> Column:
+    if not is_floating(df, name):
+        return F.count_if(F.lit(False))
+    return F.count_if(F.abs(known(df, name)).cast("double") == F.lit(float("inf")))
+
+
 def _orderable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    """Columns whose values can be compared: neither maps nor variants, nor what holds them."""
+    def comparable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return comparable(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(comparable(f.dataType) for f in kind)
+        return kind.typeName() not in ("map", "variant")
+
+    return [f.name for f in df.schema if comparable(f.dataType)]
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    """The column in a form whose equal values group together, also for maps and variants."""
+    if name in _orderable(df):
+        return known(df, name)
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.MapType) and not any(word in kind.valueType.simpleString() for word in ("map<", "variant")):
+        return F.array_sort(F.map_entries(quoted(name)))
+    return F.to_json(F.struct(quoted(name)))
 
 
 def shape_checks(df: DataFrame) -> DataFrame:
@@ -68,20 +99,13 @@ def _negative_rows(columns: Sequence[str]) -> list[Column]:
 
 
 def infinite_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Passes where no value is infinite; value counts the infinite ends of the range."""
+    """Passes where no value is infinite; value counts the infinite cells."""
     columns = list(columns or numeric_columns(df))
     return rows_from(_extent(df, columns), _infinite_rows(columns))
 
 
 def _infinite_rows(columns: Sequence[str]) -> list[Column]:
-    rows = []
-    for i, c in enumerate(columns):
-        ends = sum(
-            F.coalesce((F.col(f"{end}{i}").cast("double") == F.lit(float(bad))).cast("int"), F.lit(0))
-            for end, bad in (("lo", "-inf"), ("hi", "inf"))
-        )
-        rows.append(_row("no_infinite", c, ends == 0, ends))
-    return rows
+    return [_row("no_infinite", c, F.col(f"inf{i}") == 0, F.col(f"inf{i}")) for i, c in enumerate(columns)]
 
 
 def expected_columns_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -165,7 +189,7 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     the table reaches its reducer as one count per task.
     """
     columns = list(columns or df.columns)
-    keys = [known(df, c).alias(f"k{i}") for i, c in enumerate(columns)]
+    keys = [_comparable(df, c).alias(f"k{i}") for i, c in enumerate(columns)]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     total = F.coalesce(F.sum("copies"), F.lit(0))
     return groups.agg(
@@ -177,13 +201,13 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 @dataclass(frozen=True)
 class Bounds:
-    """Closed range of acceptable values per column."""
+    """Closed range of acceptable values per column; None where there is none."""
 
     low: dict[str, float | None]
     high: dict[str, float | None]
 
     def outside(self, df: DataFrame, name: str) -> Column:
-        if self.low[name] is None:
+        if self.low[name] is None or self.high[name] is None:
             return F.lit(False)
         c = known(df, name).cast("double")
         return (c < F.lit(self.low[name])) | (c > F.lit(self.high[name]))
@@ -207,17 +231,19 @@ def iqr_bounds(
         cuts = {c: (quartiles[c][0], quartiles[c][2]) for c in columns}
     low, high = {}, {}
     for c, (q1, q3) in cuts.items():
-        width = None if q1 is None else q3 - q1
-        low[c] = None if q1 is None else q1 - threshold * width
-        high[c] = None if q1 is None else q3 + threshold * width
+        # Two infinite quartiles have no distance and give no bounds.
+        width = None if q1 is None or math.isnan(q3 - q1) else q3 - q1
+        low[c] = None if width is None else q1 - threshold * width
+        high[c] = None if width is None else q3 + threshold * width
     return Bounds(low, high)
 
 
 def zscore_bounds(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> Bounds:
-    """Mean plus and minus ``threshold`` sample standard deviations."""
+    """Mean plus and minus ``threshold`` sample standard deviations of the finite values."""
     parts = []
     for i, name in enumerate(columns):
         c = known(df, name).cast("double")
+        c = F.when(F.abs(c) < F.lit(float("inf")), c)
         parts += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
     row = df.agg(*parts).first()
     low, high = {}, {}
@@ -271,7 +297,7 @@ def cap_outliers(df: DataFrame, bounds: Bounds, columns: Sequence[str] | None =
     """Move values outside the bounds onto the nearest bound; missing values stay missing."""
     capped = {}
     for name in columns or bounds.low:
-        if bounds.low[name] is None:
+        if bounds.low[name] is None or bounds.high[name] is None:
             continue
         c = known(df, name).cast("double")
         # greatest and least skip NULL, so missing values are kept apart.
@@ -305,9 +331,12 @@ def quality_report(
     outliers need the quartiles, so they are separate branches. Missing values,
     duplicates and outliers are reported without failing.
     """
-    columns = _orderable(df)
+    columns = list(df.columns)
     numeric = numeric_columns(df)
-    ordered = numeric + [c for c in columns if c not in numeric]
+    # Maps and variants have no order, so they come last and without the check for constants.
+    sortable = _orderable(df)
+    comparable = numeric + [c for c in columns if c not in numeric and c in sortable]
+    ordered = comparable + [c for c in columns if c not in comparable]
     wide = _extent(df, ordered)
     rows_count = F.col("rows")
     fused = [
@@ -315,7 +344,7 @@ def quality_report(
         _row("many_rows_and_columns", None, (rows_count > 1) & F.lit(len(df.columns) > 1), rows_count),
         *_negative_rows(numeric),
         *_infinite_rows(numeric),
-        *_constant_rows(ordered),
+        *_constant_rows(comparable),
         *[
             _row("missing", c, F.lit(True), rows_count - F.col(f"known{i}")) for i, c in enumerate(ordered)
         ],
@@ -363,10 +392,11 @@ def between(column: str, low: float | None = None, high: float | None = None) ->
     c = quoted(column)
     conditions = [c >= F.lit(low)] if low is not None else []
     conditions += [c <= F.lit(high)] if high is not None else []
-    holds = F.lit(True)
+    # NaN is missing, though Spark orders it above all numbers.
+    holds = c.isNotNull() & ~F.isnan(c.cast("double"))
     for condition in conditions:
         holds = holds & condition
-    return Rule(f"{column}_range", holds & c.isNotNull())
+    return Rule(f"{column}_range", holds)
 
 
 def one_of(column: str, allowed: Sequence[str | int]) -> Rule:

@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import quoted, require_columns
-from plumbline.operators.clean import age_from_today, age_from_year
+from plumbline.functions.columns import known, quoted, require_columns
+from plumbline.operators.clean import age_from_today, age_from_year, cast_types, impute
 from plumbline.operators.features import Encoder, Scaler, transform_features
 from plumbline.operators.quality import Rule, apply_rules
-from plumbline.operators.training import FEATURES
+from plumbline.operators.training import without_inputs
 
 
 def predict(model: PipelineModel | Transformer, df: DataFrame, target: str | None = None) -> DataFrame:
     """Add ``prediction``. The target must not be among the inputs; an empty table stays empty."""
     if target is not None and target in df.columns:
         raise ValueError(f"the target {target} must not be in the scored table")
-    return model.transform(df).drop(FEATURES)
+    return without_inputs(model.transform(df))
 
 
 @dataclass(frozen=True)
@@ -34,16 +35,25 @@ class Preparation:
     sqrt_columns: tuple[str, ...] = ()
     encoder: Encoder | None = None
     scaler: Scaler | None = None
+    encoding: str = "one_hot"
+    types: dict[str, str] = field(default_factory=dict)
+    fills: dict[str, Any] = field(default_factory=dict)
 
     def apply(self, df: DataFrame, drop_original: bool = True) -> DataFrame:
         """The same steps as in training, in the same order; a chain of projections."""
+        df = cast_types(df, self.types)
+        df = impute(df, {c: v for c, v in self.fills.items() if c in df.columns})
         if self.year_column and self.reference_year is None:
             df = age_from_today(df, self.year_column)
         elif self.year_column:
             df = age_from_year(df, self.year_column, self.reference_year)
         df = transform_features(df, self.log_columns, self.sqrt_columns, drop_original)
         if self.encoder is not None:
-            df = self.encoder.one_hot(df, drop_original)
+            if self.encoding == "label_encoding":
+                df = self.encoder.label(df)
+                df = df.drop(*self.encoder.categories) if drop_original else df
+            else:
+                df = self.encoder.one_hot(df, drop_original)
         if self.scaler is not None:
             df = self.scaler.apply(df)
         return df
@@ -74,7 +84,7 @@ class Scorer:
         })
         engineered = self.preparation.apply(checked.withColumns(originals))
         features = self.preparation.features
-        incomplete = F.exists(F.array(*[quoted(c).isNull() for c in features]), lambda missing: missing)
+        incomplete = F.exists(F.array(*[known(engineered, c).isNull() for c in features]), lambda missing: missing)
         flagged = engineered.withColumn(
             "violations",
             F.when(incomplete, F.array_append("violations", F.lit("incomplete"))).otherwise(F.col("violations")),

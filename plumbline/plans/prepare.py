@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import nan_to_null, quoted
+from plumbline.functions.columns import nan_to_null, quoted, small_table
 from plumbline.operators import clean, features
 from plumbline.operators.features import Encoder, Scaler
 from plumbline.operators.scoring import Preparation
@@ -22,7 +23,8 @@ class PrepareOptions:
     """Options of the preparation.
 
     ``year_per_frame`` takes the latest year of each split instead of the
-    training split; ``scale_target`` scales the target with the features.
+    training split; ``scale_target`` scales the target with the features and
+    ``scaling_columns`` names the columns to scale (default: all numeric ones).
     """
 
     keys: tuple[str, ...]
@@ -35,6 +37,7 @@ class PrepareOptions:
     encode: tuple[str, ...] | None = None
     encoding: str = "one_hot"
     scaling: str | None = "standardization"
+    scaling_columns: tuple[str, ...] | None = None
     scale_target: bool = False
     year_per_frame: bool = False
     select_features: bool = False
@@ -51,6 +54,8 @@ class Prepared:
     encoder: Encoder | None
     scaler: Scaler | None
     selection: Selection | None
+    fills: dict[str, Any] = field(default_factory=dict)
+    cleaned: DataFrame | None = None
 
     def preparation(self, options: PrepareOptions) -> Preparation:
         """The fitted steps for raw records, without those of the target."""
@@ -66,7 +71,10 @@ class Prepared:
             log_columns=tuple(c for c in options.log_columns if c != source),
             sqrt_columns=tuple(c for c in options.sqrt_columns if c != source),
             encoder=self.encoder,
+            encoding=options.encoding,
             scaler=scaler,
+            types=dict(options.cleaning.types),
+            fills=dict(self.fills),
         )
 
 
@@ -79,13 +87,16 @@ def prepare(df: DataFrame, options: PrepareOptions) -> Prepared:
     """
     train, test = holdout(nan_to_null(df), options.keys, options.test_size, options.seed)
     plan = options.cleaning
+    # The test split and later records are filled with values of the training split.
+    fills = clean.fit_fills(train, plan)
+    report = clean.cleaning_report(train.drop(*options.keys), plan)
     year = None
     if plan.year_column and not options.year_per_frame:
         year = clean.latest_year(train, plan.year_column)
 
     def transformed(frame: DataFrame) -> DataFrame:
         return features.transform_features(
-            _clean_records(frame, options, year), options.log_columns, options.sqrt_columns
+            _clean_records(frame, options, year, fills), options.log_columns, options.sqrt_columns
         )
 
     # The fits below read the training split several times, but its copies are removed once.
@@ -107,7 +118,8 @@ def prepare(df: DataFrame, options: PrepareOptions) -> Prepared:
     ]
     scaler = None
     if options.scaling:
-        scaler = features.fit_scaler(train, columns, options.scaling)
+        scaled = columns if options.scaling_columns is None else list(options.scaling_columns)
+        scaler = features.fit_scaler(train, scaled, options.scaling)
         train, test = scaler.apply(train), scaler.apply(test)
     names = [c for c in columns if c != options.target]
     selection = None
@@ -120,18 +132,18 @@ def prepare(df: DataFrame, options: PrepareOptions) -> Prepared:
     return Prepared(
         features.select_features(train, names, keep),
         features.select_features(test, names, keep),
-        tuple(names), options.target, year, encoder, scaler, selection,
+        tuple(names), options.target, year, encoder, scaler, selection, fills, report,
     )
 
 
-def _clean_records(frame: DataFrame, options: PrepareOptions, year: int | None) -> DataFrame:
+def _clean_records(frame: DataFrame, options: PrepareOptions, year: int | None, fills: dict[str, Any]) -> DataFrame:
     """The cleaning chain; copies are rows that agree in everything but the key."""
     plan = options.cleaning
     kept = clean.CleaningPlan(
         types=plan.types, missing=plan.missing, missing_columns=plan.missing_columns, duplicates="keep",
         year_column=None, drop=(),
     )
-    frame = clean.clean(frame, kept)
+    frame = clean.clean(frame, kept, fills=fills)
     if plan.duplicates == "remove":
         others = [c for c in frame.columns if c not in options.keys]
         # The copy with the smallest key stays, whichever task sees it first.
@@ -158,9 +170,12 @@ def write_prepared(prepared: Prepared, folder: str, version: int) -> dict[str, s
         "encoder": prepared.encoder and prepared.encoder.to_table(spark),
         "scaler": prepared.scaler and prepared.scaler.to_table(spark),
         "selection": prepared.selection and prepared.selection.table(spark),
+        "fills": prepared.fills and small_table(
+            spark, [(c, str(v)) for c, v in prepared.fills.items() if v is not None], "column string, value string"),
+        "cleaning_report": prepared.cleaned,
     }
     for name, fitted in tables.items():
-        if fitted is not None:
+        if fitted is not None and fitted != {}:
             paths[name] = f"{folder}/{name}_v{version}"
             fitted.write.mode("overwrite").parquet(paths[name])
     return paths

@@ -287,3 +287,48 @@ def test_box_stats(spark):
     assert plotdata.box_stats(df, quartiles={"x": (3.0, 5.0, 7.0)}).first() == plotdata.box_stats(df).first()
     row = plotdata.box_stats(df).first()
     assert (row["median"], row["whisker_low"], row["whisker_high"], row["fliers"]) == (5.0, 1.0, 8.0, 1)
+
+
+# --- infinities, maps and filling by kind of column ------------------------------------
+
+
+def test_infinite_cells_and_zscore_bounds(spark):
+    df = small_table(spark, [(v,) for v in (1.0, 2.0, 3.0, 4.0, 5.0, math.inf, math.inf, -math.inf, math.nan, None)], "x double")
+    row = quality.infinite_check(df).first()
+    assert (row["passed"], row["value"]) == (False, 3.0)
+    found = quality.outlier_summary(df, ["x"], method="zscore").first()
+    assert found["outliers"] == 3 and math.isfinite(found["lower_bound"])
+    capped = [r["x"] for r in quality.cap_outliers(df, quality.zscore_bounds(df, ["x"])).collect()]
+    assert capped[:5] == [1.0, 2.0, 3.0, 4.0, 5.0] and capped[5] == found["upper_bound"] and capped[8] is None
+    wide = small_table(spark, [(math.inf,), (math.inf,), (-math.inf,)], "x double")
+    assert quality.outlier_summary(wide, ["x"]).first()["outliers"] == 0
+
+
+def test_rules_take_nan_for_missing(spark):
+    df = small_table(spark, [(1.0,), (math.nan,), (None,), (math.inf,)], "x double")
+    assert [r["valid"] for r in quality.apply_rules(df, [quality.between("x", 0)]).collect()] == [True, False, False, True]
+
+
+def test_report_covers_maps(spark):
+    df = spark.sql("SELECT 1 AS a, map('k', i, 'j', 0) AS m FROM VALUES (1), (2), (NULL) AS t(i)").unionByName(
+        spark.sql("SELECT 1 AS a, map('j', 0, 'k', 1) AS m")).unionByName(spark.sql("SELECT 1 AS a, CAST(NULL AS map<string,int>) AS m"))
+    rows = {(r["check"], r["column"]): r["value"] for r in quality.quality_report(df).collect()}
+    assert rows["duplicates", None] == 1.0 and rows["missing", "m"] == 1.0
+    nested = spark.sql("SELECT map('a', map('b', 1)) AS m UNION ALL SELECT map('a', map('b', 1))")
+    assert quality.duplicate_count(nested).first()["duplicates"] == 1
+
+
+def test_filling_by_kind_of_column(spark):
+    df = small_table(spark, [(1.0, "a"), (3.0, "a"), (None, "b"), (1.0, None)], "x double, w string")
+    plan = clean.CleaningPlan(missing="mean", duplicates="keep")
+    assert clean.clean(df, plan).collect()[2:] == [(5 / 3, "b"), (1.0, "a")]
+    fixed = clean.CleaningPlan(missing="median", missing_words="constant", constants={"w": "?"})
+    assert {r["w"] for r in clean.clean(df, fixed).collect()} == {"a", "b", "?"}
+    with pytest.raises(ValueError):
+        clean.clean(df, clean.CleaningPlan(missing="constant"))
+    # Values of the training frame fill another one.
+    fills = clean.fit_fills(df, plan)
+    other = small_table(spark, [(None, None), (100.0, "z")], "x double, w string")
+    assert clean.clean(other, plan, fills=fills).collect()[0] == (5 / 3, "a")
+    report = {r["step"]: r["rows"] for r in clean.cleaning_report(df, clean.CleaningPlan(missing="mode")).collect()}
+    assert report["final"] == clean.clean(df, clean.CleaningPlan(missing="mode")).count()
