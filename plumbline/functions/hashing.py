@@ -20,8 +20,12 @@ WORD_RANGE = float(16**WORD_DIGITS)
 
 
 def digest(keys: Sequence[str], seed: int | str) -> Column:
-    """md5 of the key columns and the seed, joined by '|'."""
-    parts = [F.coalesce(quoted(k).cast("string"), F.lit("")) for k in keys]
+    """md5 of the key columns and the seed, joined by '|'.
+
+    Each part begins with its length, so no two different keys read alike; NULL is ``n``.
+    """
+    texts = [quoted(k).cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 

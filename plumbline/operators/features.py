@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -22,10 +23,7 @@ from plumbline.functions.columns import (
     string_columns,
 )
 from plumbline.operators.describe import long_values
-
-# Most categories a column may have before flags stop being sensible.
-MAX_CATEGORIES = 10_000
-
+from plumbline.session import materialize
 
 def _finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
@@ -62,20 +60,29 @@ class Encoder:
 
     categories: dict[str, list[str]]
 
+    def flags(self) -> list[tuple[str, str, str]]:
+        """(flag, column, category). Names that are taken, whatever their case, get a number."""
+        found, taken = [], set()
+        for c, values in self.categories.items():
+            for v in values:
+                name, n = f"{c}_{v}", 2
+                while name.lower() in taken:
+                    name, n = f"{c}_{v}_{n}", n + 1
+                taken.add(name.lower())
+                found.append((name, c, v))
+        return found
+
     def flag_names(self) -> list[str]:
-        return [f"{c}_{v}" for c, values in self.categories.items() for v in values]
+        return [name for name, _, _ in self.flags()]
 
     def one_hot(self, df: DataFrame, drop_source: bool = True) -> DataFrame:
         """One 0/1 column ``<column>_<category>`` per category; unseen values give only zeros."""
         require_columns(df, self.categories)
-        taken = set(df.columns) & set(self.flag_names())
+        there = {c.lower() for c in df.columns}
+        taken = [name for name in self.flag_names() if name.lower() in there]
         if taken:
             raise ValueError(f"columns already there: {sorted(taken)}")
-        flags = {
-            f"{c}_{v}": F.coalesce((quoted(c) == F.lit(v)).cast("double"), F.lit(0.0))
-            for c, values in self.categories.items()
-            for v in values
-        }
+        flags = {name: F.coalesce((quoted(c) == F.lit(v)).cast("double"), F.lit(0.0)) for name, c, v in self.flags()}
         # One projection: a chain of withColumn would grow the plan with every category.
         out = df.withColumns(flags)
         return out.drop(*self.categories) if drop_source else out
@@ -111,25 +118,61 @@ def category_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_encoder(
-    df: DataFrame, columns: Sequence[str] | None = None, max_categories: int = MAX_CATEGORIES
-) -> Encoder:
+def fit_encoder(df: DataFrame, columns: Sequence[str] | None = None, max_categories: int | None = None) -> Encoder:
     """Categories of the training frame, in sorted order.
 
-    Too many categories raise an error instead of being cut off.
+    The encoder is part of the plan, one flag column per category. Columns with very
+    many categories go through :func:`fit_positions` instead. With ``max_categories``, more
+    of them raise an error.
     """
     columns = list(columns or string_columns(df))
-    room = max_categories * len(columns)
-    rows = category_table(df, columns).limit(room + 1).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in category_table(df, columns).collect():
         found[r["column"]].append(r["category"])
-    wide = [c for c, values in found.items() if len(values) > max_categories]
-    if wide or len(rows) > room:
-        raise ValueError(f"more than {max_categories} categories in {wide or columns}")
+    wide = [c for c, values in found.items() if max_categories is not None and len(values) > max_categories]
+    if wide:
+        raise ValueError(f"more than {max_categories} categories in {wide}")
     return Encoder({c: sorted(values) for c, values in found.items()})
 
 
+# Rows of a position table that every executor may hold.
+BROADCAST_CATEGORIES = 1_000_000
+
+
+def fit_positions(df: DataFrame, column: str, task_rows: int = 1_000_000) -> DataFrame:
+    """(category, position) of a column with any number of categories, positions in sorted order.
+
+    Categories are dealt into ranges and numbered inside each; one number per range is
+    added up, so no task sorts them all.
+    """
+    distinct = category_table(df, [column]).select("category")
+    ranges = distinct.count() // task_rows + 1
+    ranged = materialize(distinct.repartitionByRange(ranges, "category").withColumn("part", F.spark_partition_id()))
+    inside = ranged.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("category")) - 1)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return inside.join(F.broadcast(starts), "part").select("category", (F.col("before") + F.col("place")).alias("position"))
+
+
+def one_hot_vector(df: DataFrame, column: str, positions: DataFrame, output: str | None = None) -> DataFrame:
+    """``<column>_vector``: a sparse vector with a 1 at the category's position; unseen values give zeros.
+
+    The positions are joined, by broadcast where they are few.
+    """
+    require_columns(df, [column])
+    output = output or f"{column}_vector"
+    size = positions.count()
+    table = positions.select(F.col("category").alias("__category"), F.col("position").cast("double").alias("__position"))
+    table = F.broadcast(table) if size <= BROADCAST_CATEGORIES else table
+    joined = df.join(table, quoted(column) == F.col("__category"), "left").fillna(float(size), subset=["__position"])
+    # Index ``size`` stands for unseen values; it is the last one, which the encoder leaves out.
+    sizes = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+    joined = joined.withColumn("__position", F.col("__position").alias("__position", metadata=sizes))
+    encoder = OneHotEncoder(inputCols=["__position"], outputCols=[output], dropLast=True).fit(joined)
+    return encoder.transform(joined).drop("__category", "__position")
+
+
 @dataclass(frozen=True)
 class Scaler:
     """``(value - centre) / spread`` per column; a zero spread divides by one."""

@@ -15,7 +15,7 @@ from plumbline.operators.training import load_model
 
 SCHEMA = (
     "name string, version bigint, sequence bigint, promoted boolean, model_type string, rmse double, "
-    "uri string, feature_names string, registered_at timestamp"
+    "uri string, feature_names array<string>, registered_at timestamp"
 )
 # Least improvement, in percent of the champion's error, that promotes a challenger.
 THRESHOLD = 0.1
@@ -50,7 +50,7 @@ def register(
     ).first()
     version, sequence = (last["v"] or 0) + 1, (last["s"] or 0) + 1
     now = datetime.datetime.now(datetime.timezone.utc)
-    row = (name, version, sequence, promoted, model_type, rmse, uri, ",".join(features), now)
+    row = (name, version, sequence, promoted, model_type, rmse, uri, list(features), now)
     small_table(spark, [row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return version
 
@@ -100,5 +100,5 @@ def model_info(registry: DataFrame) -> DataFrame:
         "uri",
         "model_type",
         "feature_names",
-        F.when(F.col("feature_names") == "", 0).otherwise(F.size(F.split("feature_names", ","))).alias("n_features"),
+        F.size("feature_names").alias("n_features"),
     )

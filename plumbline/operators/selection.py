@@ -16,7 +16,7 @@ from plumbline.operators.training import FEATURES, assembled
 from plumbline.session import shared_dir
 
 
-def forest(label: str = "label", trees: int = 300, depth: int = 5, seed: int = 42) -> Estimator:
+def forest(label: str = "label", trees: int = 300, depth: int = 30, seed: int = 42) -> Estimator:
     return RandomForestRegressor(
         featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all"
     )

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import json
-import math
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -26,6 +26,10 @@ from plumbline.session import shared_dir
 FEATURES = "features"
 
 
+# Most features of Spark's normal equations; beyond them the same loss is minimised step by step.
+NORMAL_FEATURES = 4096
+
+
 class Ridge(
     Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable
 ):
@@ -50,13 +54,15 @@ class Ridge(
         row = dataset.agg(F.count(quoted(label)), F.stddev_pop(quoted(label))).first()
         if not row[0]:
             raise ValueError("no rows to fit")
+        vector = dataset.select(self.getFeaturesCol()).first()[0]
+        width = vector.size
         return LinearRegression(
             featuresCol=self.getFeaturesCol(),
             labelCol=label,
             predictionCol=self.getPredictionCol(),
             elasticNetParam=0.0,
             standardization=False,
-            solver="normal",
+            solver="normal" if width <= NORMAL_FEATURES else "l-bfgs",
             maxIter=self.getOrDefault(self.maxIter),
             regParam=self.getOrDefault(self.alpha) * row[1] / row[0],
         ).fit(dataset)
@@ -74,7 +80,7 @@ BASELINES: dict[str, dict[str, Any]] = {
     "RandomForest": {"n_estimators": 120, "max_depth": 7, "min_samples_split": 4, "min_samples_leaf": 3},
 }
 
-# Names of the parameters in Spark. ``min_samples_split`` has no counterpart there.
+# Names of the parameters in Spark.
 _SPARK_NAMES = {
     "Ridge": {"alpha": "alpha", "max_iter": "maxIter"},
     "RandomForest": {
@@ -92,12 +98,17 @@ _SPARK_NAMES = {
         "min_child_samples": "minInstancesPerNode",
     },
 }
+# Without effect on the result, or held to follow from other parameters.
 _WITHOUT_COUNTERPART = {"min_samples_split", "num_leaves", "random_state", "n_jobs", "objective"}
 DEEPEST_TREE = 30
 
 
 def spark_params(model: str, params: dict[str, Any]) -> dict[str, Any]:
-    """Translate parameter names and values for Spark's estimators."""
+    """Translate parameter names and values for Spark's estimators.
+
+    Spark has no ``min_samples_split`` and no ``num_leaves``: they are accepted where they follow
+    from the leaf size and the depth, and raise an error where they would change the trees.
+    """
     names = _SPARK_NAMES.get(model)
     if names is None:
         raise ValueError(f"unknown model {model!r}")
@@ -107,12 +118,13 @@ def spark_params(model: str, params: dict[str, Any]) -> dict[str, Any]:
             out[names[name]] = value
         elif name not in _WITHOUT_COUNTERPART:
             raise ValueError(f"{model} has no parameter {name!r}")
-    if "num_leaves" in params:
-        # A tree of depth d has at most 2^d leaves.
-        enough = max(1, math.ceil(math.log2(params["num_leaves"])))
-        out["maxDepth"] = min(out.get("maxDepth", enough), enough)
-    if "maxDepth" in out:
-        out["maxDepth"] = min(int(out["maxDepth"]), DEEPEST_TREE)
+    depth = int(out.get("maxDepth", 5))
+    if depth > DEEPEST_TREE:
+        raise ValueError(f"{model}: max_depth is at most {DEEPEST_TREE}")
+    if params.get("num_leaves", 2**depth) < 2**depth:
+        raise ValueError(f"{model}: num_leaves below 2 ** max_depth has no counterpart")
+    if params.get("min_samples_split", 2) > max(2, 2 * int(out.get("minInstancesPerNode", 1))):
+        raise ValueError(f"{model}: min_samples_split over 2 * min_samples_leaf has no counterpart")
     if "featureSubsetStrategy" in out:
         chosen = out["featureSubsetStrategy"]
         whole = chosen is None or chosen == 1.0
@@ -149,6 +161,21 @@ def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Da
     return assembler(plain).transform(slim).drop(*plain)
 
 
+def _inputs(features: Sequence[str]) -> list[Transformer]:
+    """Stages that assemble the features, whatever their names."""
+    if not any("." in c or "`" in c for c in features):
+        return [assembler(features)]
+    plain = [f"__f{i}" for i in range(len(features))]
+    named = ", ".join(f"CAST(`{c.replace('`', '``')}` AS DOUBLE) AS {p}" for c, p in zip(features, plain))
+    # The assembler cannot read such names; the plain ones travel on and are dropped with the vector.
+    return [SQLTransformer(statement=f"SELECT *, {named} FROM __THIS__"), assembler(plain)]
+
+
+def without_inputs(df: DataFrame) -> DataFrame:
+    """Drop the vector and the plain copies of features that a pipeline has added."""
+    return df.drop(FEATURES, *[c for c in df.columns if re.fullmatch(r"__f\d+", c)])
+
+
 @dataclass(frozen=True)
 class Trained:
     """A fitted pipeline with what it was fitted from."""
@@ -160,7 +187,7 @@ class Trained:
     seconds: float
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df).drop(FEATURES)
+        return without_inputs(self.model.transform(df))
 
 
 def train(
@@ -173,12 +200,9 @@ def train(
 ) -> Trained:
     """Fit one model by name and time it."""
     require_columns(df, [*features, label])
-    unreadable = [c for c in features if "." in c or "`" in c]
-    if unreadable:
-        raise ValueError(f"rename features with dots or backticks: {unreadable}")
     shared_dir(df.sparkSession)  # boosting cuts its lineage there
     start = time.monotonic()
-    pipeline = Pipeline(stages=[assembler(features), make_estimator(model, params, label, seed)])
+    pipeline = Pipeline(stages=[*_inputs(features), make_estimator(model, params, label, seed)])
     fitted = pipeline.fit(df)
     used = BASELINES[model] if params is None else params
     return Trained(model, dict(used), tuple(features), fitted, time.monotonic() - start)
@@ -209,7 +233,9 @@ def score_models(df: DataFrame, models: Sequence[Trained], label: str = "label",
     features = models[0].features
     if any(t.features != features for t in models):
         raise ValueError("models must share their features")
-    frame = models[0].model.stages[0].transform(df)
+    frame = df
+    for stage in models[0].model.stages[:-1]:
+        frame = stage.transform(frame)
     cells = []
     for i, t in enumerate(models):
         stage = t.model.stages[-1].copy().setPredictionCol(f"__p{i}")

@@ -31,12 +31,11 @@ from plumbline.operators.training import (
 )
 from plumbline.session import shared_dir
 
-# The search space of each model.
+# The search space of each model, without the parameters that Spark's trees do not have.
 SEARCH_SPACES: dict[str, dict[str, list]] = {
     "Ridge": {"alpha": ["log_uniform", 0.001, 3], "max_iter": ["int", 500, 3000]},
     "RandomForest": {
-        "n_estimators": ["int", 50, 500], "max_depth": ["int", 3, 30], "min_samples_split": ["int", 2, 20],
-        "min_samples_leaf": ["int", 1, 10], "max_features": ["categorical", ["sqrt", "log2"]],
+        "n_estimators": ["int", 50, 500], "max_depth": ["int", 3, 30], "min_samples_leaf": ["int", 1, 10], "max_features": ["categorical", ["sqrt", "log2"]],
     },
     "XGBoost": {
         "n_estimators": ["int", 50, 500], "max_depth": ["int", 3, 15], "learning_rate": ["log_uniform", 0.001, 0.3],
@@ -45,7 +44,7 @@ SEARCH_SPACES: dict[str, dict[str, list]] = {
     },
     "LightGBM": {
         "n_estimators": ["int", 50, 500], "max_depth": ["int", 3, 15], "learning_rate": ["log_uniform", 0.001, 0.3],
-        "num_leaves": ["int", 20, 150], "min_child_samples": ["int", 5, 100], "subsample": ["uniform", 0.6, 1.0],
+        "min_child_samples": ["int", 5, 100], "subsample": ["uniform", 0.6, 1.0],
         "colsample_bytree": ["uniform", 0.6, 1.0],
     },
 }

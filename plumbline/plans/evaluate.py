@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from plumbline.functions.columns import quoted, require_columns
 from plumbline.operators import evaluation, registry
-from plumbline.operators.training import FEATURES
+from plumbline.operators.training import without_inputs
 
 
 def evaluate_champion(
@@ -21,11 +21,11 @@ def evaluate_champion(
 ) -> dict[str, DataFrame]:
     """Predictions, errors, residuals and permutation importance of the model in use."""
     model, info = registry.load_champion(test.sparkSession, registry_path)
-    features = info["feature_names"].split(",")
+    features = list(info["feature_names"])
     require_columns(test, [*features, *keys, label])
 
     def predict(frame: DataFrame) -> DataFrame:
-        return model.transform(frame).drop(FEATURES)
+        return without_inputs(model.transform(frame))
 
     predictions = predict(test).select(*[quoted(c) for c in keys], quoted(label).alias("label"), "prediction")
     return {

@@ -70,7 +70,7 @@ def dataset_metadata(df: DataFrame, target: str) -> DataFrame:
     names = [c for c in df.columns if c != target]
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(len(names)).alias("n_features"),
-        F.lit(",".join(names)).alias("feature_names"),
+        F.array(*[F.lit(c) for c in names]).cast("array<string>").alias("feature_names"),
         "n_rows",
     )
 

@@ -48,10 +48,14 @@ def test_ridge_matches_closed_form(planted):
 
 
 def test_parameter_names():
-    assert training.spark_params("RandomForest", {"max_depth": 99, "max_features": "sqrt", "min_samples_split": 3}) == {
-        "maxDepth": 30, "featureSubsetStrategy": "sqrt",
+    assert training.spark_params("RandomForest", {"max_depth": 30, "max_features": "sqrt", "min_samples_split": 4, "min_samples_leaf": 2}) == {
+        "maxDepth": 30, "featureSubsetStrategy": "sqrt", "minInstancesPerNode": 2,
     }
-    assert training.spark_params("LightGBM", {"num_leaves": 31, "max_depth": 12})["maxDepth"] == 5
+    # What Spark's trees do not have is refused where it would change them.
+    for model, params in (("RandomForest", {"max_depth": 31}), ("RandomForest", {"min_samples_split": 3}),
+                          ("LightGBM", {"num_leaves": 31, "max_depth": 12})):
+        with pytest.raises(ValueError):
+            training.spark_params(model, params)
     assert training.spark_params("XGBoost", {"colsample_bytree": 0.8, "gamma": 1, "min_child_weight": 2}) == {
         "featureSubsetStrategy": "0.8", "minInfoGain": 1, "minInstancesPerNode": 2,
     }
@@ -90,8 +94,18 @@ def test_odd_feature_names(spark):
     df = df.withColumnsRenamed({"a": "owner_First Owner", "b": "owner_Fourth & Above Owner"})
     fitted = training.train("Ridge", df, df.columns[:2])
     assert fitted.transform(df).count() == 20
-    with pytest.raises(ValueError):
-        training.train("Ridge", df.withColumn("v1.2", F.lit(1.0)), ["v1.2"])
+    dotted = df.withColumnRenamed("owner_First Owner", "size_1.5")
+    models = [training.train("Ridge", dotted, ["size_1.5"], params={"alpha": a}) for a in (0.0, 1.0)]
+    assert set(models[0].transform(dotted).columns) == {*dotted.columns, "prediction"}
+    errors = {r["n"]: r for r in training.evaluate_models(dotted, models[:1]).collect()}
+    assert errors[20]["rmse"] < 1e-6
+
+
+def test_ridge_solvers_agree(spark, planted, monkeypatch):
+    frame = training.assembled(planted, NAMES, ["label"])
+    exact = training.Ridge(alpha=0.5).fit(frame).coefficients.toArray()
+    monkeypatch.setattr(training, "NORMAL_FEATURES", 1)
+    assert training.Ridge(alpha=0.5).fit(frame).coefficients.toArray() == pytest.approx(exact, abs=1e-4)
 
 
 # --- metrics -----------------------------------------------------------------------

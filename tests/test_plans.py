@@ -116,7 +116,7 @@ def test_profile(vehicles, tmp_path):
 
 def test_train_evaluate_and_score(spark, vehicles, prepared, tmp_path):
     paths = prepare.write_prepared(prepared, str(tmp_path / "prepared"), 1)
-    assert set(paths) == {"train", "test", "encoder", "scaler"}
+    assert set(paths) == {"train", "test", "encoder", "scaler", "cleaning_report"}
     table = spark.read.parquet(paths["train"])
     options = train.TrainOptions(
         features=prepared.features, keys=("id",), label="selling_price_log",

@@ -19,7 +19,7 @@ def rows(spark):
 
 
 def digests(n, seed=42):
-    return sorted((hashlib.md5(f"{i}|{seed}".encode()).hexdigest(), i) for i in range(n))
+    return sorted((hashlib.md5(f"{len(str(i))}:{i}|{seed}".encode()).hexdigest(), i) for i in range(n))
 
 
 @pytest.mark.parametrize("limits", [{}, {"task_rows": 50, "direct_rows": 10}, {"task_rows": 10**6, "direct_rows": 10}])
@@ -31,6 +31,31 @@ def test_holdout_takes_the_smallest_digests(rows, size, limits):
     assert {r["id"] for r in train.collect()} == set(range(3000)) - chosen
 
 
+def test_keys_that_read_alike_are_told_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, ""), ("", None)], "x string, y string")
+    train, test = split.holdout(df, ["x", "y"], 2)
+    assert train.count() == test.count() == 2
+
+
+def test_flags_whose_names_clash(spark):
+    df = spark.createDataFrame([("b_c", "x"), ("q", "c"), ("Q", "c")], "a string, a_b string")
+    encoder = features.fit_encoder(df)
+    assert len({n.lower() for n in encoder.flag_names()}) == 5
+    rows = encoder.one_hot(df).collect()
+    assert [sum(r) for r in rows] == [2.0, 2.0, 2.0]
+
+
+def test_positions_of_many_categories(spark):
+    df = spark.range(500).selectExpr("concat('c', id) AS word")
+    positions = features.fit_positions(df, "word", task_rows=60)
+    found = {r.category: r.position for r in positions.collect()}
+    assert found == {w: i for i, w in enumerate(sorted(found))} and len(found) == 500
+    coded = features.one_hot_vector(df.union(spark.sql("SELECT 'unseen'")), "word", positions)
+    rows = coded.collect()
+    assert all(list(r.word_vector.indices) == [found[r.word]] for r in rows if r.word != "unseen")
+    assert [r.word_vector.numNonzeros() for r in rows if r.word == "unseen"] == [0] and rows[0].word_vector.size == 500
+
+
 def test_holdout_check(rows):
     train, test = split.holdout(rows, ["id"], 700)
     ok = split.split_check(rows, train, test, ["id"]).first()
