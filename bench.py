@@ -20,6 +20,7 @@ HEADLINE = [
     "transform_chain", "onehot_apply", "scale_apply", "chi2", "anova", "ttest",
     "regression_metrics", "metrics_by_model", "ridge_single", "cross_validate",
     "permutation_importance", "noise_robustness", "batch_score",
+    "baseline_table", "tuning_trials", "rfecv_ranking", "profile_plan",
 ]
 
 

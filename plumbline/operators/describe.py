@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -18,6 +18,7 @@ from plumbline.functions.columns import (
 )
 from plumbline.functions.moments import corrected_kurtosis, corrected_skewness
 from plumbline.operators.quantiles import quantiles
+from plumbline.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -123,15 +124,18 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, exact:
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """Counts of one column with their share of all known values."""
-    counts = value_counts(df, [column])
-    total = df.agg(F.count(known(df, column)).alias("n")).first()["n"]
-    return counts.select(
-        "value", "count", (F.col("count") / F.lit(max(total, 1)).cast("double")).alias("share")
-    )
+    # The total is added up from the counts, which are stored so that the table is read once.
+    counts = materialize(value_counts(df, [column]))
+    total = counts.agg(F.sum("count")).first()[0] or 1
+    return counts.select("value", "count", (F.col("count") / F.lit(total).cast("double")).alias("share"))
+
+
+def missing_cells(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Missing cells of a row."""
+    columns = list(columns or df.columns)
+    return sum((known(df, c).isNull().cast("bigint") for c in columns), F.lit(0).cast("bigint"))
 
 
 def missing_total(df: DataFrame, columns: Sequence[str] | None = None) -> int:
     """Number of missing cells of the table."""
-    columns = list(columns or df.columns)
-    cells = [F.count_if(known(df, c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]
-    return sum(df.agg(*cells).first()) if cells else 0
+    return df.agg(F.coalesce(F.sum(missing_cells(df, columns)), F.lit(0))).first()[0]

@@ -23,7 +23,7 @@ from plumbline.operators.quality import Quartiles
 from plumbline.operators.quantiles import quantiles
 from plumbline.operators.split import hash_sample
 
-# Largest number of bins per column that is sent to a plot.
+# Bins that the rules may ask for; more must be asked for by the caller.
 MAX_BINS = 100_000
 
 
@@ -47,7 +47,10 @@ def _auto_bins(n: int, low: float, high: float, q1: float, q3: float) -> int:
     sturges = (high - low) / (math.log2(n) + 1.0)
     spread = 2.0 * (q3 - q1) * n ** (-1.0 / 3.0)
     width = min(sturges, spread) if spread > 0 else sturges
-    return min(MAX_BINS, max(1, math.ceil((high - low) / width)))
+    bins = max(1, math.ceil((high - low) / width))
+    if bins > MAX_BINS:
+        raise ValueError(f"the rules ask for {bins} bins; give a number of bins")
+    return bins
 
 
 def histogram(

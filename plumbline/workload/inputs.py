@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 from plumbline.workload.registry import table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-LINE_KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, '{seed}')"
+
+
+def key_sql(columns: list[str], seed: int | str = "{seed}") -> str:
+    """The text behind the digest of a row key."""
+    parts = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in columns]
+    return f"concat_ws('|', {', '.join(parts)}, '{seed}')"
+
+
+LINE_KEY_SQL = key_sql(LINE_KEY)
+ORDER_42, ORDER_7 = (f"md5({key_sql(['o_orderkey'], seed)})" for seed in (42, 7))
 
 DIRTY_SQL = """(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
     nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax,
@@ -44,6 +53,19 @@ def dirty_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Events whose values are infinite in one direction or the other, or NaN, by their number.
+ODD_SQL = """(SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'inf'::DOUBLE WHEN event_id % 97 = 1 THEN '-inf'::DOUBLE
+    WHEN event_id % 97 = 2 THEN 'nan'::DOUBLE ELSE value END AS value FROM events)"""
+
+
+def odd_events(spark: SparkSession, folder: str) -> DataFrame:
+    place = F.col("event_id") % 97
+    planted = (
+        F.when(place == 0, F.lit(float("inf"))).when(place == 1, F.lit(float("-inf"))).when(place == 2, F.lit(float("nan")))
+    )
+    return table(spark, folder, "events").select("event_id", planted.otherwise(F.col("value")).alias("value"))
+
+
 def copied_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import small_table
 from plumbline.operators import evaluation, registry, selection, training, tuning
+from plumbline.operators.clean import CleaningPlan, fit_fills
 from plumbline.operators.features import Encoder
 from plumbline.operators.quality import between, one_of
 from plumbline.operators.scoring import Preparation, Scorer, batch_summary
@@ -373,7 +374,8 @@ SELECT name, version, 'production' AS alias, 'models/' || model AS uri, model AS
        CAST(1 AS INTEGER) AS n_features FROM r WHERE promoted ORDER BY sequence DESC LIMIT 1
 """)
 def _info(spark, folder):
-    return registry.model_info(_registered(spark, folder))
+    found = registry.model_info(_registered(spark, folder))
+    return found.withColumn("feature_names", F.array_join("feature_names", ","))
 
 
 # --- scoring of raw records -----------------------------------------------------------------
@@ -399,15 +401,18 @@ def _scorer(spark, folder):
 
 
 SCORE_SQL = """
-WITH y AS (SELECT max(year(o_orderdate)) AS top FROM orders)
+WITH y AS (SELECT max(year(o_orderdate)) AS top FROM orders),
+r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+             CASE WHEN o_orderkey % 50 = 0 THEN 'nan'::DOUBLE ELSE o_totalprice END AS o_totalprice FROM orders)
 SELECT o_orderkey, CASE WHEN o_totalprice BETWEEN 1000 AND 400000 AND o_orderstatus IN ('F', 'O') THEN
          round(exp(8 + 0.05 * (top - year(o_orderdate)) + 0.2 * ln(1 + o_totalprice) + 0.1 * sqrt(o_custkey) / 100
          + 0.3 * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) - 1, 4) END AS predicted_price,
        'INR' AS currency, 'formula:1' AS model_version,
        o_totalprice BETWEEN 1000 AND 400000 AND o_orderstatus IN ('F', 'O') AS valid,
        concat_ws(',', CASE WHEN NOT o_totalprice BETWEEN 1000 AND 400000 THEN 'o_totalprice_range' END,
-                 CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'o_orderstatus_allowed' END) AS violations
-FROM orders, y"""
+                 CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'o_orderstatus_allowed' END,
+                 CASE WHEN isnan(o_totalprice) THEN 'incomplete' END) AS violations
+FROM r, y"""
 
 
 def _response(df):
@@ -416,7 +421,10 @@ def _response(df):
 
 
 def _records(df):
-    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("year"))
+    """Orders as scoring records; every fiftieth has a NaN for its price."""
+    price = F.when(F.col("o_orderkey") % 50 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    return df.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", price.alias("o_totalprice"), F.year("o_orderdate").alias("year"))
 
 
 @query("batch_score", SCORE_SQL)
@@ -425,6 +433,31 @@ def _batch(spark, folder):
     return _response(scores)
 
 
+LABEL_PRICE = "SELECT *, 8 + 0.05 * age + 0.2 * o_totalprice_log + 0.3 * o_orderstatus_index AS prediction FROM __THIS__"
+
+
+@query("batch_score_label_encoded", """
+WITH y AS (SELECT max(year(o_orderdate)) AS top, avg(o_totalprice) FILTER (o_orderkey % 50 <> 0) AS mean FROM orders),
+r AS (SELECT *, CASE WHEN o_orderkey % 50 = 0 THEN mean ELSE o_totalprice END AS price FROM orders, y)
+SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN
+         round(exp(8 + 0.05 * (top - year(o_orderdate)) + 0.2 * ln(1 + price)
+         + 0.3 * CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) - 1, 4) END AS predicted_price,
+       'INR' AS currency, 'formula:2' AS model_version, o_orderstatus IN ('F', 'O') AS valid,
+       CASE WHEN o_orderstatus IN ('F', 'O') THEN '' ELSE 'incomplete' END AS violations
+FROM r
+""")
+def _batch_label(spark, folder):
+    """Records filled with a mean fitted beforehand, words as positions; unseen words are incomplete."""
+    records = _records(table(spark, folder, "orders"))
+    plan = CleaningPlan(missing="mean", missing_columns=("o_totalprice",))
+    preparation = Preparation(
+        features=("age", "o_totalprice_log", "o_orderstatus_index"), year_column="year",
+        reference_year=records.agg(F.max("year")).first()[0], log_columns=("o_totalprice",),
+        encoder=Encoder({"o_orderstatus": ["F", "O"]}), encoding="label_encoding", fills=fit_fills(records, plan))
+    scorer = Scorer(preparation, SQLTransformer(statement=LABEL_PRICE), "formula:2")
+    return _response(scorer.score(records, ["o_orderkey"]))
+
+
 @query("batch_totals", f"""
 SELECT count(*) AS total_predictions, count(predicted_price) AS priced, count(*) FILTER (NOT valid) AS rejected
 FROM ({SCORE_SQL})
@@ -437,7 +470,8 @@ def _totals(spark, folder):
 @query("stream_score", SCORE_SQL)
 def _stream(spark, folder):
     schema = table(spark, folder, "orders").schema
-    stream = streaming.read_records(spark, folder, schema, pattern="orders.parquet")
+    # The table may be one file or a folder of part files.
+    stream = streaming.read_records(spark, f"{folder}/orders.parquet*", schema)
     scores = streaming.score_stream(_records(stream), _scorer(spark, folder), ["o_orderkey"])
     path = scratch_path(spark, "scores")
     streaming.write_scores(scores, path, scratch_path(spark, "scores-checkpoint")).awaitTermination()

@@ -9,7 +9,7 @@ from plumbline.operators import clean, features, quality, split
 from plumbline.operators.features import Encoder, Scaler
 from plumbline.session import scratch_path
 from plumbline.sources import reports, tables
-from plumbline.workload.inputs import COPIES_SQL, DIRTY_SQL, copied_lineitem, dirty_lineitem
+from plumbline.workload.inputs import COPIES_SQL, DIRTY_SQL, ORDER_42, copied_lineitem, dirty_lineitem, key_sql
 from plumbline.workload.profiling import PART_NUMBERS
 from plumbline.workload.registry import query, rounded, table, union_sql
 
@@ -44,21 +44,26 @@ def _xy(spark, folder):
 
 
 @query("dataset_metadata", """
-SELECT CAST(5 AS INTEGER) AS n_features, 'p_partkey,p_name,p_brand,p_type,p_size' AS feature_names, count(*) AS n_rows
+SELECT CAST(6 AS INTEGER) AS n_features, 'p_partkey|p_name|p_brand|p_type|p_size|size, in cm' AS feature_names, count(*) AS n_rows
 FROM part
 """)
 def _metadata(spark, folder):
-    return tables.dataset_metadata(table(spark, folder, "part"), "p_retailprice")
+    part = table(spark, folder, "part").withColumn("size, in cm", F.col("p_size"))
+    return tables.dataset_metadata(part, "p_retailprice").withColumn("feature_names", F.array_join("feature_names", "|"))
 
 
-@query("split_sink_roundtrip", """
-SELECT o_orderkey, o_totalprice FROM
-  (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', o_orderkey, '42'))) AS place FROM orders) WHERE place > 1500
+@query("split_sink_roundtrip", f"""
+SELECT o_orderkey, o_totalprice, CASE WHEN place > 1500 THEN 'train' ELSE 'test' END AS part FROM
+  (SELECT *, row_number() OVER (ORDER BY {ORDER_42}) AS place FROM orders)
 """)
 def _split_sink(spark, folder):
     labelled = split.label_holdout(_orders(spark, folder), ["o_orderkey"], 1500)
     path = tables.write_splits(labelled, scratch_path(spark, "splits"), version=1)
-    return tables.read_split(spark, path, "train").select("o_orderkey", "o_totalprice")
+    halves = [
+        tables.read_split(spark, path, part).select("o_orderkey", "o_totalprice", F.lit(part).alias("part"))
+        for part in ("train", "test")
+    ]
+    return halves[0].unionByName(halves[1])
 
 
 @query("processed_sink_roundtrip", "SELECT p_partkey, p_size, p_retailprice FROM part")
@@ -230,6 +235,18 @@ def _cleaning_report(spark, folder):
     return clean.cleaning_report(_chain_input(spark, folder), CHAIN)
 
 
+@query("clean_chain_imputed", f"""
+WITH t AS (SELECT l_quantity, l_discount, l_returnflag, l_linestatus FROM {DIRTY_SQL}),
+f AS (SELECT median(l_discount) AS d, (SELECT l_returnflag FROM t WHERE l_returnflag IS NOT NULL
+      GROUP BY 1 ORDER BY count(*) DESC, l_returnflag LIMIT 1) AS w FROM t)
+SELECT DISTINCT l_quantity, round(coalesce(l_discount, d), 6) AS l_discount, coalesce(l_returnflag, w) AS l_returnflag, l_linestatus
+FROM t, f
+""")
+def _chain_imputed(spark, folder):
+    dirty = dirty_lineitem(spark, folder).select("l_quantity", "l_discount", "l_returnflag", "l_linestatus")
+    return rounded(clean.clean(dirty, clean.CleaningPlan(missing="median")), 6)
+
+
 @query("narrow_types", """
 SELECT CAST(p_partkey AS SMALLINT) AS p_partkey, CAST(p_size AS TINYINT) AS p_size, p_retailprice FROM part
 """)
@@ -239,7 +256,7 @@ def _narrow(spark, folder):
 
 # --- splits ------------------------------------------------------------------------
 
-ORDER_HASH = "md5(concat_ws('|', o_orderkey, '{seed}'))"
+ORDER_HASH = f"md5({key_sql(['o_orderkey'])})"
 WORD_SQL = "CAST(('0x' || substr({hash}, 1, 13)) AS BIGINT)"
 
 
@@ -251,8 +268,8 @@ def fold_sql(hashed: str, k: int) -> str:
     return f"CAST({WORD_SQL.format(hash=hashed)} % {k} AS INTEGER)"
 
 
-@query("holdout_exact_n", """
-SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', o_orderkey, '42'))) <= 1500
+@query("holdout_exact_n", f"""
+SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY {ORDER_42}) <= 1500
                         THEN 'test' ELSE 'train' END AS split FROM orders
 """)
 def _holdout(spark, folder):
@@ -288,6 +305,15 @@ def _contiguous(spark, folder):
     return split.contiguous_folds(_orders(spark, folder), "o_orderkey", 7).select("o_orderkey", "fold")
 
 
+@query("kfold_contiguous_large", """
+SELECT o_orderkey, CAST(ntile(7) OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS fold FROM orders
+""")
+def _contiguous_large(spark, folder):
+    """Keys beyond the integers that doubles tell apart."""
+    orders = _orders(spark, folder).withColumn("key", F.col("o_orderkey") + F.lit(2**60))
+    return split.contiguous_folds(orders, "key", 7).select("o_orderkey", "fold")
+
+
 @query("learning_subsets", f"""
 SELECT o_orderkey, {fold_sql(ORDER_HASH.format(seed=42), 5)} AS fold,
        CAST(u >= 0.1 AS INTEGER) + CAST(u >= 0.325 AS INTEGER) + CAST(u >= 0.55 AS INTEGER) + CAST(u >= 0.775 AS INTEGER) AS step
@@ -398,6 +424,19 @@ def _encoder_roundtrip(spark, folder):
     return Encoder.from_table(spark.read.parquet(path)).to_table(spark)
 
 
+@query("onehot_wide", """
+SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS position, (SELECT count(DISTINCT p_name) FROM part) AS size FROM part
+""")
+def _onehot_wide(spark, folder):
+    """A column of very many categories: one sparse vector per row."""
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
+    positions = features.fit_positions(part, "p_name")
+    coded = features.one_hot_vector(part, "p_name", positions, "v")
+    parts = F.unwrap_udt("v")
+    return coded.select(
+        "p_partkey", parts["indices"][0].cast("bigint").alias("position"), parts["size"].cast("bigint").alias("size"))
+
+
 @query("scaler_roundtrip", "SELECT p_partkey, " + ", ".join(
     f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0.0::DOUBLE AS {c}" for c in SCALED
 ) + " FROM part")

@@ -6,8 +6,13 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import describe, plotdata, quality, ranks
+from plumbline.functions.columns import small_table
+from plumbline.operators import clean, describe, plotdata, quality, ranks
+from plumbline.operators.quantiles import quantiles
 from plumbline.workload.inputs import (
+    ODD_SQL,
+    odd_events,
+    ORDER_42,
     COPIES_SQL,
     DIRTY_SQL,
     PREDICTIONS_SQL,
@@ -44,11 +49,11 @@ def _negative(spark, folder):
 
 @query("dq_infinite", union_sql(
     f"""SELECT 'no_infinite' AS "check", '{c}' AS "column", count(*) FILTER (isinf(CAST({c} AS DOUBLE))) = 0 AS passed,
-    CAST(count(*) FILTER (isinf(CAST({c} AS DOUBLE))) AS DOUBLE) AS value FROM supplier"""
-    for c in ("s_suppkey", "s_nationkey", "s_acctbal")
+    CAST(count(*) FILTER (isinf(CAST({c} AS DOUBLE))) AS DOUBLE) AS value FROM {ODD_SQL}"""
+    for c in ("event_id", "value")
 ))
 def _infinite(spark, folder):
-    return quality.infinite_check(table(spark, folder, "supplier"))
+    return quality.infinite_check(odd_events(spark, folder))
 
 
 @query("dq_expected_columns", """
@@ -127,22 +132,43 @@ def _outliers(spark, folder):
     return rounded(quality.outlier_summary(table(spark, folder, "events"), ["value", "user_id"]), 6)
 
 
-@query("dq_outliers_zscore", """
-SELECT 'value' AS "column", count(*) FILTER (value < m - 3 * s OR value > m + 3 * s) AS outliers,
+@query("dq_outliers_zscore", f"""
+SELECT 'value' AS "column", count(*) FILTER (NOT isnan(value) AND (value < m - 3 * s OR value > m + 3 * s)) AS outliers,
        round(any_value(m - 3 * s), 6) AS lower_bound, round(any_value(m + 3 * s), 6) AS upper_bound
-FROM events, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events)
+FROM {ODD_SQL}, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM {ODD_SQL} WHERE isfinite(value))
 """)
 def _zscore(spark, folder):
-    return rounded(quality.outlier_summary(table(spark, folder, "events"), ["value"], method="zscore"), 6)
+    return rounded(quality.outlier_summary(odd_events(spark, folder), ["value"], method="zscore"), 6)
 
 
-@query("dq_cap_outliers", """
-SELECT event_id, round(greatest(lo, least(hi, value)), 6) AS value
-FROM events, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
-  (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events))
+QUANTILE_PLACES = (0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+@query("quantiles_infinite", union_sql(
+    f"""SELECT {p}::DOUBLE AS p, round(quantile_cont(value, {p}), 6) AS value FROM {ODD_SQL} WHERE NOT isnan(value)"""
+    for p in QUANTILE_PLACES
+))
+def _quantiles_infinite(spark, folder):
+    found = quantiles(odd_events(spark, folder), ["value"], QUANTILE_PLACES)["value"]
+    return rounded(small_table(spark, list(zip(QUANTILE_PLACES, found)), "p double, value double"), {"value": 6})
+
+
+@query("dq_rules_missing", f"""
+SELECT event_id, NOT isnan(value) AND value >= 0 AS valid,
+       CASE WHEN NOT isnan(value) AND value >= 0 THEN '' ELSE 'value_range' END AS violations FROM {ODD_SQL}
+""")
+def _rules_missing(spark, folder):
+    checked = quality.apply_rules(odd_events(spark, folder), [quality.between("value", 0)])
+    return checked.select("event_id", "valid", F.concat_ws(",", "violations").alias("violations"))
+
+
+@query("dq_cap_outliers", f"""
+SELECT event_id, CASE WHEN NOT isnan(value) THEN round(greatest(lo, least(hi, value)), 6) END AS value
+FROM {ODD_SQL}, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
+  (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM {ODD_SQL} WHERE NOT isnan(value)))
 """)
 def _cap(spark, folder):
-    events = table(spark, folder, "events").select("event_id", "value")
+    events = odd_events(spark, folder)
     return rounded(quality.cap_outliers(events, quality.iqr_bounds(events, ["value"])), 6)
 
 
@@ -304,13 +330,14 @@ def _share(spark, folder):
 
 @query("missing_total", f"""
 SELECT CAST({" + ".join(f"(count(*) - count({c}))" for c in DIRTY_COLUMNS)} AS BIGINT) AS before,
-       CAST(0 AS BIGINT) AS after
+       CAST(count(*) - count(l_returnflag) AS BIGINT) AS after
 FROM {DIRTY_SQL}
 """)
 def _missing_total(spark, folder):
     dirty = dirty_lineitem(spark, folder)
-    counts = [describe.missing_total(dirty), describe.missing_total(dirty.dropna())]
-    return spark.createDataFrame([tuple(counts)], "before bigint, after bigint")
+    counted = dirty.withColumn("before", describe.missing_cells(dirty))
+    filled = clean.impute(counted, {"l_discount": 0.5, "l_tax": 0.5})
+    return filled.agg(F.sum("before").alias("before"), F.sum(describe.missing_cells(filled, dirty.columns)).alias("after"))
 
 
 # --- plot data -----------------------------------------------------------------
@@ -438,8 +465,8 @@ def _scatter_bins(spark, folder):
     return plotdata.scatter_bins(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", 20)
 
 
-@query("scatter_points", """
-SELECT o_custkey, o_totalprice FROM orders ORDER BY md5(concat_ws('|', o_orderkey, '42')) LIMIT 1000
+@query("scatter_points", f"""
+SELECT o_custkey, o_totalprice FROM orders ORDER BY {ORDER_42} LIMIT 1000
 """)
 def _scatter_points(spark, folder):
     return plotdata.scatter_points(table(spark, folder, "orders"), "o_custkey", "o_totalprice", ["o_orderkey"])

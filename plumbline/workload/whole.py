@@ -8,7 +8,7 @@ from plumbline.operators import clean, registry, training
 from plumbline.plans import evaluate, prepare, profile, train
 from plumbline.session import scratch_path
 from plumbline.sources.tables import load_table
-from plumbline.workload.inputs import LINE_KEY, line_features
+from plumbline.workload.inputs import LINE_KEY, ORDER_42, line_features
 from plumbline.workload.modelling import FEATURES_SQL, RIDGE_SPACE, neighbour_sql, ridge_sql
 from plumbline.workload.profiling import _categorical_sql, _iqr_sql, _summary_sql
 from plumbline.workload.registry import query, rounded, table, union_sql
@@ -51,7 +51,8 @@ PREPARE = prepare.PrepareOptions(
     keys=("o_orderkey",),
     target="o_totalprice_log",
     test_size=500,
-    cleaning=clean.CleaningPlan(year_column="year", drop=("year", "o_clerk")),
+    cleaning=clean.CleaningPlan(
+        missing="mean", missing_columns=("priority",), year_column="year", drop=("year", "o_clerk")),
     log_columns=("o_totalprice",),
     sqrt_columns=("o_custkey",),
     encode=("o_orderstatus",),
@@ -68,27 +69,31 @@ def _orders(spark, folder):
 
 
 def _scaled(c):
-    return f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 5) + 0.0::DOUBLE"
+    """Scaled by the training half."""
+    train = f"FILTER (part = 'train') OVER ()"
+    return f"round(({c} - avg({c}) {train}) / stddev_pop({c}) {train}, 5) + 0.0::DOUBLE"
 
 
 @query("prepare_plan", f"""
 WITH raw AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, year(o_orderdate) AS year,
     CASE WHEN o_orderpriority <> '5-LOW' THEN length(o_orderpriority) END AS priority,
-    row_number() OVER (ORDER BY md5(concat_ws('|', o_orderkey, '42'))) AS place FROM orders),
-part AS (SELECT *, max(year) OVER () AS top FROM raw WHERE place > 500),
-kept AS (SELECT min(o_orderkey) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, year, priority, any_value(top) AS top
-    FROM part WHERE priority IS NOT NULL GROUP BY o_custkey, o_orderstatus, o_totalprice, year, priority),
-f AS (SELECT o_orderkey, ln(1 + o_totalprice) AS o_totalprice_log, priority, top - year AS age, sqrt(o_custkey) AS o_custkey_sqrt,
+    row_number() OVER (ORDER BY {ORDER_42}) AS place FROM orders),
+part AS (SELECT * REPLACE (coalesce(priority, (SELECT avg(priority) FROM raw WHERE place > 500)) AS priority),
+    (SELECT max(year) FROM raw WHERE place > 500) AS top, CASE WHEN place > 500 THEN 'train' ELSE 'test' END AS part FROM raw),
+kept AS (SELECT part, min(o_orderkey) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, year, priority, any_value(top) AS top
+    FROM part GROUP BY part, o_custkey, o_orderstatus, o_totalprice, year, priority),
+f AS (SELECT part, o_orderkey, ln(1 + o_totalprice) AS o_totalprice_log, priority, top - year AS age, sqrt(o_custkey) AS o_custkey_sqrt,
     CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS f, CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS o,
     CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS p FROM kept)
-SELECT o_orderkey, round(o_totalprice_log, 5) AS o_totalprice_log, {_scaled('priority')} AS priority, {_scaled('age')} AS age,
+SELECT part, o_orderkey, round(o_totalprice_log, 5) AS o_totalprice_log, {_scaled('priority')} AS priority, {_scaled('age')} AS age,
     {_scaled('o_custkey_sqrt')} AS o_custkey_sqrt, {_scaled('f')} AS "o_orderstatus_F", {_scaled('o')} AS "o_orderstatus_O",
     {_scaled('p')} AS "o_orderstatus_P" FROM f
 """)
 def _prepare(spark, folder):
     done = prepare.prepare(_orders(spark, folder), PREPARE)
     paths = prepare.write_prepared(done, scratch_path(spark, "prepared"), 1)
-    return rounded(load_table(spark, paths["train"]), 5)
+    halves = [load_table(spark, paths[p]).withColumn("part", F.lit(p)) for p in ("train", "test")]
+    return rounded(halves[0].unionByName(halves[1]), 5)
 
 
 SMALL = {
