@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +59,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_owners: list[list[str]] = []
+
+
+def owned(path: str) -> str:
+    """Hand a stored table to the innermost block of :func:`temporary_tables`, if there is one."""
+    if _owners:
+        _owners[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table through Spark's file systems."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, when the block ends, the intermediate tables that operators stored inside it.
+
+    Take results inside the block: they are read from these tables. Without a block the tables stay
+    in the shared folder until it is cleared.
+    """
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for path in _owners.pop():
+            delete_path(spark, path)
+
+
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Compute ``df`` once: write it below the shared folder and read it back.
 
     The lineage ends at a stored table, so lost executors cost no recomputation,
     and later reads prune columns and partitions.
     """
-    path = scratch_path(df.sparkSession, "table")
+    path = owned(scratch_path(df.sparkSession, "table"))
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """The shared folder follows the session's setting."""
 
+import os
 import subprocess
 import sys
 
@@ -57,3 +58,12 @@ def test_cluster_needs_the_setting():
 
 def test_local_session_keeps_its_folder(spark):
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_temporary_tables_are_deleted_at_the_end_of_their_block(spark):
+    with session.temporary_tables(spark):
+        kept = session.materialize(spark.range(5))
+        path = kept.inputFiles()[0]
+        assert kept.count() == 5 and os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert session.materialize(spark.range(3)).count() == 3
