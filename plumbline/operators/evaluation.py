@@ -73,7 +73,7 @@ def shuffled_neighbours(
     return dealt.withColumn("__donor", donor).select(*[quoted(c) for c in df.columns], "__donor.*")
 
 
-def permutation_importance(
+def permutation_drops(
     df: DataFrame,
     predict: Predict,
     features: Sequence[str],
@@ -83,7 +83,7 @@ def permutation_importance(
     seed: int = 42,
     bucket_rows: int = _BUCKET_ROWS,
 ) -> DataFrame:
-    """Loss of r2 when a feature is shuffled: mean and population deviation over repeats.
+    """(feature, repeat, drop): loss of r2 when a feature is shuffled, for each repeat.
 
     The donor row of a repeat serves all features, so shuffles grow with the
     repeats but not with the features. ``predict`` adds a ``prediction`` to a
@@ -116,9 +116,27 @@ def permutation_importance(
             rows.select(F.lit(r).alias("repeat"), quoted(label), F.explode(F.array(*variants)).alias("v"))
             .select("repeat", quoted(label), "v.*")
         )
-    drops = predict(union_all(parts)).groupBy("feature", "repeat").agg(
+    return predict(union_all(parts)).groupBy("feature", "repeat").agg(
         ((F.avg(squared) - F.lit(base["mse"])) / F.lit(base["spread"] or math.nan)).alias("drop")
     )
+
+
+def permutation_importance(
+    df: DataFrame,
+    predict: Predict,
+    features: Sequence[str],
+    keys: Sequence[str],
+    label: str = "label",
+    repeats: int = 10,
+    seed: int = 42,
+    bucket_rows: int = _BUCKET_ROWS,
+) -> DataFrame:
+    """Loss of r2 when a feature is shuffled: mean and population deviation over repeats."""
+    return importance_summary(permutation_drops(df, predict, features, keys, label, repeats, seed, bucket_rows))
+
+
+def importance_summary(drops: DataFrame) -> DataFrame:
+    """Mean, deviation and place of each feature from the drops of all repeats."""
     summary = drops.groupBy("feature").agg(
         F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")
     )
@@ -197,8 +215,14 @@ def noise_robustness(
     seed: int = 42,
 ) -> DataFrame:
     """Errors on the features as they are and with noise: (data, n, mse, ...)."""
-    clean = predict(df).select(F.lit("clean").alias("data"), quoted(label).alias("label"), "prediction")
-    noisy = predict(add_noise(df, features, keys, scale, seed)).select(
-        F.lit("noisy").alias("data"), quoted(label).alias("label"), "prediction"
-    )
-    return regression_metrics(clean.unionByName(noisy), by=["data"])
+    # Both versions of a row come from one scan.
+    names = list(dict.fromkeys([*features, label]))
+    noise = {c: hashing.normal(hashing.digest(keys, f"{seed}.{i}")) for i, c in enumerate(features)}
+    versions = F.array(*[
+        F.struct(F.lit(data).alias("data"), *[
+            (quoted(c) + F.lit(float(scale)) * noise[c] if data == "noisy" and c in noise else quoted(c).cast("double")).alias(c)
+            for c in names])
+        for data in ("clean", "noisy")])
+    rows = df.select(F.explode(versions).alias("__v")).select("__v.*")
+    scored = predict(rows).select("data", quoted(label).alias("label"), "prediction")
+    return regression_metrics(scored, by=["data"])

@@ -85,7 +85,7 @@ _SPARK_NAMES = {
     "Ridge": {"alpha": "alpha", "max_iter": "maxIter"},
     "RandomForest": {
         "n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode",
-        "max_features": "featureSubsetStrategy", "max_bins": "maxBins",
+        "max_features": "featureSubsetStrategy", "max_bins": "maxBins", "bootstrap": "bootstrap",
     },
     "XGBoost": {
         "n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",

@@ -15,11 +15,14 @@ from plumbline.sources.reports import write_report
 
 @dataclass(frozen=True)
 class ProfileOptions:
+    """Options of the profile; ``shares`` names columns whose values are counted with their shares."""
+
     expected_columns: tuple[str, ...] = ()
     target: str | None = None
     exclude_from_counts: tuple[str, ...] = ()
     correlations: tuple[str, ...] = ("pearson",)
     bins: int | str = "auto"
+    shares: tuple[str, ...] = ()
     strict: bool = True
 
 
@@ -52,6 +55,11 @@ def profile(df: DataFrame, options: ProfileOptions = ProfileOptions()) -> dict[s
     if words:
         parts["categorical_summary"] = describe.categorical_summary(df, words)
         parts["count_plot"] = plotdata.count_plot(df, words, options.exclude_from_counts)
+    if options.shares:
+        parts["value_share"] = union_all([
+            describe.value_share(df, c).select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "count", "share")
+            for c in options.shares
+        ])
     return parts
 
 

@@ -233,18 +233,31 @@ def neighbour_sql(seed: str) -> str:
           ORDER BY {digest}"""
 
 
-def _importance_sql():
+def _drops_sql():
+    """Errors after each repeat's shuffle of each feature, and without one."""
     parts = []
     for r in range(IMPORTANCE_REPEATS):
         order = f"OVER ({neighbour_sql(f'42.{r}')})"
         pairs = f"""(SELECT label, l_quantity, l_discount,
           coalesce(lead(l_quantity) {order}, first_value(l_quantity) {order}) AS dq,
           coalesce(lead(l_discount) {order}, first_value(l_discount) {order}) AS dd FROM {FEATURES_SQL})"""
-        parts.append(f"SELECT 'l_quantity' AS feature, avg(pow(label - 1000 * dq * (1 - l_discount), 2)) AS m FROM {pairs}")
-        parts.append(f"SELECT 'l_discount' AS feature, avg(pow(label - 1000 * l_quantity * (1 - dd), 2)) AS m FROM {pairs}")
+        parts.append(f"SELECT {r} AS repeat, 'l_quantity' AS feature, avg(pow(label - 1000 * dq * (1 - l_discount), 2)) AS m FROM {pairs}")
+        parts.append(f"SELECT {r} AS repeat, 'l_discount' AS feature, avg(pow(label - 1000 * l_quantity * (1 - dd), 2)) AS m FROM {pairs}")
     return f"""
 WITH m AS ({union_sql(parts)}),
-b AS (SELECT avg(pow(label - 1000 * l_quantity * (1 - l_discount), 2)) AS mse, var_pop(label) AS spread FROM {FEATURES_SQL}),
+b AS (SELECT avg(pow(label - 1000 * l_quantity * (1 - l_discount), 2)) AS mse, var_pop(label) AS spread FROM {FEATURES_SQL})"""
+
+
+@query("importance_repeats", _drops_sql() + "SELECT feature, repeat, round((m - mse) / spread, 6) AS drop FROM m, b")
+def _importance_repeats(spark, folder):
+    found = evaluation.permutation_drops(
+        line_features(spark, folder), _formula, ["l_quantity", "l_discount"], LINE_KEY, repeats=IMPORTANCE_REPEATS
+    )
+    return rounded(found, 6)
+
+
+def _importance_sql():
+    return _drops_sql() + f""",
 s AS (SELECT feature, avg((m - mse) / spread) AS mean, stddev_pop((m - mse) / spread) AS std FROM m, b GROUP BY feature)
 SELECT feature, round(mean, 6) AS importance_mean, round(std, 6) AS importance_std,
        CAST(row_number() OVER (ORDER BY mean DESC, feature) AS INTEGER) AS place FROM s"""
@@ -277,7 +290,49 @@ def _noise(spark, folder):
     return _metrics(found)
 
 
-# --- trees: no SQL counterpart ------------------------------------------------------------
+# --- trees ------------------------------------------------------------------------------
+
+# On one 0/1 feature a tree of depth 1 predicts the mean label of each group, and boosting that takes
+# the whole first step has nothing left to add.
+GROUP_MEANS_SQL = f"""(SELECT {KEY_SQL}, label, l_returnflag, avg(label) OVER (PARTITION BY l_returnflag = 'A') AS prediction
+    FROM (SELECT *, 1000 * l_quantity * (1 - l_discount) + 0.01 * l_extendedprice AS label FROM lineitem))"""
+STUMPS = {
+    "RandomForest": {"n_estimators": 2, "max_depth": 1, "bootstrap": False},
+    "XGBoost": {"n_estimators": 2, "max_depth": 1, "learning_rate": 1.0},
+    "LightGBM": {"n_estimators": 2, "max_depth": 1, "learning_rate": 1.0, "num_leaves": 2},
+}
+
+
+def _two_groups(spark, folder):
+    """Label and a flag for one of the return flags."""
+    return table(spark, folder, "lineitem").select(
+        *LINE_KEY, (F.col("l_returnflag") == "A").cast("double").alias("flag"),
+        (F.lit(1000) * F.col("l_quantity") * (F.lit(1) - F.col("l_discount")) + F.lit(0.01) * F.col("l_extendedprice")).alias("label"))
+
+
+def _stump(name):
+    def scored(spark, folder):
+        frame = _two_groups(spark, folder)
+        fitted = training.train(name, frame, ["flag"], params=STUMPS[name])
+        return rounded(fitted.transform(frame).select(*LINE_KEY, "prediction"), 3)
+
+    return scored
+
+
+for _model, _name in (("RandomForest", "forest_two_groups"), ("XGBoost", "boosting_two_groups"), ("LightGBM", "light_boosting_two_groups")):
+    query(_name, f"SELECT {KEY_SQL}, round(prediction, 3) AS prediction FROM {GROUP_MEANS_SQL}")(_stump(_model))
+
+
+@query("baseline_errors", union_sql(
+    f"SELECT '{m}' AS model, count(*) AS n, round(avg(pow(label - prediction, 2)), 2) AS mse, "
+    f"round(avg(abs(label - prediction)), 4) AS mae FROM {GROUP_MEANS_SQL}" for m in STUMPS
+))
+def _baseline_errors(spark, folder):
+    frame = _two_groups(spark, folder)
+    models = training.train_baselines(frame, ["flag"], params=STUMPS)
+    errors = training.evaluate_models(frame, models).select("model", "n", "mse", "mae")
+    return rounded(errors, {"mse": 2, "mae": 4})
+
 
 SMALL_TREES = {
     "Ridge": {"alpha": 0.3},

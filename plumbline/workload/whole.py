@@ -47,6 +47,27 @@ def _profile(spark, folder):
     return rounded(profile.tidy({n: parts[n] for n in chosen}), 6)
 
 
+@query("profile_notebook", "SELECT part, item, metric, round(value, 6) + 0.0::DOUBLE AS value FROM (" + union_sql([
+    _melt_sql("value_share", union_sql(
+        f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS "count",
+        count(*)::DOUBLE / (SELECT count(*) FROM part) AS share FROM part GROUP BY {c}""" for c in PART_WORDS
+    ), """concat_ws('/', "column", value)""", ["count", "share"]),
+    _melt_sql("count_plot", union_sql(
+        f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS "count" FROM part GROUP BY {c}""" for c in PART_WORDS
+    ), """concat_ws('/', "column", value)""", ["count"]),
+    _melt_sql("correlation_pearson", union_sql(
+        f"""SELECT '{a}' AS x, '{b}' AS y, count(*) AS n, corr({a}, {b}) AS r FROM part""" for a in PART_NUMBERS for b in PART_NUMBERS
+    ), "concat_ws('/', x, y)", ["n", "r"]),
+    _melt_sql("numeric_summary", _summary_sql(PART_NUMBERS, "part", dict.fromkeys(SUMMARY, 6)), '"column"', SUMMARY),
+]) + ")")
+def _notebook(spark, folder):
+    """The interactive profile: value shares, counts, correlations and summaries."""
+    part = table(spark, folder, "part").select(*PART_NUMBERS, *PART_WORDS)
+    parts = profile.profile(part, profile.ProfileOptions(shares=tuple(PART_WORDS)))
+    chosen = ("value_share", "count_plot", "correlation_pearson", "numeric_summary")
+    return rounded(profile.tidy({n: parts[n] for n in chosen}), 6)
+
+
 PREPARE = prepare.PrepareOptions(
     keys=("o_orderkey",),
     target="o_totalprice_log",
