@@ -322,7 +322,9 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
                 over = (letters >= LEAST_LETTERS) & (entropy > its.limit[best]) if its.languages else none
                 yield part.filter(pa.array(~(none | over)))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Plain names inside, because columns may have any names.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

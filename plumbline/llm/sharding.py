@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.columns import quoted
 from plumbline.llm.stored import Stored
 
 #: Bytes of text in a bucket, on average.
@@ -84,12 +85,14 @@ def shuffle(
     spark = docs.sparkSession
     stored = Stored(spark)
     made = ["size", "text_crc32", "bucket", "place", "shard", "slot", "copy"]
-    columns = [c for c in docs.columns if c.lower() not in made]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    records = docs.select(
-        *(F.col(f"`{c}`") for c in columns), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"))
-    key = [F.col(f"`{id_col}`"), F.col("size"), F.col("text_crc32")]
+    kept = [c for c in docs.columns if c.lower() not in made]
+    # Plain names inside, because columns may have any names.
+    columns = [f"c{i}" for i in range(len(kept))]
+    place_of = {c.lower(): f"c{i}" for i, c in enumerate(kept)}
+    text = F.coalesce(F.col(place_of[text_col.lower()]).cast("string"), F.lit(""))
+    records = docs.select(*(quoted(c).alias(p) for c, p in zip(kept, columns))).select(
+        *columns, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    key = [F.col(place_of[id_col.lower()]), F.col("size"), F.col("text_crc32")]
     counted = stored.table(
         records.groupBy(F.xxhash64(F.lit(seed), *key).alias("mark")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")))
     total, most = counted.agg(F.sum("bytes"), F.max("n")).first()
@@ -109,7 +112,7 @@ def shuffle(
     own = [*columns, "size", "text_crc32"]
     ordered = (
         scattered.repartition(F.col("bucket")).sortWithinPartitions("bucket", F.xxhash64(F.lit(seed + 2), "mark", "copy"), "mark", "copy")
-        .select(*(F.col(f"`{c}`") for c in own), "bucket")
+        .select(*own, "bucket")
     )
     schema = T.StructType([*ordered.schema.fields, T.StructField("place", T.LongType())])
     written = stored.table(ordered.mapInArrow(_shuffle_buckets(seed, own), schema), keep=True)
@@ -132,7 +135,7 @@ def shuffle(
         shard, slot = at, F.lit(0)
     stored.close()
     return written.join(starts, "bucket").select(
-        *(F.col(f"`{c}`") for c in own), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+        *(F.col(p).alias(c) for c, p in zip(kept, columns)), "size", "text_crc32", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from plumbline.llm import sharding
 
 
@@ -47,7 +49,7 @@ def test_copies_of_one_row_are_scattered(spark):
 
 def test_edges(spark):
     df = spark.createDataFrame(
-        [(None, None, 1), (None, "x", 2), (3, "", 3), (3, None, 3), (4, "é" * 100_000, 4)], "doc_id long, text string, size int")
+        [(None, None, 1), (None, "x", 2), (3, "", 3), (3, None, 3), (4, "é" * 100_000, 4)], "doc_id long, text string, size int").withColumn("a.b", F.lit(1))
     rows = checked(df, 5)
     assert Counter(str(r.doc_id) for r in rows) == {"None": 2, "3": 2, "4": 1}
     assert sharding.shuffle(df.limit(0)).count() == 0
