@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; one longer text is taken alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

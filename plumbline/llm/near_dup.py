@@ -208,8 +208,8 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
             pass
 
 
-def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, percent: int) -> DataFrame:
-    """Links (a, b) among ``requests`` (a, block, others): full sets are compared.
+def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
+    """Links (a, b) among ``requests`` (a, block, others): full sets are compared, where fine signatures are near.
 
     The sets of a block meet the requests for it in one task, which holds the block's
     sets only and streams the requests. A block with many requests is copied to
@@ -218,36 +218,35 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, percent: int) ->
     salts = requests.groupBy("block").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(4096)).cast("int").alias("salts"))
     held = (
-        sets.select("node", "set", F.pmod("spot", F.lit(blocks)).alias("block")).join(salts, "block")
+        sets.select("node", "set", "fine", F.pmod("spot", F.lit(blocks)).alias("block")).join(salts, "block")
         .select("block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"),
-                "node", "set", F.expr("cast(null as array<long>)").alias("others"))
+                "node", "set", "fine", F.expr("cast(null as array<long>)").alias("others"))
     )
     asked = (
         requests.join(salts, "block")
-        .join(sets.select(F.col("node").alias("a"), "set"), "a")
+        .join(sets.select(F.col("node").alias("a"), "set", "fine"), "a")
         .select("block", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"),
-                F.col("a").alias("node"), "set", "others")
+                F.col("a").alias("node"), "set", "fine", "others")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, ["block", "salt"]):
-            known: dict[int, np.ndarray] = {}
+            known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for part in rows:
                 found_a, found_b = [], []
-                for side, rep, cell, others in zip(*(part.column(c).to_pylist() for c in ("side", "node", "set", "others"))):
-                    own = np.frombuffer(cell, np.uint64)
+                for side, node, cell, fine, others in zip(*(part.column(c).to_pylist() for c in ("side", "node", "set", "fine", "others"))):
+                    own, fine = np.frombuffer(cell, np.uint64), np.frombuffer(fine, np.uint8)
                     if side == 0:
-                        known[rep] = own
+                        known[node] = own, fine
                         continue
-                    for other in others:
-                        its = known[other]
-                        if 100 * min(len(own), len(its)) < percent * max(len(own), len(its)):
-                            continue
+                    apart = (np.stack([known[other][1] for other in others]) != fine).sum(axis=1)
+                    for other in np.array(others)[apart <= scheme.fine_distance].tolist():
+                        its = known[other][0]
                         both = np.concatenate([own, its])
                         both.sort()
                         shared = int((both[1:] == both[:-1]).sum())
-                        if 100 * shared >= percent * (len(both) - shared):
-                            found_a.append(rep)
+                        if 100 * shared >= scheme.percent * (len(both) - shared):
+                            found_a.append(node)
                             found_b.append(other)
                 yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
@@ -257,8 +256,8 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, percent: int) ->
     )
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
-    """Requests for pairs that share a key, lie in different components and are near by both signatures.
+def _open_pairs(members: DataFrame, labels: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
+    """Requests for pairs that share a key, lie in different components and are near by their signatures.
 
     In each key only members outside its main component ask, and they meet all
     other members in blocks.
@@ -274,8 +273,8 @@ def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks:
         .filter("parts > 1")
         .select("key", "main", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int").alias("cuts"))
     )
-    rows = placed.join(mixed, "key").join(sets.select("node", "fine"), "node")
-    data = ["node", "component", "place", "sig", "fine"]
+    rows = placed.join(mixed, "key")
+    data = ["node", "component", "place", "sig"]
     held = rows.select("key", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int").alias("cut"), F.lit(0).alias("side"), *data)
     asking = rows.filter("component <> main").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), F.lit(1).alias("side"), *data)
@@ -286,19 +285,18 @@ def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, blocks:
             for part in parts:
                 side = part.column("side").to_numpy()
                 rep, part_of, place = (part.column(c).to_numpy() for c in ("node", "component", "place"))
-                sig, fine = _matrix(part.column("sig"), SIZE), _matrix(part.column("fine"), FINE_SIZE)
+                sig = _matrix(part.column("sig"), SIZE)
                 here = side == 0
                 if here.any():
-                    kept.append((rep[here], part_of[here], sig[here], fine[here]))
+                    kept.append((rep[here], part_of[here], sig[here]))
                 if here.all() or not kept:
                     continue
-                k_rep, k_part, k_sig, k_fine = (np.concatenate(x) for x in zip(*kept))
+                k_rep, k_part, k_sig = (np.concatenate(x) for x in zip(*kept))
                 out_a, out_block, out_others = [], [], []
                 for i in np.flatnonzero(~here):
                     other = k_part != part_of[i]
                     same = k_sig == sig[i]
                     near = other & ((~same).sum(axis=1) <= scheme.distance)
-                    near[near] = (k_fine[near] != fine[i]).sum(axis=1) <= scheme.fine_distance
                     at = np.flatnonzero(near)
                     if len(at):
                         # A pair counts in the first key it shares.
@@ -379,10 +377,22 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         leaders.join(sets.select(F.col("node").alias("lead"), F.pmod("spot", F.lit(blocks)).alias("block")), "lead")
         .groupBy("a", "block").agg(F.collect_set("lead").alias("others"))
     )
-    links = stored.table(_confirm(requests, sets, blocks, percent))
-    labels = components(links, stored)
-    more = stored.table(_confirm(stored.table(_open_pairs(members.drop("least", "most"), labels, sets, blocks, scheme)), sets, blocks, percent))
-    labels = components(links.unionByName(more), stored)
+    links = stored.table(_confirm(requests, sets, blocks, scheme))
+    labels = stored.table(components(links, stored))
+    # Groups without id have no set and are linked with nothing.
+    held = sets.select("node")
+    pairs = stored.table(_open_pairs(members.drop("least", "most").join(held, "node", "left_semi"), labels, blocks, scheme))
+    more = _confirm(pairs, sets, blocks, scheme)
+    # Links between components tie these components.
+    label = labels.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    more = more.join(label, "a", "left").join(label.withColumnsRenamed({"a": "b", "of_a": "of_b"}), "b", "left")
+    more = stored.table(more.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).distinct())
+    above = stored.table(components(more, stored))
+    above = above.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    labels = (
+        labels.unionByName(above.select(F.col("component").alias("node"), "component").join(labels.select("node"), "node", "left_anti"))
+        .join(above, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    )
 
     found = groups.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
