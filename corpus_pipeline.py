@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.llm import decontaminate, langid, near_dup, packing
 from plumbline.llm.stored import Stored
@@ -34,8 +35,8 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of power-of-two lengths, each from one document."""
-    return packing.digest(packing.pieces(docs))
+    """Sequences of power-of-two lengths, each from one document, with their token ids and a checksum."""
+    return packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
