@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import probability as prob
 from plumbline.functions.columns import known, quoted, require_columns, small_table
 from plumbline.operators import ranks
+from plumbline.session import materialize
 
 
 def _group_moments(df: DataFrame, value: str, group: str, levels: Sequence | None = None) -> DataFrame:
@@ -105,7 +106,8 @@ def chi_squared(df: DataFrame, a: str, b: str, correction: bool = True) -> DataF
     n * (sum of observed^2 / (row total * column total) - 1).
     """
     require_columns(df, [a, b])
-    cells = (
+    # The cells are stored: the table is read and shuffled once for all that follows.
+    cells = materialize(
         df.select(quoted(a).cast("string").alias("a"), quoted(b).cast("string").alias("b"))
         .dropna()
         .groupBy("a", "b")
@@ -115,13 +117,8 @@ def chi_squared(df: DataFrame, a: str, b: str, correction: bool = True) -> DataF
     column_totals = cells.groupBy("b").agg(F.sum("o").alias("cb"))
     full = cells.join(row_totals, "a").join(column_totals, "b")
     share = F.col("o").cast("double") / F.col("ra") * F.col("o") / F.col("cb")
-    row = full.agg(
-        F.sum("o").alias("n"),
-        F.count_distinct("a").alias("r"),
-        F.count_distinct("b").alias("c"),
-        F.sum(share).alias("s"),
-    ).first()
-    n, r, c = row["n"] or 0, row["r"], row["c"]
+    row = full.agg(F.sum("o").alias("n"), F.sum(share).alias("s")).first()
+    n, r, c = row["n"] or 0, row_totals.count(), column_totals.count()
     degrees = (r - 1) * (c - 1)
     statistic = None
     if n and degrees == 0:
@@ -129,7 +126,7 @@ def chi_squared(df: DataFrame, a: str, b: str, correction: bool = True) -> DataF
     elif n:
         statistic = n * (row["s"] - 1.0)
         if correction and r == 2 and c == 2:
-            statistic = _yates(full)
+            statistic = _yates(cells)
     p = prob.chi2_upper(df.sparkSession, statistic, degrees)
     return small_table(
         df.sparkSession, [(statistic, float(degrees), p)], "statistic double, df double, p_value double"
