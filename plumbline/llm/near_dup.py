@@ -8,8 +8,8 @@ then has at most one differing component. Writing each chunk once per component
 that may be wrong (that component left out) gives ``SIZE`` keys, and all pairs
 within the distance share a key. Distance and chunks follow from the similarity asked for.
 
-Pairs are never listed inside a key. Members are first tied to two leaders of their
-key and confirmed on full sets; only keys whose members still lie in several
+Pairs are never listed inside a key. Members are first held against the nearest of the
+leaders (least and greatest node) of their keys, on full sets; only keys whose members still lie in several
 components are looked at again, members outside the key's main component against
 all others, in blocks of bounded size. So no link is lost and the copies of one
 text cost no pairs.
@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import (
@@ -39,7 +39,11 @@ FINE_SIZE = 512
 MISSED, FINE_MISSED = 1e-5, 1e-6
 #: Members of one key that are compared in one go, and bytes of sets held by one task.
 BLOCK_MEMBERS = 512
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 24 << 20
+#: Leaders that a text is first held against; all other pairs are found after that.
+LEADERS = 2
+#: Hash classes of ids by which texts are filtered before they are shuffled (bounds a broadcast).
+ID_CLASSES = 1 << 18
 #: Below this similarity chunks become so short that unlike texts share keys.
 LEAST_PERCENT = 60
 
@@ -117,11 +121,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
         run, "doc_id long, n_shingles long, node long, sig binary")
 
 
-def _keys(reps: DataFrame, scheme: _Scheme) -> DataFrame:
-    """(key, rep): the chunks of a signature with one component left out, each in turn."""
+def _keys(groups: DataFrame, scheme: _Scheme) -> DataFrame:
+    """(key, node): the chunks of a signature with one component left out, each in turn.
+
+    The low six bits of a key are the place of the component that was left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = random_words(SIZE, 41)
+        salt, places = random_words(SIZE, 41), np.arange(SIZE, dtype=np.uint64)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -131,12 +138,11 @@ def _keys(reps: DataFrame, scheme: _Scheme) -> DataFrame:
             for chunk in scheme.chunks:
                 whole = parts[:, chunk].sum(axis=1, dtype=np.uint64)
                 keys[:, chunk] = mix((whole[:, None] - parts[:, chunk]) ^ salt[chunk])
+            keys = (keys & ~np.uint64(SIZE - 1)) | places
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column("rep").to_numpy(), SIZE)),
-                 pa.array(np.tile(np.arange(SIZE, dtype=np.int32), len(keys)))],
-                ["key", "rep", "place"])
+                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), SIZE))], ["key", "node"])
 
-    return reps.select("rep", "sig").mapInArrow(run, "key long, rep long, place int")
+    return groups.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -161,6 +167,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
                     ["node", "set", "fine", "spot"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # Most texts are not wanted and are filtered by the hash class of their id, of which there
+    # are a fixed number, before the join shuffles what is left.
+    id_class = F.pmod(F.xxhash64("doc_id"), F.lit(ID_CLASSES)).cast("int")
+    classes = wanted.select(id_class.alias("id_class")).distinct()
+    texts = texts.withColumn("id_class", id_class).join(F.broadcast(classes), "id_class", "left_semi").drop("id_class")
     return texts.join(wanted, "doc_id").select("node", "text").mapInArrow(
         run, "node long, set binary, fine binary, spot int")
 
@@ -256,7 +267,7 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme)
     )
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
+def _open_pairs(members: DataFrame, groups: DataFrame, labels: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
     """Requests for pairs that share a key, lie in different components and are near by their signatures.
 
     In each key only members outside its main component ask, and they meet all
@@ -273,8 +284,8 @@ def _open_pairs(members: DataFrame, labels: DataFrame, blocks: int, scheme: _Sch
         .filter("parts > 1")
         .select("key", "main", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int").alias("cuts"))
     )
-    rows = placed.join(mixed, "key")
-    data = ["node", "component", "place", "sig"]
+    rows = placed.join(mixed, "key").join(groups.select("node", "sig"), "node")
+    data = ["node", "component", "sig"]
     held = rows.select("key", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int").alias("cut"), F.lit(0).alias("side"), *data)
     asking = rows.filter("component <> main").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), F.lit(1).alias("side"), *data)
@@ -284,7 +295,8 @@ def _open_pairs(members: DataFrame, labels: DataFrame, blocks: int, scheme: _Sch
             kept: list[tuple[np.ndarray, ...]] = []
             for part in parts:
                 side = part.column("side").to_numpy()
-                rep, part_of, place = (part.column(c).to_numpy() for c in ("node", "component", "place"))
+                rep, part_of = (part.column(c).to_numpy() for c in ("node", "component"))
+                place = part.column("key").to_numpy() & (SIZE - 1)
                 sig = _matrix(part.column("sig"), SIZE)
                 here = side == 0
                 if here.any():
@@ -354,13 +366,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     groups = stored.table(
         signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), keep=True)
 
-    keyed = _keys(groups.select(F.col("node").alias("rep"), "sig"), scheme).withColumnRenamed("rep", "node")
+    keyed = _keys(groups, scheme)
     shared = (
         keyed.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("node").alias("least"), F.max("node").alias("most"))
         .filter("n > 1").drop("n")
     )
-    members = stored.table(keyed.join(shared, "key").join(groups.select("node", "sig"), "node"))
+    members = stored.table(keyed.join(shared, "key"))
     wanted = members.select("node").distinct().join(groups.select("node", "doc_id"), "node").filter("doc_id is not null")
     sets = stored.table(full_sets(docs, wanted, id_col, text_col, width))
     total = sets.agg(F.sum(F.length("set"))).first()[0] or 0
@@ -370,8 +382,10 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         members.select("node", F.explode(F.array("least", "most")).alias("lead")).filter("node <> lead").distinct()
         .join(groups.select("node", F.col("sig").alias("sig_a")), "node")
         .join(groups.select(F.col("node").alias("lead"), F.col("sig").alias("sig_b")), "lead")
-        .filter(_distance("sig_a", "sig_b") <= scheme.distance)
-        .select(F.col("node").alias("a"), "lead")
+        .select(F.col("node").alias("a"), "lead", _distance("sig_a", "sig_b").alias("distance"))
+        .filter(F.col("distance") <= scheme.distance)
+        .withColumn("order", F.row_number().over(Window.partitionBy("a").orderBy("distance", "lead")))
+        .filter(F.col("order") <= LEADERS)
     )
     requests = (
         leaders.join(sets.select(F.col("node").alias("lead"), F.pmod("spot", F.lit(blocks)).alias("block")), "lead")
@@ -381,7 +395,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     labels = stored.table(components(links, stored))
     # Groups without id have no set and are linked with nothing.
     held = sets.select("node")
-    pairs = stored.table(_open_pairs(members.drop("least", "most").join(held, "node", "left_semi"), labels, blocks, scheme))
+    pairs = stored.table(_open_pairs(members.select("key", "node").join(held, "node", "left_semi"), groups, labels, blocks, scheme))
     more = _confirm(pairs, sets, blocks, scheme)
     # Links between components tie these components.
     label = labels.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
