@@ -1,8 +1,8 @@
 """Near duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
 A text is the set of its runs of ``width`` words. Its signature has ``SIZE``
-components of 8 bits. Two sets of similarity 0.85 differ in a component with
-probability 0.149, so their signatures are at a distance of at most 23 but for
+components of 16 bits. Two sets of similarity 0.85 differ in a component with
+probability 0.15, so their signatures are at a distance of at most 23 but for
 fewer than one pair in 100,000. By the pigeonhole principle, of 12 chunks at least one
 then has at most one differing component. Writing each chunk once per component
 that may be wrong (that component left out) gives ``SIZE`` keys, and all pairs
@@ -33,6 +33,8 @@ from plumbline.llm.components import components
 from plumbline.llm.stored import Stored
 
 SIZE = 64
+#: Bits of a component: few unlike texts then share the three or more components of a key.
+BITS = 16
 #: Components of the finer signature that picks pairs for the last check.
 FINE_SIZE = 512
 #: Share of linked pairs whose signatures may be further apart than the distance allowed.
@@ -49,8 +51,11 @@ LEAST_PERCENT = 60
 
 
 def _distance_for(percent: int, size: int, missed: float) -> int:
-    """Least distance that all but a share ``missed`` of the pairs of this similarity keep."""
-    differ = (1 - percent / 100) * 255 / 256
+    """Least distance that all but a share ``missed`` of the pairs of this similarity keep.
+
+    Components that agree by chance only bring signatures closer.
+    """
+    differ = 1 - percent / 100
     tail, at = 1.0, -1
     while tail > missed and at < size:
         at += 1
@@ -69,16 +74,16 @@ class _Scheme:
         self.chunks = np.array_split(np.arange(SIZE), self.distance // 2 + 1)
 
 
-def _signature(flat: np.ndarray, sizes: np.ndarray, size: int, seed: int) -> np.ndarray:
-    """b-bit MinHash signature (rows x size, 8 bits each); empty sets get zeros."""
+def _signature(flat: np.ndarray, sizes: np.ndarray, size: int, seed: int, kind: type = np.uint8) -> np.ndarray:
+    """b-bit MinHash signature (rows x size, the low bits of each minimum); empty sets get zeros."""
     times, plus = random_words(size, seed) | np.uint64(1), random_words(size, seed + 1)
-    result = np.zeros((len(sizes), size), np.uint8)
+    result = np.zeros((len(sizes), size), kind)
     has = sizes > 0
     if has.any():
         first = (np.cumsum(sizes) - sizes)[has]
         for k in range(size):
             least = np.minimum.reduceat((flat ^ plus[k]) * times[k], first)
-            result[has, k] = (mix(least) & np.uint64(255)).astype(np.uint8)
+            result[has, k] = mix(least).astype(kind)
     return result
 
 
@@ -97,14 +102,15 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, n
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    """A binary cell for each row of a matrix of bytes."""
+    """A binary cell for each row of a matrix."""
     rows = np.ascontiguousarray(rows)
+    rows = rows.view(np.uint8).reshape(len(rows), rows.shape[1] * rows.itemsize)
     offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
 
 
 def _matrix(cells: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(cells.to_pylist()), np.uint8).reshape(-1, width)
+    return np.frombuffer(b"".join(cells.to_pylist()), "<u2").reshape(-1, width)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -114,7 +120,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
         for batch in batches:
             for part, flat, sizes in _sets(batch, width):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes), pa.array(_digest(flat, sizes)), _binary(_signature(flat, sizes, SIZE, 5))],
+                    [part.column("doc_id"), pa.array(sizes), pa.array(_digest(flat, sizes)), _binary(_signature(flat, sizes, SIZE, 5, np.uint16))],
                     ["doc_id", "n_shingles", "node", "sig"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -177,17 +183,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 
 
 def _distance(a: str, b: str) -> Column:
-    """Differing components of two signatures, from sums over four bytes at a time."""
+    """Differing components of two signatures, two components at a time."""
 
     def word(name: str, i: int) -> Column:
         return F.conv(F.hex(F.substring(name, 4 * i + 1, 4)), 16, 10).cast("long")
 
     def differing(i: int) -> Column:
-        low = F.lit(0x7F7F7F7F)
+        low = F.lit(0x7FFF7FFF)
         x = word(a, i).bitwiseXOR(word(b, i))
-        return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(F.lit(0x80808080)))
+        return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(F.lit(0x80008000)))
 
-    return reduce(lambda x, y: x + y, [differing(i) for i in range(SIZE // 4)])
+    return reduce(lambda x, y: x + y, [differing(i) for i in range(SIZE * BITS // 32)])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, Iterator[pa.RecordBatch]]]:
