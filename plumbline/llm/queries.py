@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import class_lm, decontaminate, langid, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
+from plumbline.llm.stored import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents: 3-word runs, similarity 0.85 or more."""
+    small_batches(spark)
     return near_dup.link(_table(spark, sf_dir, "documents"))
 
 

@@ -11,6 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.session import scratch_path
 
 
+#: Rows that travel between Spark and a Python worker at once, where rows hold whole texts.
+TEXT_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``TEXT_ROWS`` rows.
+
+    The default of 10,000 rows is made for numbers; with texts of some kilobytes each batch takes
+    tens of megabytes in the executor and again in its Python worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+
+
 def share(spark: SparkSession, value: Any) -> Broadcast:
     """Broadcast an object of this package to workers that may not have the package."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
