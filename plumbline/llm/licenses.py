@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules.
 
-Each text is cut into sentences, which are normalised and mapped to the identifiers of
-known licence sentences. The sequence of identifiers is matched against ordered rules:
+Each text is cut into pieces at sentence marks and line breaks, which are normalised.
+Known licence sentences are found as one piece or as several that follow each other, so that
+wrapped notices count, and become identifiers. The sequence of identifiers is matched against ordered rules:
 a rule is a run of identifiers that names a licence, and rules with longer runs
 come first, so that a notice is not taken for a part of itself. DataFrame functions
 only; the texts stay in their rows.
@@ -9,6 +10,8 @@ only; the texts stay in their rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +84,13 @@ RULES: list[tuple[tuple[str, ...], str]] = [
 ]
 
 # Every known sentence has one of these words, so a text without them has none.
-HINT = "(?i)licen[sc]e|permission|redistribut|copyright|warranty|rights reserved"
+HINT = "(?i)licen[sc]e|permission|redistribut|copyright|warranty|rights[^a-z0-9]+reserved"
 
 #: The end of a sentence: a mark before white space, unless a number follows ("v. 2.0").
 SENTENCE_END, LINE = r"[.!?;:][ \t\f\r\n\x0B]+([^0-9 \t\f\r\n\x0B])", r"[\r\n]+"
+#: No known sentence goes on beyond these marks; beyond line breaks, ';' and ':' it may,
+#: and beyond a dot before a number, also with comment marks between.
+FULL_STOP = r"(?<=[^ \t\f\r\n\x0B.!?])[.!?]+[ \t\f\r\n\x0B]+(?=[^0-9 \t\f\r\n\x0B])(?![^a-zA-Z0-9]{0,8}[0-9])"
 OTHER = r"[^a-z0-9.]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 EDGE = r"^[ .]+|[ .]+$"
@@ -101,14 +107,33 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(marked, LINE), normalised), lambda s: s != "")
 
 
+def _pieces(text: Column) -> Column:
+    """The normalised sentences of a text as lines, with a form feed after each full stop."""
+    return F.array_join(F.transform(F.split(text, FULL_STOP), lambda s: F.array_join(sentences(s), "\n")), "\f")
+
+
+def _any_of(known: list[str]) -> str:
+    """A pattern for whole lines that are one of the sentences when joined, the longest at a place.
+
+    A dot at the end of a word is lost at a line break.
+    """
+    def words(sentence: str) -> str:
+        return r"[ \n]".join(re.escape(w[:-1]) + r"(?:\.|(?=\n))" if w.endswith(".") else re.escape(w) for w in sentence.split(" "))
+
+    longest = sorted(set(known), key=lambda s: (-len(s), s))
+    return r"(?<![^\n\f])(?:" + ("|".join(words(s) for s in longest) or "(?!)") + r")(?![^\n\f])"
+
+
 def recognise(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | None = None,
     rules: list[tuple[tuple[str, ...], str]] | None = None, hint: str | None = HINT,
 ) -> DataFrame:
     """(doc_id, sentence_ids, licenses, status) of each row of ``docs``.
 
-    ``sentence_ids`` are the identifiers of the text's known sentences in order, and
-    ``licenses`` the licences of the rules whose runs occur in it, sorted. A rule takes
+    ``sentence_ids`` are the identifiers of the text's known sentences in order; a sentence
+    may be wrapped over lines, behind comment marks of any signs, or hold ';' and ':'. Of
+    known sentences that begin at one place the longest counts. ``licenses`` are the
+    licences of the rules whose runs occur in it, sorted. A rule takes
     its identifiers out of the sequence, so later rules do not see them. ``status`` is
     ``none`` without known sentences, ``recognised`` if rules took them all, else
     ``unclear``. Only texts in which ``hint`` occurs are cut into sentences; it must
@@ -122,8 +147,11 @@ def recognise(
     rules = RULES if rules is None else rules
     number = {name: i for i, name in enumerate(known)}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    all_known = F.array(*(F.lit(s) for s in known.values()))
-    numbers = F.filter(F.transform(sentences(text), lambda s: F.array_position(all_known, s)), lambda i: i > 0)
+    # Joined lines may lack the dots at the ends of their words.
+    plain = lambda s: F.regexp_replace(s, r"\.?(\n| |$)", " ")
+    all_known = F.array(*(plain(F.lit(s)) for s in known.values()))
+    found = F.regexp_extract_all(_pieces(text), F.lit(_any_of(list(known.values()))), F.lit(0))
+    numbers = F.transform(found, lambda s: F.array_position(all_known, plain(s)))
     if hint is not None:
         numbers = F.when(text.rlike(hint), numbers).otherwise(F.array().cast("array<bigint>"))
     names = F.array(*(F.lit(n) for n in known))

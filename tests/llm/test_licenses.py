@@ -49,3 +49,85 @@ def test_every_known_sentence_has_the_hint(spark):
     assert df.filter(~df.text.rlike(licenses.HINT)).count() == 0
     assert {r.text for r in df.select(licenses.normalised(df.text).alias("text")).collect()} == set(licenses.SENTENCES.values())
     assert all(r.sentence_ids for r in licenses.recognise(df).collect())
+
+
+WRAPPED = {
+    "MIT": (
+        """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""", ["mit_grant", "mit_notice", "as_is"]),
+    "BSD-3-Clause": (
+        """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""", ["bsd_redistribute", "bsd_source", "bsd_binary", "bsd_endorse"]),
+    "Apache-2.0": (
+        """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software""", ["apache_the_license", "apache_comply", "apache_obtain"]),
+    "GPL-3.0-or-later": (
+        """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.""", ["gpl_free", "gpl_hope"]),
+    "GPL-2.0-or-later": (
+        """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.""", ["gpl2_free"]),
+    "MPL-2.0": (
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v.
+2.0. If a copy of the MPL was not distributed with this file""", ["mpl2"]),
+    "LicenseRef-Proprietary": ("Some Company. All rights\nreserved.", ["reserved"]),
+}
+
+
+def test_wrapped_notices(spark):
+    texts = [text for text, _ in WRAPPED.values()]
+    expected = [(ids, [name], "recognised") for name, (_, ids) in WRAPPED.items()]
+    assert scan(spark, texts) == expected
+    for mark in ("# ", " * ", "// ", ";; ", "! ", ".. "):
+        assert scan(spark, [mark + t.replace("\n", "\n" + mark) for t in texts]) == expected
+    assert scan(spark, [t.replace("\n", "\r\n") for t in texts]) == expected
+    # On one line, the marks inside sentences stay.
+    assert scan(spark, [" ".join(t.split()) for t in texts[-4:]]) == expected[-4:]
+
+
+def test_sentences_do_not_go_on_beyond_full_stops(spark):
+    got = scan(spark, ["Released under the MIT.\nLicense or not.", "released under\nthe MIT license or not", "All rights! Reserved",
+                       "license a;\nlicense b", "x license a. y"], known=None)
+    assert [x[2] for x in got] == ["none"] * 5
+    known, rules = {"a": "license a", "ab": "license a license b"}, [(("ab",), "AB"), (("a",), "A")]
+    got = scan(spark, ["license a;\nlicense b", "license a.\nlicense b", "... " * 100_000 + "license a"], known=known, rules=rules)
+    assert [x[0] for x in got] == [["ab"], ["a"], ["a"]]
