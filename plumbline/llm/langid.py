@@ -196,34 +196,59 @@ def _smoothed(languages: list[str], counts: dict[str, np.ndarray]) -> Model:
 _COUNTS = "lang int, order int, gram long, context long, lower long, starts boolean, n double"
 
 
+def _sample(labelled: DataFrame, per_language: int, stored: Stored) -> tuple[DataFrame, list[str]]:
+    """(code, text, teaches, tests) of the texts drawn from (text, lang), and the languages by code.
+
+    Of the different texts of a language, the ``per_language`` with the least hashes teach and
+    as many next ones test. Where a language has fewer than that, all teach or test, and those that
+    teach test as well.
+    """
+    spark = labelled.sparkSession
+    drawn = labelled.withColumn("drawn", F.shiftrightunsigned(F.xxhash64(F.lit(17), "text"), 1))
+    different = stored.table(drawn.select("lang", "drawn").distinct())
+    sizes = {r.lang: r.n for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(sizes)
+    if not languages:
+        return labelled, languages
+    # Hashes up to a bound that fewer than the wanted ones practically never stay below.
+    wanted = 2 * per_language
+    bounds = spark.createDataFrame(
+        [(c, i, min((1 << 63) - 1, int(2.0**63 * (wanted + 8 * wanted**0.5 + 40) / sizes[c]))) for i, c in enumerate(languages)],
+        "lang string, code int, bound long")
+    least = different.join(F.broadcast(bounds), "lang").filter("drawn <= bound").select("code", "drawn").toArrow()
+    code, hashes = (least.column(c).to_numpy() for c in ("code", "drawn"))
+    cuts = []
+    for i, c in enumerate(languages):
+        own = np.sort(hashes[code == i])
+        if len(own) < min(wanted, sizes[c]):
+            raise ValueError(f"only {len(own)} of {min(wanted, sizes[c])} texts drawn for language {c}")
+        cuts.append((c, i, int(own[min(per_language, len(own)) - 1]), int(own[min(wanted, len(own)) - 1]), sizes[c] < wanted))
+    cuts = spark.createDataFrame(cuts, "lang string, code int, teaching long, last long, few boolean")
+    chosen = drawn.join(F.broadcast(cuts), "lang").filter("drawn <= last").withColumn("teaches", F.expr("drawn <= teaching")).withColumn(
+        "tests", F.expr("drawn > teaching or few"))
+    return stored.table(chosen.groupBy("code", "text").agg(F.first("teaches").alias("teaches"), F.first("tests").alias("tests"))), languages
+
+
 def learn(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE,
 ) -> Model:
     """Models of all languages that label ``docs``.
 
-    Of each language about ``per_language`` texts teach and as many others calibrate the
-    rejection; they are chosen by a hash of the text, and equal texts count once. Rows
+    Of each language ``per_language`` different texts teach and as many others calibrate the
+    rejection; they are chosen by a hash of the text, however often a text is repeated. Rows
     without text or label do not take part. Without labelled rows the model has no
     language, and every text is ``und``.
     """
-    spark = docs.sparkSession
-    stored = Stored(spark)
+    stored = Stored(docs.sparkSession)
     labelled = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.filter("text is not null and lang is not null")
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(sizes)
+    chosen, languages = _sample(labelled, per_language, stored)
     if not languages:
+        stored.close()
         empty = {"order": np.zeros(0, int), "lang": np.zeros(0, int), "n": np.zeros(0), "starts": np.zeros(0, bool)}
         return _smoothed([], empty | {c: np.zeros(0, np.uint64) for c in ("gram", "context", "lower")})
-    shares = spark.createDataFrame([(c, i, min(1.0, per_language / sizes[c])) for i, c in enumerate(languages)], "lang string, code int, share double")
-    drawn = F.pmod(F.xxhash64(F.lit(17), "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chosen = labelled.withColumn("drawn", drawn).join(F.broadcast(shares), "lang")
-    # Where a language has few texts, all of them teach and calibrate.
-    chosen = chosen.filter(F.col("drawn") < 2 * F.col("share")).withColumn(
-        "teaches", F.col("drawn") < F.col("share")).withColumn("tests", (F.col("drawn") >= F.col("share")) | (F.col("share") > 0.5))
-    chosen = stored.table(chosen.groupBy("code", "text").agg(F.first("teaches").alias("teaches"), F.first("tests").alias("tests")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import langid
+from plumbline.llm.stored import Stored
 
 
 @pytest.fixture(scope="module")
@@ -99,3 +103,21 @@ def test_without_labels(spark):
     model = langid.learn(df)
     assert [(r.lang_pred, r.score) for r in langid.predict(df, model).collect()] == [("und", 0.0)] * 2
     assert langid.keep_identified(df, model).count() == 0
+
+
+def test_copies_do_not_thin_the_sample(spark):
+    rng = random.Random(5)
+    letters = {"aa": "abcdefgh", "bb": "stuvwxyz"}
+    texts = {c: [" ".join("".join(rng.choice(of) for _ in range(5)) for _ in range(20)) for _ in range(60)] for c, of in letters.items()}
+    rows = [(t, c) for c in texts for t in texts[c]] + [(t, "aa") for t in texts["aa"][:3] for _ in range(3000)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    stored = Stored(spark)
+    chosen, languages = langid._sample(df, 20, stored)
+    found = {r.code: r for r in chosen.groupBy("code").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("teaches").cast("int")).alias("teach"), F.sum(F.col("tests").cast("int")).alias("test")).collect()}
+    assert languages == ["aa", "bb"] and all((r.n, r.teach, r.test) == (40, 20, 20) for r in found.values()) and len(found) == 2
+    stored.close()
+    model = langid.learn(df, per_language=20)
+    assert np.isfinite(model.limit).all()
+    own = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(rows[:120])], "doc_id long, text string, lang string")
+    assert langid.predict(own, model).join(own, "doc_id").filter("lang <> lang_pred or rejected").count() == 0
