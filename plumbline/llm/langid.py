@@ -4,8 +4,8 @@ Per language, runs of up to ``ORDER`` characters inside words are counted on a b
 sample of labelled texts and smoothed with absolute discounts and continuation counts.
 The models are stored in sorted arrays of hashes, one row of logarithms per run with a
 column per language, so one binary search serves all languages. A text gets the
-language of the lowest cross-entropy per character; if even that is above what
-labelled texts of the language show, it is rejected.
+language of the lowest cross-entropy per character; if even that is far above what
+most labelled texts of the language show, it is rejected.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ ORDER = 5
 PER_LANGUAGE = 1500
 #: Languages that a model may have.
 MOST_LANGUAGES = 1000
-#: Rejected: cross-entropy this far on the way from the highest one of calibration texts to
-#: that of characters drawn at random.
-MARGIN = 0.4
+#: Rejected: cross-entropy so many times as far above the median of calibration texts as nine tenths
+#: of them reach, and then this far on the way from the median to characters drawn at random. Up to
+#: a tenth of a language's calibration texts may be garbage without moving it much.
+SPREADS, MARGIN = 4.0, 0.3
 #: Texts with fewer letters are not rejected for their cross-entropy.
 LEAST_LETTERS = 40
 #: Characters beyond which the posterior no longer sharpens.
@@ -237,7 +238,8 @@ def learn(
     """Models of all languages that label ``docs``.
 
     Of each language ``per_language`` different texts teach and as many others calibrate the
-    rejection; they are chosen by a hash of the text, however often a text is repeated. Rows
+    rejection; they are chosen by a hash of the text, however often a text is repeated. Texts
+    that are rejected by what others teach do not teach. Rows
     without text or label do not take part. Without labelled rows the model has no
     language, and every text is ``und``.
     """
@@ -274,26 +276,40 @@ def learn(
                              pa.array(symbols[at - k] == _BEGIN), pa.array(np.bincount(index, weights=weight[rows], minlength=n))],
                             ["lang", "order", "gram", "context", "lower", "starts", "n"])
 
-    counted = (
-        chosen.filter("teaches").select("code", "text").mapInArrow(count, _COUNTS)
-        .groupBy("lang", "order", "gram").agg(
-            F.first("context").alias("context"), F.first("lower").alias("lower"), F.first("starts").alias("starts"), F.sum("n").alias("n"))
-    )
-    table = counted.toArrow()
-    arrays = {c: table.column(c).to_numpy() for c in table.column_names}
-    arrays |= {c: arrays[c].view(np.uint64) for c in ("gram", "context", "lower")}
-    model = _smoothed(languages, arrays)
-
-    scored = _score(chosen.filter("tests").select(F.col("code").alias("doc_id"), "text"), model)
-    highest = scored.filter((F.col("letters") >= LEAST_LETTERS) & (F.col("best") == F.col("doc_id"))).groupBy("best").agg(
-        F.max("entropy").alias("most")).collect()
-    chance = float(np.log10(len(model.grams[0]) + 1))
-    for r in highest:
-        model.limit[r.best] = r.most + MARGIN * max(chance - r.most, 0.0)
+    def fitted(texts: DataFrame) -> Model:
+        counted = (
+            texts.select("code", "text").mapInArrow(count, _COUNTS)
+            .groupBy("lang", "order", "gram").agg(
+                F.first("context").alias("context"), F.first("lower").alias("lower"), F.first("starts").alias("starts"), F.sum("n").alias("n"))
+        )
+        table = counted.toArrow()
+        arrays = {c: table.column(c).to_numpy() for c in table.column_names}
+        arrays |= {c: arrays[c].view(np.uint64) for c in ("gram", "context", "lower")}
+        return _smoothed(languages, arrays)
+
+    # A text that taught is no surprise to its model: garbage is taken out of the texts that teach
+    # by the models of the two halves, each on the other half.
+    teaching = chosen.filter("teaches").withColumn("half", F.pmod(F.xxhash64(F.lit(23), "text"), F.lit(2)))
+    sound = []
+    for half in (0, 1):
+        other = teaching.filter(F.col("half") == half)
+        sound.append(stored.table(keep_identified(other, _calibrated(fitted(teaching.filter(F.col("half") != half)), other))))
+    model = _calibrated(fitted(sound[0].unionByName(sound[1])), chosen.filter("tests"))
     stored.close()
     return model
 
 
+def _calibrated(model: Model, texts: DataFrame) -> Model:
+    """The model with limits from labelled texts (code, text)."""
+    scored = _score(texts.select(F.col("code").alias("doc_id"), "text"), model)
+    ranges = scored.filter((F.col("letters") >= LEAST_LETTERS) & (F.col("best") == F.col("doc_id"))).groupBy("best").agg(
+        F.percentile("entropy", F.lit(0.5)).alias("middle"), F.percentile("entropy", F.lit(0.9)).alias("high")).collect()
+    chance = float(np.log10(len(model.grams[0]) + 1))
+    for r in ranges:
+        model.limit[r.best] = r.middle + SPREADS * (r.high - r.middle) + MARGIN * max(chance - r.middle, 0.0)
+    return model
+
+
 def _judge(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(best language, its cross-entropy, posterior, letters, whether there is no answer) of each text."""
     words = Words(texts, _LETTER_BYTES)

@@ -121,3 +121,25 @@ def test_copies_do_not_thin_the_sample(spark):
     assert np.isfinite(model.limit).all()
     own = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(rows[:120])], "doc_id long, text string, lang string")
     assert langid.predict(own, model).join(own, "doc_id").filter("lang <> lang_pred or rejected").count() == 0
+
+
+def test_labelled_garbage_does_not_turn_rejection_off(spark, docs):
+    rng = random.Random(3)
+
+    def garbage(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    schema = "doc_id long, text string, lang string"
+    languages = ["de", "en", "es", "fr"]
+    planted = spark.createDataFrame([(-i, garbage(rng.choice([12, 60, 300])), languages[i % 4]) for i in range(1, 17)], schema)
+    both = docs.select("doc_id", "text", "lang").unionByName(planted)
+    model = langid.learn(both, per_language=400)
+    new = spark.createDataFrame([(i, garbage(rng.choice([12, 60, 300])), "en") for i in range(50)], schema)
+    assert langid.predict(new, model).filter("not rejected").count() == 0
+    assert langid.keep_identified(both, model).filter("doc_id < 0").count() == 0
+    letters = F.length(F.regexp_replace("text", r"[^\\p{L}]", ""))
+    real = docs.filter(letters >= langid.LEAST_LETTERS)
+    assert langid.predict(real, model).filter("rejected").count() <= 0.01 * real.count()
+    # The beginnings of texts are short, and spread wider.
+    short = real.withColumn("text", F.substring("text", 1, 60))
+    assert langid.predict(short, model).filter("rejected").count() <= 0.01 * real.count()
