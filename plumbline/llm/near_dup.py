@@ -35,10 +35,8 @@ from plumbline.llm.stored import Stored
 SIZE = 64
 #: Bits of a component: few unlike texts then share the three or more components of a key.
 BITS = 16
-#: Components of the finer signature that picks pairs for the last check.
-FINE_SIZE = 512
 #: Share of linked pairs whose signatures may be further apart than the distance allowed.
-MISSED, FINE_MISSED = 1e-5, 1e-6
+MISSED = 1e-5
 #: Members of one key that are compared in one go, and bytes of sets held by one task.
 BLOCK_MEMBERS = 512
 BLOCK_BYTES = 24 << 20
@@ -69,7 +67,6 @@ class _Scheme:
     def __init__(self, percent: int) -> None:
         self.percent = percent
         self.distance = _distance_for(percent, SIZE, MISSED)
-        self.fine_distance = _distance_for(percent, FINE_SIZE, FINE_MISSED)
         # With one error allowed in a chunk, 2 * chunks > distance leaves one good chunk.
         self.chunks = np.array_split(np.arange(SIZE), self.distance // 2 + 1)
 
@@ -152,7 +149,7 @@ def _keys(groups: DataFrame, scheme: _Scheme) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, set, fine, spot) of the nodes in ``wanted`` (node, doc_id), from one of their texts."""
+    """(node, set, spot) of the nodes in ``wanted`` (node, doc_id), from one of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -166,11 +163,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
                     if int(nodes[i]) not in seen:
                         seen.add(int(nodes[i]))
                         rows.append(i)
-                fine = _signature(flat, sizes, FINE_SIZE, 61)[rows]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes[rows]), pa.array([flat[ends[i] - sizes[i] : ends[i]].tobytes() for i in rows], pa.binary()),
-                     _binary(fine), pa.array(_spots(nodes[rows]))],
-                    ["node", "set", "fine", "spot"])
+                     pa.array(_spots(nodes[rows]))],
+                    ["node", "set", "spot"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Most texts are not wanted and are filtered by the hash class of their id, of which there
@@ -179,7 +175,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
     classes = wanted.select(id_class.alias("id_class")).distinct()
     texts = texts.withColumn("id_class", id_class).join(F.broadcast(classes), "id_class", "left_semi").drop("id_class")
     return texts.join(wanted, "doc_id").select("node", "text").mapInArrow(
-        run, "node long, set binary, fine binary, spot int")
+        run, "node long, set binary, spot int")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -226,7 +222,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
 
 
 def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
-    """Links (a, b) among ``requests`` (a, block, others): full sets are compared, where fine signatures are near.
+    """Links (a, b) among ``requests`` (a, block, others): full sets are compared.
 
     The sets of a block meet the requests for it in one task, which holds the block's
     sets only and streams the requests. A block with many requests is copied to
@@ -235,30 +231,32 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme)
     salts = requests.groupBy("block").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(4096)).cast("int").alias("salts"))
     held = (
-        sets.select("node", "set", "fine", F.pmod("spot", F.lit(blocks)).alias("block")).join(salts, "block")
+        sets.select("node", "set", F.pmod("spot", F.lit(blocks)).alias("block")).join(salts, "block")
         .select("block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"),
-                "node", "set", "fine", F.expr("cast(null as array<long>)").alias("others"))
+                "node", "set", F.expr("cast(null as array<long>)").alias("others"))
     )
     asked = (
         requests.join(salts, "block")
-        .join(sets.select(F.col("node").alias("a"), "set", "fine"), "a")
+        .join(sets.select(F.col("node").alias("a"), "set"), "a")
         .select("block", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"),
-                F.col("a").alias("node"), "set", "fine", "others")
+                F.col("a").alias("node"), "set", "others")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, ["block", "salt"]):
-            known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            known: dict[int, np.ndarray] = {}
             for part in rows:
                 found_a, found_b = [], []
-                for side, node, cell, fine, others in zip(*(part.column(c).to_pylist() for c in ("side", "node", "set", "fine", "others"))):
-                    own, fine = np.frombuffer(cell, np.uint64), np.frombuffer(fine, np.uint8)
+                for side, node, cell, others in zip(*(part.column(c).to_pylist() for c in ("side", "node", "set", "others"))):
+                    own = np.frombuffer(cell, np.uint64)
                     if side == 0:
-                        known[node] = own, fine
+                        known[node] = own
                         continue
-                    apart = (np.stack([known[other][1] for other in others]) != fine).sum(axis=1)
-                    for other in np.array(others)[apart <= scheme.fine_distance].tolist():
-                        its = known[other][0]
+                    for other in others:
+                        its = known[other]
+                        # Sets of such sizes share too little, whatever they hold.
+                        if 100 * min(len(own), len(its)) < scheme.percent * max(len(own), len(its)):
+                            continue
                         both = np.concatenate([own, its])
                         both.sort()
                         shared = int((both[1:] == both[:-1]).sum())

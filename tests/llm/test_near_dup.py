@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from plumbline.llm import near_dup
@@ -136,3 +137,14 @@ def test_distances_follow_the_similarity():
     for percent in (60, 80, 85, 95, 100):
         scheme = near_dup._Scheme(percent)
         assert 2 * len(scheme.chunks) > scheme.distance
+
+
+def test_full_sets_alone_decide(spark):
+    def cell(values):
+        return np.array(values, np.uint64).tobytes()
+
+    far = [bytes([i]) * 512 for i in range(4)]
+    held = [(0, cell(range(100)), far[0], 0), (1, cell(range(85)), far[1], 0), (2, cell(range(84)), far[2], 0), (3, cell(range(200)), far[3], 0)]
+    sets = spark.createDataFrame(held, "node long, set binary, fine binary, spot int")
+    requests = spark.createDataFrame([(0, 0, [1, 2, 3])], "a long, block int, others array<long>")
+    assert [(r.a, r.b) for r in near_dup._confirm(requests, sets, 1, near_dup._Scheme(85)).collect()] == [(0, 1)]
