@@ -31,7 +31,10 @@ MOST_LANGUAGES = 1000
 #: of them reach, and then this far on the way from the median to characters drawn at random. Up to
 #: a tenth of a language's calibration texts may be garbage without moving it much.
 SPREADS, MARGIN = 4.0, 0.3
-#: Texts with fewer letters are not rejected for their cross-entropy.
+#: The limit widens by so many standard errors of a text's mean; the log10 probability of a single
+#: character has a deviation of about one.
+ERRORS = 5.0
+#: Letters of the texts that calibrate.
 LEAST_LETTERS = 40
 #: Characters beyond which the posterior no longer sharpens.
 POSTERIOR_LENGTH = 60.0
@@ -360,7 +363,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
         for batch in batches:
             for part in text_slices(batch, place):
                 best, entropy, _, letters, none = _judge(part.column(place), its)
-                over = (letters >= LEAST_LETTERS) & (entropy > its.limit[best]) if its.languages else none
+                over = entropy > its.limit[best] + ERRORS / np.sqrt(np.maximum(letters, 1)) if its.languages else none
                 yield part.filter(pa.array(~(none | over)))
 
     # Plain names inside, because columns may have any names.
@@ -373,8 +376,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     ``score`` is the posterior of the language over the first ``POSTERIOR_LENGTH`` characters'
     worth of evidence. Text that is null or has no letter is ``und`` with score 0 and is rejected;
-    otherwise a text is rejected if it has at least ``LEAST_LETTERS`` letters and its cross-entropy
-    is over the limit of its language. Only the text is looked at, and all of it.
+    otherwise a text is rejected if its cross-entropy is over the limit of its language, widened
+    by ``ERRORS`` over the root of its letters. Only the text is looked at, and all of it.
 
     Rows that repeat are judged each for itself, an empty table gives no rows. Equal
     cross-entropies go to the language that is first by name. Other columns are not read.
@@ -387,7 +390,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     place = F.col("best") + 1
     return found.select(
         "doc_id", F.when(F.col("best").isNull(), UNKNOWN).otherwise(F.element_at(names, place)).alias("lang_pred"), "score", "entropy",
-        (F.col("best").isNull() | ((F.col("letters") >= LEAST_LETTERS) & (F.col("entropy") > F.element_at(limits, place)))).alias("rejected"))
+        (F.col("best").isNull() | (
+            F.col("entropy") > F.element_at(limits, place) + ERRORS / F.sqrt(F.greatest(F.col("letters"), F.lit(1))))).alias("rejected"))
 
 
 def remainder(id_col: str, by: int) -> Column:
