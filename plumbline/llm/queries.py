@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import class_lm, decontaminate, langid, licenses, near_dup, packing, sharding, token_count, top_k, url_rules
+from plumbline.llm import (
+    class_lm, decontaminate, hard_negatives, langid, licenses, near_dup, packing, prefix_trie, sharding, token_count, top_k, url_rules, warc,
+)
 from plumbline.llm.stored import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +85,23 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt to share turns with the first of its hundred."""
+    return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives near the positives of every vector whose id is divisible by 100, with a seventh of the labels moved."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive records, written, read back and assembled to captures."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_class_lm_scores": op2_class_lm_scores,
@@ -94,6 +113,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_top_k_search": op10_top_k_search,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_warc": op13_warc,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,6 +150,17 @@ def _license_sql() -> str:
         FROM r"""
 
 
+#: crc32 of a decimal number's digits, bit by bit: each byte joins the remainder, and eight steps follow.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), "
+    "lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda r, v: xor(xor(r, v) >> 1, (xor(r, v) & 1) * 3988292384)), 4294967295)"
+)
+#: Base32 of a SHA-1 in hexadecimal digits, five of which are four letters.
+_BASE32 = (
+    "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '')"
+)
+
 _REST = "CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
 
 ORACLES: dict[str, str] = {
@@ -185,4 +218,59 @@ ORACLES: dict[str, str] = {
             FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op11_prefix_trie": f"""
+        WITH t AS (
+            SELECT conv_id, length(r) || ':' || r || x AS turn, length(x) AS size,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) - 1 AS i
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+        ids AS (SELECT conv_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+        joined AS (
+            SELECT ids.conv_id, 0 AS side, i, turn, size FROM ids JOIN t ON t.conv_id = ids.conv_id - ids.conv_id % 100 AND i < h
+            UNION ALL SELECT conv_id, 1, i, turn, size FROM t JOIN ids USING (conv_id) WHERE i >= h),
+        seq AS (
+            SELECT conv_id, coalesce(turns, []) AS turns, coalesce(sizes, []) AS sizes
+            FROM ids LEFT JOIN (
+                SELECT conv_id, list(md5(turn) ORDER BY side, i) AS turns, list(size ORDER BY side, i) AS sizes FROM joined GROUP BY 1) USING (conv_id)),
+        member AS (
+            SELECT conv_id, d, array_to_string(turns[1:d], '') AS k, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(turns) AS ends
+            FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM seq)),
+        node AS (
+            SELECT k, d, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM member GROUP BY k, d),
+        child AS (SELECT left(k, 32 * (d - 1)) AS k, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+        full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (k, d)),
+        below AS (
+            SELECT left(k, 32 * u) AS k, u AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n - 1) * size) AS saved
+            FROM (SELECT *, unnest(range(d + 1)) AS u FROM full_node) GROUP BY 1, 2)
+        SELECT a.conv_id, a.d AS depth, p.conv_id AS parent_conv_id, a.n AS n_convs, a.n_children, n_leaves,
+               CAST(saved AS BIGINT) AS saved_tokens, a.ends_sha256
+        FROM full_node a JOIN below USING (k, d) LEFT JOIN node p ON p.k = left(a.k, 32 * (a.d - 1)) AND p.d = a.d - 1""",
+    "op12_hard_negatives": """
+        WITH r AS (
+            SELECT vec_id, row_number() OVER () AS row, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+                   CAST(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+            FROM r a JOIN r b ON a.row <> b.row WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) AS n FROM s WHERE same)
+            WHERE n <= 5),
+        h AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id, s.row) AS rank
+            FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM h WHERE rank <= 5""",
+    "op13_warc": f"""
+        WITH d AS (
+            SELECT page_id, octet_length(encode(x)) AS payload_bytes, sha1(x) AS h, min(page_id) OVER (PARTITION BY x) AS first
+            FROM (SELECT page_id, coalesce(html, '') AS x FROM pages))
+        SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to, CAST(1 AS INTEGER) AS n_requests
+        FROM d""",
 }

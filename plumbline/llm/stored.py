@@ -8,7 +8,7 @@ from typing import Any
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.session import scratch_path
+from plumbline.session import delete_path, owned, scratch_path
 
 
 #: Rows that travel between Spark and a Python worker at once, where rows hold whole texts.
@@ -38,25 +38,30 @@ class Stored:
 
     A stored table ends the lineage: a lost executor costs no recomputation of
     what came before it. ``close`` removes all tables that were not handed out
-    with ``keep``; those stay until the cluster clears its shared folder.
+    with ``keep``; those go with the block of ``session.temporary_tables`` around them, or
+    else stay until the cluster clears its shared folder.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self._paths: list[str] = []
 
+    def path(self, name: str, keep: bool = False) -> str:
+        """A new path in the shared folder."""
+        path = scratch_path(self.spark, name)
+        if keep:
+            owned(path)
+        else:
+            self._paths.append(path)
+        return path
+
     def table(self, df: DataFrame, keep: bool = False, partition_by: list[str] | None = None) -> DataFrame:
-        path = scratch_path(self.spark, "table")
+        path = self.path("table", keep)
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(path)
-        if not keep:
-            self._paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in self._paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            delete_path(self.spark, path)
         self._paths = []

@@ -8,7 +8,7 @@ import pytest
 from plumbline.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "pages", "embeddings")
+TABLES = ("documents", "benchmark", "pages", "embeddings", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

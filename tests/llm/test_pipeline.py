@@ -82,5 +82,5 @@ def test_extra_columns_survive(spark, folder):
 
 def test_names_and_queries():
     numbers = sorted(int(n.split("_")[0][2:]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES) and not set(QUERIES) & set(OTHERS)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES) and not set(QUERIES) & set(OTHERS)
     assert langid.UNKNOWN == "und"
