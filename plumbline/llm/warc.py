@@ -261,12 +261,13 @@ def captures(records: DataFrame, stored: Stored) -> DataFrame:
     the response as concurrent or that it names, and the metadata records so tied to one of its requests.
     Records whose response is not there come together by the first identifier that they name, with a null response;
     records that name none are captures of their own. Other kinds of records, and records without
-    an identifier, are left out. Of records that repeat an identifier and kind one is kept.
+    an identifier, are left out. Of records that repeat an identifier one is kept.
     """
     small = ["record_id", "record_type", "target_uri", "date", "headers", "http_headers", "payload", "payload_bytes", "payload_digest"]
     there = records.filter("record_id is not null")
     main = there.filter("record_type in ('response', 'revisit')").select(*small, "refers_to", "concurrent_to")
-    side = stored.table(there.filter("record_type in ('request', 'metadata')").select(*small, "concurrent_to").dropDuplicates(["record_id", "record_type"]))
+    side = _distinct(there.filter("record_type in ('request', 'metadata')").select(*small, "concurrent_to"), stored)
+    main = _distinct(main, stored)
     ids = stored.table(main.select("record_id", "concurrent_to"))
     known = ids.select(F.col("record_id").alias("to"), F.col("record_id").alias("capture_id")).distinct()
 
@@ -278,8 +279,9 @@ def captures(records: DataFrame, stored: Stored) -> DataFrame:
     direct = stored.table(by_side.unionByName(by_main).groupBy("record_id").agg(F.min("capture_id").alias("capture_id")))
     # A metadata record may be tied to the request alone.
     hop = keyed_join(named, direct.withColumnsRenamed({"record_id": "to"}), ["to"], "inner").groupBy("record_id").agg(F.min("capture_id").alias("other"))
-    tied = side.join(direct, "record_id", "left").join(hop, "record_id", "left").withColumn(
-        "capture_id", F.coalesce("capture_id", "other", F.try_element_at("concurrent_to", F.lit(1)), "record_id"))
+    found = direct.join(hop, "record_id", "full_outer").select("record_id", F.coalesce("capture_id", "other").alias("capture_id"))
+    tied = side.join(found, "record_id", "left").withColumn(
+        "capture_id", F.coalesce("capture_id", F.try_element_at("concurrent_to", F.lit(1)), "record_id"))
 
     def nested(kind: str, name: str) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("record_type") == kind, F.struct(
@@ -287,13 +289,21 @@ def captures(records: DataFrame, stored: Stored) -> DataFrame:
 
     beside = tied.groupBy("capture_id").agg(nested("request", "requests"), nested("metadata", "metadata"))
     one = F.struct(*small, "refers_to")
-    # Repeated identifiers are rare: only their records are looked at again.
-    twice = ids.groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("record_id")
-    unique = main.join(twice, "record_id", "left_anti").select(F.col("record_id").alias("capture_id"), one.alias("response"))
-    order = Window.partitionBy("record_id").orderBy("date", "payload_digest", "record_type")
-    again = main.join(twice, "record_id", "left_semi").withColumn("n", F.row_number().over(order)).filter("n = 1").select(
-        F.col("record_id").alias("capture_id"), one.alias("response"))
-    return unique.unionByName(again).join(beside, "capture_id", "full_outer").select("capture_id", "response", "requests", "metadata")
+    whole = main.select(F.col("record_id").alias("capture_id"), one.alias("response"))
+    return whole.join(beside, "capture_id", "full_outer").select("capture_id", "response", "requests", "metadata")
+
+
+def _distinct(records: DataFrame, stored: Stored) -> DataFrame:
+    """``records`` with one of those that share an identifier, that of the first date, digest and kind.
+
+    Repeated identifiers are rare: whole records are shuffled only for them.
+    """
+    counts = stored.table(records.groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    if counts.isEmpty():
+        return records
+    order = Window.partitionBy("record_id").orderBy("date", "payload_digest", "record_type", "target_uri")
+    again = records.join(counts, "record_id", "left_semi").withColumn("n", F.row_number().over(order)).filter("n = 1").drop("n")
+    return records.join(counts, "record_id", "left_anti").unionByName(again)
 
 
 def page_id() -> Column:
@@ -319,12 +329,14 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     An empty table gives no rows, rows that repeat are captures each, and columns other than the three named are not read.
     """
-    stored = Stored(pages.sparkSession)
+    stored, sources = Stored(pages.sparkSession), Stored(pages.sparkSession)
     path = stored.path("archive")
-    write(records(pages, stored, id_col, url_col, html_col, least_bytes), path)
-    # Payloads of pages have been counted and digested as they were read, and go no further.
+    write(records(pages, sources, id_col, url_col, html_col, least_bytes), path)
+    sources.close()
+    # Payloads of pages have been counted and digested as they were read, and go no further; nor do headers.
     beside = F.when(~F.col("record_type").isin("response", "revisit"), F.col("payload"))
-    found = stored.table(read(pages.sparkSession, path).withColumn("payload", beside))
+    none = F.lit(None).cast("map<string,string>")
+    found = stored.table(read(pages.sparkSession, path).withColumns({"payload": beside, "headers": none, "http_headers": none}))
     result = digest(captures(found, stored), stored)
     stored.close()
     return result
