@@ -55,10 +55,11 @@ class Stored:
             self._paths.append(path)
         return path
 
-    def table(self, df: DataFrame, keep: bool = False, partition_by: list[str] | None = None) -> DataFrame:
+    def table(self, df: DataFrame, keep: bool = False, partition_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
+        """``df``, stored; ``codec`` packs it other than the session does (zstd for long texts)."""
         path = self.path("table", keep)
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(path)
+        (writer.option("compression", codec) if codec else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:

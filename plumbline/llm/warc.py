@@ -85,7 +85,7 @@ def records(
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("html"))
-    rows = stored.table(rows.withColumn("row", F.monotonically_increasing_id()))
+    rows = stored.table(rows.withColumn("row", F.monotonically_increasing_id()), codec="zstd")
     digests = stored.table(rows.select(
         "row", "page_id", F.octet_length("html").cast("long").alias("size"), F.sha1(F.col("html").cast("binary")).alias("sha1")))
     # Nulls are greater than all ids.
