@@ -14,12 +14,13 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import quoted, require_columns, small_table
+from plumbline.operators.boosting import SecondOrderBoosting
 from plumbline.operators.evaluation import regression_metrics
 from plumbline.session import shared_dir
 
@@ -87,27 +88,34 @@ _SPARK_NAMES = {
         "n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode",
         "max_features": "featureSubsetStrategy", "max_bins": "maxBins", "bootstrap": "bootstrap",
     },
-    "XGBoost": {
-        "n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
-        "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy",
-        "min_child_weight": "minInstancesPerNode", "gamma": "minInfoGain",
+    "XGBoost": {n: n for n in (
+        "n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight", "gamma", "reg_lambda",
+        "reg_alpha", "max_bin")},
+    "LightGBM": {
+        "n_estimators": "n_estimators", "max_depth": "max_depth", "learning_rate": "learning_rate", "subsample": "subsample",
+        "colsample_bytree": "colsample_bytree", "num_leaves": "num_leaves", "min_child_samples": "min_child_samples",
+        "min_child_weight": "min_child_weight", "min_split_gain": "gamma", "reg_lambda": "reg_lambda", "reg_alpha": "reg_alpha",
+        "max_bin": "max_bin",
     },
+}
+# What the two boosting methods take where nothing is given.
+_BOOSTING = {
+    "XGBoost": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "reg_lambda": 1.0, "min_child_weight": 1.0, "min_child_samples": 1},
     "LightGBM": {
-        "n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
-        "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy",
-        "min_child_samples": "minInstancesPerNode",
+        "n_estimators": 100, "max_depth": -1, "num_leaves": 31, "learning_rate": 0.1, "reg_lambda": 0.0, "min_child_weight": 0.001,
+        "min_child_samples": 20,
     },
 }
 # Without effect on the result, or held to follow from other parameters.
-_WITHOUT_COUNTERPART = {"min_samples_split", "num_leaves", "random_state", "n_jobs", "objective"}
+_WITHOUT_COUNTERPART = {"min_samples_split", "random_state", "n_jobs", "objective"}
 DEEPEST_TREE = 30
 
 
 def spark_params(model: str, params: dict[str, Any]) -> dict[str, Any]:
     """Translate parameter names and values for Spark's estimators.
 
-    Spark has no ``min_samples_split`` and no ``num_leaves``: they are accepted where they follow
-    from the leaf size and the depth, and raise an error where they would change the trees.
+    Spark's forest has no ``min_samples_split``: it is accepted where it follows from the leaf size, and raises an
+    error where it would change the trees.
     """
     names = _SPARK_NAMES.get(model)
     if names is None:
@@ -121,8 +129,6 @@ def spark_params(model: str, params: dict[str, Any]) -> dict[str, Any]:
     depth = int(out.get("maxDepth", 5))
     if depth > DEEPEST_TREE:
         raise ValueError(f"{model}: max_depth is at most {DEEPEST_TREE}")
-    if params.get("num_leaves", 2**depth) < 2**depth:
-        raise ValueError(f"{model}: num_leaves below 2 ** max_depth has no counterpart")
     if params.get("min_samples_split", 2) > max(2, 2 * int(out.get("minInstancesPerNode", 1))):
         raise ValueError(f"{model}: min_samples_split over 2 * min_samples_leaf has no counterpart")
     if "featureSubsetStrategy" in out:
@@ -143,7 +149,7 @@ def make_estimator(
         return Ridge(**columns, **chosen)
     if model == "RandomForest":
         return RandomForestRegressor(**{"featureSubsetStrategy": "all", **columns, "seed": seed, **chosen})
-    return GBTRegressor(**{"featureSubsetStrategy": "all", **columns, "seed": seed, **chosen})
+    return SecondOrderBoosting(**{**columns, "seed": seed, **_BOOSTING[model], **chosen})
 
 
 def assembler(features: Sequence[str], on_missing: str = "error") -> VectorAssembler:

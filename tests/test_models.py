@@ -52,13 +52,14 @@ def test_parameter_names():
         "maxDepth": 30, "featureSubsetStrategy": "sqrt", "minInstancesPerNode": 2,
     }
     # What Spark's trees do not have is refused where it would change them.
-    for model, params in (("RandomForest", {"max_depth": 31}), ("RandomForest", {"min_samples_split": 3}),
-                          ("LightGBM", {"num_leaves": 31, "max_depth": 12})):
+    for model, params in (("RandomForest", {"max_depth": 31}), ("RandomForest", {"min_samples_split": 3}), ("XGBoost", {"num_leaves": 3})):
         with pytest.raises(ValueError):
             training.spark_params(model, params)
     assert training.spark_params("XGBoost", {"colsample_bytree": 0.8, "gamma": 1, "min_child_weight": 2}) == {
-        "featureSubsetStrategy": "0.8", "minInfoGain": 1, "minInstancesPerNode": 2,
+        "colsample_bytree": 0.8, "gamma": 1, "min_child_weight": 2,
     }
+    light = training.make_estimator("LightGBM", {"min_split_gain": 2, "num_leaves": 7})
+    assert [light.getOrDefault(p) for p in ("gamma", "num_leaves", "max_depth", "reg_lambda", "min_child_samples")] == [2, 7, -1, 0, 20]
     for name, params in training.BASELINES.items():
         training.make_estimator(name, params)
     with pytest.raises(ValueError):
