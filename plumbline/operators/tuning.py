@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import RandomForestRegressor
@@ -17,10 +18,12 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import small_table, union_all
+from plumbline.functions.columns import quoted, small_table, union_all
+from plumbline.operators import crossproducts
 from plumbline.operators.evaluation import regression_metrics
 from plumbline.operators.split import hash_folds
 from plumbline.operators.training import (
+    BASELINES,
     FEATURES,
     Trained,
     assembled,
@@ -93,6 +96,11 @@ def fold_summary(folds: DataFrame) -> DataFrame:
     )
 
 
+def _from_products(model: str, features: Sequence[str]) -> bool:
+    """Whether folds are fitted from cross-products (``crossproducts``) and not one after another."""
+    return model == "Ridge" and 0 < len(features) <= crossproducts.PRODUCT_FEATURES
+
+
 def cross_validate(
     df: DataFrame,
     model: str,
@@ -103,18 +111,28 @@ def cross_validate(
     k: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Errors per fold of one model."""
+    """Errors per fold of one model.
+
+    Ridge regression takes two scans for any number of folds: one for the models of all folds, one for the errors.
+    """
+    names = ["fold", "n", "mse", "rmse", "mae", "mape", "r2"]
+    doubles = ", ".join(f"{n} double" for n in names[2:])
+    if _from_products(model, features):
+        chosen = (BASELINES[model] if params is None else params).get("alpha", 1.0)
+        folds = hash_folds(df, keys, k, seed)
+        models = crossproducts.fold_models(crossproducts.gather(folds, features, label, ["fold"]), k, chosen)
+        scored = folds.select("fold", quoted(label).alias(label), crossproducts.by_fold(models, features).alias("prediction"))
+        rows = [tuple(r[n] for n in names) for r in fold_metrics(scored, label=label).collect()]
+        return small_table(df.sparkSession, rows, f"fold int, n bigint, {doubles}")
     shared_dir(df.sparkSession)
     frame = assembled(hash_folds(df, keys, k, seed), features, [label, "fold"]).persist()
     try:
         folds = fold_metrics(
             cross_validated_predictions(frame, make_estimator(model, params, label, seed), k), label=label
         )
-        names = ["fold", "n", "mse", "rmse", "mae", "mape", "r2"]
         rows = [tuple(r[n] for n in names) for r in folds.collect()]
     finally:
         frame.unpersist()
-    doubles = ", ".join(f"{n} double" for n in names[2:])
     return small_table(df.sparkSession, rows, f"fold int, n bigint, {doubles}")
 
 
@@ -164,11 +182,19 @@ def tune(
 ) -> Study:
     """Random search scored by the mean of the fold errors.
 
-    Spark's CrossValidator runs ``parallelism`` fits at a time on the same
-    hash folds for every trial.
+    Ridge regression takes one scan for all folds and trials. For other models Spark's
+    CrossValidator runs ``parallelism`` fits at a time on the same hash folds for every trial.
     """
-    shared_dir(df.sparkSession)
     points = draws(space or SEARCH_SPACES[model], trials, seed)
+    if _from_products(model, features):
+        for p in points:
+            spark_params(model, p)
+        start = time.monotonic()
+        parts = crossproducts.gather(hash_folds(df, keys, k, seed), features, label, ["fold"])
+        errors = [crossproducts.fold_errors(parts, k, p.get("alpha", 1.0)) for p in points]
+        means, deviations = ([float(f(e)) for e in errors] for f in (np.mean, np.std))
+        return Study(model, tuple(points), tuple(means), tuple(deviations), time.monotonic() - start)
+    shared_dir(df.sparkSession)
     estimator = make_estimator(model, {}, label, seed)
     maps = [
         {estimator.getParam(n): v for n, v in spark_params(model, p).items()} for p in points

@@ -6,12 +6,14 @@ SQL; forests and boosting do not.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import small_table
-from plumbline.operators import evaluation, registry, selection, training, tuning
+from plumbline.operators import crossproducts, evaluation, registry, selection, training, tuning
 from plumbline.operators.clean import CleaningPlan, fit_fills
 from plumbline.operators.features import Encoder
 from plumbline.operators.quality import between, one_of
@@ -138,30 +140,31 @@ RIDGE_SPACE = {"alpha": ["log_uniform", 1000.0, 3000000.0]}
 RIDGE_POINTS = tuning.draws(RIDGE_SPACE, 3)
 
 
-def _tuning_sql():
+def _tuning_sql(whole=False):
     folds, trials = 3, []
     for t, point in enumerate(RIDGE_POINTS):
         per_fold = union_sql(
             f"""SELECT sqrt(avg(pow(label - a - b * l_quantity, 2))) AS rmse FROM f,
             {ridge_sql('f', point['alpha'], f'fold <> {i}')} WHERE fold = {i}""" for i in range(folds)
         )
+        more = f", round(stddev_pop(rmse), 4) AS cv_std, '{json.dumps(point, sort_keys=True)}' AS params" if whole else ""
         trials.append(
-            f"SELECT 'Ridge' AS model, CAST({t} AS BIGINT) AS trial, round(avg(rmse), 4) AS cv_rmse FROM ({per_fold})"
+            f"SELECT 'Ridge' AS model, CAST({t} AS BIGINT) AS trial, round(avg(rmse), 4) AS cv_rmse{more} FROM ({per_fold})"
         )
     return f"WITH f AS (SELECT *, {fold_sql(LINE_HASH.format(seed=42), folds)} AS fold FROM {FEATURES_SQL})\n" + union_sql(trials)
 
 
-@query("tuning_trials", _tuning_sql())
+@query("tuning_trials", _tuning_sql(whole=True))
 def _tuning(spark, folder):
     study = tuning.tune(
         line_features(spark, folder), "Ridge", ["l_quantity"], LINE_KEY, trials=3, k=3, space=RIDGE_SPACE
     )
-    return rounded(study.table(spark).select("model", "trial", "cv_rmse"), 4)
+    return rounded(study.table(spark), 4)
 
 
 @query("trial_history", "SELECT *, min(cv_rmse) OVER (ORDER BY trial) AS best_so_far FROM (" + _tuning_sql() + ")")
 def _history(spark, folder):
-    return tuning.trial_history(_tuning(spark, folder))
+    return tuning.trial_history(_tuning(spark, folder).select("model", "trial", "cv_rmse"))
 
 
 @query("trial_slices", "SELECT model, trial, 'alpha' AS parameter, round(CASE trial "
@@ -190,7 +193,7 @@ def _refit(spark, folder):
     return _metrics(evaluation.regression_metrics(best.transform(frame)))
 
 
-@query("learning_curve", f"""
+_CURVE_SQL = f"""
 WITH s AS (SELECT *, {fold_sql(LINE_HASH.format(seed=42), 3)} AS fold, CAST(u >= 0.25 AS INTEGER) AS step FROM
   (SELECT *, {uniform_sql(LINE_HASH.format(seed='subset42'))} AS u FROM {FEATURES_SQL})),
 cells AS (""" + union_sql(
@@ -203,7 +206,10 @@ cells AS (""" + union_sql(
 ) + """)
 SELECT CAST(step AS INTEGER) AS step, CAST(fraction AS DOUBLE) AS fraction, round(sqrt(avg(train_mse)), 4) AS train_rmse,
        round(sqrt(avg(validation_mse)), 4) AS validation_rmse, round(avg(n), 4) AS train_rows FROM cells GROUP BY step, fraction
-""")
+"""
+
+
+@query("learning_curve", _CURVE_SQL)
 def _learning(spark, folder):
     pipeline = Pipeline(stages=[training.assembler(["l_quantity"]), training.make_estimator("Ridge")])
     curve = evaluation.learning_curve(
@@ -212,6 +218,13 @@ def _learning(spark, folder):
     return rounded(curve, {"train_rmse": 4, "validation_rmse": 4, "train_rows": 4})
 
 
+@query("learning_curve_ridge", _CURVE_SQL)
+def _learning_ridge(spark, folder):
+    curve = crossproducts.learning_curve(
+        line_features(spark, folder), ["l_quantity"], LINE_KEY, alpha=0.3, k=3, fractions=(0.25, 1.0))
+    return rounded(curve, {"train_rmse": 4, "validation_rmse": 4, "train_rows": 4})
+
+
 # --- importance and noise, with a fixed formula as the model ---------------------------
 
 
