@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.columns import is_floating, known, nan_to_null, quoted, require_columns
+from plumbline.operators import quality
 from plumbline.operators.describe import categorical_summary
 from plumbline.operators.quantiles import quantiles
 
@@ -70,12 +71,25 @@ def impute(df: DataFrame, values: dict[str, Any]) -> DataFrame:
     return df.withColumns(filled)
 
 
-def deduplicate(df: DataFrame, strategy: str = "remove") -> DataFrame:
-    """Drop surplus copies of equal rows, or keep all of them."""
+def deduplicate(df: DataFrame, strategy: str = "remove", two_phase: bool | None = None) -> DataFrame:
+    """Drop surplus copies of equal rows, or keep all of them.
+
+    Of wide rows (``two_phase``, by default as in ``quality.duplicate_count``) digests are grouped first; only
+    rows whose digest repeats are then compared, and the others stay where they are.
+    """
     if strategy == "keep":
         return df
     if strategy == "remove":
-        return nan_to_null(df).dropDuplicates()
+        rows = nan_to_null(df)
+        if not (two_phase if two_phase is not None else quality.is_wide(df, df.columns)):
+            return rows.dropDuplicates()
+        repeated = quality.repeated_digests(rows, df.columns)
+        if repeated.isEmpty():
+            return rows
+        marked, digest = quality.with_digest(rows, df.columns), ["__d0", "__d1"]
+        once = marked.join(repeated, digest, "left_anti").select(*[quoted(c) for c in df.columns])
+        again = marked.join(repeated, digest, "left_semi").select(*[quoted(c) for c in df.columns])
+        return once.unionByName(again.dropDuplicates())
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

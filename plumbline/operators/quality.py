@@ -22,9 +22,11 @@ from plumbline.functions.columns import (
     quoted,
     require_columns,
     rows_from,
+    small_table,
     union_all,
 )
 from plumbline.operators.quantiles import quantiles
+from plumbline.session import materialize
 
 
 def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -182,14 +184,44 @@ def missing_severity(
     return rows_from(wide, rows).select("column", "missing", share.alias("share"), grade.alias("severity"))
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+#: Rows of more bytes than this, by the usual sizes of their types, are told apart by digests first.
+WIDE_ROW = 256
+
+
+def is_wide(df: DataFrame, columns: Sequence[str]) -> bool:
+    return df.select(*[quoted(c) for c in columns])._jdf.schema().defaultSize() > WIDE_ROW
+
+
+def with_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``__d0`` and ``__d1``, a 128-bit digest in which equal rows agree."""
+    keys = [F.coalesce(F.when(c == 0, F.lit(0).cast(df.schema[n].dataType)), c) if isinstance(df.schema[n].dataType, (T.DoubleType, T.FloatType)) else c
+            for n, c in ((n, _comparable(df, n)) for n in columns)]
+    return df.withColumns({f"__d{i}": F.xxhash64(F.lit(i), *keys) for i in (0, 1)})
+
+
+def repeated_digests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(__d0, __d1, copies) of the digests that several rows share: all that is shuffled of a row are 16 bytes and a count."""
+    digests = with_digest(df, columns).select("__d0", "__d1")
+    return materialize(digests.groupBy("__d0", "__d1").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+
+
+def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None, two_phase: bool | None = None) -> DataFrame:
     """Rows, distinct rows and surplus copies.
 
     The map side already folds copies together, so a row that fills a third of
-    the table reaches its reducer as one count per task.
+    the table reaches its reducer as one count per task. Of wide rows (``two_phase``, by default those over
+    ``WIDE_ROW`` bytes) only digests are shuffled; whole rows are compared where a digest repeats.
     """
     columns = list(columns or df.columns)
     keys = [_comparable(df, c).alias(f"k{i}") for i, c in enumerate(columns)]
+    if two_phase if two_phase is not None else is_wide(df, columns):
+        repeated = repeated_digests(df, columns)
+        found = repeated.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count(F.lit(1))).first()
+        rows, distinct = df.count(), 0
+        if found[1]:
+            distinct = with_digest(df, columns).join(repeated, ["__d0", "__d1"], "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).count()
+        distinct += rows - found[0]
+        return small_table(df.sparkSession, [(rows, distinct, rows - distinct)], "rows bigint, distinct_rows bigint, duplicates bigint")
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     total = F.coalesce(F.sum("copies"), F.lit(0))
     return groups.agg(

@@ -143,6 +143,11 @@ def _dedup(spark, folder):
     return clean.deduplicate(copied_lineitem(spark, folder))
 
 
+@query("dedup_wide", "SELECT DISTINCT text, lang, source, n_chars FROM documents")
+def _dedup_wide(spark, folder):
+    return clean.deduplicate(table(spark, folder, "documents").select("text", "lang", "source", "n_chars"), two_phase=True)
+
+
 @query("dedup_keep", f"SELECT * FROM {COPIES_SQL}")
 def _dedup_keep(spark, folder):
     return clean.deduplicate(copied_lineitem(spark, folder), strategy="keep")

@@ -116,6 +116,14 @@ def _duplicates(spark, folder):
     return quality.duplicate_count(copied_lineitem(spark, folder))
 
 
+@query("dq_duplicates_wide", """
+SELECT count(*) AS "rows", count(DISTINCT (text, lang, source, n_chars)) AS distinct_rows,
+       count(*) - count(DISTINCT (text, lang, source, n_chars)) AS duplicates FROM documents""")
+def _duplicates_wide(spark, folder):
+    """Whole documents without their id, told apart by digests first."""
+    return quality.duplicate_count(table(spark, folder, "documents"), ["text", "lang", "source", "n_chars"], two_phase=True)
+
+
 def _iqr_sql(columns, source):
     return union_sql(
         f"""SELECT '{c}' AS "column", count(*) FILTER ({c} < lo OR {c} > hi) AS outliers,
