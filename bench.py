@@ -21,6 +21,7 @@ HEADLINE = [
     "regression_metrics", "metrics_by_model", "ridge_single", "cross_validate",
     "permutation_importance", "noise_robustness", "batch_score",
     "baseline_table", "tuning_trials", "rfecv_ranking", "profile_plan",
+    "boosting_best_first", "learning_curve_ridge", "dq_duplicates_wide",
 ]
 
 
