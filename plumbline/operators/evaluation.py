@@ -67,7 +67,8 @@ def shuffled_neighbours(
         hashing.word(F.col("__h"), 0).alias("__w0"),
         hashing.word(F.col("__h"), 1).alias("__w1"),
     )
-    order = Window.partitionBy("__b").orderBy("__w0", "__w1")
+    # Rows that share a key come in the order of what they hold, so a task that runs again deals alike.
+    order = Window.partitionBy("__b").orderBy("__w0", "__w1", *[quoted(c) for c in df.columns])
     values = F.struct(*[quoted(c).alias(f"__d{i}") for i, c in enumerate(columns)])
     donor = F.coalesce(F.lead(values).over(order), F.first(values).over(order))
     return dealt.withColumn("__donor", donor).select(*[quoted(c) for c in df.columns], "__donor.*")

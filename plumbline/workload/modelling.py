@@ -243,7 +243,7 @@ def neighbour_sql(seed: str) -> str:
     """Window in which the next row is the donor of shuffled values."""
     digest = LINE_HASH.format(seed=seed)
     return f"""PARTITION BY floor({second_uniform_sql(digest)} * ceil((SELECT count(*) FROM lineitem) / 100000.0))
-          ORDER BY {digest}"""
+          ORDER BY {digest}, l_quantity, l_discount, label"""
 
 
 def _drops_sql():
