@@ -1,15 +1,14 @@
 """Scores of a Brown class-based bigram model.
 
-Words are counted over the whole corpus. The most frequent words are units of their
-own, all others share units by their last letters, and the end of a text is a unit.
-Exchange clustering moves units between classes while that raises the likelihood of
-the class bigrams; a text's probability is that of its class transitions times that
+Words are counted over the whole corpus. Every word seen at least ``LEAST_SEEN`` times is
+a unit of its own, the others share units by their last letters, and the end of a text is
+a unit. Exchange clustering moves units between classes while that raises the likelihood
+of the class bigrams; a text's probability is that of its class transitions times that
 of each word in its class.
 
-The corpus is read three times: for word counts, for the pairs of units that follow
-each other, and for scoring. Tables that are broadcast or brought together are bounded
-by parameters (units, classes, words kept at hand); counts of words beyond them reach the
-texts by a join.
+The number of units follows the corpus, so units, their pairs and their classes are stored
+tables. Only tables of classes by classes, and the words or units of the highest counts
+up to a parameter, are broadcast; rarer ones, which no hot key can hide among, come by joins.
 """
 
 from __future__ import annotations
@@ -19,18 +18,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import NOT_SPACE, Words, mix, random_words, text_slices
 from plumbline.llm.stored import Stored, share, shared
 
-#: Words that are units of their own, units that other words share, and classes.
-UNIT_WORDS, SHAPES, CLASSES = 2047, 1024, 64
-#: Rounds of exchange; each moves a third of the units.
-ROUNDS = 12
-#: Words whose counts are broadcast for scoring; counts of all others come by a join.
+#: Words seen this often are units. It smooths: pairs of rarer words say little about their class.
+LEAST_SEEN = 5
+#: Units that all rarer words share, and classes.
+SHAPES, CLASSES = 1024, 64
+#: Steps of exchange at most; each moves a third of the units. Three steps that together raise the
+#: likelihood by less than this share end it.
+ROUNDS, TOLERANCE = 12, 1e-4
+#: Words whose counts and classes are broadcast to tasks; those of all others come by a join.
 WORDS_AT_HAND = 1 << 20
+#: Units whose classes are broadcast in a step of exchange.
+UNITS_AT_HAND = 1 << 17
 #: Weight of the class frequencies in the transition probabilities.
 PRIOR = 4.0
 #: Distinct entries that a task gathers before it hands them on.
@@ -39,24 +43,31 @@ GATHERED = 1 << 21
 
 @dataclass
 class Model:
-    """Units, classes and probabilities; ``words`` and ``counts`` are the words at hand."""
+    """Classes and probabilities; ``words``, ``counts`` and ``classes`` are those of the words at hand."""
 
     words: np.ndarray
     counts: np.ndarray
-    unit_words: np.ndarray
-    class_of: np.ndarray
+    classes: np.ndarray
+    class_of_shape: np.ndarray
     transition: np.ndarray
     room: np.ndarray
     tokens: int
     kinds: int
     ends: int
+    #: Whether words that are not at hand may be units of their own.
+    more_units: bool
 
     def floor(self) -> float:
         """log10 of the room that all words share in the base score."""
         return float(np.log10(self.tokens + 0.5 * (self.kinds + 1)))
 
-    def units(self, words: Words, hashes: np.ndarray) -> np.ndarray:
-        return _units(self.unit_words, words, hashes)
+
+def _at_hand(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the sorted ``known``, whether it is there) of each hash."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return at, known[at] == hashes
 
 
 def _shapes(words: Words) -> np.ndarray:
@@ -69,16 +80,6 @@ def _shapes(words: Words) -> np.ndarray:
     return (mix(value) % np.uint64(SHAPES)).astype(np.int64)
 
 
-def _units(unit_words: np.ndarray, words: Words, hashes: np.ndarray) -> np.ndarray:
-    """The unit of each word: 0 is the end of a text, then the shapes, then the unit words."""
-    units = 1 + _shapes(words)
-    if len(unit_words):
-        at = np.minimum(np.searchsorted(unit_words, hashes), len(unit_words) - 1)
-        own = unit_words[at] == hashes
-        units[own] = 1 + SHAPES + at[own]
-    return units
-
-
 def _sequences(words: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(unit, row) of all tokens, with the end of each text as unit 0."""
     ends = np.cumsum(words.count)
@@ -127,28 +128,71 @@ def _word_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape"))
 
 
-def _pair_counts(train: DataFrame, unit_words: np.ndarray) -> DataFrame:
-    """(before, unit, n) of units that follow each other; a text begins after the end of another."""
-    width = 1 + SHAPES + len(unit_words)
-    sent = share(train.sparkSession, unit_words)
+#: Bits of a pair: its first or second word still has to be looked up, or its class comes by a join.
+_OPEN, _FAR = (1, 2), (4, 8)
+
+
+def _unit(word: str, n: str, shape: str) -> Column:
+    """The unit of a word: its own hash, or 1 to ``SHAPES`` for words that share; 0 is the end of a text."""
+    return F.when(F.col(n) >= LEAST_SEEN, F.col(word)).otherwise(F.col(shape) + 1).cast("long")
+
+
+def _split(df: DataFrame, bit: int) -> tuple[DataFrame, DataFrame]:
+    has = F.col("bits").bitwiseAND(F.lit(bit)) != 0
+    return df.filter(~has), df.filter(has)
+
+
+def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np.ndarray], least: int, near: int, stored: Stored) -> DataFrame:
+    """(before, unit, bits, n) of units that follow each other; a text begins after the end of another.
+
+    ``hand`` are the hashes and counts of words at hand, seen ``least`` times or more. Classes of units
+    seen less than ``near`` times come by a join.
+    """
+    sent = share(train.sparkSession, hand)
+    more = least > LEAST_SEEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared(sent)
+        known, seen = shared(sent)
+        keys = random_words(2, 31) | np.uint64(1)
 
         def parts():
             for batch in batches:
                 for part in text_slices(batch, "text"):
                     words = Words(part.column("text"), NOT_SPACE)
-                    units, _ = _sequences(words, _units(known, words, words.hashes()))
-                    pairs, n = np.unique(np.concatenate([[0], units[:-1]]) * width + units, return_counts=True)
-                    yield pairs, n, pairs
+                    hashes = words.hashes()
+                    at, there = _at_hand(known, hashes)
+                    n = np.zeros(len(hashes), np.int64)
+                    n[there] = seen[at[there]]
+                    units = np.where((n >= LEAST_SEEN) | (~there & more), hashes.view(np.int64), 1 + _shapes(words))
+                    bits = np.where(there, np.where((n >= LEAST_SEEN) & (n < near), _FAR[0], 0), _OPEN[0] if more else 0)
+                    units, _ = _sequences(words, units)
+                    bits = np.insert(bits, np.cumsum(words.count), 0)
+                    before, old = np.concatenate([[0], units[:-1]]), np.concatenate([[0], bits[:-1]])
+                    # Pairs of one task are told apart by a hash of both.
+                    with np.errstate(over="ignore"):
+                        pair = mix(mix(before.view(np.uint64) * keys[0]) + units.view(np.uint64) * keys[1])
+                    pair, first, times = np.unique(pair, return_index=True, return_counts=True)
+                    yield pair, times, np.stack([before, units, old + 2 * bits], axis=1)[first]
+
+        for _, n, rows in _gathered(parts()):
+            rows = np.ascontiguousarray(rows.T)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2].astype(np.int32)), pa.array(n)], ["before", "unit", "bits", "n"])
 
-        for pairs, n, _ in _gathered(parts()):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+    def summed(df: DataFrame) -> DataFrame:
+        return df.groupBy("before", "unit", "bits").agg(F.sum("n").alias("n"))
 
-    counted = train.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return counted.select(
-        F.floor(F.col("pair") / width).cast("int").alias("before"), (F.col("pair") % width).cast("int").alias("unit"), "n")
+    found = summed(train.mapInArrow(run, "before long, unit long, bits int, n long"))
+    if not more:
+        return found
+    rare = counts.filter(F.col("n") < least).select(F.col("word").alias("key"), _unit("word", "n", "shape").alias("is"), (F.col("n") >= LEAST_SEEN).alias("own"))
+    for i, column in enumerate(("before", "unit")):
+        found = stored.table(found)
+        done, rest = _split(found, _OPEN[i])
+        rest = rest.join(rare, F.col(column) == F.col("key")).withColumns({
+            column: F.col("is"), "bits": F.col("bits") - _OPEN[i] + F.when(F.col("own"), _FAR[i]).otherwise(0)})
+        found = done.unionByName(rest.select(*found.columns))
+    return summed(found)
 
 
 def _most_frequent(counts: DataFrame, most: int) -> int:
@@ -172,164 +216,282 @@ def _likelihood(pairs: np.ndarray) -> float:
     return float(_plogp(pairs).sum() - _plogp(pairs.sum(axis=0)).sum() - _plogp(pairs.sum(axis=1)).sum())
 
 
-def _gains(after: np.ndarray, before: np.ndarray, class_of: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+def _gains(row: np.ndarray, near: np.ndarray, n: np.ndarray, own: np.ndarray, joint: np.ndarray) -> np.ndarray:
     """Change of the likelihood when a unit joins each class (units x classes), all others staying.
 
-    ``after`` and ``before`` count the classes next to each unit.
+    It is exact but for a unit that follows itself. Entries say that unit ``row`` (ascending) has ``n`` neighbours of class ``near``, which counts the classes
+    that follow it and then those before it; ``own`` is each unit's class.
     """
-    total = np.zeros(after.shape)
-    for rows, near in ((pairs, after), (pairs.T, before)):
-        sums, own = rows.sum(axis=1), near.sum(axis=1)
-        for begin in range(0, len(near), 128):
-            part = slice(begin, begin + 128)
-            joined = (_plogp(rows[None] + near[part, None, :]) - _plogp(rows)[None]).sum(axis=2)
-            joined -= _plogp(sums[None] + own[part, None]) - _plogp(sums)[None]
-            mine = class_of[part]
-            left = (_plogp(np.maximum(rows[mine] - near[part], 0)) - _plogp(rows[mine])).sum(axis=1)
-            left -= _plogp(np.maximum(sums[mine] - own[part], 0)) - _plogp(sums[mine])
-            total[part] += joined + left[:, None]
-    total[np.arange(len(total)), class_of] = 0
+    classes = len(joint)
+    total = np.zeros((len(own), classes))
+    for side, table in enumerate((joint, joint.T)):
+        mine = (near // classes) == side
+        unit, other, times = row[mine], near[mine] % classes, n[mine].astype(np.float64)
+        if not len(unit):
+            continue
+        size, cells = table.sum(axis=1), _plogp(table)
+        first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+        held = unit[first]
+        weight = np.add.reduceat(times, first)
+        joined = _plogp(table.T[other] + times[:, None]) - cells.T[other]
+        at = own[unit]
+        left = _plogp(np.maximum(table[at, other] - times, 0)) - cells[at, other]
+        change = np.add.reduceat(joined + left[:, None], first, axis=0)
+        change -= _plogp(size[None] + weight[:, None]) - _plogp(size)[None]
+        at = own[held]
+        change -= (_plogp(np.maximum(size[at] - weight, 0)) - _plogp(size[at]))[:, None]
+        total[held] += change
+    # Four cells lie in a changed row and in a changed column: there both changes come together.
+    after, before = np.zeros(total.shape), np.zeros(total.shape)
+    follows = near < classes
+    after[row[follows], near[follows]] = n[follows]
+    before[row[~follows], near[~follows] - classes] = n[~follows]
+    every = np.arange(len(own))
+    here, back = after[every, own][:, None], before[every, own][:, None]
+    both = np.diag(joint)[None]
+    for cell, one, other in (
+        (both, after, before), (joint[:, own].T, here, -before), (joint[own], -after, back), (both[:, own].T, -here, -back),
+    ):
+        f = lambda x: _plogp(np.maximum(x, 0))
+        total += f(cell + one + other) - f(cell + one) - f(cell + other) + f(cell)
+    total[every, own] = 0
     return total
 
 
-def exchange(pairs: DataFrame, width: int, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(class of each unit, class pairs, likelihood of each round) by exchange clustering.
+def _moves(seen: DataFrame, turn: int, joint: np.ndarray) -> DataFrame:
+    """(unit, to, gain) of the units of a turn that gain by another class."""
+    classes = len(joint)
+    now = lambda unit: (F.col(unit) != 0) & (F.pmod(F.xxhash64(unit), F.lit(3)) == turn)
+    after = seen.filter(now("before")).select(F.col("before").alias("u"), F.col("from").alias("own"), F.col("to").alias("near"), "n")
+    before = seen.filter(now("unit")).select(F.col("unit").alias("u"), F.col("to").alias("own"), (F.col("from") + classes).alias("near"), "n")
+    vectors = (
+        after.groupBy("u", "own", "near").agg(F.sum("n").alias("n"))
+        .unionByName(before.groupBy("u", "own", "near").agg(F.sum("n").alias("n")))
+        # At most two entries per class.
+        .groupBy("u", "own").agg(F.collect_list("near").alias("near"), F.collect_list("n").alias("n"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                near, n = (part.column(c) for c in ("near", "n"))
+                row = np.repeat(np.arange(part.num_rows), near.value_lengths().to_numpy())
+                own = part.column("own").to_numpy().astype(np.int64)
+                gains = _gains(row, near.flatten().to_numpy().astype(np.int64), n.flatten().to_numpy(), own, joint)
+                gains[:, 0] = -np.inf
+                to = gains.argmax(axis=1)
+                gain = gains[np.arange(len(to)), to]
+                some = np.flatnonzero((gain > 0) & (to != own))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("u").take(pa.array(some)), pa.array(to[some].astype(np.int32)), pa.array(gain[some])], ["unit", "to", "gain"])
+
+    return vectors.mapInArrow(run, "unit long, to int, gain double")
+
+
+def _classed(pairs: DataFrame, classed: DataFrame) -> DataFrame:
+    """``pairs`` with the classes ``from`` and ``to`` of both units."""
+    for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
+        of = lambda far: classed.filter(F.col("far") == far).select(
+            F.col("unit").alias("key"), F.col("class").alias(name))
+        close, rest = _split(pairs, _FAR[i])
+        close = close.join(F.broadcast(of(False)), F.col(column) == F.col("key")).drop("key")
+        rest = rest.join(of(True).hint("shuffle_hash"), F.col(column) == F.col("key")).drop("key")
+        pairs = close.unionByName(rest)
+    return pairs
+
 
-    Each round sums the pairs by unit and neighbouring class in Spark (a table of units
-    by classes), and a third of the units moves to the class that raises the likelihood
-    most. A round that lowered it is undone for the half of its units with the least gain.
-    Class 0 holds the end of a text alone.
+def exchange(
+    pairs: DataFrame, units: DataFrame, stored: Stored, classes: int = CLASSES, rounds: int = ROUNDS, tolerance: float = TOLERANCE,
+) -> tuple[DataFrame, np.ndarray, list[float]]:
+    """((unit, far, class), class pairs, likelihood of each step) by exchange clustering of ``units`` (unit, n, far).
+
+    Units that are not ``far`` are few enough to be broadcast. Each step counts, for a third of the units,
+    the neighbours by class, and moves these units to the class that raises the likelihood most; the
+    gains are taken in tasks against the broadcast table of classes by classes. A step that lowered the likelihood is
+    undone for the half of its moves with the least gain. Class 0 holds the end of a text alone.
     """
     spark = pairs.sparkSession
-    weight = np.zeros(width)
-    for r in pairs.groupBy("unit").agg(F.sum("n").alias("n")).collect():
-        weight[r.unit] = r.n
-    order = np.argsort(-weight, kind="stable")
-    order = order[order != 0]
-    class_of = np.zeros(width, np.int64)
-    # The most frequent units open the classes, the others are dealt round.
-    class_of[order] = 1 + np.arange(width - 1) % (classes - 1)
-
-    def tables(class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        frame = spark.createDataFrame(
-            [(i, int(c)) for i, c in enumerate(class_of)], "id int, class int").repartition(1)
-        seen = (
-            pairs.join(F.broadcast(frame.withColumnsRenamed({"id": "before", "class": "from"})), "before")
-            .join(F.broadcast(frame.withColumnsRenamed({"id": "unit", "class": "to"})), "unit")
-        )
-        sides = seen.select(F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.col("before").alias("id"), F.col("to").alias("near"), "n"),
-            F.struct(F.lit(1).alias("side"), F.col("unit").alias("id"), F.col("from").alias("near"), "n"))).alias("s")).select("s.*")
-        found = sides.groupBy("side", "id", "near").agg(F.sum("n").alias("n")).toArrow()
-        side, unit, near, n = (found.column(c).to_numpy() for c in ("side", "id", "near", "n"))
-        after, before = np.zeros((width, classes)), np.zeros((width, classes))
-        for table, at in ((after, side == 0), (before, side == 1)):
-            table[unit[at], near[at]] = n[at]
+    # The most frequent units open the classes, the others are dealt by hash.
+    first = units.filter("unit != 0").orderBy(F.desc("n"), "unit").limit(classes - 1).collect()
+    first = spark.createDataFrame([(r.unit, i + 1) for i, r in enumerate(first)], "unit long, opens int")
+    dealt = F.when(F.col("unit") == 0, 0).otherwise(F.coalesce("opens", 1 + F.pmod(F.xxhash64("unit"), F.lit(classes - 1)))).cast("int")
+    classed = stored.table(units.join(F.broadcast(first), "unit", "left").select("unit", "far", dealt.alias("class")))
+
+    def joint_of(classed: DataFrame) -> np.ndarray:
         joint = np.zeros((classes, classes))
-        np.add.at(joint, class_of, after)
-        return after, before, joint
+        for r in _classed(pairs, classed).groupBy("from", "to").agg(F.sum("n").alias("n")).collect():
+            joint[r["from"], r["to"]] = r.n
+        return joint
 
-    after, before, joint = tables(class_of)
+    joint = joint_of(classed)
     history = [_likelihood(joint)]
-    moved: list[tuple[int, int, float]] = []
     for step in range(rounds):
-        gains = _gains(after, before, class_of, joint)
-        gains[:, 0] = -np.inf
-        best = gains.argmax(axis=1)
-        gain = gains[np.arange(width), best]
-        turn = (np.arange(width) % 3 == step % 3) & (gain > 0) & (np.arange(width) > 0)
-        moved = sorted(((int(u), int(class_of[u]), float(gain[u])) for u in np.flatnonzero(turn)), key=lambda m: -m[2])
-        new = class_of.copy()
-        new[turn] = best[turn]
-        while moved:
-            t = tables(new)
-            if _likelihood(t[2]) >= history[-1]:
-                class_of, (after, before, joint) = new, t
+        moves = stored.table(_moves(_classed(pairs, classed), step % 3, joint))
+        low = 0.0
+        while True:
+            taken = moves.filter(F.col("gain") >= low)
+            number, middle = taken.agg(F.count(F.lit(1)), F.percentile_approx("gain", 0.5)).first()
+            if not number:
                 break
-            for u, old, _ in moved[len(moved) // 2 :]:
-                new[u] = old
-            moved = moved[: len(moved) // 2]
+            new = stored.table(classed.join(taken.select("unit", "to"), "unit", "left").select(
+                "unit", "far", F.coalesce("to", "class").alias("class")))
+            found = joint_of(new)
+            if _likelihood(found) >= history[-1]:
+                classed, joint = new, found
+                break
+            # At least one move goes, so this ends.
+            low = middle if middle > low else float(np.nextafter(low, np.inf) if low else middle)
         history.append(_likelihood(joint))
-    return class_of, joint, history
+        if step >= 2 and history[-1] - history[-4] <= tolerance * abs(history[-1]):
+            break
+    return classed, joint, history
 
 
-def learn(train: DataFrame, stored: Stored, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model of (text) and the counts of all words, as a stored table."""
+def learn(
+    train: DataFrame, stored: Stored, classes: int = CLASSES, rounds: int = ROUNDS, tolerance: float = TOLERANCE,
+) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of (text), the counts of all words and the classes of all units, as stored tables."""
     counts = stored.table(_word_counts(train), keep=True)
     ends = train.count()
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, kinds = (total[0] or 0) + ends, total[1] + (ends > 0)
-    top = counts.filter(F.col("n") >= _most_frequent(counts, UNIT_WORDS)).select("word").toArrow()
-    unit_words = np.sort(top.column("word").to_numpy().view(np.uint64))
-    width = 1 + SHAPES + len(unit_words)
-    pairs = stored.table(_pair_counts(train, unit_words))
-    class_of, joint, _ = exchange(pairs, width, classes, rounds)
-
-    # Tokens and different words of each class give the room that its words share.
-    at_hand = counts.filter(F.col("n") >= _most_frequent(counts, WORDS_AT_HAND)).select("word", "n").toArrow()
+    least = _most_frequent(counts, WORDS_AT_HAND) if kinds > WORDS_AT_HAND else 1
+    own = counts.filter(F.col("n") >= LEAST_SEEN)
+    near = _most_frequent(own, UNITS_AT_HAND) if own.count() > UNITS_AT_HAND else 1
+    at_hand = counts.filter(F.col("n") >= least).select("word", "n").toArrow()
     words, n = at_hand.column("word").to_numpy().view(np.uint64), at_hand.column("n").to_numpy()
     order = np.argsort(words)
     words, n = words[order], n[order]
+    pairs = stored.table(_pair_counts(train, counts, (words, n), least, near, stored))
+
+    # All shapes are units, so that words never seen have a class.
+    spark = train.sparkSession
+    shared_units = spark.range(0, SHAPES + 1).select(
+        F.col("id").alias("unit"), F.when(F.col("id") == 0, ends).otherwise(0).cast("long").alias("n"),
+        F.when(F.col("id") == 0, int(ends > 0)).otherwise(0).cast("long").alias("kinds"))
+    units = counts.select(_unit("word", "n", "shape").alias("unit"), "n", F.lit(1).cast("long").alias("kinds")).unionByName(shared_units)
+    units = units.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"))
+    units = stored.table(units.withColumn("far", ~F.col("unit").between(0, SHAPES) & (F.col("n") < near)))
+    classed, joint, _ = exchange(pairs, units, stored, classes, rounds, tolerance)
+    classed = stored.table(classed, keep=True)
+
+    # Tokens and different words of each class give the room that its words share.
     of_class, of_kinds = np.zeros(classes), np.zeros(classes)
-    of_class[0], of_kinds[0] = ends, ends > 0
-    by_shape = {r["shape"]: (r.n, r.kinds) for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
-    top = counts.filter(F.col("n") >= _most_frequent(counts, UNIT_WORDS)).select("word", "n", "shape").toArrow()
-    for word, count, shape in zip(top.column("word").to_numpy().view(np.uint64), top.column("n").to_pylist(), top.column("shape").to_pylist()):
-        c = class_of[1 + SHAPES + int(np.searchsorted(unit_words, word))]
-        of_class[c] += count
-        of_kinds[c] += 1
-        by_shape[shape] = (by_shape[shape][0] - count, by_shape[shape][1] - 1)
-    for shape, (count, different) in by_shape.items():
-        of_class[class_of[1 + shape]] += count
-        of_kinds[class_of[1 + shape]] += different
+    for r in units.join(classed.select("unit", "class"), "unit").groupBy("class").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
+        of_class[r["class"]], of_kinds[r["class"]] = r.n, r.kinds
+    class_of_shape = np.zeros(SHAPES, np.int64)
+    for r in classed.filter(F.col("unit").between(1, SHAPES)).collect():
+        class_of_shape[r.unit - 1] = r["class"]
+    mine = counts.filter(F.col("n") >= least).withColumn("unit", _unit("word", "n", "shape"))
+    mine = mine.filter(F.col("n") >= LEAST_SEEN).join(classed.select("unit", "class"), "unit").select("word", "class").toArrow()
+    of_word = np.full(len(words), -1, np.int16)
+    of_word[np.searchsorted(words, mine.column("word").to_numpy().view(np.uint64))] = mine.column("class").to_numpy()
+
     share_of = joint.sum(axis=0) + 0.5
     share_of /= share_of.sum()
     transition = (joint + PRIOR * share_of) / (joint.sum(axis=1, keepdims=True) + PRIOR)
     room = np.log10(of_class + 0.5 * (of_kinds + 1))
-    return Model(words, n, unit_words, class_of, np.log10(transition), room, tokens, kinds, ends), counts
+    model = Model(words, n, of_word, class_of_shape, np.log10(transition), room, tokens, kinds, ends, least > LEAST_SEEN)
+    return model, counts, classed
 
 
 def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """Scores of each text without the words that are not at hand, which are listed."""
+    """Scores of each text as far as its words are at hand.
+
+    ``words`` lists the others, with the class that they have unless they are units; ``pairs`` the
+    transitions that depend on whether they are.
+    """
     sent = share(docs.sparkSession, model)
 
+    def lists(rows: np.ndarray, n: int, columns: list[np.ndarray]) -> tuple[pa.Array, list[np.ndarray]]:
+        """Equal entries once, with their number, as a list per row (``rows`` ascends)."""
+        if len(rows):
+            order = np.lexsort([*columns[::-1], rows])
+            rows, columns = rows[order], [c[order] for c in columns]
+            new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in (rows, *columns)], axis=0)])
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(rows)))
+            rows, columns = rows[first], [*(c[first] for c in columns), times]
+        else:
+            columns = [*columns, np.zeros(0, np.int64)]
+        return np.searchsorted(rows, np.arange(n + 1)).astype(np.int32), columns
+
+    def nested(rows: np.ndarray, n: int, columns: list[np.ndarray], names: list[str]) -> pa.Array:
+        offsets, columns = lists(rows, n, columns)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         its: Model = shared(sent)
-        floor = its.floor()
+        floor, end = its.floor(), np.log10(its.ends + 0.5)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 words = Words(part.column("text"), NOT_SPACE)
-                names, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-                at = np.minimum(np.searchsorted(its.words, names), max(len(its.words) - 1, 0))
-                near = its.words[at] == names if len(its.words) else np.zeros(len(names), bool)
-                weight = np.zeros(len(names))
-                weight[near] = np.log10(its.counts[at[near]] + 0.5)
-                units, rows = _sequences(words, its.units(words, words.hashes()))
-                classes = its.class_of[units]
-                previous = np.concatenate([[0], classes[:-1]])
-                n = words.rows
+                hashes, n = words.hashes(), words.rows
+                at, there = _at_hand(its.words, hashes)
+                weight = np.zeros(len(hashes))
+                weight[there] = np.log10(its.counts[at[there]] + 0.5)
+                classes = its.class_of_shape[_shapes(words)]
+                own = there.copy()
+                own[there] = its.classes[at[there]] >= 0
+                classes[own] = its.classes[at[own]]
                 sums = lambda index, values: np.bincount(index, weights=values, minlength=n)
-                known = np.bincount(words.doc[near[which]], minlength=n) + (its.ends > 0)
-                end = np.log10(its.ends + 0.5)
-                size = words.count + 1
-                plain = sums(words.doc, np.where(near, weight - floor, 0.0)[which]) + (end - floor)
-                shares = np.insert(weight[which], np.cumsum(words.count), end) - its.room[classes]
-                score = sums(rows, its.transition[previous, classes] + shares)
-                # The words to ask for, each once per text.
-                far = ~near[which]
-                asked, times = np.unique(words.doc[far] * len(names) + which[far], return_counts=True) if far.any() else (
-                    np.zeros(0, np.int64), np.zeros(0, np.int64))
-                offsets = np.searchsorted(asked // max(len(names), 1), np.arange(n + 1)).astype(np.int32)
-                words_asked = names[asked % max(len(names), 1)].view(np.int64) if len(names) else asked
-                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (words_asked, times.astype(np.int32))]
+                known = np.bincount(words.doc[there], minlength=n) + (its.ends > 0)
+                plain = sums(words.doc, np.where(there, weight - floor, 0.0)) + (end - floor)
+                shares = sums(words.doc, np.where(there, weight - its.room[classes], 0.0)) + (end - its.room[0])
+                rows = words.doc[~there]
+                asked = nested(rows, n, [hashes[~there].view(np.int64), classes[~there]], ["word", "class", "times"])
+
+                after, doc = _sequences(words, classes)
+                before = np.concatenate([[0], after[:-1]])
+                ends = np.cumsum(words.count)
+                key = np.insert(hashes.view(np.int64), ends, 0)
+                open_ = np.insert(~there & its.more_units, ends, False)
+                bits = _OPEN[1] * open_ + _OPEN[0] * np.concatenate([[False], open_[:-1]])
+                some = bits > 0
+                moves = sums(doc, np.where(some, 0.0, its.transition[before, after]))
+                old = np.concatenate([[0], key[:-1]])
+                pairs = nested(doc[some], n, [old[some], key[some], before[some], after[some], bits[some]],
+                               ["before", "unit", "from", "to", "bits", "times"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size), pa.array(known.astype(np.int64)), pa.array(plain),
-                     pa.array(score), *lists],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "word", "times"])
+                    [part.column("doc_id"), pa.array(words.count + 1), pa.array(known.astype(np.int64)), pa.array(plain),
+                     pa.array(shares + moves), asked, pairs],
+                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "words", "pairs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, word array<long>, times array<int>")
+        run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, "
+        "words array<struct<word: long, class: long, times: long>>, "
+        "pairs array<struct<before: long, unit: long, from: long, to: long, bits: long, times: long>>")
+
+
+def _asked(local: DataFrame, model: Model, counts: DataFrame, classed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """What words that are not at hand add: (row, more, plain, found), and (row, moved) by transitions."""
+    room = F.array(*(F.lit(float(x)) for x in model.room))
+    n = F.coalesce("n", F.lit(0))
+    words = local.select("row", F.explode("words").alias("w")).select("row", "w.*")
+    looked = counts.select("word", "n")
+    if model.more_units:
+        looked = looked.join(classed.select(F.col("unit").alias("word"), F.col("class").alias("own")), "word", "left")
+    else:
+        looked = looked.withColumn("own", F.lit(None).cast("int"))
+    its = F.coalesce("own", "class").cast("int")
+    met = words.join(looked, "word", "left").groupBy("row").agg(
+        F.sum((F.log10(n + 0.5) - F.element_at(room, its + 1)) * F.col("times")).alias("more"),
+        F.sum((F.log10(n + 0.5) - F.lit(model.floor())) * F.col("times")).alias("plain"),
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
+    if not model.more_units:
+        return met, None
+    pairs = local.select("row", F.explode("pairs").alias("p")).select("row", "p.*")
+    own = classed.filter(~F.col("unit").between(0, SHAPES)).select(
+        F.col("unit").alias("key"), F.col("class").alias("own"))
+    for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
+        sure, rest = _split(pairs, _OPEN[i])
+        rest = rest.join(own, F.col(column) == F.col("key"), "left").withColumn(name, F.coalesce("own", name).cast("long"))
+        pairs = sure.unionByName(rest.select(*pairs.columns))
+    steps = F.array(*(F.lit(float(x)) for x in model.transition.ravel()))
+    at = (F.col("from") * len(model.room) + F.col("to") + 1).cast("int")
+    return met, pairs.groupBy("row").agg(F.sum(F.element_at(steps, at) * F.col("times")).alias("moved"))
 
 
 def score(
@@ -350,19 +512,16 @@ def score(
     """
     stored = Stored(docs.sparkSession)
     text = F.col(text_col).cast("string").alias("text")
-    model, counts = learn(train.select(text), stored, classes, rounds)
+    model, counts, classed = learn(train.select(text), stored, classes, rounds)
     local = stored.table(
         _local_scores(docs.select(F.col(id_col).alias("doc_id"), text), model).withColumn("row", F.monotonically_increasing_id()), keep=True)
-    asked = local.select("row", F.explode(F.arrays_zip("word", "times")).alias("w")).select("row", "w.word", "w.times")
-    # Half a count for words that were never seen, as for all others.
-    met = asked.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5) * F.col("times")).alias("more"),
-        F.sum((F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(model.floor())) * F.col("times")).alias("plain"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
+    met, moved = _asked(local, model, counts, classed)
     stored.close()
-    more, found = F.coalesce("more", F.lit(0.0)), F.coalesce("found", F.lit(0))
-    total = F.col("score") + more
-    return local.drop("word", "times").join(met, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + found).cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+    result = local.drop("words", "pairs").join(met, "row", "left")
+    result = result.join(moved, "row", "left") if moved is not None else result.withColumn("moved", F.lit(0.0))
+    total = F.col("score") + F.coalesce("more", F.lit(0.0)) + F.coalesce("moved", F.lit(0.0))
+    return result.select(
+        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).cast("long").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("plain", F.lit(0.0))).alias("base_score"), total.alias("score"),
         F.pow(F.lit(10.0), F.least(-total / F.col("n_tokens"), F.lit(300.0))).alias("perplexity"))

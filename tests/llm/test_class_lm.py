@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ def test_counts_and_base_scores(docs, monkeypatch):
         assert math.isclose(got.perplexity, 10 ** (-got.score / n), rel_tol=1e-9)
     # The same scores if nearly all counts come by the join and tables are handed on early.
     monkeypatch.setattr(class_lm, "WORDS_AT_HAND", 20)
+    monkeypatch.setattr(class_lm, "UNITS_AT_HAND", 10)
     monkeypatch.setattr(class_lm, "GATHERED", 500)
     again = scored(docs, train, classes=8, rounds=3)
     for i, r in rows.items():
@@ -55,19 +57,75 @@ def test_counts_and_base_scores(docs, monkeypatch):
         assert math.isclose(again[i].base_score, r.base_score, rel_tol=1e-9)
 
 
+def class_of_words(counts, classed):
+    """Class of each word by the stored tables alone."""
+    of_unit = {r.unit: r["class"] for r in classed.collect()}
+    return of_unit, {r.word: of_unit[r.word if r.n >= class_lm.LEAST_SEEN else r["shape"] + 1] for r in counts.collect()}
+
+
+def hashed(words):
+    """(hash, shape) of each word, one text per word."""
+    view = class_lm.Words(pa.array(words), class_lm.NOT_SPACE)
+    return dict(zip(words, zip(view.hashes().view(np.int64).tolist(), class_lm._shapes(view).tolist())))
+
+
+def test_scores_equal_a_plain_class_bigram_model(docs, spark, monkeypatch):
+    train = docs.filter(langid.remainder("doc_id", 5) != 1)
+    texts = [tokens_of(r.text) for r in train.collect()]
+    every = sorted({t for r in docs.collect() for t in tokens_of(r.text) if t})
+    names = hashed(every)
+    for at_hand in (1 << 20, 300):
+        monkeypatch.setattr(class_lm, "WORDS_AT_HAND", at_hand)
+        monkeypatch.setattr(class_lm, "UNITS_AT_HAND", min(at_hand, 1 << 17) // 2)
+        stored = Stored(spark)
+        model, counts, classed = class_lm.learn(train.select("text"), stored, classes=12, rounds=4)
+        assert model.more_units == (at_hand == 300)
+        of_unit, known = class_of_words(counts, classed)
+        # Every word seen five times or more is a unit with a class of its own.
+        often = {w for w, n in Counter(t for x in texts for t in x if t).items() if n >= 5}
+        assert len(often) > 300 and {names[w][0] for w in often} == {u for u in of_unit if not 0 <= u <= class_lm.SHAPES}
+        its = lambda t: 0 if t is None else known.get(names[t][0], of_unit[names[t][1] + 1])
+
+        seen, kinds, pairs, times = Counter(), Counter(), Counter(), Counter(t for x in texts for t in x)
+        for t, n in times.items():
+            seen[its(t)] += n
+            kinds[its(t)] += 1
+        for x in texts:
+            for before, t in zip([None, *x], x):
+                pairs[its(before), its(t)] += 1
+        froms, tos = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            froms[a] += n
+            tos[b] += n
+        everything = sum(n + 0.5 for n in (tos[c] for c in range(12)))
+        expected = {}
+        for r in docs.collect():
+            own, total = tokens_of(r.text), 0.0
+            for before, t in zip([None, *own], own):
+                a, b = its(before), its(t)
+                total += math.log10((pairs[a, b] + class_lm.PRIOR * (tos[b] + 0.5) / everything) / (froms[a] + class_lm.PRIOR))
+                total += math.log10((times[t] + 0.5) / (seen[b] + 0.5 * (kinds[b] + 1)))
+            expected[r.doc_id] = total
+        local = stored.table(class_lm._local_scores(docs, model).withColumn("row", F.col("doc_id")))
+        met, moved = class_lm._asked(local, model, counts, classed)
+        more = Counter({r.row: r.more for r in met.collect()})
+        for r in (moved.collect() if moved is not None else []):
+            more[r.row] += r.moved
+        for r in local.collect():
+            assert math.isclose(r.score + more[r.doc_id], expected[r.doc_id], rel_tol=1e-9)
+        stored.close()
+
+
 def test_model_is_a_distribution_and_beats_the_base(docs, spark):
     train = docs.filter(langid.remainder("doc_id", 5) != 1)
     stored = Stored(spark)
-    model, counts = class_lm.learn(train.select("text"), stored, classes=16, rounds=9)
+    model, counts, classed = class_lm.learn(train.select("text"), stored, classes=16, rounds=9)
     assert np.allclose((10.0**model.transition).sum(axis=1), 1)
     # Shares of all words of a class, and half a count for one that was never seen, sum to 1.
     share = np.zeros(16)
+    _, known = class_of_words(counts, classed)
     for r in counts.collect():
-        word = np.array([r.word], np.int64).view(np.uint64)
-        at = np.searchsorted(model.unit_words, word)[0]
-        own = at < len(model.unit_words) and model.unit_words[at] == word[0]
-        unit = 1 + class_lm.SHAPES + at if own else 1 + r["shape"]
-        share[model.class_of[unit]] += r.n + 0.5
+        share[known[r.word]] += r.n + 0.5
     share[0] += model.ends + 0.5
     assert np.allclose(share + 0.5, 10.0**model.room)
     total = class_lm.score(docs, train, classes=16, rounds=9).filter(langid.remainder("doc_id", 5) == 1).agg(
@@ -76,6 +134,35 @@ def test_model_is_a_distribution_and_beats_the_base(docs, spark):
     stored.close()
 
 
+def test_gains_are_the_changes_of_the_likelihood():
+    rng = np.random.default_rng(3)
+    table = rng.integers(1, 30, (9, 9))
+    np.fill_diagonal(table, 0)
+    of = np.array([0, 1, 1, 2, 2, 3, 3, 1, 2])
+
+    def joint(of):
+        j = np.zeros((4, 4))
+        np.add.at(j, (of[:, None].repeat(9, 1), of[None].repeat(9, 0)), table)
+        return j
+
+    entries = []
+    for u in range(1, 9):
+        for other in range(9):
+            entries += [(u - 1, of[other], table[u, other]), (u - 1, 4 + of[other], table[other, u])]
+    sums = Counter()
+    for u, c, n in entries:
+        sums[u, c] += int(n)
+    keys = sorted(k for k, n in sums.items() if n)
+    row, near = (np.array(x) for x in zip(*keys))
+    gains = class_lm._gains(row, near, np.array([sums[k] for k in keys]), of[1:], joint(of))
+    for u in range(1, 9):
+        for c in range(1, 4):
+            new = of.copy()
+            new[u] = c
+            true = class_lm._likelihood(joint(new)) - class_lm._likelihood(joint(of))
+            assert math.isclose(gains[u - 1, c], true, rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_exchange_raises_the_likelihood_and_finds_groups(spark):
     rng = np.random.default_rng(2)
     # Units 1 to 10 follow 11 to 20 and the reverse: two classes explain that.
@@ -85,9 +172,19 @@ def test_exchange_raises_the_likelihood_and_finds_groups(spark):
         for key in ((a, b), (b, int(rng.integers(1, 11)))):
             pairs[key] = pairs.get(key, 0) + 1
     pairs[0, 1] = pairs[20, 0] = 1
-    df = spark.createDataFrame([(a, b, n) for (a, b), n in pairs.items()], "before int, unit int, n long")
-    class_of, joint, history = class_lm.exchange(df, 21, classes=3, rounds=12)
+    # A third of the units comes by joins.
+    far = lambda u: u % 3 == 2
+    df = spark.createDataFrame(
+        [(a, b, 4 * far(a) + 8 * far(b), n) for (a, b), n in pairs.items()], "before long, unit long, bits int, n long")
+    weight = Counter()
+    for (_, b), n in pairs.items():
+        weight[b] += n
+    units = spark.createDataFrame([(u, weight[u], far(u)) for u in range(21)], "unit long, n long, far boolean")
+    stored = Stored(spark)
+    classed, joint, history = class_lm.exchange(df, units, stored, classes=3, rounds=12)
     assert all(b >= a for a, b in zip(history, history[1:]))
+    class_of = np.array([r["class"] for r in sorted(classed.collect(), key=lambda r: r.unit)])
+    stored.close()
     assert class_of[0] == 0 and set(class_of[1:11]) != set(class_of[11:]) and len(set(class_of[1:11])) == len(set(class_of[11:])) == 1
     expected = np.zeros((3, 3))
     for (a, b), n in pairs.items():
