@@ -6,9 +6,9 @@ a unit. Exchange clustering moves units between classes while that raises the li
 of the class bigrams; a text's probability is that of its class transitions times that
 of each word in its class.
 
-The number of units follows the corpus, so units, their pairs and their classes are stored
-tables. Only tables of classes by classes, and the words or units of the highest counts
-up to a parameter, are broadcast; rarer ones, which no hot key can hide among, come by joins.
+The number of units follows the corpus. Their pairs are a stored table; counts and classes of the most
+frequent words, up to a parameter, are broadcast; those of all rarer ones, which no hot key can
+hide among, are stored tables that come by joins.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import NOT_SPACE, Words, mix, random_words, text_slices
@@ -30,15 +30,15 @@ LEAST_SEEN = 5
 SHAPES, CLASSES = 1024, 64
 #: Steps of exchange at most; each moves a third of the units. Three steps that together raise the
 #: likelihood by less than this share end it.
-ROUNDS, TOLERANCE = 12, 1e-4
+ROUNDS, TOLERANCE = 6, 1e-4
 #: Words whose counts and classes are broadcast to tasks; those of all others come by a join.
 WORDS_AT_HAND = 1 << 20
-#: Units whose classes are broadcast in a step of exchange.
-UNITS_AT_HAND = 1 << 17
 #: Weight of the class frequencies in the transition probabilities.
 PRIOR = 4.0
 #: Distinct entries that a task gathers before it hands them on.
 GATHERED = 1 << 21
+#: Pairs that a task folds at once.
+FOLDED = 1 << 18
 
 
 @dataclass
@@ -86,7 +86,7 @@ def _sequences(words: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.insert(units, ends, 0), np.insert(words.doc, ends, np.arange(words.rows))
 
 
-def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Sums (key, count, extra) over the parts of a task, in tables of bounded size."""
     held, size = [], 0
 
@@ -99,10 +99,10 @@ def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Ite
     for part in parts:
         held.append(part)
         size += len(part[0])
-        if size > GATHERED:
+        if size > limit:
             held = [merged()]
             size = len(held[0][0])
-            if size > GATHERED // 2:
+            if size > limit // 2:
                 yield held[0]
                 held, size = [], 0
     if held:
@@ -120,7 +120,7 @@ def _word_counts(train: DataFrame) -> DataFrame:
                     names, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
                     yield names, n, _shapes(words)[first]
 
-        for names, n, shapes in _gathered(parts()):
+        for names, n, shapes in _gathered(parts(), GATHERED):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names.view(np.int64)), pa.array(n), pa.array(shapes.astype(np.int32))], ["word", "n", "shape"])
 
@@ -128,13 +128,8 @@ def _word_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape"))
 
 
-#: Bits of a pair: its first or second word still has to be looked up, or its class comes by a join.
-_OPEN, _FAR = (1, 2), (4, 8)
-
-
-def _unit(word: str, n: str, shape: str) -> Column:
-    """The unit of a word: its own hash, or 1 to ``SHAPES`` for words that share; 0 is the end of a text."""
-    return F.when(F.col(n) >= LEAST_SEEN, F.col(word)).otherwise(F.col(shape) + 1).cast("long")
+#: Bits of a pair: its first or second word is not at hand.
+_FAR = (1, 2)
 
 
 def _split(df: DataFrame, bit: int) -> tuple[DataFrame, DataFrame]:
@@ -142,17 +137,19 @@ def _split(df: DataFrame, bit: int) -> tuple[DataFrame, DataFrame]:
     return df.filter(~has), df.filter(has)
 
 
-def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np.ndarray], least: int, near: int, stored: Stored) -> DataFrame:
+def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np.ndarray], least: int, stored: Stored) -> DataFrame:
     """(before, unit, bits, n) of units that follow each other; a text begins after the end of another.
 
-    ``hand`` are the hashes and counts of words at hand, seen ``least`` times or more. Classes of units
-    seen less than ``near`` times come by a join.
+    ``hand`` are the sorted hashes and the counts of words at hand, which were seen ``least`` times or more. Unit 0
+    is the end of a text, then come the shapes, then the frequent words at hand; other units go by their hash.
     """
     sent = share(train.sparkSession, hand)
     more = least > LEAST_SEEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = shared(sent)
+        own = seen >= LEAST_SEEN
+        place = SHAPES + np.cumsum(own)
         keys = random_words(2, 31) | np.uint64(1)
 
         def parts():
@@ -161,20 +158,23 @@ def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np
                     words = Words(part.column("text"), NOT_SPACE)
                     hashes = words.hashes()
                     at, there = _at_hand(known, hashes)
-                    n = np.zeros(len(hashes), np.int64)
-                    n[there] = seen[at[there]]
-                    units = np.where((n >= LEAST_SEEN) | (~there & more), hashes.view(np.int64), 1 + _shapes(words))
-                    bits = np.where(there, np.where((n >= LEAST_SEEN) & (n < near), _FAR[0], 0), _OPEN[0] if more else 0)
+                    units = 1 + _shapes(words)
+                    frequent = there.copy()
+                    frequent[there] = own[at[there]]
+                    units[frequent] = place[at[frequent]]
+                    far = ~there & more
+                    units[far] = hashes.view(np.int64)[far]
                     units, _ = _sequences(words, units)
-                    bits = np.insert(bits, np.cumsum(words.count), 0)
-                    before, old = np.concatenate([[0], units[:-1]]), np.concatenate([[0], bits[:-1]])
+                    far = np.insert(far, np.cumsum(words.count), False)
+                    before = np.concatenate([[0], units[:-1]])
+                    bits = _FAR[0] * np.concatenate([[False], far[:-1]]) + _FAR[1] * far
                     # Pairs of one task are told apart by a hash of both.
                     with np.errstate(over="ignore"):
                         pair = mix(mix(before.view(np.uint64) * keys[0]) + units.view(np.uint64) * keys[1])
                     pair, first, times = np.unique(pair, return_index=True, return_counts=True)
-                    yield pair, times, np.stack([before, units, old + 2 * bits], axis=1)[first]
+                    yield pair, times, np.stack([before, units, bits], axis=1)[first]
 
-        for _, n, rows in _gathered(parts()):
+        for _, n, rows in _gathered(parts(), FOLDED):
             rows = np.ascontiguousarray(rows.T)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2].astype(np.int32)), pa.array(n)], ["before", "unit", "bits", "n"])
@@ -185,13 +185,14 @@ def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np
     found = summed(train.mapInArrow(run, "before long, unit long, bits int, n long"))
     if not more:
         return found
-    rare = counts.filter(F.col("n") < least).select(F.col("word").alias("key"), _unit("word", "n", "shape").alias("is"), (F.col("n") >= LEAST_SEEN).alias("own"))
+    rare = counts.filter(F.col("n") < least).select("word", "n", "shape").withColumn("own", F.col("n") >= LEAST_SEEN).drop("n")
     for i, column in enumerate(("before", "unit")):
         found = stored.table(found)
-        done, rest = _split(found, _OPEN[i])
-        rest = rest.join(rare, F.col(column) == F.col("key")).withColumns({
-            column: F.col("is"), "bits": F.col("bits") - _OPEN[i] + F.when(F.col("own"), _FAR[i]).otherwise(0)})
-        found = done.unionByName(rest.select(*found.columns))
+        near, far = _split(found, _FAR[i])
+        far = far.join(rare, F.col(column) == F.col("word")).withColumns({
+            column: F.when(F.col("own"), F.col("word")).otherwise(F.col("shape") + 1).cast("long"),
+            "bits": F.when(F.col("own"), F.col("bits")).otherwise(F.col("bits") - _FAR[i])})
+        found = near.unionByName(far.select(*found.columns))
     return summed(found)
 
 
@@ -258,18 +259,76 @@ def _gains(row: np.ndarray, near: np.ndarray, n: np.ndarray, own: np.ndarray, jo
     return total
 
 
-def _moves(seen: DataFrame, turn: int, joint: np.ndarray) -> DataFrame:
-    """(unit, to, gain) of the units of a turn that gain by another class."""
+def _dealt(names: np.ndarray, hands: int) -> np.ndarray:
+    """A number below ``hands`` for each unit, by its hash, wherever the unit is kept."""
+    return mix(names.astype(np.int64).view(np.uint64)) % np.uint64(hands)
+
+
+def _neighbours(
+    pairs: DataFrame, names: np.ndarray, class_of: np.ndarray, far: DataFrame | None, turn: int, classes: int,
+) -> DataFrame:
+    """(u, own, near, n): the neighbours by class of each unit of a turn, as two lists; and the class pairs.
+
+    ``names`` and ``class_of`` are the hashes and classes of units at hand, ``far`` has (unit, class) of the others. Class pairs are rows whose ``u`` is
+    between -1 and -classes * classes, their classes ``own`` and ``near[0]``.
+    """
+    sent = share(pairs.sparkSession, (class_of, (_dealt(names, 3) == turn) & (np.arange(len(names)) > 0)))
+    nothing = F.lit(-1)
+    ready = pairs.select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
+    if far is not None:
+        ready = pairs.filter("bits = 0").select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
+        rest = pairs.filter("bits != 0").withColumns({"from": nothing, "to": nothing})
+        for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
+            near, lost = _split(rest, _FAR[i])
+            its = far.select(F.col("unit").alias("key"), F.col("class").alias("class"))
+            rest = near.unionByName(lost.join(its, F.col(column) == F.col("key")).withColumn(name, F.col("class")).select(*rest.columns))
+        ready = ready.unionByName(rest.select(*ready.columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        its, turns = shared(sent)
+        joint = np.zeros(classes * classes)
+        key = random_words(1, 37)[0] | np.uint64(1)
+
+        def rows(u, own, near, n):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(u), pa.array(own.astype(np.int32)), pa.array(near.astype(np.int32)), pa.array(n.astype(np.int64))],
+                ["u", "own", "near", "n"])
+
+        def folded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            before, unit, n, old, new = (np.concatenate([h.column(i).to_numpy() for h in held]) for i in range(5))
+            a, b = (np.where(c >= 0, _dealt(x, 3) == turn, turns[np.where(c >= 0, 0, x)]) for x, c in ((before, old), (unit, new)))
+            old, new = (np.where(c >= 0, c, its[np.where(c >= 0, 0, x)]) for x, c in ((before, old), (unit, new)))
+            joint[:] += np.bincount(old.astype(np.int64) * classes + new, weights=n, minlength=len(joint))
+            u = np.concatenate([before[a], unit[b]])
+            own, near = np.concatenate([old[a], new[b]]), np.concatenate([new[a], old[b] + classes])
+            with np.errstate(over="ignore"):
+                pair = mix(mix(u.view(np.uint64)) + near.astype(np.uint64) * key)
+            _, first, index = np.unique(pair, return_index=True, return_inverse=True)
+            return rows(u[first], own[first], near[first], np.bincount(index, weights=np.concatenate([n[a], n[b]]), minlength=len(first)))
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= FOLDED:
+                yield folded(held)
+                held, size = [], 0
+        if held:
+            yield folded(held)
+        some = np.flatnonzero(joint)
+        yield rows(-1 - some, some // classes, some % classes, joint[some])
+
+    # Tasks have folded their rows: a unit comes with two rows a class from each fold at most.
+    sides = ready.mapInArrow(run, "u long, own int, near int, n long").repartition("u")
+    sides = sides.groupBy("u", "own", "near").agg(F.sum("n").alias("n"))
+    # In a fixed order, so that sums of the same numbers are the same.
+    sides = sides.groupBy("u", "own").agg(F.sort_array(F.collect_list(F.struct("near", "n"))).alias("list"))
+    return sides.select("u", "own", F.col("list.near").alias("near"), F.col("list.n").alias("n"))
+
+
+def _moves(vectors: DataFrame, joint: np.ndarray) -> DataFrame:
+    """(unit, to, gain) of the units that gain by another class."""
     classes = len(joint)
-    now = lambda unit: (F.col(unit) != 0) & (F.pmod(F.xxhash64(unit), F.lit(3)) == turn)
-    after = seen.filter(now("before")).select(F.col("before").alias("u"), F.col("from").alias("own"), F.col("to").alias("near"), "n")
-    before = seen.filter(now("unit")).select(F.col("unit").alias("u"), F.col("to").alias("own"), (F.col("from") + classes).alias("near"), "n")
-    vectors = (
-        after.groupBy("u", "own", "near").agg(F.sum("n").alias("n"))
-        .unionByName(before.groupBy("u", "own", "near").agg(F.sum("n").alias("n")))
-        # At most two entries per class.
-        .groupBy("u", "own").agg(F.collect_list("near").alias("near"), F.collect_list("n").alias("n"))
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,113 +345,123 @@ def _moves(seen: DataFrame, turn: int, joint: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("u").take(pa.array(some)), pa.array(to[some].astype(np.int32)), pa.array(gain[some])], ["unit", "to", "gain"])
 
-    return vectors.mapInArrow(run, "unit long, to int, gain double")
-
-
-def _classed(pairs: DataFrame, classed: DataFrame) -> DataFrame:
-    """``pairs`` with the classes ``from`` and ``to`` of both units."""
-    for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
-        of = lambda far: classed.filter(F.col("far") == far).select(
-            F.col("unit").alias("key"), F.col("class").alias(name))
-        close, rest = _split(pairs, _FAR[i])
-        close = close.join(F.broadcast(of(False)), F.col(column) == F.col("key")).drop("key")
-        rest = rest.join(of(True).hint("shuffle_hash"), F.col(column) == F.col("key")).drop("key")
-        pairs = close.unionByName(rest)
-    return pairs
+    return vectors.filter(~F.col("u").between(-classes * classes, -1)).mapInArrow(run, "unit long, to int, gain double")
 
 
 def exchange(
-    pairs: DataFrame, units: DataFrame, stored: Stored, classes: int = CLASSES, rounds: int = ROUNDS, tolerance: float = TOLERANCE,
-) -> tuple[DataFrame, np.ndarray, list[float]]:
-    """((unit, far, class), class pairs, likelihood of each step) by exchange clustering of ``units`` (unit, n, far).
-
-    Units that are not ``far`` are few enough to be broadcast. Each step counts, for a third of the units,
-    the neighbours by class, and moves these units to the class that raises the likelihood most; the
-    gains are taken in tasks against the broadcast table of classes by classes. A step that lowered the likelihood is
+    pairs: DataFrame, names: np.ndarray, weight: np.ndarray, far: DataFrame | None = None, classes: int = CLASSES,
+    rounds: int = ROUNDS, tolerance: float = TOLERANCE,
+) -> tuple[np.ndarray, DataFrame | None, np.ndarray, list[float]]:
+    """(classes of units at hand, (unit, class) of the others, class pairs, likelihood of each step) by exchange clustering.
+
+    ``names`` and ``weight`` are the hashes and counts of units at hand, ``far`` (unit) all others. A step takes, for a third of the
+    units, the neighbours by class, and moves these units to the class that raises the likelihood most; the
+    gains are found in tasks against the table of classes by classes. A step that lowered the likelihood is
     undone for the half of its moves with the least gain. Class 0 holds the end of a text alone.
+    The classes of other units are a stored table that is kept.
     """
     spark = pairs.sparkSession
+    width = len(weight)
+    class_of = (1 + _dealt(names, classes - 1)).astype(np.int16)
     # The most frequent units open the classes, the others are dealt by hash.
-    first = units.filter("unit != 0").orderBy(F.desc("n"), "unit").limit(classes - 1).collect()
-    first = spark.createDataFrame([(r.unit, i + 1) for i, r in enumerate(first)], "unit long, opens int")
-    dealt = F.when(F.col("unit") == 0, 0).otherwise(F.coalesce("opens", 1 + F.pmod(F.xxhash64("unit"), F.lit(classes - 1)))).cast("int")
-    classed = stored.table(units.join(F.broadcast(first), "unit", "left").select("unit", "far", dealt.alias("class")))
+    first = np.argsort(-weight[1:], kind="stable")[: classes - 1] + 1
+    class_of[first] = 1 + np.arange(len(first))
+    class_of[0] = 0
+    if far is not None:
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                unit = batch.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array((1 + _dealt(unit, classes - 1)).astype(np.int32))], ["unit", "class"])
 
-    def joint_of(classed: DataFrame) -> np.ndarray:
+        far = far.select("unit").mapInArrow(deal, "unit long, class int")
+
+    def seen(class_of: np.ndarray, far: DataFrame | None, turn: int):
+        held = Stored(spark)
+        if far is not None:
+            far = held.table(far)
+        vectors = held.table(_neighbours(pairs, names, class_of, far, turn, classes))
         joint = np.zeros((classes, classes))
-        for r in _classed(pairs, classed).groupBy("from", "to").agg(F.sum("n").alias("n")).collect():
-            joint[r["from"], r["to"]] = r.n
-        return joint
+        for r in vectors.filter(F.col("u").between(-classes * classes, -1)).collect():
+            joint[r.own, r.near[0]] = r.n[0]
+        return class_of, far, vectors, joint, held
 
-    joint = joint_of(classed)
-    history = [_likelihood(joint)]
+    now = seen(class_of, far, 0)
+    history = [_likelihood(now[3])]
     for step in range(rounds):
-        moves = stored.table(_moves(_classed(pairs, classed), step % 3, joint))
+        moves = now[4].table(_moves(now[2], now[3]))
         low = 0.0
         while True:
             taken = moves.filter(F.col("gain") >= low)
-            number, middle = taken.agg(F.count(F.lit(1)), F.percentile_approx("gain", 0.5)).first()
+            number, middle, least = taken.agg(F.count(F.lit(1)), F.percentile_approx("gain", 0.5), F.min("gain")).first()
             if not number:
+                new = seen(now[0], now[1], (step + 1) % 3)
                 break
-            new = stored.table(classed.join(taken.select("unit", "to"), "unit", "left").select(
-                "unit", "far", F.coalesce("to", "class").alias("class")))
-            found = joint_of(new)
-            if _likelihood(found) >= history[-1]:
-                classed, joint = new, found
+            class_of = now[0].copy()
+            near = taken.filter(F.col("unit").between(0, width - 1)).select("unit", "to").toArrow()
+            class_of[near.column("unit").to_numpy()] = near.column("to").to_numpy()
+            far = now[1]
+            if far is not None:
+                far = far.join(taken.select("unit", "to"), "unit", "left").select("unit", F.coalesce("to", "class").alias("class"))
+            new = seen(class_of, far, (step + 1) % 3)
+            if _likelihood(new[3]) >= history[-1]:
                 break
+            new[4].close()
             # At least one move goes, so this ends.
-            low = middle if middle > low else float(np.nextafter(low, np.inf) if low else middle)
-        history.append(_likelihood(joint))
+            low = middle if middle > least else float(np.nextafter(least, np.inf))
+        now[4].close()
+        now = new
+        history.append(_likelihood(now[3]))
         if step >= 2 and history[-1] - history[-4] <= tolerance * abs(history[-1]):
             break
-    return classed, joint, history
+    class_of, far, _, joint, held = now
+    if far is not None:
+        far = held.table(far, keep=True)
+    held.close()
+    return class_of, far, joint, history
 
 
 def learn(
     train: DataFrame, stored: Stored, classes: int = CLASSES, rounds: int = ROUNDS, tolerance: float = TOLERANCE,
-) -> tuple[Model, DataFrame, DataFrame]:
-    """The model of (text), the counts of all words and the classes of all units, as stored tables."""
+) -> tuple[Model, DataFrame, DataFrame | None]:
+    """The model of (text), the counts of all words and the classes of units not at hand, as stored tables."""
     counts = stored.table(_word_counts(train), keep=True)
     ends = train.count()
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, kinds = (total[0] or 0) + ends, total[1] + (ends > 0)
     least = _most_frequent(counts, WORDS_AT_HAND) if kinds > WORDS_AT_HAND else 1
-    own = counts.filter(F.col("n") >= LEAST_SEEN)
-    near = _most_frequent(own, UNITS_AT_HAND) if own.count() > UNITS_AT_HAND else 1
     at_hand = counts.filter(F.col("n") >= least).select("word", "n").toArrow()
     words, n = at_hand.column("word").to_numpy().view(np.uint64), at_hand.column("n").to_numpy()
     order = np.argsort(words)
     words, n = words[order], n[order]
-    pairs = stored.table(_pair_counts(train, counts, (words, n), least, near, stored))
-
-    # All shapes are units, so that words never seen have a class.
-    spark = train.sparkSession
-    shared_units = spark.range(0, SHAPES + 1).select(
-        F.col("id").alias("unit"), F.when(F.col("id") == 0, ends).otherwise(0).cast("long").alias("n"),
-        F.when(F.col("id") == 0, int(ends > 0)).otherwise(0).cast("long").alias("kinds"))
-    units = counts.select(_unit("word", "n", "shape").alias("unit"), "n", F.lit(1).cast("long").alias("kinds")).unionByName(shared_units)
-    units = units.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"))
-    units = stored.table(units.withColumn("far", ~F.col("unit").between(0, SHAPES) & (F.col("n") < near)))
-    classed, joint, _ = exchange(pairs, units, stored, classes, rounds, tolerance)
-    classed = stored.table(classed, keep=True)
+    own = n >= LEAST_SEEN
+    weight = np.concatenate([[ends], np.zeros(SHAPES, np.int64), n[own]])
+    pieces = np.concatenate([[ends > 0], np.zeros(SHAPES, np.int64), own[own]]).astype(np.int64)
+    rare = counts.filter(F.col("n") < LEAST_SEEN).groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    for r in rare.collect():
+        weight[1 + r["shape"]], pieces[1 + r["shape"]] = r.n, r.kinds
+    far = counts.filter((F.col("n") >= LEAST_SEEN) & (F.col("n") < least)).select(F.col("word").alias("unit"), "n") if least > LEAST_SEEN else None
+
+    between = Stored(train.sparkSession)
+    pairs = stored.table(_pair_counts(train, counts, (words, n), least, between))
+    between.close()
+    names = np.concatenate([np.arange(SHAPES + 1), words[own].view(np.int64)])
+    class_of, classed, joint, _ = exchange(pairs, names, weight, far, classes, rounds, tolerance)
 
     # Tokens and different words of each class give the room that its words share.
-    of_class, of_kinds = np.zeros(classes), np.zeros(classes)
-    for r in units.join(classed.select("unit", "class"), "unit").groupBy("class").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
-        of_class[r["class"]], of_kinds[r["class"]] = r.n, r.kinds
-    class_of_shape = np.zeros(SHAPES, np.int64)
-    for r in classed.filter(F.col("unit").between(1, SHAPES)).collect():
-        class_of_shape[r.unit - 1] = r["class"]
-    mine = counts.filter(F.col("n") >= least).withColumn("unit", _unit("word", "n", "shape"))
-    mine = mine.filter(F.col("n") >= LEAST_SEEN).join(classed.select("unit", "class"), "unit").select("word", "class").toArrow()
+    of_class = np.bincount(class_of, weights=weight, minlength=classes)
+    of_kinds = np.bincount(class_of, weights=pieces, minlength=classes)
+    if classed is not None:
+        for r in far.join(classed, "unit").groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
+            of_class[r["class"]] += r.n
+            of_kinds[r["class"]] += r.kinds
     of_word = np.full(len(words), -1, np.int16)
-    of_word[np.searchsorted(words, mine.column("word").to_numpy().view(np.uint64))] = mine.column("class").to_numpy()
-
+    of_word[own] = class_of[1 + SHAPES :]
     share_of = joint.sum(axis=0) + 0.5
     share_of /= share_of.sum()
     transition = (joint + PRIOR * share_of) / (joint.sum(axis=1, keepdims=True) + PRIOR)
     room = np.log10(of_class + 0.5 * (of_kinds + 1))
-    model = Model(words, n, of_word, class_of_shape, np.log10(transition), room, tokens, kinds, ends, least > LEAST_SEEN)
+    model = Model(words, n, of_word, class_of[1 : 1 + SHAPES].astype(np.int64), np.log10(transition), room, tokens, kinds, ends, classed is not None)
     return model, counts, classed
 
 
@@ -447,7 +516,7 @@ def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
                 ends = np.cumsum(words.count)
                 key = np.insert(hashes.view(np.int64), ends, 0)
                 open_ = np.insert(~there & its.more_units, ends, False)
-                bits = _OPEN[1] * open_ + _OPEN[0] * np.concatenate([[False], open_[:-1]])
+                bits = _FAR[1] * open_ + _FAR[0] * np.concatenate([[False], open_[:-1]])
                 some = bits > 0
                 moves = sums(doc, np.where(some, 0.0, its.transition[before, after]))
                 old = np.concatenate([[0], key[:-1]])
@@ -465,7 +534,7 @@ def _local_scores(docs: DataFrame, model: Model) -> DataFrame:
         "pairs array<struct<before: long, unit: long, from: long, to: long, bits: long, times: long>>")
 
 
-def _asked(local: DataFrame, model: Model, counts: DataFrame, classed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _asked(local: DataFrame, model: Model, counts: DataFrame, classed: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
     """What words that are not at hand add: (row, more, plain, found), and (row, moved) by transitions."""
     room = F.array(*(F.lit(float(x)) for x in model.room))
     n = F.coalesce("n", F.lit(0))
@@ -483,10 +552,9 @@ def _asked(local: DataFrame, model: Model, counts: DataFrame, classed: DataFrame
     if not model.more_units:
         return met, None
     pairs = local.select("row", F.explode("pairs").alias("p")).select("row", "p.*")
-    own = classed.filter(~F.col("unit").between(0, SHAPES)).select(
-        F.col("unit").alias("key"), F.col("class").alias("own"))
+    own = classed.select(F.col("unit").alias("key"), F.col("class").alias("own"))
     for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
-        sure, rest = _split(pairs, _OPEN[i])
+        sure, rest = _split(pairs, _FAR[i])
         rest = rest.join(own, F.col(column) == F.col("key"), "left").withColumn(name, F.coalesce("own", name).cast("long"))
         pairs = sure.unionByName(rest.select(*pairs.columns))
     steps = F.array(*(F.lit(float(x)) for x in model.transition.ravel()))

@@ -49,7 +49,7 @@ def test_counts_and_base_scores(docs, monkeypatch):
         assert math.isclose(got.perplexity, 10 ** (-got.score / n), rel_tol=1e-9)
     # The same scores if nearly all counts come by the join and tables are handed on early.
     monkeypatch.setattr(class_lm, "WORDS_AT_HAND", 20)
-    monkeypatch.setattr(class_lm, "UNITS_AT_HAND", 10)
+    monkeypatch.setattr(class_lm, "FOLDED", 700)
     monkeypatch.setattr(class_lm, "GATHERED", 500)
     again = scored(docs, train, classes=8, rounds=3)
     for i, r in rows.items():
@@ -57,10 +57,11 @@ def test_counts_and_base_scores(docs, monkeypatch):
         assert math.isclose(again[i].base_score, r.base_score, rel_tol=1e-9)
 
 
-def class_of_words(counts, classed):
-    """Class of each word by the stored tables alone."""
-    of_unit = {r.unit: r["class"] for r in classed.collect()}
-    return of_unit, {r.word: of_unit[r.word if r.n >= class_lm.LEAST_SEEN else r["shape"] + 1] for r in counts.collect()}
+def class_of_words(model, counts, classed):
+    """(classes of units by their hash, class of each word) by the model's tables alone."""
+    of_unit = {int(w): int(c) for w, c in zip(model.words.view(np.int64), model.classes) if c >= 0}
+    of_unit.update({r.unit: r["class"] for r in classed.collect()} if classed is not None else {})
+    return of_unit, {r.word: of_unit[r.word] if r.n >= class_lm.LEAST_SEEN else int(model.class_of_shape[r["shape"]]) for r in counts.collect()}
 
 
 def hashed(words):
@@ -76,15 +77,14 @@ def test_scores_equal_a_plain_class_bigram_model(docs, spark, monkeypatch):
     names = hashed(every)
     for at_hand in (1 << 20, 300):
         monkeypatch.setattr(class_lm, "WORDS_AT_HAND", at_hand)
-        monkeypatch.setattr(class_lm, "UNITS_AT_HAND", min(at_hand, 1 << 17) // 2)
         stored = Stored(spark)
         model, counts, classed = class_lm.learn(train.select("text"), stored, classes=12, rounds=4)
         assert model.more_units == (at_hand == 300)
-        of_unit, known = class_of_words(counts, classed)
+        of_unit, known = class_of_words(model, counts, classed)
         # Every word seen five times or more is a unit with a class of its own.
         often = {w for w, n in Counter(t for x in texts for t in x if t).items() if n >= 5}
-        assert len(often) > 300 and {names[w][0] for w in often} == {u for u in of_unit if not 0 <= u <= class_lm.SHAPES}
-        its = lambda t: 0 if t is None else known.get(names[t][0], of_unit[names[t][1] + 1])
+        assert len(often) > 300 and {names[w][0] for w in often} == set(of_unit)
+        its = lambda t: 0 if t is None else known.get(names[t][0], int(model.class_of_shape[names[t][1]]))
 
         seen, kinds, pairs, times = Counter(), Counter(), Counter(), Counter(t for x in texts for t in x)
         for t, n in times.items():
@@ -123,7 +123,7 @@ def test_model_is_a_distribution_and_beats_the_base(docs, spark):
     assert np.allclose((10.0**model.transition).sum(axis=1), 1)
     # Shares of all words of a class, and half a count for one that was never seen, sum to 1.
     share = np.zeros(16)
-    _, known = class_of_words(counts, classed)
+    _, known = class_of_words(model, counts, classed)
     for r in counts.collect():
         share[known[r.word]] += r.n + 0.5
     share[0] += model.ends + 0.5
@@ -172,24 +172,22 @@ def test_exchange_raises_the_likelihood_and_finds_groups(spark):
         for key in ((a, b), (b, int(rng.integers(1, 11)))):
             pairs[key] = pairs.get(key, 0) + 1
     pairs[0, 1] = pairs[20, 0] = 1
-    # A third of the units comes by joins.
-    far = lambda u: u % 3 == 2
-    df = spark.createDataFrame(
-        [(a, b, 4 * far(a) + 8 * far(b), n) for (a, b), n in pairs.items()], "before long, unit long, bits int, n long")
-    weight = Counter()
-    for (_, b), n in pairs.items():
-        weight[b] += n
-    units = spark.createDataFrame([(u, weight[u], far(u)) for u in range(21)], "unit long, n long, far boolean")
-    stored = Stored(spark)
-    classed, joint, history = class_lm.exchange(df, units, stored, classes=3, rounds=12)
-    assert all(b >= a for a, b in zip(history, history[1:]))
-    class_of = np.array([r["class"] for r in sorted(classed.collect(), key=lambda r: r.unit)])
-    stored.close()
-    assert class_of[0] == 0 and set(class_of[1:11]) != set(class_of[11:]) and len(set(class_of[1:11])) == len(set(class_of[11:])) == 1
-    expected = np.zeros((3, 3))
-    for (a, b), n in pairs.items():
-        expected[class_of[a], class_of[b]] += n
-    assert (joint == expected).all()
+    # Units 11 to 20 are not at hand in the second turn: their classes come by joins.
+    for most in (21, 11):
+        df = spark.createDataFrame(
+            [(a, b, (a >= most) + 2 * (b >= most), n) for (a, b), n in pairs.items()], "before long, unit long, bits int, n long")
+        weight = Counter()
+        for (_, b), n in pairs.items():
+            weight[b] += n
+        far = spark.createDataFrame([(u,) for u in range(11, 21)], "unit long") if most == 11 else None
+        near, far, joint, history = class_lm.exchange(df, np.arange(most), np.array([weight[u] for u in range(most)]), far, classes=3, rounds=12)
+        class_of = np.concatenate([near, [r["class"] for r in sorted(far.collect())] if far is not None else []]).astype(int)
+        assert all(b >= a for a, b in zip(history, history[1:]))
+        assert class_of[0] == 0 and set(class_of[1:11]) != set(class_of[11:]) and len(set(class_of[1:11])) == len(set(class_of[11:])) == 1
+        expected = np.zeros((3, 3))
+        for (a, b), n in pairs.items():
+            expected[class_of[a], class_of[b]] += n
+        assert (joint == expected).all()
 
 
 def test_edges(spark):
