@@ -86,7 +86,7 @@ def _sequences(words: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.insert(units, ends, 0), np.insert(words.doc, ends, np.arange(words.rows))
 
 
-def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Sums (key, count, extra) over the parts of a task, in tables of bounded size."""
     held, size = [], 0
 
@@ -99,10 +99,10 @@ def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], limit:
     for part in parts:
         held.append(part)
         size += len(part[0])
-        if size > limit:
+        if size > GATHERED:
             held = [merged()]
             size = len(held[0][0])
-            if size > limit // 2:
+            if size > GATHERED // 2:
                 yield held[0]
                 held, size = [], 0
     if held:
@@ -120,7 +120,7 @@ def _word_counts(train: DataFrame) -> DataFrame:
                     names, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
                     yield names, n, _shapes(words)[first]
 
-        for names, n, shapes in _gathered(parts(), GATHERED):
+        for names, n, shapes in _gathered(parts()):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names.view(np.int64)), pa.array(n), pa.array(shapes.astype(np.int32))], ["word", "n", "shape"])
 
@@ -152,32 +152,28 @@ def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np
         place = SHAPES + np.cumsum(own)
         keys = random_words(2, 31) | np.uint64(1)
 
-        def parts():
-            for batch in batches:
-                for part in text_slices(batch, "text"):
-                    words = Words(part.column("text"), NOT_SPACE)
-                    hashes = words.hashes()
-                    at, there = _at_hand(known, hashes)
-                    units = 1 + _shapes(words)
-                    frequent = there.copy()
-                    frequent[there] = own[at[there]]
-                    units[frequent] = place[at[frequent]]
-                    far = ~there & more
-                    units[far] = hashes.view(np.int64)[far]
-                    units, _ = _sequences(words, units)
-                    far = np.insert(far, np.cumsum(words.count), False)
-                    before = np.concatenate([[0], units[:-1]])
-                    bits = _FAR[0] * np.concatenate([[False], far[:-1]]) + _FAR[1] * far
-                    # Pairs of one task are told apart by a hash of both.
-                    with np.errstate(over="ignore"):
-                        pair = mix(mix(before.view(np.uint64) * keys[0]) + units.view(np.uint64) * keys[1])
-                    pair, first, times = np.unique(pair, return_index=True, return_counts=True)
-                    yield pair, times, np.stack([before, units, bits], axis=1)[first]
-
-        for _, n, rows in _gathered(parts(), FOLDED):
-            rows = np.ascontiguousarray(rows.T)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2].astype(np.int32)), pa.array(n)], ["before", "unit", "bits", "n"])
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                words = Words(part.column("text"), NOT_SPACE)
+                hashes = words.hashes()
+                at, there = _at_hand(known, hashes)
+                units = 1 + _shapes(words)
+                frequent = there.copy()
+                frequent[there] = own[at[there]]
+                units[frequent] = place[at[frequent]]
+                far = ~there & more
+                units[far] = hashes.view(np.int64)[far]
+                units, _ = _sequences(words, units)
+                far = np.insert(far, np.cumsum(words.count), False)
+                before = np.concatenate([[0], units[:-1]])
+                bits = _FAR[0] * np.concatenate([[False], far[:-1]]) + _FAR[1] * far
+                # Pairs of one slice are told apart by a hash of both.
+                with np.errstate(over="ignore"):
+                    pair = mix(mix(before.view(np.uint64) * keys[0]) + units.view(np.uint64) * keys[1])
+                _, first, n = np.unique(pair, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[first]), pa.array(units[first]), pa.array(bits[first].astype(np.int32)), pa.array(n)],
+                    ["before", "unit", "bits", "n"])
 
     def summed(df: DataFrame) -> DataFrame:
         return df.groupBy("before", "unit", "bits").agg(F.sum("n").alias("n"))
@@ -269,13 +265,14 @@ def _neighbours(
 ) -> DataFrame:
     """(u, own, near, n): the neighbours by class of each unit of a turn, as two lists; and the class pairs.
 
-    ``names`` and ``class_of`` are the hashes and classes of units at hand, ``far`` has (unit, class) of the others. Class pairs are rows whose ``u`` is
+    No unit has the turn -1. ``names`` and ``class_of`` are the hashes and classes of units at hand, ``far`` has (unit, class) of the others. Class pairs are rows whose ``u`` is
     between -1 and -classes * classes, their classes ``own`` and ``near[0]``.
     """
-    sent = share(pairs.sparkSession, (class_of, (_dealt(names, 3) == turn) & (np.arange(len(names)) > 0)))
+    sent = share(pairs.sparkSession, (class_of, (_dealt(names, 3).astype(np.int64) == turn) & (np.arange(len(names)) > 0)))
     nothing = F.lit(-1)
-    ready = pairs.select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
-    if far is not None:
+    if far is None:
+        ready = pairs.select(F.col("before").cast("int"), F.col("unit").cast("int"), "n")
+    else:
         ready = pairs.filter("bits = 0").select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
         rest = pairs.filter("bits != 0").withColumns({"from": nothing, "to": nothing})
         for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
@@ -295,11 +292,15 @@ def _neighbours(
                 ["u", "own", "near", "n"])
 
         def folded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            before, unit, n, old, new = (np.concatenate([h.column(i).to_numpy() for h in held]) for i in range(5))
-            a, b = (np.where(c >= 0, _dealt(x, 3) == turn, turns[np.where(c >= 0, 0, x)]) for x, c in ((before, old), (unit, new)))
-            old, new = (np.where(c >= 0, c, its[np.where(c >= 0, 0, x)]) for x, c in ((before, old), (unit, new)))
+            before, unit, n, *known = (np.concatenate([h.column(i).to_numpy() for h in held]) for i in range(held[0].num_columns))
+            if known:
+                sides = list(zip((before, unit), known))
+                a, b = (np.where(c >= 0, _dealt(x, 3).astype(np.int64) == turn, turns[np.where(c >= 0, 0, x)]) for x, c in sides)
+                old, new = (np.where(c >= 0, c, its[np.where(c >= 0, 0, x)]) for x, c in sides)
+            else:
+                a, b, old, new = turns[before], turns[unit], its[before], its[unit]
             joint[:] += np.bincount(old.astype(np.int64) * classes + new, weights=n, minlength=len(joint))
-            u = np.concatenate([before[a], unit[b]])
+            u = np.concatenate([before[a], unit[b]]).astype(np.int64)
             own, near = np.concatenate([old[a], new[b]]), np.concatenate([new[a], old[b] + classes])
             with np.errstate(over="ignore"):
                 pair = mix(mix(u.view(np.uint64)) + near.astype(np.uint64) * key)
@@ -313,7 +314,7 @@ def _neighbours(
             if size >= FOLDED:
                 yield folded(held)
                 held, size = [], 0
-        if held:
+        if size:
             yield folded(held)
         some = np.flatnonzero(joint)
         yield rows(-1 - some, some // classes, some % classes, joint[some])
@@ -395,7 +396,7 @@ def exchange(
             taken = moves.filter(F.col("gain") >= low)
             number, middle, least = taken.agg(F.count(F.lit(1)), F.percentile_approx("gain", 0.5), F.min("gain")).first()
             if not number:
-                new = seen(now[0], now[1], (step + 1) % 3)
+                new = seen(now[0], now[1], (step + 1) % 3 if step + 1 < rounds else -1)
                 break
             class_of = now[0].copy()
             near = taken.filter(F.col("unit").between(0, width - 1)).select("unit", "to").toArrow()
@@ -403,7 +404,7 @@ def exchange(
             far = now[1]
             if far is not None:
                 far = far.join(taken.select("unit", "to"), "unit", "left").select("unit", F.coalesce("to", "class").alias("class"))
-            new = seen(class_of, far, (step + 1) % 3)
+            new = seen(class_of, far, (step + 1) % 3 if step + 1 < rounds else -1)
             if _likelihood(new[3]) >= history[-1]:
                 break
             new[4].close()
@@ -443,7 +444,8 @@ def learn(
     far = counts.filter((F.col("n") >= LEAST_SEEN) & (F.col("n") < least)).select(F.col("word").alias("unit"), "n") if least > LEAST_SEEN else None
 
     between = Stored(train.sparkSession)
-    pairs = stored.table(_pair_counts(train, counts, (words, n), least, between))
+    # Sorted, so that the pairs of a unit lie next to each other and fold in the passes.
+    pairs = stored.table(_pair_counts(train, counts, (words, n), least, between).sortWithinPartitions("before", "unit"))
     between.close()
     names = np.concatenate([np.arange(SHAPES + 1), words[own].view(np.int64)])
     class_of, classed, joint, _ = exchange(pairs, names, weight, far, classes, rounds, tolerance)
