@@ -362,6 +362,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     with nothing, its ``component_id`` is null and it is kept. An empty table gives no rows. Columns other than the two named are not read. ``percent`` must be
     at least 60.
     """
+    return _linked(docs, id_col, text_col, width, percent).drop("node", "group")
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """The rows of :func:`link` with the digest of their set and the name of their component (null without runs)."""
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
     scheme = _Scheme(percent)
@@ -414,10 +419,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 
     found = groups.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = stored.table(found.join(least, "component").select("node", "component_id"), keep=True)
+    named = stored.table(found.join(least, "component").select("node", "component_id", F.col("component").alias("group")), keep=True)
     result = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     result = result.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "node", "group")
     stored.close()
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
@@ -426,7 +432,8 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` without near duplicates, with all their columns: of each component of
     ``link`` the row of the least id stays.
 
-    Rows that share an id are one document, of which one row stays. Of rows without id, those
+    Rows that share an id are judged each by its own text: those of one component, and those without
+    runs, are one document, of which a row of the least text stays. Of rows without id, those
     stay whose set of runs no row with an id has, one for each set; rows without id and
     without runs all stay.
     """
@@ -435,19 +442,28 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lower = [c.lower() for c in docs.columns]
     own, text = names[lower.index(id_col.lower())], names[lower.index(text_col.lower())]
     rows = docs.toDF(*names)
-    linked = stored.table(link(rows, own, text, width, percent), keep=True)
-    removed = linked.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
+    linked = stored.table(_linked(rows, own, text, width, percent), keep=True)
+    several = linked.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    removed = linked.filter("not kept and doc_id is not null").join(several, "doc_id", "left_anti").select(F.col("doc_id").alias("gone"))
     rest = rows.join(removed, F.col(own).cast("long") == F.col("gone"), "left_anti")
-    ids = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if not ids.filter("doc_id is null or n > 1").isEmpty():
-        signed = signatures(rows, own, text, width).filter("n_shingles > 0")
-        held = signed.filter("doc_id is not null").select("node").distinct()
-        # Rows without id carry their texts through the same digest.
-        plain = rest.filter(F.col(own).isNull()).withColumn("row", F.monotonically_increasing_id())
-        plain = stored.table(plain, keep=True)
-        nodes = signatures(plain, "row", text, width).select(F.col("doc_id").alias("row"), "n_shingles", "node")
-        chosen = nodes.filter("n_shingles > 0").join(held, "node", "left_anti").groupBy("node").agg(F.min("row").alias("row"))
-        chosen = chosen.select("row").unionByName(nodes.filter("n_shingles = 0").select("row"))
-        plain = plain.join(chosen, "row", "left_semi").select(*names)
-        rest = rest.filter(F.col(own).isNotNull()).dropDuplicates([own]).unionByName(plain)
+    if not several.isEmpty() or not linked.filter("doc_id is null").isEmpty():
+        held = linked.filter("doc_id is not null").select("node").distinct()
+        # Rows without an id of their own carry their texts through the same digest; a number tells them apart.
+        again = several.select(F.col("doc_id").alias("again"))
+        odd = rest.join(again, F.col(own).cast("long") == F.col("again"), "left").filter(F.col(own).isNull() | F.col("again").isNotNull())
+        odd = stored.table(odd.withColumn("row", F.monotonically_increasing_id()), keep=True)
+        nodes = signatures(odd, "row", text, width).select(F.col("doc_id").alias("row"), "n_shingles", "node")
+        nodes = stored.table(nodes.join(odd.select("row", "again", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256).alias("mark")), "row"), keep=True)
+        plain = nodes.filter("again is null")
+        chosen = plain.filter("n_shingles > 0").join(held, "node", "left_anti").groupBy("node").agg(F.min("row").alias("row")).select("row")
+        chosen = chosen.unionByName(plain.filter("n_shingles = 0").select("row"))
+        # Of an id's rows: one of each component whose least id it is, and one without runs.
+        kept = linked.filter("kept and n_shingles > 0").select(F.col("doc_id").alias("again"), "node", "group").distinct()
+        first = F.min(F.struct("mark", "row")).alias("first")
+        chosen = chosen.unionByName(
+            nodes.filter("n_shingles > 0").join(kept, ["again", "node"]).groupBy("again", "group").agg(first).select("first.row"))
+        chosen = chosen.unionByName(nodes.filter("again is not null and n_shingles = 0").groupBy("again").agg(first).select("first.row"))
+        odd = odd.join(chosen, "row", "left_semi").select(*names)
+        single = rest.filter(F.col(own).isNotNull()).join(again, F.col(own).cast("long") == F.col("again"), "left_anti")
+        rest = single.unionByName(odd)
     return rest.select(*names).toDF(*docs.columns)

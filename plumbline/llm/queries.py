@@ -210,14 +210,15 @@ ORACLES: dict[str, str] = {
             GROUP BY 1)
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
     "op10_top_k_search": """
-        WITH v AS (
-            SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS c
-            FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
+        WITH e AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM embeddings),
+        v AS (
+            SELECT r, vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS c
+            FROM (SELECT r, vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM e)),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.c * c.c) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+            SELECT q.r AS own, q.vec_id AS query_id, c.r AS r, c.vec_id AS vec_id, CAST(sum(q.c * c.c) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.i = c.i AND q.r <> c.r WHERE q.vec_id % 50 = 0 GROUP BY 1, 2, 3, 4)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op11_prefix_trie": f"""
         WITH t AS (
             SELECT conv_id, length(r) || ':' || r || x AS turn, length(x) AS size,

@@ -79,12 +79,12 @@ def shuffle(
     Rows that repeat with equal id and text are told apart by a count, so that copies
     of one row, however many, are scattered like any others; which of them gets which
     slot is open where their other columns differ. Null ids and texts are values like others.
-    An empty table gives no rows. Columns named ``size``, ``text_crc32``, ``bucket``,
-    ``place``, ``shard`` or ``slot`` are replaced.
+    An empty table gives no rows. Columns named ``size``, ``text_crc32``, ``shard`` or ``slot`` are
+    replaced; all others stay, whatever their names.
     """
     spark = docs.sparkSession
     stored = Stored(spark)
-    made = ["size", "text_crc32", "bucket", "place", "shard", "slot", "copy"]
+    made = ["size", "text_crc32", "shard", "slot"]
     kept = [c for c in docs.columns if c.lower() not in made]
     # Plain names inside, because columns may have any names.
     columns = [f"c{i}" for i in range(len(kept))]

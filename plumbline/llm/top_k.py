@@ -57,15 +57,20 @@ def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 class Blocks:
     """Forward indexes of some vectors with the extremes of each block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: int = BLOCK_ROWS) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: int = BLOCK_ROWS, marks: np.ndarray | None = None) -> None:
         order = np.argsort(ids, kind="stable")
+        marks = (ids if marks is None else marks)[order]
         ids, vectors = ids[order], vectors[order]
-        self.parts = [(ids[i : i + rows], vectors[i : i + rows]) for i in range(0, len(ids), rows)]
-        self.most = np.array([v.max(axis=0) for _, v in self.parts])
-        self.least = np.array([v.min(axis=0) for _, v in self.parts])
+        self.parts = [(ids[i : i + rows], vectors[i : i + rows], marks[i : i + rows]) for i in range(0, len(ids), rows)]
+        self.most = np.array([v.max(axis=0) for _, v, _ in self.parts])
+        self.least = np.array([v.min(axis=0) for _, v, _ in self.parts])
 
-    def best(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-        """(query row, vec_id, score) of the k best of each query and the blocks that were scored."""
+    def best(self, ids: np.ndarray, queries: np.ndarray, k: int, marks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(query row, vec_id, score) of the k best of each query and the blocks that were scored.
+
+        A candidate with a query's mark is the query itself.
+        """
+        marks = ids if marks is None else marks
         width = max(queries.shape[1], self.most.shape[1])
         queries = _wider(queries, width)
         most, least = _wider(self.most, width), _wider(self.least, width)
@@ -85,10 +90,10 @@ class Blocks:
             block = order[open_rows, step]
             for b in np.unique(block):
                 rows = open_rows[block == b]
-                its, vectors = self.parts[b]
+                its, vectors, own = self.parts[b]
                 scores = _scores(queries[rows], _wider(vectors, width))
                 scored += len(rows)
-                good = (scores >= kth[rows][:, None]) & (its[None, :] != ids[rows][:, None])
+                good = (scores >= kth[rows][:, None]) & (own[None, :] != marks[rows][:, None])
                 for i in np.flatnonzero(good.any(axis=1)):
                     row = rows[i]
                     s = np.concatenate([tops[row][0], scores[i][good[i]]])
@@ -118,8 +123,8 @@ def search(
 
     Both tables have an id and an array of numbers, of which components x count as
     floor(256 * x). The score is the integer inner product; where one vector is
-    shorter, its missing components are 0. Equal scores are ranked by smaller id. Rows
-    with the query's own id are no candidates. Fewer than ``k`` candidates give fewer rows.
+    shorter, its missing components are 0. Equal scores are ranked by smaller id. A row
+    equal to the query in id and vector is the query's own and no candidate; of several such rows one is left out. Fewer than ``k`` candidates give fewer rows.
 
     Rows with a null id or a vector that is null or holds null, NaN or an infinity take no
     part. Query rows that repeat an id are each answered; candidate rows that repeat an id
@@ -132,8 +137,16 @@ def search(
         df = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
         return df.filter(F.col("vec_id").isNotNull() & usable("vector"))
 
-    held = stored.table(ready(vectors).withColumn("row", F.monotonically_increasing_id()))
-    asked = stored.table(ready(queries).withColumn("row", F.monotonically_increasing_id()))
+    mark = F.xxhash64("vec_id", "vector")
+    held = stored.table(ready(vectors).withColumns({"row": F.monotonically_increasing_id(), "mark": mark}))
+    asked = stored.table(ready(queries).withColumns({"row": F.monotonically_increasing_id(), "mark": mark}))
+    # Copies of a row but the first get marks of their own, so that they are candidates.
+    copies = held.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).filter("n > 1")
+    if not copies.isEmpty():
+        firsts = copies.select(F.col("first").alias("row"), F.lit(True).alias("is_first"))
+        twice = held.join(copies.select("mark"), "mark", "left_semi").join(firsts, "row", "left").withColumn(
+            "mark", F.when(F.col("is_first"), F.col("mark")).otherwise(F.xxhash64("mark", "row"))).select(*held.columns)
+        held = stored.table(held.join(copies.select("mark"), "mark", "left_anti").select(*held.columns).unionByName(twice))
     shards = -(-held.count() // shard_rows) or 1
     groups = -(-asked.count() // query_rows) or 1
     # Ranges of ids; a repeated id may span several.
@@ -143,17 +156,17 @@ def search(
         shard = TaskContext.get().partitionId()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, shard, np.int32)), batch.column("vec_id"), batch.column("vector")],
-                ["shard", "vec_id", "vector"])
+                [pa.array(np.full(batch.num_rows, shard, np.int32)), batch.column("vec_id"), batch.column("vector"), batch.column("mark")],
+                ["shard", "vec_id", "vector", "mark"])
 
     placed = stored.table(
-        held.repartitionByRange(shards, "vec_id", "row").mapInArrow(number, "shard int, vec_id long, vector array<double>"))
+        held.repartitionByRange(shards, "vec_id", "row").mapInArrow(number, "shard int, vec_id long, vector array<double>, mark long"))
     shards = (placed.agg(F.max("shard")).first()[0] or 0) + 1
     left = placed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), F.lit(0).alias("side"),
-                         "vec_id", "vector", F.lit(0).cast("long").alias("row"))
+                         "vec_id", "vector", F.lit(0).cast("long").alias("row"), "mark")
     right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                          F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("part"), F.lit(1).alias("side"),
-                         "vec_id", "vector", "row")
+                         "vec_id", "vector", "row", "mark")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sides = None, ([], [])
@@ -163,7 +176,7 @@ def search(
                 return
             both = [pa.Table.from_batches(side).combine_chunks() for side in sides]
             vecs, asks = ((t.column("vec_id").to_numpy(), _integers(t.column("vector"))) for t in both)
-            row, found, score, _ = Blocks(*vecs, block_rows).best(*asks, k)
+            row, found, score, _ = Blocks(*vecs, block_rows, both[0].column("mark").to_numpy()).best(*asks, k, both[1].column("mark").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(asks[0][row]), pa.array(both[1].column("row").to_numpy()[row]), pa.array(found), pa.array(score)],
                 ["query_id", "row", "vec_id", "score"])

@@ -148,3 +148,13 @@ def test_full_sets_alone_decide(spark):
     sets = spark.createDataFrame(held, "node long, set binary, fine binary, spot int")
     requests = spark.createDataFrame([(0, 0, [1, 2, 3])], "a long, block int, others array<long>")
     assert [(r.a, r.b) for r in near_dup._confirm(requests, sets, 1, near_dup._Scheme(85)).collect()] == [(0, 1)]
+
+
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b), (5, b), (5, b + " more"), (6, b), (7, ""), (7, None), (8, "c " * 9), (None, a), (None, "d e f g h i")]
+    kept = near_dup.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
+    assert [r for r in found if r[0] != 5] == [(1, a), (7, ""), (8, "c " * 9), (None, "d e f g h i")]
+    # One of the three rows of id 5 in the group of b; its copy of a goes with row 1.
+    assert len([r for r in found if r[0] == 5]) == 1 and all(r[1].startswith(b) for r in found if r[0] == 5)

@@ -59,3 +59,11 @@ def test_edges(spark):
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(sharding._fisher_yates(4, s)) for s in range(24_000))
     assert len(seen) == 24 and max(seen.values()) < 1.2 * 1000 and min(seen.values()) > 0.8 * 1000
+
+
+def test_columns_of_the_caller_stay(spark):
+    df = spark.createDataFrame([(i, f"t {i % 3}", i, -i, str(i), 0) for i in range(30)] * 2,
+                               "doc_id long, text string, copy int, bucket int, Place string, mark int")
+    got = sharding.shuffle(df, shards=4)
+    assert got.columns == [*df.columns, "size", "text_crc32", "shard", "slot"]
+    assert sorted(map(tuple, got.select(*df.columns).collect())) == sorted(map(tuple, df.collect()))

@@ -48,5 +48,9 @@ def test_unusable_vectors_and_edges(spark):
     queries = [v for v in vectors if v[0] in (1, 2, 4, 6, 9, 10, 11)]
     assert found(spark, vectors, queries, k=20) == brute(vectors, queries, k=20)
     twice = [(1, [1.0]), (1, [1.0]), (2, [1.0]), (2, [3.0]), (3, [2.0])]
-    assert found(spark, twice, [(1, [1.0])]) == [(1, 1, 2, 196608), (1, 2, 3, 131072), (1, 3, 2, 65536)]
+    assert found(spark, twice, [(1, [1.0])]) == [(1, 1, 2, 196608), (1, 2, 3, 131072), (1, 3, 1, 65536), (1, 4, 2, 65536)]
+    # Only the query's own row is left out: another vector of its id, and a copy of it, are candidates.
+    same = [(50, [1.0]), (50, [2.0]), (7, [3.0]), (7, [3.0])]
+    assert found(spark, same, [(50, [1.0])]) == [(50, 1, 7, 196608), (50, 2, 7, 196608), (50, 3, 50, 131072)]
+    assert found(spark, same, [(7, [3.0])]) == [(7, 1, 7, 589824), (7, 2, 50, 393216), (7, 3, 50, 196608)]
     assert found(spark, [(1, [1.0])], [(1, [1.0])]) == [] and found(spark, [], [(1, [1.0])]) == [] and found(spark, twice, []) == []
