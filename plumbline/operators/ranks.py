@@ -217,18 +217,85 @@ def _spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     whole = [c for i, c in enumerate(columns) if gaps[f"k{i}"] == gaps["rows"]]
     pairs = list(itertools.combinations_with_replacement(columns, 2))
     shared = [p for p in pairs if p[0] in whole and p[1] in whole]
-    # Ranks of a pair depend on its common rows, so columns with gaps are ranked per pair.
-    result = None
+    found = []
     if shared:
-        result = _ranked_correlations(df, sorted({c for p in shared for c in p}), shared)
+        found.append(_ranked_correlations(df, sorted({c for p in shared for c in p}), shared))
+    gapped = [p for p in pairs if p not in shared]
+    if gapped:
+        found.append(_gapped_correlations(df, gapped, whole))
+    return union_all(found)
+
+
+def _gapped_correlations(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], whole: Sequence[str] = (), task_rows: int = TASK_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rank correlations of pairs with gaps, all from one ranking and two look-ups.
+
+    Ranks of a pair depend on its common rows. A side of a pair is a column and the columns whose gaps leave rows
+    out; pairs with the same side share its ranks. Rows of all pairs form one long table, so joins and stored
+    tables don't grow with the pairs.
+    """
+    sides: dict[tuple, int] = {}
+    coded = []
     for a, b in pairs:
-        if (a, b) in shared:
-            continue
-        both = df.select(quoted(a), quoted(b)) if a != b else df.select(quoted(a))
-        both = both.where(known(df, a).isNotNull() & known(df, b).isNotNull())
-        one = _ranked_correlations(both, [a, b] if a != b else [a], [(a, b)])
-        result = one if result is None else result.unionByName(one)
-    return result
+        gaps = tuple(sorted({c for c in (a, b) if c not in whole}))
+        coded.append(tuple(sides.setdefault((c, gaps), len(sides)) for c in (a, b)))
+    wide = df.select(*[_side(df, c, gaps).alias(f"__s{i}") for (c, gaps), i in sides.items()])
+    # Columns are numbered in the order given, so the code of a side is its number.
+    ranking = rank_values(wide, wide.columns, task_rows)
+    counts = [ranking.rows[c] for c in wide.columns]
+    middles = small_table(
+        df.sparkSession, [(i, (n + 1) / 2.0) for i, n in enumerate(counts)], "code int, middle double"
+    )
+    table = ranking.table.join(F.broadcast(middles), "code").select(
+        "code", F.col("value"), "n", (average_rank() - F.col("middle")).alias("d")
+    )
+    cells = [
+        labelled(pair=F.lit(i), cx=F.lit(cx), x=F.col(f"__s{cx}"), cy=F.lit(cy), y=F.col(f"__s{cy}"))
+        for i, (cx, cy) in enumerate(coded)
+    ]
+    rows = rows_from(wide, cells).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    small = sum(ranking.distinct.values()) <= broadcast_rows
+    # Values that fill a share of the long table: never more than 1 / HOT_SHARE of them.
+    hot = max(1, int(sum(counts[cx] for cx, _ in coded) * HOT_SHARE))
+    for code, value, output in (("cx", "x", "dx"), ("cy", "y", "dy")):
+        rows = _side_ranks(rows, table, code, value, output, None if small else hot)
+    x, y = F.col("dx"), F.col("dy")
+    spread = F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y))
+    found = rows.groupBy("pair").agg(
+        F.count(F.lit(1)).alias("n"), F.when(spread > 0, F.sum(x * y) / spread).alias("r")
+    )
+    # Both directions of every pair; pairs without a common row keep a row of their own.
+    names = [
+        (i, left, right) for i, (a, b) in enumerate(pairs) for left, right in sorted({(a, b), (b, a)})
+    ]
+    named = small_table(df.sparkSession, names, "pair int, column_a string, column_b string")
+    return F.broadcast(named).join(found, "pair", "left").select(
+        "column_a", "column_b", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "r"
+    )
+
+
+def _side(df: DataFrame, column: str, gaps: Sequence[str]) -> Column:
+    there = F.lit(True)
+    for c in gaps:
+        there = there & known(df, c).isNotNull()
+    return F.when(there, known(df, column).cast("double") + F.lit(0.0))
+
+
+def _side_ranks(
+    rows: DataFrame, table: DataFrame, code: str, value: str, output: str, hot: int | None
+) -> DataFrame:
+    """Replace a side's code and value by its centred rank: by broadcast, or only hot values so and others by a shuffle."""
+    keyed = table.withColumnsRenamed({"code": code, "value": value})
+    if hot is None:
+        return rows.join(F.broadcast(keyed.select(code, value, F.col("d").alias(output))), [code, value]).drop(code, value)
+    common = keyed.where(F.col("n") > hot).select(code, value, F.col("d").alias("__hot"))
+    marked = rows.join(F.broadcast(common), [code, value], "left")
+    rare = keyed.where(F.col("n") <= hot).select(code, value, F.col("d").alias(output))
+    done = marked.where(F.col("__hot").isNotNull()).withColumnRenamed("__hot", output).drop(code, value)
+    rest = marked.where(F.col("__hot").isNull()).drop("__hot").join(rare, [code, value]).drop(code, value)
+    return done.unionByName(rest)
 
 
 def _ranked_correlations(
