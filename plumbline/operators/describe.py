@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -33,19 +33,29 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, exact:
     require_columns(df, columns)
     row = _moments(df, columns).first()
     counts = {c: row[f"count_{i}"] for i, c in enumerate(columns)}
-    cuts = quantiles(df, columns, QUARTILES, exact=exact, counts=counts)
+    return summary_table(df.sparkSession, columns, row, quantiles(df, columns, QUARTILES, exact=exact, counts=counts))
+
+
+def summary_table(
+    spark: SparkSession, columns: Sequence[str], row: Row, cuts: dict[str, list[float | None]]
+) -> DataFrame:
+    """The summary of columns whose moments (:func:`moment_parts`) and quartiles are known."""
     names = ["count", "mean", "std", "min", "max", "variance", "skewness", "kurtosis"]
     rows = [
         (c, *[row[f"{n}_{i}"] for n in names], *cuts[c]) for i, c in enumerate(columns)
     ]
     doubles = ", ".join(f"{n} double" for n in names[1:])
     schema = f"column string, count bigint, {doubles}, p25 double, p50 double, p75 double"
-    return small_table(df.sparkSession, rows, schema).select(
+    return small_table(spark, rows, schema).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max", "variance", "skewness", "kurtosis"
     )
 
 
 def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.agg(*moment_parts(df, columns))
+
+
+def moment_parts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     parts = []
     for i, name in enumerate(columns):
         c = known(df, name).cast("double")
@@ -59,7 +69,7 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             corrected_skewness(c).alias(f"skewness_{i}"),
             corrected_kurtosis(c).alias(f"kurtosis_{i}"),
         ]
-    return df.agg(*parts)
+    return parts
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,8 +97,13 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) ->
     Equal counts are decided by the smaller value.
     """
     columns = list(columns or string_columns(df))
+    return summarise_counts(value_counts(df, columns), columns)
+
+
+def summarise_counts(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The categorical summary from (column, value, count) rows."""
     found = (
-        value_counts(df, columns)
+        counts
         .groupBy("column")
         .agg(
             F.sum("count").alias("count"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import probability as prob
@@ -182,10 +182,16 @@ def mean_interval(df: DataFrame, columns: Sequence[str], confidence: float = 0.9
         c = known(df, name).cast("double")
         parts += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
     row = df.agg(*parts).first()
-    spark = df.sparkSession
+    moments = {c: (row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+    return interval_table(df.sparkSession, moments, confidence)
+
+
+def interval_table(
+    spark: SparkSession, moments: dict[str, tuple[int, float | None, float | None]], confidence: float = 0.95
+) -> DataFrame:
+    """The intervals of columns whose count, mean and sample deviation are known."""
     out = []
-    for i, c in enumerate(columns):
-        n, mean, std = row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]
+    for c, (n, mean, std) in moments.items():
         error = reach = None
         if std is not None and n > 1:
             error = std / math.sqrt(n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -33,7 +33,11 @@ def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, floa
         c = known(df, name).cast("double")
         parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
     row = df.agg(*parts).first()
-    found = {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    return finite_extents({c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)})
+
+
+def finite_extents(found: dict[str, tuple[int, float, float]]) -> dict[str, tuple[int, float, float]]:
+    """Count, minimum and maximum per column as they are; infinite ones raise."""
     for c, (n, low, high) in found.items():
         if n and (math.isinf(low) or math.isinf(high)):
             raise ValueError(f"{c} has infinite values")
@@ -67,35 +71,49 @@ def histogram(
     columns = list(columns or numeric_columns(df))
     require_columns(df, columns)
     extents = {c: e for c, e in _extents(df, columns).items() if e[0]}
-    if bins == "auto":
+    if bins == "auto" and quartiles is None:
         counts = {c: e[0] for c, e in extents.items()}
-        cuts = quartiles or quantiles(df, list(extents), QUARTILES, counts=counts)
-        numbers = {c: _auto_bins(*extents[c], cuts[c][0], cuts[c][2]) for c in extents}
-    else:
-        numbers = {c: int(bins) for c in extents}
-    layout, places = [], []
-    for c in extents:
-        n, low, high = extents[c]
-        if high == low:
-            low, high = low - 0.5, high + 0.5
-        width = (high - low) / numbers[c]
-        layout.append((c, low, width, numbers[c]))
-        value = known(df, c).cast("double")
-        place = F.least(F.floor((value - F.lit(low)) / F.lit(width)).cast("int"), F.lit(numbers[c] - 1))
-        places.append(labelled(column=F.lit(c), bin=place))
-    spark = df.sparkSession
-    grid = small_table(spark, layout, "column string, low double, width double, bins int").select(
-        "column", "low", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin")
-    )
-    if not places:
-        counts = small_table(spark, [], "column string, bin int, count bigint")
+        quartiles = quantiles(df, list(extents), QUARTILES, counts=counts)
+    layout = bin_layout(extents, bins, quartiles)
+    if not layout:
+        counts = small_table(df.sparkSession, [], "column string, bin int, count bigint")
     else:
         counts = (
-            rows_from(df, places)
+            rows_from(df, [labelled(column=F.lit(bins[0]), bin=bin_of(df, bins)) for bins in layout])
             .where(F.col("bin").isNotNull())
             .groupBy("column", "bin")
             .agg(F.count(F.lit(1)).alias("count"))
         )
+    return filled_bins(layout, counts)
+
+
+def bin_layout(
+    extents: dict[str, tuple[int, float, float]], bins: int | str, quartiles: Quartiles | None
+) -> list[tuple[str, float, float, int]]:
+    """(column, left edge, width, number of bins) of every column with values."""
+    layout = []
+    for c, (n, low, high) in extents.items():
+        if not n:
+            continue
+        number = _auto_bins(n, low, high, quartiles[c][0], quartiles[c][2]) if bins == "auto" else int(bins)
+        if high == low:
+            low, high = low - 0.5, high + 0.5
+        layout.append((c, low, (high - low) / number, number))
+    return layout
+
+
+def bin_of(df: DataFrame, bins: tuple[str, float, float, int]) -> Column:
+    """Bin of a row; the last one holds its right edge."""
+    name, low, width, number = bins
+    value = known(df, name).cast("double")
+    return F.least(F.floor((value - F.lit(low)) / F.lit(width)).cast("int"), F.lit(number - 1))
+
+
+def filled_bins(layout: Sequence[tuple[str, float, float, int]], counts: DataFrame) -> DataFrame:
+    """All bins with their edges and counts from the (column, bin, count) rows of those that hold values."""
+    grid = small_table(counts.sparkSession, layout, "column string, low double, width double, bins int").select(
+        "column", "low", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin")
+    )
     return grid.join(counts, ["column", "bin"], "left").select(
         "column",
         "bin",

@@ -30,7 +30,11 @@ from plumbline.session import materialize
 
 
 def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: count of rows and, per column i, known{i}, inf{i} and, where values have an order, lo{i} and hi{i}."""
+    return df.agg(*_extent_parts(df, columns))
+
+
+def _extent_parts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Count of rows and, per column i, known{i}, inf{i} and, where values have an order, lo{i} and hi{i}."""
     parts = [F.count(F.lit(1)).alias("rows")]
     ordered = set(_orderable(df))
     for i, name in enumerate(columns):
@@ -39,7 +43,7 @@ def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         parts.append(_infinite_cells(df, name).alias(f"inf{i}"))
         if name in ordered:
             parts += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    return df.agg(*parts)
+    return parts
 
 
 def _infinite_cells(df: DataFrame, name: str) -> Column:
@@ -351,47 +355,58 @@ def value_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     ])
 
 
-def quality_report(
-    df: DataFrame,
-    expected: Sequence[str] = (),
-    target: str | None = None,
-    outliers: bool = True,
-) -> DataFrame:
-    """All checks in one table of (check, column, passed, value).
-
-    Scalar checks share one scan. Duplicates need a shuffle of the rows and
-    outliers need the quartiles, so they are separate branches. Missing values,
-    duplicates and outliers are reported without failing.
-    """
-    columns = list(df.columns)
+def scalar_checks(
+    df: DataFrame, expected: Sequence[str] = (), target: str | None = None
+) -> tuple[list[Column], list[Column], list[Column]]:
+    """Aggregates of one scan; rows of the report made from them; rows of :func:`missing_summary`, also of whole columns."""
     numeric = numeric_columns(df)
     # Maps and variants have no order, so they come last and without the check for constants.
     sortable = _orderable(df)
-    comparable = numeric + [c for c in columns if c not in numeric and c in sortable]
-    ordered = comparable + [c for c in columns if c not in comparable]
-    wide = _extent(df, ordered)
+    comparable = numeric + [c for c in df.columns if c not in numeric and c in sortable]
+    ordered = comparable + [c for c in df.columns if c not in comparable]
     rows_count = F.col("rows")
+    gaps = {c: rows_count - F.col(f"known{i}") for i, c in enumerate(ordered)}
     fused = [
         _row("not_empty", None, rows_count > 0, rows_count),
         _row("many_rows_and_columns", None, (rows_count > 1) & F.lit(len(df.columns) > 1), rows_count),
         *_negative_rows(numeric),
         *_infinite_rows(numeric),
         *_constant_rows(comparable),
-        *[
-            _row("missing", c, F.lit(True), rows_count - F.col(f"known{i}")) for i, c in enumerate(ordered)
-        ],
+        *[_row("missing", c, F.lit(True), gaps[c]) for c in ordered],
     ]
     wanted = [("expected_column", c) for c in expected]
     wanted += [("target_present", target)] if target is not None else []
-    parts = [rows_from(wide, fused + _presence_rows(wanted, ordered))]
-    parts.append(
-        duplicate_count(df, columns).select(
-            F.lit("duplicates").alias("check"),
-            F.lit(None).cast("string").alias("column"),
-            F.lit(True).alias("passed"),
-            F.col("duplicates").cast("double").alias("value"),
-        )
+    missing = [
+        labelled(column=F.lit(c), missing=gaps[c], percent=F.try_divide(gaps[c] * 100.0, rows_count)) for c in df.columns
+    ]
+    return _extent_parts(df, ordered), fused + _presence_rows(wanted, ordered), missing
+
+
+def duplicate_check(df: DataFrame) -> DataFrame:
+    """The row of the report that counts surplus copies; it never fails."""
+    return duplicate_count(df, df.columns).select(
+        F.lit("duplicates").alias("check"),
+        F.lit(None).cast("string").alias("column"),
+        F.lit(True).alias("passed"),
+        F.col("duplicates").cast("double").alias("value"),
     )
+
+
+def quality_report(
+    df: DataFrame,
+    expected: Sequence[str] = (),
+    target: str | None = None,
+    outliers: bool = True,
+) -> DataFrame:
+    """All checks in one table of (check, column, passed, value).
+
+    Scalar checks share one scan. Duplicates need a shuffle of the rows and
+    outliers need the quartiles, so they are separate branches. Missing values,
+    duplicates and outliers are reported without failing.
+    """
+    numeric = numeric_columns(df)
+    aggregates, checks, _ = scalar_checks(df, expected, target)
+    parts = [rows_from(df.agg(*aggregates), checks), duplicate_check(df)]
     if outliers and numeric:
         parts.append(
             outlier_summary(df, numeric).select(

@@ -192,14 +192,24 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     chunks = [pairs[i:i + PAIRS_PER_SCAN] for i in range(0, len(pairs), PAIRS_PER_SCAN)]
     results = []
     for chunk in chunks:
-        parts = []
-        for i, (a, b) in enumerate(chunk):
-            x, y = known(df, a).cast("double"), known(df, b).cast("double")
-            parts += [F.corr(x, y).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
-        results.append(_mirrored(df.agg(*parts), chunk))
+        results.append(_mirrored(df.agg(*pair_parts(df, chunk)), chunk))
     return union_all(results)
 
 
+def pair_parts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[Column]:
+    """Pearson's r{i} and the common rows n{i} of each pair."""
+    parts = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = known(df, a).cast("double"), known(df, b).cast("double")
+        # The built-in correlation divides by zero where a column is constant.
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        parts += [
+            F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"),
+            F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}"),
+        ]
+    return parts
+
+
 def _mirrored(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     cells = []
     for i, (a, b) in enumerate(pairs):
