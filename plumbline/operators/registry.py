@@ -1,10 +1,13 @@
-"""Model registry: an append-only table and the promotion gate."""
+"""Model registry: an append-only table of one small file per entry, and the promotion gate."""
 
 from __future__ import annotations
 
 import datetime
+import json
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import small_table
 from plumbline.operators.training import load_model
+from plumbline.session import delete_path
 
 SCHEMA = (
     "name string, version bigint, sequence bigint, promoted boolean, model_type string, rmse double, "
@@ -23,7 +27,7 @@ THRESHOLD = 0.1
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(SCHEMA).json(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -42,17 +46,54 @@ def register(
 ) -> int:
     """Append the next version of ``name``; the registry holds one row per version.
 
-    One writer at a time: the next version is read before the row is added.
+    Writers may run at the same time. An entry is the file of its sequence number, which appears whole and only if
+    no other writer was first; a writer that comes late reads the registry again. So sequences have no gaps,
+    every entry has seen all earlier ones, and versions neither repeat nor leave one out, also after a lost writer.
     """
-    known = read_registry(spark, path)
-    last = known.agg(
-        F.max(F.when(F.col("name") == name, F.col("version"))).alias("v"), F.max("sequence").alias("s")
-    ).first()
-    version, sequence = (last["v"] or 0) + 1, (last["s"] or 0) + 1
-    now = datetime.datetime.now(datetime.timezone.utc)
-    row = (name, version, sequence, promoted, model_type, rmse, uri, list(features), now)
-    small_table(spark, [row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    return version
+    while True:
+        last = read_registry(spark, path).agg(
+            F.max(F.when(F.col("name") == name, F.col("version"))).alias("v"), F.max("sequence").alias("s")
+        ).first()
+        version, sequence = (last["v"] or 0) + 1, (last["s"] or 0) + 1
+        entry = {
+            "name": name, "version": version, "sequence": sequence, "promoted": promoted, "model_type": model_type,
+            "rmse": rmse, "uri": uri, "feature_names": list(features),
+            "registered_at": datetime.datetime.now(datetime.timezone.utc).isoformat(),
+        }
+        if _publish(spark, path, f"entry-{sequence:012d}.json", json.dumps(entry) + "\n"):
+            return version
+
+
+def _publish(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Let a file with its whole text appear, unless there is one of this name; False if there is.
+
+    The file system must rename, or on local disks link, in one step and never onto a file that exists, as HDFS does.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder, name)
+    files = target.getFileSystem(conf)
+    draft = hadoop.Path(folder, f".draft-{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if files.getScheme() == "file":
+            # A rename on a local disk replaces what is there; a link doesn't.
+            places = [jvm.java.nio.file.Path.of(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0)) for p in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*places)
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        delete_path(spark, draft.toString())
+    return True
 
 
 def with_alias(registry: DataFrame, alias: str = "production") -> DataFrame:

@@ -162,6 +162,37 @@ def _tuning(spark, folder):
     return rounded(study.table(spark), 4)
 
 
+def _halving_sql(trials=4, folds=3):
+    """Errors of all trials on all shares; each rung keeps the better half of those the rung before kept."""
+    fractions = (0.25, 0.5, 1.0)
+    points = tuning.draws(RIDGE_SPACE, trials)
+    cells = union_sql(
+        f"""SELECT {r} AS rung, {t} AS trial, sqrt(avg(pow(label - a - b * l_quantity, 2))) AS rmse
+        FROM f, {ridge_sql('f', p['alpha'], f'fold <> {i} AND u < {share}')} WHERE fold = {i} AND u < {share}"""
+        for r, share in enumerate(fractions) for t, p in enumerate(points) for i in range(folds)
+    )
+    place = "row_number() OVER (ORDER BY cv_rmse, trial)"
+    names = union_sql(f"SELECT {t} AS trial, '{json.dumps(p, sort_keys=True)}' AS params" for t, p in enumerate(points))
+    return f"""
+WITH f AS (SELECT *, {fold_sql(LINE_HASH.format(seed=42), folds)} AS fold, {uniform_sql(LINE_HASH.format(seed='subset42'))} AS u
+           FROM {FEATURES_SQL}),
+s AS (SELECT rung, trial, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_std FROM ({cells}) GROUP BY rung, trial),
+r0 AS (SELECT *, {place} <= 2 AS kept FROM s WHERE rung = 0),
+r1 AS (SELECT *, {place} <= 1 AS kept FROM s WHERE rung = 1 AND trial IN (SELECT trial FROM r0 WHERE kept)),
+r2 AS (SELECT *, true AS kept FROM s WHERE rung = 2 AND trial IN (SELECT trial FROM r1 WHERE kept))
+SELECT 'Ridge' AS model, CAST(rung AS INTEGER) AS rung, pow(2.0, rung - 2)::DOUBLE AS fraction, CAST(trial AS BIGINT) AS trial, params,
+       round(cv_rmse, 4) AS cv_rmse, round(cv_std, 4) AS cv_std, kept
+FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2) JOIN ({names}) USING (trial)"""
+
+
+@query("successive_halving", _halving_sql())
+def _halving(spark, folder):
+    found = tuning.halve(
+        line_features(spark, folder), "Ridge", ["l_quantity"], LINE_KEY, trials=4, k=3, space=RIDGE_SPACE
+    )
+    return rounded(found.table(spark), {"cv_rmse": 4, "cv_std": 4})
+
+
 @query("trial_history", "SELECT *, min(cv_rmse) OVER (ORDER BY trial) AS best_so_far FROM (" + _tuning_sql() + ")")
 def _history(spark, folder):
     return tuning.trial_history(_tuning(spark, folder).select("model", "trial", "cv_rmse"))

@@ -188,7 +188,7 @@ def _range(spark, folder):
     return quality.value_ranges(table(spark, folder, "part"))
 
 
-def _report_sql():
+def _report_sql(outliers=True):
     numeric = ["c_custkey", "c_nationkey", "c_acctbal"]
     columns = [*numeric, "c_name", "c_mktsegment"]
     parts = [
@@ -211,9 +211,10 @@ def _report_sql():
             CASE WHEN count(DISTINCT {c}) = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM customer""",
             f"SELECT 'missing', '{c}', true, CAST(count(*) - count({c}) AS DOUBLE) FROM customer",
         ]
-    parts.append(
-        f"""SELECT 'outliers', "column", true, CAST(outliers AS DOUBLE) FROM ({_iqr_sql(numeric, 'customer')})"""
-    )
+    if outliers:
+        parts.append(
+            f"""SELECT 'outliers', "column", true, CAST(outliers AS DOUBLE) FROM ({_iqr_sql(numeric, 'customer')})"""
+        )
     return union_sql(parts)
 
 
