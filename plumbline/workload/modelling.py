@@ -616,6 +616,33 @@ def _stream(spark, folder):
     return _response(spark.read.parquet(path))
 
 
+@query("stream_quarantine", f"""
+SELECT o_orderkey, CASE WHEN valid THEN 'scores' ELSE 'rejected' END AS kept_in, predicted_price, CASE WHEN valid THEN '' ELSE violations END
+AS violations FROM ({SCORE_SQL})
+""")
+def _quarantine(spark, folder):
+    """Arriving orders end in one of two tables."""
+    stream = streaming.read_records(spark, f"{folder}/orders.parquet*", table(spark, folder, "orders").schema)
+    scores, rejected, mark = (scratch_path(spark, n) for n in ("scores", "rejected", "quarantine-checkpoint"))
+    streaming.write_checked(
+        _records(stream), _scorer(spark, folder), ["o_orderkey"], scores, rejected, mark
+    ).awaitTermination()
+    good = spark.read.parquet(scores).select(
+        "o_orderkey", F.lit("scores").alias("kept_in"), "predicted_price", F.lit("").alias("violations"))
+    bad = spark.read.parquet(rejected).select(
+        "o_orderkey", F.lit("rejected").alias("kept_in"), F.lit(None).cast("double").alias("predicted_price"),
+        F.concat_ws(",", "violations").alias("violations"))
+    return rounded(good.unionByName(bad), 4)
+
+
+@query("parameter_importance")
+def _parameter_importance(spark, folder):
+    """Which drawn parameter the error of a trial follows: the penalty, and not the steps that Ridge hardly uses."""
+    space = {**RIDGE_SPACE, "max_iter": ["int", 500, 3000]}
+    study = tuning.tune(line_features(spark, folder), "Ridge", ["l_quantity"], LINE_KEY, trials=24, k=3, space=space)
+    return rounded(tuning.parameter_importance(study.table(spark)), 6)
+
+
 @query("model_save_load", f"""
 SELECT {KEY_SQL}, round(a + b * l_quantity, 4) AS prediction FROM {FEATURES_SQL}, {ridge_sql(FEATURES_SQL, 0.3)}
 """)
