@@ -54,6 +54,25 @@ SENTENCES: dict[str, str] = {
                   "following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
                    "promote products derived from this software without specific prior written permission",
+    "isc_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+                 "granted provided that the above copyright notice and this permission notice appear in all copies",
+    "lgpl21_free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+                   "general public license as published by the free software foundation either version 2.1 of the license or "
+                   "at your option any later version",
+    "lgpl3_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+                  "general public license as published by the free software foundation either version 3 of the license or at "
+                  "your option any later version",
+    "lgpl_hope": "this library is distributed in the hope that it will be useful but without any warranty without even the "
+                 "implied warranty of merchantability or fitness for a particular purpose",
+    "agpl3_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+                  "general public license as published by the free software foundation either version 3 of the license or at "
+                  "your option any later version",
+    "epl2_available": "this program and the accompanying materials are made available under the terms of the eclipse public "
+                      "license 2.0 which is available at https www.eclipse.org legal epl 2.0",
+    "boost_distributed": "distributed under the boost software license version 1.0",
+    "zlib_grant": "permission is granted to anyone to use this software for any purpose including commercial applications and "
+                  "to alter it and redistribute it freely subject to the following restrictions",
+    "unlicense_free": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
 }
 
@@ -80,11 +99,25 @@ RULES: list[tuple[tuple[str, ...], str]] = [
     (("ccby_licensed",), "CC-BY-4.0"),
     (("cc0",), "CC0-1.0"),
     (("mpl2",), "MPL-2.0"),
+    (("isc_grant",), "ISC"),
+    (("lgpl21_free", "lgpl_hope"), "LGPL-2.1-or-later"),
+    (("lgpl21_free",), "LGPL-2.1-or-later"),
+    (("lgpl3_free", "gpl_hope"), "LGPL-3.0-or-later"),
+    (("lgpl3_free",), "LGPL-3.0-or-later"),
+    (("agpl3_free", "gpl_hope"), "AGPL-3.0-or-later"),
+    (("agpl3_free",), "AGPL-3.0-or-later"),
+    (("epl2_available",), "EPL-2.0"),
+    (("boost_distributed",), "BSL-1.0"),
+    (("zlib_grant",), "Zlib"),
+    (("unlicense_free",), "Unlicense"),
     (("reserved",), "LicenseRef-Proprietary"),
 ]
 
+#: Named only where no other licence is: many notices begin with a copyright line that ends "All rights reserved."
+LAST_RESORT = "LicenseRef-Proprietary"
+
 # Every known sentence has one of these words, so a text without them has none.
-HINT = "(?i)licen[sc]e|permission|redistribut|copyright|warranty|rights[^a-z0-9]+reserved"
+HINT = "(?i)licen[sc]e|permission|redistribut|copyright|warranty|rights[^a-z0-9]+reserved|public[^a-z0-9]+domain"
 
 #: The end of a sentence: a mark before white space, unless a number follows ("v. 2.0").
 SENTENCE_END, LINE = r"[.!?;:][ \t\f\r\n\x0B]+([^0-9 \t\f\r\n\x0B])", r"[\r\n]+"
@@ -133,7 +166,7 @@ def recognise(
     ``sentence_ids`` are the identifiers of the text's known sentences in order; a sentence
     may be wrapped over lines, behind comment marks of any signs, or hold ';' and ':'. Of
     known sentences that begin at one place the longest counts. ``licenses`` are the
-    licences of the rules whose runs occur in it, sorted. A rule takes
+    licences of the rules whose runs occur in it, sorted; ``LAST_RESORT`` only where it is alone. A rule takes
     its identifiers out of the sequence, so later rules do not see them. ``status`` is
     ``none`` without known sentences, ``recognised`` if rules took them all, else
     ``unclear``. Only texts in which ``hint`` occurs are cut into sentences; it must
@@ -160,11 +193,13 @@ def recognise(
         "doc_id", F.transform("numbers", lambda i: F.element_at(names, i.cast("int"))).alias("sentence_ids"),
         F.concat_ws("", F.transform("numbers", lambda i: F.concat(F.lit("|"), (i - 1).cast("string"), F.lit("|")))).alias("rest"))
     rest, took = F.col("rest"), []
+    # A sentence of the last resort is taken out like any other, but adds no name beside another licence.
     for run, name in rules:
         mark = F.lit("".join(f"|{number[i]}|" for i in run))
         took.append(F.when(F.contains(rest, mark), F.lit(name)))
         rest = F.replace(rest, mark, F.lit(" "))
+    given = F.array_sort(F.array_distinct(F.filter(F.array(*took), lambda x: x.isNotNull())))
+    others = F.filter(given, lambda x: x != LAST_RESORT)
     return found.select(
-        "doc_id", "sentence_ids",
-        F.array_sort(F.array_distinct(F.filter(F.array(*took), lambda x: x.isNotNull()))).alias("licenses"),
+        "doc_id", "sentence_ids", F.when(F.size(others) > 0, others).otherwise(given).alias("licenses"),
         F.when(F.size("sentence_ids") == 0, "none").when(F.trim(rest) == "", "recognised").otherwise("unclear").alias("status"))

@@ -142,12 +142,14 @@ def _license_sql() -> str:
             SELECT doc_id, list_filter(list_transform(list_transform(string_split_regex({marked}, '{licenses.LINE}'),
                 lambda x: {normal}), lambda y: list_position({known}, y)), lambda i: coalesce(i, 0) > 0) AS n
             FROM documents),
-        r AS (SELECT doc_id, n, array_to_string(list_transform(n, lambda i: '|' || (i - 1) || '|'), '') AS rest FROM s)
-        SELECT doc_id, coalesce(array_to_string(list_transform(n, lambda i: {names}[i]), ','), '') AS sentence_ids,
-               coalesce(array_to_string(list_sort(list_distinct(list_filter([{", ".join(took)}], lambda x: x IS NOT NULL))), ','), '')
-                   AS licenses,
+        r AS (SELECT doc_id, n, array_to_string(list_transform(n, lambda i: '|' || (i - 1) || '|'), '') AS rest FROM s),
+        t AS (SELECT doc_id, n, list_sort(list_distinct(list_filter([{", ".join(took)}], lambda x: x IS NOT NULL))) AS given,
                CASE WHEN len(n) = 0 THEN 'none' WHEN trim({rest}) = '' THEN 'recognised' ELSE 'unclear' END AS status
-        FROM r"""
+              FROM r)
+        SELECT doc_id, coalesce(array_to_string(list_transform(n, lambda i: {names}[i]), ','), '') AS sentence_ids,
+               coalesce(array_to_string(CASE WHEN len(given) > 1 THEN list_filter(given, lambda x: x <> '{licenses.LAST_RESORT}')
+                   ELSE given END, ','), '') AS licenses, status
+        FROM t"""
 
 
 #: crc32 of a decimal number's digits, bit by bit: each byte joins the remainder, and eight steps follow.

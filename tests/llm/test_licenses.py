@@ -112,6 +112,81 @@ of the License, or (at your option) any later version.""", ["gpl2_free"]),
     "LicenseRef-Proprietary": ("Some Company. All rights\nreserved.", ["reserved"]),
 }
 
+# Further published notices, wrapped as they usually come.
+MORE_WRAPPED = {
+    "BSD-2-Clause": ("""Copyright (c) 2019, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+""", ["reserved", "bsd_redistribute", "bsd_source", "bsd_binary"]),
+    "ISC": ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""", ["isc_grant"]),
+    "LGPL-2.1-or-later": ("""This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+""", ["lgpl21_free", "lgpl_hope"]),
+    "LGPL-3.0-or-later": ("""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""", ["lgpl3_free"]),
+    "AGPL-3.0-or-later": ("""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU Affero General Public License for more details.
+""", ["agpl3_free", "gpl_hope"]),
+    "EPL-2.0": ("""This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+""", ["epl2_available"]),
+    "BSL-1.0": ("""Distributed under the Boost Software License,
+Version 1.0. (See accompanying file LICENSE_1_0.txt)
+""", ["boost_distributed"]),
+    "Zlib": ("""Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""", ["zlib_grant"]),
+    "Unlicense": ("""This is free and unencumbered software released into the
+public domain.
+""", ["unlicense_free"]),
+}
+
+
+def test_further_notices(spark):
+    expected = [(ids, [name], "recognised") for name, (_, ids) in MORE_WRAPPED.items()]
+    texts = [text for text, _ in MORE_WRAPPED.values()]
+    assert scan(spark, texts) == expected
+    assert scan(spark, ["# " + t.replace("\n", "\n# ") for t in texts]) == expected
+
+
+def test_reserved_rights_name_no_licence_beside_another(spark):
+    both = "All rights reserved.\n" + WRAPPED["MIT"][0]
+    assert scan(spark, [both, "All rights reserved.", "All rights reserved. Released under the MIT license."]) == [
+        (["reserved", "mit_grant", "mit_notice", "as_is"], ["MIT"], "recognised"),
+        (["reserved"], ["LicenseRef-Proprietary"], "recognised"),
+        (["reserved", "mit_released"], ["MIT"], "recognised"),
+    ]
+
 
 def test_wrapped_notices(spark):
     texts = [text for text, _ in WRAPPED.values()]
