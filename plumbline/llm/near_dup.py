@@ -12,7 +12,8 @@ Pairs are never listed inside a key. Members are first held against the nearest
 leaders (least and greatest node) of their keys, on full sets; only keys whose members still lie in several
 components are looked at again, members outside the key's main component against
 all others, in blocks of bounded size. So no link is lost and the copies of one
-text cost no pairs.
+text cost no pairs. Full sets are kept by family (texts tied by keys), so those that are compared
+meet without being sent to each other; families beyond ``BLOCK_BYTES`` are cut.
 """
 
 from __future__ import annotations
@@ -37,9 +38,11 @@ SIZE = 64
 BITS = 16
 #: Share of linked pairs whose signatures may be further apart than the distance allowed.
 MISSED = 1e-5
-#: Members of one key that are compared in one go, and bytes of sets held by one task.
+#: Members of one key that are compared in one go, and bytes of sets that a home holds.
 BLOCK_MEMBERS = 512
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 4 << 20
+#: Numbers by which homes are told apart; homes that share one are one.
+HOMES = 1 << 40
 #: Leaders that a text is first held against; all other pairs are found after that.
 LEADERS = 2
 #: Hash classes of ids by which texts are filtered before they are shuffled (bounds a broadcast).
@@ -148,8 +151,26 @@ def _keys(groups: DataFrame, scheme: _Scheme) -> DataFrame:
     return groups.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
+def _homes(members: DataFrame, groups: DataFrame, stored: Stored) -> DataFrame:
+    """(node, doc_id, sig, spot) of the nodes in ``members`` that have an id; ``spot`` is the number of their home.
+
+    Sets of one home are compared in one task. A family, texts that keys tie together, has one home; one whose
+    sets take more than ``BLOCK_BYTES`` has several, to which its nodes are dealt by their hash.
+    """
+    family = components(members.select(F.col("node").alias("a"), F.col("least").alias("b")), stored)
+    family = stored.table(family)
+    sized = _among(groups.filter("doc_id is not null"), "node", family.select("node")).join(family, "node")
+    # Few families are cut: each has more than BLOCK_BYTES of sets.
+    cuts = (
+        sized.groupBy("component").agg(F.ceil(F.sum("n_shingles") * 8 / F.lit(BLOCK_BYTES)).alias("cuts")).filter("cuts > 1")
+    )
+    cut = F.pmod(F.xxhash64("node"), F.coalesce("cuts", F.lit(1)))
+    return sized.join(F.broadcast(cuts), "component", "left").select(
+        "node", "doc_id", "sig", F.pmod(F.xxhash64("component", cut), F.lit(HOMES)).alias("spot"))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, set, spot) of the nodes in ``wanted`` (node, doc_id), from one of their texts."""
+    """(node, spot, set) of the nodes in ``wanted`` (node, doc_id, spot), from one of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -164,18 +185,20 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
                         seen.add(int(nodes[i]))
                         rows.append(i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[rows]), pa.array([flat[ends[i] - sizes[i] : ends[i]].tobytes() for i in rows], pa.binary()),
-                     pa.array(_spots(nodes[rows]))],
-                    ["node", "set", "spot"])
+                    [pa.array(nodes[rows]), part.column("spot").take(pa.array(rows, pa.int64())),
+                     pa.array([flat[ends[i] - sizes[i] : ends[i]].tobytes() for i in rows], pa.binary())],
+                    ["node", "spot", "set"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # Most texts are not wanted and are filtered by the hash class of their id, of which there
-    # are a fixed number, before the join shuffles what is left.
-    id_class = F.pmod(F.xxhash64("doc_id"), F.lit(ID_CLASSES)).cast("int")
-    classes = wanted.select(id_class.alias("id_class")).distinct()
-    texts = texts.withColumn("id_class", id_class).join(F.broadcast(classes), "id_class", "left_semi").drop("id_class")
-    return texts.join(wanted, "doc_id").select("node", "text").mapInArrow(
-        run, "node long, set binary, spot int")
+    # Most texts are not wanted and are filtered before the join shuffles what is left.
+    texts = _among(texts, "doc_id", wanted.select("doc_id"))
+    return texts.join(wanted, "doc_id").select("node", "spot", "text").mapInArrow(run, "node long, spot long, set binary")
+
+
+def _among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be in ``wanted`` (key), by hash classes, of which there are a fixed number."""
+    name = F.pmod(F.xxhash64(key), F.lit(ID_CLASSES)).cast("int").alias("hash_class")
+    return df.withColumn("hash_class", name).join(F.broadcast(wanted.select(name).distinct()), "hash_class", "left_semi").drop("hash_class")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -221,26 +244,34 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
             pass
 
 
-def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
-    """Links (a, b) among ``requests`` (a, block, others): full sets are compared.
+def _sent(requests: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+    """(block, salt, side, node, set, others): what meets to answer ``requests`` (a, own, block, others).
 
-    The sets of a block meet the requests for it in one task, which holds the block's
-    sets only and streams the requests. A block with many requests is copied to
-    several tasks.
+    The sets of a home (side 0) meet the requests for it in one task. A request brings the set of ``a`` only
+    if that has another home (``own``). A home with many requests is copied to several tasks.
     """
+    sets = sets.select("node", "set", F.pmod("spot", F.lit(blocks)).alias("block"))
+    if "own" not in requests.columns:
+        requests = requests.join(sets.select(F.col("node").alias("a"), F.col("block").alias("own")), "a")
+    # Few homes are copied: each has more than 4,096 requests.
     salts = requests.groupBy("block").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(4096)).cast("int").alias("salts"))
+        F.ceil(F.count(F.lit(1)) / F.lit(4096)).cast("int").alias("salts")).filter("salts > 1")
+    salted = F.coalesce("salts", F.lit(1))
     held = (
-        sets.select("node", "set", F.pmod("spot", F.lit(blocks)).alias("block")).join(salts, "block")
-        .select("block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"),
+        _among(sets, "block", requests.select("block")).join(F.broadcast(salts), "block", "left")
+        .select("block", F.explode(F.sequence(F.lit(0), salted - 1)).alias("salt"), F.lit(0).alias("side"),
                 "node", "set", F.expr("cast(null as array<long>)").alias("others"))
     )
-    asked = (
-        requests.join(salts, "block")
-        .join(sets.select(F.col("node").alias("a"), "set"), "a")
-        .select("block", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"),
-                F.col("a").alias("node"), "set", "others")
-    )
+    near = requests.filter("own = block").withColumn("set", F.expr("cast(null as binary)"))
+    away = requests.filter("own <> block")
+    theirs = _among(sets.select(F.col("node").alias("a"), "set"), "a", away.select("a"))
+    asked = near.unionByName(away.join(theirs, "a")).join(F.broadcast(salts), "block", "left").select(
+        "block", F.pmod(F.xxhash64("a"), salted).cast("int").alias("salt"), F.lit(1).alias("side"), F.col("a").alias("node"), "set", "others")
+    return held.unionByName(asked)
+
+
+def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
+    """Links (a, b) among ``requests``: full sets are compared, in a task that holds one home and streams the requests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, ["block", "salt"]):
@@ -248,7 +279,7 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme)
             for part in rows:
                 found_a, found_b = [], []
                 for side, node, cell, others in zip(*(part.column(c).to_pylist() for c in ("side", "node", "set", "others"))):
-                    own = np.frombuffer(cell, np.uint64)
+                    own = known[node] if cell is None else np.frombuffer(cell, np.uint64)
                     if side == 0:
                         known[node] = own
                         continue
@@ -266,12 +297,12 @@ def _confirm(requests: DataFrame, sets: DataFrame, blocks: int, scheme: _Scheme)
                 yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
     return (
-        held.unionByName(asked).repartition("block", "salt").sortWithinPartitions("block", "salt", "side")
+        _sent(requests, sets, blocks).repartition("block", "salt").sortWithinPartitions("block", "salt", "side")
         .mapInArrow(run, "a long, b long")
     )
 
 
-def _open_pairs(members: DataFrame, groups: DataFrame, labels: DataFrame, blocks: int, scheme: _Scheme) -> DataFrame:
+def _open_pairs(members: DataFrame, homes: DataFrame, labels: DataFrame, scheme: _Scheme) -> DataFrame:
     """Requests for pairs that share a key, lie in different components and are near by their signatures.
 
     In each key only members outside its main component ask, and they meet all
@@ -288,8 +319,8 @@ def _open_pairs(members: DataFrame, groups: DataFrame, labels: DataFrame, blocks
         .filter("parts > 1")
         .select("key", "main", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int").alias("cuts"))
     )
-    rows = placed.join(mixed, "key").join(groups.select("node", "sig"), "node")
-    data = ["node", "component", "sig"]
+    rows = placed.join(mixed, "key").join(homes.select("node", "sig", "spot"), "node")
+    data = ["node", "component", "spot", "sig"]
     held = rows.select("key", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int").alias("cut"), F.lit(0).alias("side"), *data)
     asking = rows.filter("component <> main").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), F.lit(1).alias("side"), *data)
@@ -299,16 +330,16 @@ def _open_pairs(members: DataFrame, groups: DataFrame, labels: DataFrame, blocks
             kept: list[tuple[np.ndarray, ...]] = []
             for part in parts:
                 side = part.column("side").to_numpy()
-                rep, part_of = (part.column(c).to_numpy() for c in ("node", "component"))
+                rep, part_of, home = (part.column(c).to_numpy() for c in ("node", "component", "spot"))
                 place = part.column("key").to_numpy() & (SIZE - 1)
                 sig = _matrix(part.column("sig"), SIZE)
                 here = side == 0
                 if here.any():
-                    kept.append((rep[here], part_of[here], sig[here]))
+                    kept.append((rep[here], part_of[here], home[here], sig[here]))
                 if here.all() or not kept:
                     continue
-                k_rep, k_part, k_sig = (np.concatenate(x) for x in zip(*kept))
-                out_a, out_block, out_others = [], [], []
+                k_rep, k_part, k_home, k_sig = (np.concatenate(x) for x in zip(*kept))
+                out_a, out_own, out_block, out_others = [], [], [], []
                 for i in np.flatnonzero(~here):
                     other = k_part != part_of[i]
                     same = k_sig == sig[i]
@@ -321,21 +352,20 @@ def _open_pairs(members: DataFrame, groups: DataFrame, labels: DataFrame, blocks
                         first = np.argmax(wrong <= 1, axis=1)
                         at = at[[_first_place(s, scheme.chunks[c], w[c]) == place[i] for s, c, w in zip(same, first, wrong)]]
                     if len(at):
-                        ids = k_rep[at]
-                        where = _spots(ids) % blocks
+                        ids, where = k_rep[at], k_home[at]
                         for b in np.unique(where):
                             out_a.append(int(rep[i]))
+                            out_own.append(int(home[i]))
                             out_block.append(int(b))
                             out_others.append(ids[where == b].tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_a, pa.int64()), pa.array(out_block, pa.int32()), pa.array(out_others, pa.list_(pa.int64()))],
-                    ["a", "cell", "others"])
+                    [*(pa.array(x, pa.int64()) for x in (out_a, out_own, out_block)), pa.array(out_others, pa.list_(pa.int64()))],
+                    ["a", "own", "block", "others"])
 
-    found = (
+    return (
         held.unionByName(asking).repartition("key", "cut").sortWithinPartitions("key", "cut", "side")
-        .mapInArrow(run, "a long, cell int, others array<long>")
+        .mapInArrow(run, "a long, own long, block long, others array<long>")
     )
-    return found.select("a", F.col("cell").alias("block"), "others")
 
 
 def _first_place(same: np.ndarray, chunk: np.ndarray, wrong: int) -> int:
@@ -343,11 +373,6 @@ def _first_place(same: np.ndarray, chunk: np.ndarray, wrong: int) -> int:
     return int(chunk[0]) if wrong == 0 else int(chunk[np.argmin(same[chunk])])
 
 
-def _spots(nodes: np.ndarray) -> np.ndarray:
-    """A number below 2**20 by which sets are dealt to blocks."""
-    return (mix(nodes.view(np.uint64)) % np.uint64(1 << 20)).astype(np.int32)
-
-
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs``.
 
@@ -373,39 +398,36 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     stored = Stored(docs.sparkSession)
     signed = stored.table(signatures(docs, id_col, text_col, width), keep=True)
     groups = stored.table(
-        signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), keep=True)
+        signed.filter("n_shingles > 0").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), keep=True)
 
-    keyed = _keys(groups, scheme)
+    # Dealt by key once, for the counts and for the members.
+    keyed = _keys(groups, scheme).repartition("key")
     shared = (
         keyed.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("node").alias("least"), F.max("node").alias("most"))
         .filter("n > 1").drop("n")
     )
     members = stored.table(keyed.join(shared, "key"))
-    wanted = members.select("node").distinct().join(groups.select("node", "doc_id"), "node").filter("doc_id is not null")
-    sets = stored.table(full_sets(docs, wanted, id_col, text_col, width))
-    total = sets.agg(F.sum(F.length("set"))).first()[0] or 0
-    blocks = int(total // BLOCK_BYTES) + 1
+    homes = stored.table(_homes(members, groups, stored))
+    sets = stored.table(full_sets(docs, homes.drop("sig"), id_col, text_col, width))
 
     leaders = (
         members.select("node", F.explode(F.array("least", "most")).alias("lead")).filter("node <> lead").distinct()
-        .join(groups.select("node", F.col("sig").alias("sig_a")), "node")
-        .join(groups.select(F.col("node").alias("lead"), F.col("sig").alias("sig_b")), "lead")
-        .select(F.col("node").alias("a"), "lead", _distance("sig_a", "sig_b").alias("distance"))
+        .join(homes.select("node", F.col("spot").alias("own"), F.col("sig").alias("sig_a")), "node")
+        .join(homes.select(F.col("node").alias("lead"), F.col("spot").alias("block"), F.col("sig").alias("sig_b")), "lead")
+        .select(F.col("node").alias("a"), "own", "lead", "block", _distance("sig_a", "sig_b").alias("distance"))
         .filter(F.col("distance") <= scheme.distance)
         .withColumn("order", F.row_number().over(Window.partitionBy("a").orderBy("distance", "lead")))
         .filter(F.col("order") <= LEADERS)
     )
-    requests = (
-        leaders.join(sets.select(F.col("node").alias("lead"), F.pmod("spot", F.lit(blocks)).alias("block")), "lead")
-        .groupBy("a", "block").agg(F.collect_set("lead").alias("others"))
-    )
-    links = stored.table(_confirm(requests, sets, blocks, scheme))
+    requests = leaders.groupBy("a", "own", "block").agg(F.collect_set("lead").alias("others"))
+    links = stored.table(_confirm(stored.table(requests), sets, HOMES, scheme))
     labels = stored.table(components(links, stored))
-    # Groups without id have no set and are linked with nothing.
-    held = sets.select("node")
-    pairs = stored.table(_open_pairs(members.select("key", "node").join(held, "node", "left_semi"), groups, labels, blocks, scheme))
-    more = _confirm(pairs, sets, blocks, scheme)
+    # Groups without id have no home and are linked with nothing.
+    held = homes.select("node")
+    pairs = stored.table(_open_pairs(members.select("key", "node").join(held, "node", "left_semi"), homes, labels, scheme))
+    more = _confirm(pairs, sets, HOMES, scheme)
     # Links between components tie these components.
     label = labels.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
     more = more.join(label, "a", "left").join(label.withColumnsRenamed({"a": "b", "of_a": "of_b"}), "b", "left")

@@ -158,3 +158,26 @@ def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
     assert [r for r in found if r[0] != 5] == [(1, a), (7, ""), (8, "c " * 9), (None, "d e f g h i")]
     # One of the three rows of id 5 in the group of b; its copy of a goes with row 1.
     assert len([r for r in found if r[0] == 5]) == 1 and all(r[1].startswith(b) for r in found if r[0] == 5)
+
+
+def test_sets_of_a_family_are_sent_once(spark, monkeypatch):
+    """All texts of a family ask for each other; a family beyond the bytes of a home is cut, and only then are sets copied."""
+    rows = [(10 * family + i, int(i == 0)) for family in range(12) for i in range(8)]
+    members = spark.createDataFrame([(n - n % 10, n, n - n % 10) for n, _ in rows], "key long, node long, least long")
+    groups = spark.createDataFrame([(n, n, 100, b"") for n, _ in rows], "node long, doc_id long, n_shingles long, sig binary")
+    sets = [(n, np.arange(n % 10, 100 + n % 10, dtype=np.uint64).tobytes()) for n, _ in rows]
+    for limit, cut in ((1 << 20, False), (1600, True)):
+        monkeypatch.setattr(near_dup, "BLOCK_BYTES", limit)
+        stored = near_dup.Stored(spark)
+        homes = {r.node: r.spot for r in near_dup._homes(members, groups, stored).collect()}
+        stored.close()
+        assert len(homes) == len(rows) and (len(set(homes.values())) > 12) == cut
+        held = spark.createDataFrame([(n, s, homes[n]) for n, s in sets], "node long, set binary, spot long")
+        asked = [(n, homes[n], homes[n - n % 10], [n - n % 10]) for n, first in rows if not first]
+        requests = spark.createDataFrame(asked, "a long, own long, block long, others array<long>")
+        sent = near_dup._sent(requests, held, near_dup.HOMES).filter("set is not null").groupBy("node", "block").count().collect()
+        assert all(r["count"] == 1 for r in sent)
+        away = sum(own != block for _, own, block, _ in asked)
+        assert (away > 0) == cut and len(sent) <= len(rows) + away
+        found = {(r.a, r.b) for r in near_dup._confirm(requests, held, near_dup.HOMES, near_dup._Scheme(85)).collect()}
+        assert found == {(n, n - n % 10) for n, first in rows if not first}
