@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,8 @@ from plumbline.llm.stored import Stored
 
 #: More rounds than any real graph needs: stars halve path lengths.
 MAX_ROUNDS = 60
+#: Links that a task ties at once.
+TIED = 1 << 18
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -26,6 +31,43 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return found.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _tied(links: DataFrame) -> DataFrame:
+    """Links that tie the same nodes: those that a task meets together become ties to the least node."""
+
+    def ties(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        parent: dict[int, int] = {}
+
+        def least(x: int) -> int:
+            top = x
+            while parent.setdefault(top, top) != top:
+                top = parent[top]
+            while parent[x] != top:
+                parent[x], x = top, parent[x]
+            return top
+
+        for a, b in found:
+            a, b = least(a), least(b)
+            parent[max(a, b)] = min(a, b)
+        rows = [(x, top) for x in parent if (top := least(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(2)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int]] = []
+        for batch in batches:
+            held.extend(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+            if len(held) >= TIED:
+                yield ties(held)
+                held = []
+        if held:
+            yield ties(held)
+
+    return links.select("a", "b").mapInArrow(run, "a long, b long")
+
+
+def _sum(links: DataFrame) -> tuple:
+    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+
 def components(links: DataFrame, stored: Stored) -> DataFrame:
     """(node, component) of all nodes of ``links`` (a, b), a component being its least node.
 
@@ -33,12 +75,11 @@ def components(links: DataFrame, stored: Stored) -> DataFrame:
     many neighbours only meets its least one, so the join is skewed on one side alone
     and can be split.
     """
-    links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = stored.table(links)
-    before = None
+    links = stored.table(_tied(links.filter("a <> b")).distinct())
+    before = _sum(links)
     for _ in range(MAX_ROUNDS):
         links = stored.table(_star(_star(links, True), False))
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = _sum(links)
         if now == before:
             break
         before = now

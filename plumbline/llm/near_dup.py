@@ -19,12 +19,11 @@ meet without being sent to each other; families beyond ``BLOCK_BYTES`` are cut.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import (
@@ -155,9 +154,13 @@ def _homes(members: DataFrame, groups: DataFrame, stored: Stored) -> DataFrame:
     """(node, doc_id, sig, spot) of the nodes in ``members`` that have an id; ``spot`` is the number of their home.
 
     Sets of one home are compared in one task. A family, texts that keys tie together, has one home; one whose
-    sets take more than ``BLOCK_BYTES`` has several, to which its nodes are dealt by their hash.
+    sets take more than ``BLOCK_BYTES`` has several, to which its nodes are dealt by their hash. Families follow
+    the least node of a node's keys for four steps; texts beyond that have other homes, to which sets are sent.
     """
-    family = components(members.select(F.col("node").alias("a"), F.col("least").alias("b")), stored)
+    family = stored.table(members.groupBy("node").agg(F.min("least").alias("component")))
+    for _ in range(2):
+        onward = family.select(F.col("node").alias("component"), F.col("component").alias("least"))
+        family = family.join(onward, "component").select("node", F.col("least").alias("component"))
     family = stored.table(family)
     sized = _among(groups.filter("doc_id is not null"), "node", family.select("node")).join(family, "node")
     # Few families are cut: each has more than BLOCK_BYTES of sets.
@@ -201,18 +204,18 @@ def _among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return df.withColumn("hash_class", name).join(F.broadcast(wanted.select(name).distinct()), "hash_class", "left_semi").drop("hash_class")
 
 
-def _distance(a: str, b: str) -> Column:
-    """Differing components of two signatures, two components at a time."""
+def _near(pairs: DataFrame, scheme: _Scheme) -> DataFrame:
+    """(a, own, lead, block, distance) of ``pairs`` whose signatures ``sig_a`` and ``sig_b`` are near."""
+    names = ["a", "own", "lead", "block"]
 
-    def word(name: str, i: int) -> Column:
-        return F.conv(F.hex(F.substring(name, 4 * i + 1, 4)), 16, 10).cast("long")
-
-    def differing(i: int) -> Column:
-        low = F.lit(0x7FFF7FFF)
-        x = word(a, i).bitwiseXOR(word(b, i))
-        return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(F.lit(0x80008000)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = (_matrix(batch.column("sig_a"), SIZE) != _matrix(batch.column("sig_b"), SIZE)).sum(axis=1)
+            near = pa.array(np.flatnonzero(differ <= scheme.distance))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(near) for c in names), pa.array(differ.astype(np.int32)).take(near)], [*names, "distance"])
 
-    return reduce(lambda x, y: x + y, [differing(i) for i in range(SIZE * BITS // 32)])
+    return pairs.select(*names, "sig_a", "sig_b").mapInArrow(run, "a long, own long, lead long, block long, distance int")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, Iterator[pa.RecordBatch]]]:
@@ -412,15 +415,13 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     homes = stored.table(_homes(members, groups, stored))
     sets = stored.table(full_sets(docs, homes.drop("sig"), id_col, text_col, width))
 
-    leaders = (
+    leaders = _near(
         members.select("node", F.explode(F.array("least", "most")).alias("lead")).filter("node <> lead").distinct()
         .join(homes.select("node", F.col("spot").alias("own"), F.col("sig").alias("sig_a")), "node")
         .join(homes.select(F.col("node").alias("lead"), F.col("spot").alias("block"), F.col("sig").alias("sig_b")), "lead")
-        .select(F.col("node").alias("a"), "own", "lead", "block", _distance("sig_a", "sig_b").alias("distance"))
-        .filter(F.col("distance") <= scheme.distance)
-        .withColumn("order", F.row_number().over(Window.partitionBy("a").orderBy("distance", "lead")))
-        .filter(F.col("order") <= LEADERS)
-    )
+        .withColumnRenamed("node", "a"), scheme)
+    order = F.row_number().over(Window.partitionBy("a").orderBy("distance", "lead"))
+    leaders = leaders.withColumn("order", order).filter(F.col("order") <= LEADERS)
     requests = leaders.groupBy("a", "own", "block").agg(F.collect_set("lead").alias("others"))
     links = stored.table(_confirm(stored.table(requests), sets, HOMES, scheme))
     labels = stored.table(components(links, stored))

@@ -181,3 +181,20 @@ def test_sets_of_a_family_are_sent_once(spark, monkeypatch):
         assert (away > 0) == cut and len(sent) <= len(rows) + away
         found = {(r.a, r.b) for r in near_dup._confirm(requests, held, near_dup.HOMES, near_dup._Scheme(85)).collect()}
         assert found == {(n, n - n % 10) for n, first in rows if not first}
+
+
+def test_links_that_meet_in_a_task_settle_in_one_round(spark, monkeypatch):
+    """A path of 60 links, all in one partition, and the same path dealt over three, take the same components."""
+    path = [(i + 1, i) if i % 2 else (i, i + 1) for i in range(60)] + [(100, 101), (101, 101)]
+    links = spark.createDataFrame(path, "a long, b long")
+    tables = []
+    table = near_dup.Stored.table
+    monkeypatch.setattr(near_dup.Stored, "table", lambda self, *a, **k: tables.append(1) or table(self, *a, **k))
+    expected = {i: 0 for i in range(61)} | {100: 100, 101: 100}
+    for parts in (1, 3):
+        tables.clear()
+        stored = near_dup.Stored(spark)
+        found = near_dup.components(links.repartition(parts), stored).collect()
+        stored.close()
+        assert len(found) == len(expected) and {r.node: r.component for r in found} == expected
+        assert parts > 1 or len(tables) == 2
