@@ -40,6 +40,8 @@ MISSED = 1e-5
 #: Members of one key that are compared in one go, and bytes of sets that a home holds.
 BLOCK_MEMBERS = 512
 BLOCK_BYTES = 4 << 20
+#: Pairs of full sets that a task compares before its home is copied to another one.
+COMPARED = 1 << 16
 #: Numbers by which homes are told apart; homes that share one are one.
 HOMES = 1 << 40
 #: Leaders that a text is first held against; all other pairs are found after that.
@@ -256,9 +258,10 @@ def _sent(requests: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     sets = sets.select("node", "set", F.pmod("spot", F.lit(blocks)).alias("block"))
     if "own" not in requests.columns:
         requests = requests.join(sets.select(F.col("node").alias("a"), F.col("block").alias("own")), "a")
-    # Few homes are copied: each has more than 4,096 requests.
+    # Few homes are copied: each has more than 4,096 requests or COMPARED pairs.
     salts = requests.groupBy("block").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(4096)).cast("int").alias("salts")).filter("salts > 1")
+        F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(4096), F.sum(F.size("others")) / F.lit(COMPARED))).cast("int").alias("salts")
+    ).filter("salts > 1")
     salted = F.coalesce("salts", F.lit(1))
     held = (
         _among(sets, "block", requests.select("block")).join(F.broadcast(salts), "block", "left")
