@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +36,12 @@ ROUNDS, TOLERANCE = 6, 1e-4
 WORDS_AT_HAND = 1 << 20
 #: Weight of the class frequencies in the transition probabilities.
 PRIOR = 4.0
-#: Distinct entries that a task gathers before it hands them on.
+#: Entries that a task gathers before it hands them on.
 GATHERED = 1 << 21
-#: Pairs that a task folds at once.
+#: Entries in a stored cell, and pairs given as rows that a task folds at once.
 FOLDED = 1 << 18
+#: Tokens whose pairs go to one block of the pair table.
+BLOCK = 1 << 20
 
 
 @dataclass
@@ -66,7 +69,10 @@ def _at_hand(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(place among the sorted ``known``, whether it is there) of each hash."""
     if not len(known):
         return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    # Sorted, so that look-ups next to each other meet in the processor's cache.
+    order = np.argsort(hashes)
+    at = np.empty(len(hashes), np.int64)
+    at[order] = np.minimum(np.searchsorted(known, hashes[order]), len(known) - 1)
     return at, known[at] == hashes
 
 
@@ -137,21 +143,88 @@ def _split(df: DataFrame, bit: int) -> tuple[DataFrame, DataFrame]:
     return df.filter(~has), df.filter(has)
 
 
-def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np.ndarray], least: int, stored: Stored) -> DataFrame:
-    """(before, unit, bits, n) of units that follow each other; a text begins after the end of another.
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal entries begin."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new)
 
-    ``hand`` are the sorted hashes and the counts of words at hand, which were seen ``least`` times or more. Unit 0
-    is the end of a text, then come the shapes, then the frequent words at hand; other units go by their hash.
+
+def _cells(lead: list[pa.Array], first: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """A row for each run of entries: its ``lead``, then the run's bytes of each column."""
+    cuts = np.append(first, len(columns[0]))
+    packed = [
+        pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((cuts * c.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(c))])
+        for c in columns]
+    return pa.RecordBatch.from_arrays([*lead, *packed], names)
+
+
+def _entries(batch: pa.RecordBatch, name: str, kind: type) -> np.ndarray:
+    """The entries of all cells of a column, one after another."""
+    column = batch.column(name).cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, kind)
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sums, place of one of its entries) in ascending order."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _runs(keys)
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0], order[first]
+
+
+def _pair_hashes(before: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    keys = random_words(2, 31) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        return mix(mix(before.view(np.uint64) * keys[0]) + unit.view(np.uint64) * keys[1])
+
+
+def _pair_cells(train: DataFrame, hand: tuple[np.ndarray, np.ndarray], weight: np.ndarray, least: int) -> DataFrame:
+    """(far, before, unit, n) of units that follow each other, packed; a text begins after the end of another.
+
+    ``hand`` are the sorted hashes and the counts of words at hand, which were seen ``least`` times or more, ``weight`` the
+    counts of units at hand. Unit 0 is the end of a text, then come the shapes, then the frequent words at hand; other
+    units go by their hash. A cell holds pairs of units at hand as 32-bit numbers, or, if ``far``, pairs with another
+    word as 64-bit numbers.
+
+    Pairs of a unit at hand lie in one block; those of a unit with more tokens than a block are cut by the unit after it.
     """
-    sent = share(train.sparkSession, hand)
+    width, total = len(weight), max(int(weight.sum()), 1)
+    blocks = 1 + total // BLOCK
+    sent = share(train.sparkSession, (*hand, weight))
     more = least > LEAST_SEEN
+    names = ["block", "far", "before", "unit", "n"]
+
+    def cells(block: np.ndarray, far: bool, columns: list[np.ndarray]) -> pa.RecordBatch:
+        first = _runs(block)
+        return _cells([pa.array(block[first].astype(np.int32)), pa.array(np.full(len(first), far))], first, columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = shared(sent)
+        known, seen, weight = shared(sent)
         own = seen >= LEAST_SEEN
         place = SHAPES + np.cumsum(own)
-        keys = random_words(2, 31) | np.uint64(1)
-
+        lower = np.cumsum(weight) - weight
+
+        def packed(keys: list[np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            key = np.sort(np.concatenate(keys))
+            first = _runs(key)
+            n = np.diff(np.append(first, len(key)))
+            before, unit = np.divmod(key[first], width)
+            # Never falls as keys rise.
+            at = lower[before] + weight[before] * (lower[unit] / total)
+            block = np.minimum((at * (blocks / total)).astype(np.int64), blocks - 1)
+            yield cells(block, False, [before.astype(np.int32), unit.astype(np.int32), n])
+            before, unit = (np.concatenate(x) for x in zip(*others))
+            pair, n, first = _summed(_pair_hashes(before, unit), np.ones(len(before), np.int64))
+            block = ((pair >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+            yield cells(block, True, [before[first], unit[first], n])
+
+        keys, others, size = [], [], 0
         for batch in batches:
             for part in text_slices(batch, "text"):
                 words = Words(part.column("text"), NOT_SPACE)
@@ -166,21 +239,65 @@ def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np
                 units, _ = _sequences(words, units)
                 far = np.insert(far, np.cumsum(words.count), False)
                 before = np.concatenate([[0], units[:-1]])
-                bits = _FAR[0] * np.concatenate([[False], far[:-1]]) + _FAR[1] * far
-                # Pairs of one slice are told apart by a hash of both.
-                with np.errstate(over="ignore"):
-                    pair = mix(mix(before.view(np.uint64) * keys[0]) + units.view(np.uint64) * keys[1])
-                _, first, n = np.unique(pair, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(before[first]), pa.array(units[first]), pa.array(bits[first].astype(np.int32)), pa.array(n)],
-                    ["before", "unit", "bits", "n"])
+                far[1:] |= far[:-1].copy()
+                keys.append(before[~far] * width + units[~far])
+                others.append((before[far], units[far]))
+                size += len(units)
+                if size >= GATHERED:
+                    yield from packed(keys, others)
+                    keys, others, size = [], [], 0
+        if size:
+            yield from packed(keys, others)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(before: np.ndarray, unit: np.ndarray, n: np.ndarray, far: bool) -> pa.RecordBatch:
+            first = np.arange(0, len(n), FOLDED)
+            return _cells([pa.array(np.full(len(first), far))], first, [before, unit, n], names[1:])
+
+        def near(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            before, unit = np.divmod(key, width)
+            return packed(before.astype(np.int32), unit.astype(np.int32), n, False)
+
+        def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            return _summed(*(np.concatenate(x) for x in zip(*held)))[:2]
+
+        held, size = [], 0
+        for batch in batches:
+            is_far = batch.column("far")
+            part = batch.filter(is_far)
+            if part.num_rows:
+                before, unit, n = (_entries(part, c, np.int64) for c in ("before", "unit", "n"))
+                _, n, first = _summed(_pair_hashes(before, unit), n)
+                yield packed(before[first], unit[first], n, True)
+                batch = batch.filter(pc.invert(is_far))
+            before, unit = (_entries(batch, c, np.int32).astype(np.int64) for c in ("before", "unit"))
+            held.append((before * width + unit, _entries(batch, "n", np.int64)))
+            size += len(before)
+            if size > GATHERED:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > GATHERED // 2:
+                    yield near(*held[0])
+                    held, size = [], 0
+        if size:
+            yield near(*merged(held))
+
+    found = train.mapInArrow(run, "block int, far boolean, before binary, unit binary, n binary").repartitionById(blocks, "block")
+    return found.mapInArrow(merge, "far boolean, before binary, unit binary, n binary")
+
+
+def _far_pairs(cells: DataFrame, counts: DataFrame, width: int, least: int, stored: Stored) -> DataFrame:
+    """(before, unit, bits, n) of the ``far`` cells, words that are no units of their own given by their shapes."""
 
-    def summed(df: DataFrame) -> DataFrame:
-        return df.groupBy("before", "unit", "bits").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                before, unit, n = (_entries(batch.slice(i, 1), c, np.int64) for c in ("before", "unit", "n"))
+                bits = sum(bit * ((x < 0) | (x >= width)) for bit, x in zip(_FAR, (before, unit)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before), pa.array(unit), pa.array(bits.astype(np.int32)), pa.array(n)], ["before", "unit", "bits", "n"])
 
-    found = summed(train.mapInArrow(run, "before long, unit long, bits int, n long"))
-    if not more:
-        return found
+    found = cells.filter("far").mapInArrow(run, "before long, unit long, bits int, n long")
     rare = counts.filter(F.col("n") < least).select("word", "n", "shape").withColumn("own", F.col("n") >= LEAST_SEEN).drop("n")
     for i, column in enumerate(("before", "unit")):
         found = stored.table(found)
@@ -189,7 +306,7 @@ def _pair_counts(train: DataFrame, counts: DataFrame, hand: tuple[np.ndarray, np
             column: F.when(F.col("own"), F.col("word")).otherwise(F.col("shape") + 1).cast("long"),
             "bits": F.when(F.col("own"), F.col("bits")).otherwise(F.col("bits") - _FAR[i])})
         found = near.unionByName(far.select(*found.columns))
-    return summed(found)
+    return found.groupBy("before", "unit", "bits").agg(F.sum("n").alias("n"))
 
 
 def _most_frequent(counts: DataFrame, most: int) -> int:
@@ -260,39 +377,47 @@ def _dealt(names: np.ndarray, hands: int) -> np.ndarray:
     return mix(names.astype(np.int64).view(np.uint64)) % np.uint64(hands)
 
 
+def _hands(weight: np.ndarray, classes: int) -> tuple[np.ndarray, int]:
+    """(part of each unit at hand, number of parts) so that parts hold about as many neighbours by class."""
+    blocks = 1 + int(weight.sum()) // BLOCK
+    most = np.cumsum(np.minimum(2 * weight, 2 * classes * blocks) + 1)
+    hands = 1 + int(most[-1]) // (3 * BLOCK // 2)
+    return ((most - 1) * hands // most[-1]).astype(np.int32), hands
+
+
+def _by_class(u: np.ndarray, own: np.ndarray, near: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Sums of the entries of the same unit and class, in the order of these."""
+    if len(u) and u.max() < np.uint64(1 << 40):
+        order = np.argsort(u * np.uint64(1 << 16) + near.astype(np.uint64))
+    else:
+        order = np.lexsort((near, u))
+    u, near = u[order], near[order]
+    first = _runs(u, near)
+    return [u[first], own[order[first]], near[first], np.add.reduceat(n[order], first) if len(first) else n[:0]]
+
+
+_SIDES = {"u": np.uint64, "own": np.int16, "near": np.int16, "n": np.int64}
+
+
 def _neighbours(
-    pairs: DataFrame, names: np.ndarray, class_of: np.ndarray, far: DataFrame | None, turn: int, classes: int,
+    pairs: DataFrame | None, cells: DataFrame | None, names: np.ndarray, class_of: np.ndarray, far: DataFrame | None,
+    hands: tuple[np.ndarray, int], turn: int, classes: int,
 ) -> DataFrame:
-    """(u, own, near, n): the neighbours by class of each unit of a turn, as two lists; and the class pairs.
+    """(hand, u, own, near, n), packed: the neighbours by class of each unit of a turn; and the class pairs.
 
-    No unit has the turn -1. ``names`` and ``class_of`` are the hashes and classes of units at hand, ``far`` has (unit, class) of the others. Class pairs are rows whose ``u`` is
-    between -1 and -classes * classes, their classes ``own`` and ``near[0]``.
+    No unit has the turn -1. ``names`` and ``class_of`` are the hashes and classes of units at hand, ``far`` has (unit, class) of the
+    others. All entries of a unit have one ``hand`` and lie next to each other, ``near`` ascending. Class pairs, their classes
+    ``own`` and ``near``, have the hand after the last.
     """
-    sent = share(pairs.sparkSession, (class_of, (_dealt(names, 3).astype(np.int64) == turn) & (np.arange(len(names)) > 0)))
-    nothing = F.lit(-1)
-    if far is None:
-        ready = pairs.select(F.col("before").cast("int"), F.col("unit").cast("int"), "n")
-    else:
-        ready = pairs.filter("bits = 0").select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
-        rest = pairs.filter("bits != 0").withColumns({"from": nothing, "to": nothing})
-        for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
-            near, lost = _split(rest, _FAR[i])
-            its = far.select(F.col("unit").alias("key"), F.col("class").alias("class"))
-            rest = near.unionByName(lost.join(its, F.col(column) == F.col("key")).withColumn(name, F.col("class")).select(*rest.columns))
-        ready = ready.unionByName(rest.select(*ready.columns))
+    some = pairs if pairs is not None else cells
+    sent = share(some.sparkSession, (class_of, (_dealt(names, 3).astype(np.int64) == turn) & (np.arange(len(names)) > 0), hands[0]))
+    last, columns = hands[1], list(_SIDES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        its, turns = shared(sent)
+        its, turns, hand_of = shared(sent)
         joint = np.zeros(classes * classes)
-        key = random_words(1, 37)[0] | np.uint64(1)
-
-        def rows(u, own, near, n):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(u), pa.array(own.astype(np.int32)), pa.array(near.astype(np.int32)), pa.array(n.astype(np.int64))],
-                ["u", "own", "near", "n"])
 
-        def folded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            before, unit, n, *known = (np.concatenate([h.column(i).to_numpy() for h in held]) for i in range(held[0].num_columns))
+        def folded(before: np.ndarray, unit: np.ndarray, n: np.ndarray, *known: np.ndarray) -> list[np.ndarray]:
             if known:
                 sides = list(zip((before, unit), known))
                 a, b = (np.where(c >= 0, _dealt(x, 3).astype(np.int64) == turn, turns[np.where(c >= 0, 0, x)]) for x, c in sides)
@@ -300,69 +425,136 @@ def _neighbours(
             else:
                 a, b, old, new = turns[before], turns[unit], its[before], its[unit]
             joint[:] += np.bincount(old.astype(np.int64) * classes + new, weights=n, minlength=len(joint))
-            u = np.concatenate([before[a], unit[b]]).astype(np.int64)
-            own, near = np.concatenate([old[a], new[b]]), np.concatenate([new[a], old[b] + classes])
-            with np.errstate(over="ignore"):
-                pair = mix(mix(u.view(np.uint64)) + near.astype(np.uint64) * key)
-            _, first, index = np.unique(pair, return_index=True, return_inverse=True)
-            return rows(u[first], own[first], near[first], np.bincount(index, weights=np.concatenate([n[a], n[b]]), minlength=len(first)))
+            return _by_class(
+                np.concatenate([before[a], unit[b]]).astype(np.int64).view(np.uint64),
+                np.concatenate([old[a], new[b]]).astype(np.int16), np.concatenate([new[a], old[b] + classes]).astype(np.int16),
+                np.concatenate([n[a], n[b]]).astype(np.int64))
 
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= FOLDED:
-                yield folded(held)
-                held, size = [], 0
-        if size:
-            yield folded(held)
+        def parts() -> Iterator[list[np.ndarray]]:
+            held, size = [], 0
+            for batch in batches:
+                if batch.schema.names[0] == "far":
+                    for i in range(batch.num_rows):
+                        cell = batch.slice(i, 1)
+                        yield folded(_entries(cell, "before", np.int32), _entries(cell, "unit", np.int32), _entries(cell, "n", np.int64))
+                    continue
+                held.append([c.to_numpy() for c in batch.columns])
+                size += batch.num_rows
+                if size >= FOLDED:
+                    yield folded(*(np.concatenate(x) for x in zip(*held)))
+                    held, size = [], 0
+            if size:
+                yield folded(*(np.concatenate(x) for x in zip(*held)))
+
+        def packed(u: np.ndarray, *rest: np.ndarray) -> pa.RecordBatch:
+            near = u < np.uint64(len(hand_of))
+            hand = np.where(near, hand_of[np.where(near, u, np.uint64(0)).astype(np.int64)], (u >> np.uint64(32)) * np.uint64(last) >> np.uint64(32))
+            first = _runs(hand)
+            return _cells([pa.array(hand[first].astype(np.int32))], first, [u, *rest], ["hand", *columns])
+
+        for part in _merged(parts()):
+            yield packed(*part)
         some = np.flatnonzero(joint)
-        yield rows(-1 - some, some // classes, some % classes, joint[some])
+        yield _cells(
+            [pa.array([last], pa.int32())], np.zeros(1, np.int64),
+            [some.astype(np.uint64), (some // classes).astype(np.int16), (some % classes).astype(np.int16), joint[some].astype(np.int64)], ["hand", *columns])
 
-    # Tasks have folded their rows: a unit comes with two rows a class from each fold at most.
-    sides = ready.mapInArrow(run, "u long, own int, near int, n long").repartition("u")
-    sides = sides.groupBy("u", "own", "near").agg(F.sum("n").alias("n"))
-    # In a fixed order, so that sums of the same numbers are the same.
-    sides = sides.groupBy("u", "own").agg(F.sort_array(F.collect_list(F.struct("near", "n"))).alias("list"))
-    return sides.select("u", "own", F.col("list.near").alias("near"), F.col("list.n").alias("n"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand = None
 
+        def parts() -> Iterator[list[np.ndarray]]:
+            nonlocal hand
+            for batch in batches:
+                if batch.num_rows:
+                    hand = batch.column("hand")[0]
+                    yield [_entries(batch, c, kind) for c, kind in _SIDES.items()]
+
+        # A unit must not be cut, so all of a hand are held.
+        for part in _merged(parts(), whole=True):
+            new = _runs(part[0])
+            first = new[_runs(new // FOLDED)]
+            yield _cells([pa.array([hand.as_py()] * len(first), pa.int32())], first, part, ["hand", *columns])
+
+    schema = "hand int, u binary, own binary, near binary, n binary"
+    found = []
+    if cells is not None:
+        found.append(cells.mapInArrow(run, schema))
+    if pairs is not None:
+        nothing = F.lit(-1)
+        if far is None:
+            ready = pairs.select(F.col("before").cast("int"), F.col("unit").cast("int"), "n")
+        else:
+            ready = pairs.filter("bits = 0").select("before", "unit", "n", nothing.alias("from"), nothing.alias("to"))
+            rest = pairs.filter("bits != 0").withColumns({"from": nothing, "to": nothing})
+            for i, (column, name) in enumerate((("before", "from"), ("unit", "to"))):
+                near, lost = _split(rest, _FAR[i])
+                its = far.select(F.col("unit").alias("key"), F.col("class").alias("class"))
+                rest = near.unionByName(lost.join(its, F.col(column) == F.col("key")).withColumn(name, F.col("class")).select(*rest.columns))
+            ready = ready.unionByName(rest.select(*ready.columns))
+        found.append(ready.mapInArrow(run, schema))
+    sides = found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+    return sides.repartitionById(last + 1, "hand").mapInArrow(merge, schema)
+
+
+def _merged(parts: Iterator[list[np.ndarray]], whole: bool = False) -> Iterator[list[np.ndarray]]:
+    """Sums over the parts of a task, in one table or, unless ``whole``, in tables of bounded size."""
+    held, size, limit = [], 0, GATHERED
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > limit:
+            held = [_by_class(*(np.concatenate(x) for x in zip(*held)))]
+            size = len(held[0][0])
+            if whole:
+                limit = max(limit, 2 * size)
+            elif size > GATHERED // 2:
+                yield held[0]
+                held, size = [], 0
+    if size:
+        yield _by_class(*(np.concatenate(x) for x in zip(*held)))
 
-def _moves(vectors: DataFrame, joint: np.ndarray) -> DataFrame:
-    """(unit, to, gain) of the units that gain by another class."""
-    classes = len(joint)
+
+def _moves(vectors: DataFrame, joint: np.ndarray, last: int) -> DataFrame:
+    """(unit, to, gain) of the units that gain by another class; the hand ``last`` has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                near, n = (part.column(c) for c in ("near", "n"))
-                row = np.repeat(np.arange(part.num_rows), near.value_lengths().to_numpy())
-                own = part.column("own").to_numpy().astype(np.int64)
-                gains = _gains(row, near.flatten().to_numpy().astype(np.int64), n.flatten().to_numpy(), own, joint)
-                gains[:, 0] = -np.inf
-                to = gains.argmax(axis=1)
-                gain = gains[np.arange(len(to)), to]
-                some = np.flatnonzero((gain > 0) & (to != own))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("u").take(pa.array(some)), pa.array(to[some].astype(np.int32)), pa.array(gain[some])], ["unit", "to", "gain"])
-
-    return vectors.filter(~F.col("u").between(-classes * classes, -1)).mapInArrow(run, "unit long, to int, gain double")
+            for i in range(batch.num_rows):
+                u, own, near, n = (_entries(batch.slice(i, 1), c, kind) for c, kind in _SIDES.items())
+                first = _runs(u)
+                cuts = np.append(first, len(u))
+                for begin in range(0, len(first), 500):
+                    at = first[begin : begin + 500]
+                    sizes = np.diff(cuts[begin : begin + 501])
+                    mine = slice(at[0], at[0] + sizes.sum())
+                    now = own[at].astype(np.int64)
+                    gains = _gains(np.repeat(np.arange(len(at)), sizes), near[mine].astype(np.int64), n[mine], now, joint)
+                    gains[:, 0] = -np.inf
+                    to = gains.argmax(axis=1)
+                    gain = gains[np.arange(len(to)), to]
+                    some = np.flatnonzero((gain > 0) & (to != now))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(u[at[some]].view(np.int64)), pa.array(to[some].astype(np.int32)), pa.array(gain[some])], ["unit", "to", "gain"])
+
+    return vectors.filter(F.col("hand") < last).mapInArrow(run, "unit long, to int, gain double")
 
 
 def exchange(
-    pairs: DataFrame, names: np.ndarray, weight: np.ndarray, far: DataFrame | None = None, classes: int = CLASSES,
-    rounds: int = ROUNDS, tolerance: float = TOLERANCE,
+    pairs: DataFrame | None, names: np.ndarray, weight: np.ndarray, far: DataFrame | None = None, classes: int = CLASSES,
+    rounds: int = ROUNDS, tolerance: float = TOLERANCE, cells: DataFrame | None = None,
 ) -> tuple[np.ndarray, DataFrame | None, np.ndarray, list[float]]:
     """(classes of units at hand, (unit, class) of the others, class pairs, likelihood of each step) by exchange clustering.
 
+    ``pairs`` has (before, unit, bits, n), ``cells`` packed pairs of units at hand that are not among them; either may be None.
     ``names`` and ``weight`` are the hashes and counts of units at hand, ``far`` (unit) all others. A step takes, for a third of the
     units, the neighbours by class, and moves these units to the class that raises the likelihood most; the
     gains are found in tasks against the table of classes by classes. A step that lowered the likelihood is
     undone for the half of its moves with the least gain. Class 0 holds the end of a text alone.
     The classes of other units are a stored table that is kept.
     """
-    spark = pairs.sparkSession
+    spark = (pairs if pairs is not None else cells).sparkSession
     width = len(weight)
+    hands = _hands(weight, classes)
     class_of = (1 + _dealt(names, classes - 1)).astype(np.int16)
     # The most frequent units open the classes, the others are dealt by hash.
     first = np.argsort(-weight[1:], kind="stable")[: classes - 1] + 1
@@ -381,16 +573,17 @@ def exchange(
         held = Stored(spark)
         if far is not None:
             far = held.table(far)
-        vectors = held.table(_neighbours(pairs, names, class_of, far, turn, classes))
+        vectors = held.table(_neighbours(pairs, cells, names, class_of, far, hands, turn, classes))
         joint = np.zeros((classes, classes))
-        for r in vectors.filter(F.col("u").between(-classes * classes, -1)).collect():
-            joint[r.own, r.near[0]] = r.n[0]
+        for r in vectors.filter(F.col("hand") == hands[1]).collect():
+            old, new, n = (np.frombuffer(r[c], _SIDES[c]) for c in ("own", "near", "n"))
+            joint[old, new] = n
         return class_of, far, vectors, joint, held
 
     now = seen(class_of, far, 0)
     history = [_likelihood(now[3])]
     for step in range(rounds):
-        moves = now[4].table(_moves(now[2], now[3]))
+        moves = now[4].table(_moves(now[2], now[3], hands[1]))
         low = 0.0
         while True:
             taken = moves.filter(F.col("gain") >= low)
@@ -443,12 +636,15 @@ def learn(
         weight[1 + r["shape"]], pieces[1 + r["shape"]] = r.n, r.kinds
     far = counts.filter((F.col("n") >= LEAST_SEEN) & (F.col("n") < least)).select(F.col("word").alias("unit"), "n") if least > LEAST_SEEN else None
 
-    between = Stored(train.sparkSession)
-    # Sorted, so that the pairs of a unit lie next to each other and fold in the passes.
-    pairs = stored.table(_pair_counts(train, counts, (words, n), least, between).sortWithinPartitions("before", "unit"))
-    between.close()
+    cells = stored.table(_pair_cells(train, (words, n), weight, least))
+    pairs = None
+    if far is not None:
+        between = Stored(train.sparkSession)
+        pairs = stored.table(_far_pairs(cells, counts, len(weight), least, between).sortWithinPartitions("before", "unit"))
+        between.close()
+        cells = cells.filter("not far")
     names = np.concatenate([np.arange(SHAPES + 1), words[own].view(np.int64)])
-    class_of, classed, joint, _ = exchange(pairs, names, weight, far, classes, rounds, tolerance)
+    class_of, classed, joint, _ = exchange(pairs, names, weight, far, classes, rounds, tolerance, cells)
 
     # Tokens and different words of each class give the room that its words share.
     of_class = np.bincount(class_of, weights=weight, minlength=classes)

@@ -190,6 +190,63 @@ def test_exchange_raises_the_likelihood_and_finds_groups(spark):
         assert (joint == expected).all()
 
 
+def unpacked(cells):
+    """Pairs of packed cells, and the number of cells."""
+    rows, found = cells.collect(), Counter()
+    for r in rows:
+        kind = np.int64 if r.far else np.int32
+        for a, b, n in zip(np.frombuffer(r.before, kind), np.frombuffer(r.unit, kind), np.frombuffer(r.n, np.int64)):
+            found[int(a), int(b)] += int(n)
+    return found, rows
+
+
+def test_cells_hold_all_pairs_in_few_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # One word makes half of the tokens; w0 to w39 are frequent, the words of x only twice each.
+    texts = [" ".join("the" if rng.random() < 0.5 else f"w{rng.integers(40)}" for _ in range(60)) for _ in range(200)]
+    texts += [f"x{i} The x{i}" for i in range(50)] + [None, "", "the"]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    names = hashed(sorted({t for x in texts for t in tokens_of(x) if t}))
+    times = Counter(t for x in texts for t in tokens_of(x) if t)
+    for gathered, block, most, blocks in ((1 << 21, 1 << 20, 1 << 20, 1), (900, 500, 1 << 20, 25), (900, 500, 20, 10)):
+        monkeypatch.setattr(class_lm, "GATHERED", gathered)
+        monkeypatch.setattr(class_lm, "BLOCK", block)
+        hand = dict(times.most_common(most))
+        least = 1 if most > len(times) else min(hand.values())
+        words = np.array(sorted(names[w][0] for w in hand), np.int64).view(np.uint64)
+        words.sort()
+        by_hash = {names[w][0]: n for w, n in hand.items()}
+        n = np.array([by_hash[int(h)] for h in words.view(np.int64)])
+        units = {int(h): class_lm.SHAPES + 1 + i for i, h in enumerate(words.view(np.int64)[n >= 5])}
+        weight = np.concatenate([[len(texts)], np.zeros(class_lm.SHAPES, np.int64), n[n >= 5]])
+        for w, t in times.items():
+            if t < 5:
+                weight[1 + names[w][1]] += t
+        its = lambda t: 0 if t is None else units.get(names[t][0], 1 + names[t][1] if least == 1 else names[t][0])
+        expected = Counter((its(a), its(b)) for x in texts for a, b in zip([None, *tokens_of(x)], tokens_of(x)))
+        found, rows = unpacked(class_lm._pair_cells(train, (words, n), weight, least))
+        assert found == expected
+        assert sum(r.far for r in rows) == 0 if least == 1 else any(r.far for r in rows)
+        # Rows are cells, not pairs; the pairs of a frequent word fill several of them.
+        assert len(rows) <= 30 * blocks and len(expected) > 400
+        hot = units[names["the"][0]]
+        assert (sum(hot in np.frombuffer(r.before, np.int32) for r in rows if not r.far) > 1) == (block == 500)
+
+
+def test_blocks_change_no_score(docs, monkeypatch):
+    train = docs.filter(langid.remainder("doc_id", 5) != 1)
+    rows = scored(docs, train, classes=8, rounds=4)
+    monkeypatch.setattr(class_lm, "BLOCK", 2000)
+    for at_hand in (1 << 20, 300):
+        monkeypatch.setattr(class_lm, "WORDS_AT_HAND", at_hand)
+        again = scored(docs, train, classes=8, rounds=4)
+        assert again.keys() == rows.keys()
+        # Moves of words that are not at hand start from the same classes by hash.
+        if at_hand > 300:
+            assert all(math.isclose(again[i].score, r.score, rel_tol=1e-9) for i, r in rows.items())
+        assert all(math.isclose(again[i].base_score, r.base_score, rel_tol=1e-9) and again[i].n_known == r.n_known for i, r in rows.items())
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, word int, score string, row int"
     rows = [(1, "A b A", 0, "x", 1), (1, "A b A", 0, "x", 1), (2, None, 0, "x", 1), (3, "", 0, "x", 1), (None, "b " * 60_000, 0, "x", 1),
